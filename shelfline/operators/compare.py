@@ -6,7 +6,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.operators.joins import join_on
-from shelfline.operators.outliers import market_segments, percentile_positions
+from shelfline.operators.outliers import averages, positions_of, segments_of
+from shelfline.operators.ranks import value_counts
 from shelfline.operators.quality import share
 
 PRICE = "price_numeric"
@@ -33,24 +34,20 @@ def source_performance(
     )
 
 
-def _averages(df: DataFrame, by: str, price: str) -> DataFrame:
-    return (
-        df.where(F.col(by).isNotNull() & F.col(price).isNotNull())
-        .groupBy(by)
-        .agg(F.avg(price).alias("avg_price"))
-    )
-
-
 def cross_source_insights(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Spread of the group averages and the groups at its ends; needs two groups.
 
     On equal averages the group whose name sorts first is named.
     """
+    return insights_of(averages(df, by, price), by)
+
+
+def insights_of(group_averages: DataFrame, by: str = "search_term") -> DataFrame:
+    """The spread and the ends of given group averages."""
     avg = F.col("avg_price")
     first, last = F.struct(avg, F.col(by)), F.struct(-avg, F.col(by))
     return (
-        _averages(df, by, price)
-        .agg(
+        group_averages.agg(
             F.count("*").alias("sources"),
             F.var_pop(avg).alias("price_variance_across_sources"),
             F.try_divide(F.stddev_pop(avg), F.avg(avg)).alias("coefficient_of_variation"),
@@ -64,9 +61,13 @@ def cross_source_insights(df: DataFrame, by: str = "search_term", price: str = P
 
 def market_positioning(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Market segment and percentile position of every group with prices."""
-    return join_on(
-        market_segments(df, by, price).drop("avg_price"), percentile_positions(df, by, price), [by]
-    )
+    return positioning_of(value_counts(df, price), averages(df, by, price), by)
+
+
+def positioning_of(counts: DataFrame, group_averages: DataFrame, by: str = "search_term") -> DataFrame:
+    """Segment and position of given group averages among counted prices."""
+    segments = segments_of(counts, group_averages).drop("avg_price")
+    return join_on(segments, positions_of(counts, group_averages, by), [by])
 
 
 def display_summary(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:

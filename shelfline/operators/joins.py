@@ -34,14 +34,25 @@ def _apart(right: DataFrame, keys: list[str]) -> DataFrame:
 
 
 def join_on(
-    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner"
+    left: DataFrame, right: DataFrame, keys: list[str], how: str = "inner", never_null: tuple = ()
 ) -> DataFrame:
     """Equi-join in which NULL keys match each other; the left keys are kept."""
-    condition = [F.col(k).eqNullSafe(F.col(f"right_{k}")) for k in keys]
+    condition = [
+        F.col(k) == F.col(f"right_{k}") if k in never_null else F.col(k).eqNullSafe(F.col(f"right_{k}"))
+        for k in keys
+    ]
     joined = left.join(_apart(right, keys), condition, how)
     return joined.drop(*[f"right_{k}" for k in keys])
 
 
+def with_row(df: DataFrame, frame: DataFrame, name: str) -> DataFrame:
+    """Add the columns of a one-row frame to every row, as the struct ``name``.
+
+    The frame is evaluated once, as a scalar subquery; the struct is NULL when it is empty.
+    """
+    return df.withColumn(name, frame.select(F.struct("*").alias(name)).scalar())
+
+
 def spread_join(
     rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner", salts: int = SALTS
 ) -> DataFrame:

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.functions.price import ends_in_99, is_round
+from shelfline.operators.joins import with_row
 from shelfline.operators.quality import share
 from shelfline.operators.ranks import count_below, quantiles, quantiles_of_counts, value_counts
 
@@ -21,37 +22,34 @@ def iqr_fences(df: DataFrame, price: str = PRICE) -> DataFrame:
     )
 
 
-def _one(frame: DataFrame) -> Column:
-    """A one-row frame as a scalar struct, evaluated once for the whole query."""
-    return frame.select(F.struct("*").alias("row")).scalar()
-
-
 def outlier_rows(df: DataFrame, price: str = PRICE) -> DataFrame:
     """Rows whose price lies strictly outside the fences."""
-    fence = _one(iqr_fences(df, price))
     p = F.col(price)
-    return df.where((p < fence["lower_bound"]) | (p > fence["upper_bound"]))
+    fenced = with_row(df, iqr_fences(df, price), "fence")
+    return fenced.where((p < F.col("fence.lower_bound")) | (p > F.col("fence.upper_bound"))).drop("fence")
 
 
 def outlier_summary(df: DataFrame, price: str = PRICE) -> DataFrame:
     """Fences, and number and share of the priced rows outside them."""
-    fence = _one(iqr_fences(df, price))
+    fences = iqr_fences(df, price)
     p = F.col(price)
-    outside = F.count_if((p < fence["lower_bound"]) | (p > fence["upper_bound"]))
-    return df.agg(F.count(p).alias("priced"), outside.alias("total_outliers")).select(
+    outside = (p < F.col("fence.lower_bound")) | (p > F.col("fence.upper_bound"))
+    counted = with_row(df, fences, "fence").agg(
+        F.count(p).alias("priced"), F.count_if(outside).alias("total_outliers")
+    )
+    return with_row(counted, fences, "fence").select(
         "total_outliers",
         share(F.col("total_outliers"), F.col("priced")).alias("outlier_percentage"),
-        fence["lower_bound"].alias("lower_bound"),
-        fence["upper_bound"].alias("upper_bound"),
+        "fence.lower_bound",
+        "fence.upper_bound",
     )
 
 
 def zscore_outliers(df: DataFrame, k: float = 3.0, price: str = PRICE) -> DataFrame:
     """Rows more than ``k`` standard deviations from the mean (an extension)."""
-    m = _one(df.agg(F.avg(price).alias("mean"), F.stddev_samp(price).alias("std")))
-    return df.withColumn("zscore", F.try_divide(F.col(price) - m["mean"], m["std"])).where(
-        F.abs("zscore") > k
-    )
+    moments = df.agg(F.avg(price).alias("mean"), F.stddev_samp(price).alias("std"))
+    score = F.try_divide(F.col(price) - F.col("m.mean"), F.col("m.std"))
+    return with_row(df, moments, "m").withColumn("zscore", score).drop("m").where(F.abs("zscore") > k)
 
 
 def price_bands(df: DataFrame, price: str = PRICE) -> DataFrame:
@@ -59,23 +57,36 @@ def price_bands(df: DataFrame, price: str = PRICE) -> DataFrame:
 
     Both ends of a band belong to it, so a price on a quartile counts in two bands.
     """
-    p = F.col(price)
-    q = _one(quantiles(df, price, {"q25": 0.25, "q75": 0.75, "top": 1.0}))
-    low, mid, top = q["q25"], q["q75"], q["top"]
-    totals = df.agg(
-        F.count(p).alias("priced"),
-        F.count_if((p >= 0.0) & (p <= low)).alias("budget"),
-        F.count_if((p >= low) & (p <= mid)).alias("middle"),
-        F.count_if((p >= mid) & (p <= top)).alias("premium"),
-    ).where("priced > 0")
-
-    def band(name: str, lo: Column, hi: Column, n: str) -> Column:
+    return bands_of(value_counts(df, price))
+
+
+def bands_of(counts: DataFrame) -> DataFrame:
+    """The price bands of counted prices."""
+    marks = quantiles_of_counts(counts, {"q25": 0.25, "q75": 0.75, "top": 1.0})
+    v, n = F.col("value"), F.col("n")
+    low, mid, top = F.col("q.q25"), F.col("q.q75"), F.col("q.top")
+
+    def rows(condition: Column, name: str) -> Column:
+        return F.coalesce(F.sum(F.when(condition, n)), F.lit(0).cast("long")).alias(name)
+
+    totals = (
+        with_row(counts, marks, "q")
+        .agg(
+            F.sum(n).alias("priced"),
+            rows((v >= 0.0) & (v <= low), "budget"),
+            rows((v >= low) & (v <= mid), "middle"),
+            rows((v >= mid) & (v <= top), "premium"),
+        )
+        .where("priced > 0")
+    )
+
+    def band(name: str, lo: Column, hi: Column, found: str) -> Column:
         return F.struct(
             F.lit(name).alias("band"), lo.alias("band_min"), hi.alias("band_max"),
-            F.col(n).alias("listings"), share(F.col(n), F.col("priced")).alias("percentage"),
+            F.col(found).alias("listings"), share(F.col(found), F.col("priced")).alias("percentage"),
         )
 
-    return totals.select(
+    return with_row(totals, marks, "q").select(
         F.inline(
             F.array(
                 band("budget", F.lit(0.0), low, "budget"),
@@ -94,54 +105,75 @@ def price_patterns(df: DataFrame, price: str = PRICE) -> DataFrame:
     )
 
 
+def averages(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
+    """Average price of every non-null group that has one."""
+    return (
+        df.where(F.col(by).isNotNull() & F.col(price).isNotNull())
+        .groupBy(by)
+        .agg(F.avg(price).alias("avg_price"))
+    )
+
+
 def market_segments(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Segment of each group by where its average lies among the price quartiles."""
-    q = _one(quantiles(df, price, {"p25": 0.25, "p50": 0.5, "p75": 0.75}))
-    averages = df.where(F.col(by).isNotNull()).groupBy(by).agg(F.avg(price).alias("avg_price"))
+    return segments_of(value_counts(df, price), averages(df, by, price))
+
+
+def segments_of(counts: DataFrame, group_averages: DataFrame) -> DataFrame:
+    """Segments of given group averages among counted prices."""
+    marks = quantiles_of_counts(counts, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
     avg = F.col("avg_price")
     segment = (
-        F.when(avg <= q["p25"], "budget")
-        .when(avg <= q["p50"], "mid-low")
-        .when(avg <= q["p75"], "mid-high")
+        F.when(avg <= F.col("q.p25"), "budget")
+        .when(avg <= F.col("q.p50"), "mid-low")
+        .when(avg <= F.col("q.p75"), "mid-high")
         .otherwise("premium")
     )
-    return averages.where(avg.isNotNull()).withColumn("market_segment", segment)
+    return with_row(group_averages, marks, "q").withColumn("market_segment", segment).drop("q")
 
 
 def percentile_positions(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Share of all priced rows that cost strictly less than each group's average."""
-    counts = value_counts(df, price)
+    return positions_of(value_counts(df, price), averages(df, by, price), by)
+
+
+def positions_of(counts: DataFrame, group_averages: DataFrame, by: str = "search_term") -> DataFrame:
+    """Percentile positions of given group averages among counted prices."""
     total = counts.agg(F.sum("n")).scalar()
-    averages = (
-        df.where(F.col(by).isNotNull() & F.col(price).isNotNull())
-        .groupBy(by)
-        .agg(F.avg(price).alias("avg_price"))
-    )
-    return count_below(counts, averages, "avg_price").select(
+    return count_below(counts, group_averages, "avg_price").select(
         by, "avg_price", F.col("below").alias("rows_below"),
         share(F.col("below"), total).alias("percentile_position"),
     )
 
 
 def price_analysis(df: DataFrame, price: str = PRICE) -> DataFrame:
-    """Fences, outliers, bands and patterns in one row, from one set of value counts."""
-    counts = value_counts(df, price)
-    q = _one(quantiles_of_counts(counts, {"q25": 0.25, "q75": 0.75, "top": 1.0}))
+    """Fences, outliers, bands and patterns in one row."""
+    return analysis_of(value_counts(df, price))
+
+
+def analysis_of(counts: DataFrame) -> DataFrame:
+    """The price analysis of counted prices."""
+    marks = quantiles_of_counts(counts, {"q25": 0.25, "q75": 0.75, "top": 1.0})
     v, n = F.col("value"), F.col("n")
-    reach = (q["q75"] - q["q25"]) * 1.5
-    lower, upper = q["q25"] - reach, q["q75"] + reach
+    low, mid, top = F.col("q.q25"), F.col("q.q75"), F.col("q.top")
+    reach = (mid - low) * 1.5
 
     def rows(condition: Column) -> Column:
         return F.coalesce(F.sum(F.when(condition, n)), F.lit(0).cast("long"))
 
-    return counts.agg(
+    counted = with_row(counts, marks, "q").agg(
         F.sum(n).alias("priced"),
-        rows((v < lower) | (v > upper)).alias("total_outliers"),
-        rows((v >= 0.0) & (v <= q["q25"])).alias("budget"),
-        rows((v >= q["q25"]) & (v <= q["q75"])).alias("mid_range"),
-        rows((v >= q["q75"]) & (v <= q["top"])).alias("premium"),
+        rows((v < low - reach) | (v > mid + reach)).alias("total_outliers"),
+        rows((v >= 0.0) & (v <= low)).alias("budget"),
+        rows((v >= low) & (v <= mid)).alias("mid_range"),
+        rows((v >= mid) & (v <= top)).alias("premium"),
         rows(ends_in_99(v)).alias("ending_in_99"),
         rows(is_round(v)).alias("round_numbers"),
         F.count("*").alias("unique_prices"),
         F.avg(n).alias("avg_products_per_price"),
-    ).select("*", lower.alias("lower_bound"), upper.alias("upper_bound"))
+    )
+    return (
+        with_row(counted, marks, "q")
+        .select("*", (low - reach).alias("lower_bound"), (mid + reach).alias("upper_bound"))
+        .drop("q")
+    )

@@ -100,8 +100,10 @@ def captured(text: Column, pattern: str) -> Column:
 
 
 def fallback(text: Column, patterns: list[str]) -> Column:
-    """First non-blank result over ordered patterns."""
-    return first_filled(*[text_of(captured(text, p)) for p in patterns])
+    """First non-blank result over ordered patterns; later patterns run only when needed."""
+    found = [F.regexp_extract(text, p, 1) for p in patterns]
+    raw = first_filled(*[F.replace(f, F.lit("&nbsp;"), F.lit(" ")) for f in found])
+    return strip(text_of(raw))
 
 
 def containers(html: Column, patterns: list[str]) -> Column:

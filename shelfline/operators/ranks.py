@@ -15,6 +15,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfline.operators.joins import join_on, spread_join
+from shelfline.session import materialise
 
 # A slot spans a factor of 2 ** (1 / 1024), less than 0.07 % of a price.
 SLOTS_PER_DOUBLING = 1024
@@ -69,7 +70,7 @@ def quantiles_of_counts(
     if not by:
         # At most two slots per quantile.
         wanted = F.broadcast(wanted)
-    placed = join_on(slotted, wanted, [*by, "slot"]).withColumn(
+    placed = join_on(slotted, wanted, [*by, "slot"], never_null=("slot",)).withColumn(
         "upto", F.col("before") + _running(W.partitionBy(*by, "slot"), ["value"], "n")
     )
     first = F.col("upto") - F.col("n")
@@ -101,8 +102,11 @@ def quantiles(
 def count_below(counts: DataFrame, probes: DataFrame, probe: str) -> DataFrame:
     """For every row of ``probes``, the number of counted rows strictly below its value.
 
-    Values and probes are ordered together slot by slot, so no pair of them is formed.
+    Values and probes are ordered together slot by slot, so no pair of them is formed. The
+    probes are written once: averages summed again in another order may differ in their last
+    digit, and the result is joined back on the value.
     """
+    probes = materialise(probes, "probes")
     marks = probes.select(F.col(probe).alias("value")).where("value IS NOT NULL").distinct()
     both = (
         counts.select("value", "n", F.lit(False).alias("is_probe"))
@@ -118,7 +122,7 @@ def count_below(counts: DataFrame, probes: DataFrame, probe: str) -> DataFrame:
     )
     order = [F.col("value"), F.col("is_probe").desc()]
     below = (
-        join_on(both, slots, ["slot"])
+        join_on(both, slots, ["slot"], never_null=("slot",))
         .withColumn("below", F.col("before") + _running(W.partitionBy("slot"), order, "n"))
         .where("is_probe")
         .select(F.col("value").alias(probe), "below")

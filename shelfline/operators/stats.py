@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfline.functions.temporal import weekday_name
-from shelfline.operators.joins import join_on, spread_join
+from shelfline.operators.joins import join_on, spread_join, with_row
 from shelfline.operators.quality import share
 from shelfline.operators.ranks import quantiles, quantiles_of_counts, value_counts
 
@@ -30,11 +30,8 @@ def _moments(price: str = PRICE) -> list[Column]:
 
 def price_statistics(df: DataFrame, price: str = PRICE) -> DataFrame:
     """One row: counts, mean, standard deviation, range, median and quartiles."""
-    marks = quantiles(df, price, {"q25": 0.25, "median_price": 0.5, "q75": 0.75})
-    spot = marks.select(F.struct("*").alias("q")).scalar()
-    return df.agg(*_moments(price)).select(
-        "*", spot["median_price"].alias("median_price"), spot["q25"].alias("q25"), spot["q75"].alias("q75")
-    )
+    marks = quantiles(df, price, {"median_price": 0.5, "q25": 0.25, "q75": 0.75})
+    return with_row(df.agg(*_moments(price)), marks, "q").select("*", "q.*").drop("q")
 
 
 def summary_by(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
@@ -75,11 +72,14 @@ def overall_and_by(df: DataFrame, by: str = "search_term", price: str = PRICE) -
 
 def percentiles(df: DataFrame, price: str = PRICE, points: list[int] | None = None) -> DataFrame:
     """One row per percentile of the price."""
+    return percentiles_of(value_counts(df, price), points)
+
+
+def percentiles_of(counts: DataFrame, points: list[int] | None = None) -> DataFrame:
+    """Percentiles of counted prices."""
     probs = {f"p{p}": p / 100.0 for p in points or PERCENTILES}
-    wide = quantiles(df, price, probs)
-    return wide.select(
-        F.inline(F.array(*[F.struct(F.lit(n).alias("percentile"), F.col(n).alias("price")) for n in probs]))
-    ).where("price IS NOT NULL")
+    pairs = [F.struct(F.lit(n).alias("percentile"), F.col(n).alias("price")) for n in probs]
+    return quantiles_of_counts(counts, probs).select(F.inline(F.array(*pairs))).where("price IS NOT NULL")
 
 
 def approximate_percentiles(
@@ -100,42 +100,46 @@ def histogram(df: DataFrame, price: str = PRICE, bins: int = 10) -> DataFrame:
 
     A single distinct price gives a range of one around it.
     """
-    lo, hi = F.min(price), F.max(price)
+    rows = df.where(F.col(price).isNotNull())
+    return histogram_of(rows.select(F.col(price).alias("value"), F.lit(1).cast("long").alias("n")), bins)
+
+
+def histogram_of(counts: DataFrame, bins: int = 10) -> DataFrame:
+    """The histogram of counted prices."""
+    lo, hi = F.col("lo"), F.col("hi")
     span = (
-        df.agg(lo.alias("lo"), hi.alias("hi"))
+        counts.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
         .select(
-            F.struct(
-                F.when(F.col("lo") == F.col("hi"), F.col("lo") - 0.5).otherwise(F.col("lo")).alias("lo"),
-                F.when(F.col("lo") == F.col("hi"), F.col("hi") + 0.5).otherwise(F.col("hi")).alias("hi"),
-            ).alias("span")
+            F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"),
+            F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"),
         )
-        .scalar()
+        .select("lo", ((hi - lo) / F.lit(float(bins))).alias("step"))
     )
-    start, step = span["lo"], (span["hi"] - span["lo"]) / F.lit(float(bins))
-    x = F.col(price)
+    start, step, x = F.col("span.lo"), F.col("span.step"), F.col("value")
     near = F.greatest(F.least(F.floor((x - start) / step), F.lit(bins - 1)), F.lit(0))
     # Rounding in the division may miss by one bin; the edges decide.
-    edge = start + near * step
+    near_bin = F.col("near")
     exact = (
-        F.when(x < edge, near - 1)
-        .when((near < bins - 1) & (x >= start + (near + 1) * step), near + 1)
-        .otherwise(near)
+        F.when(x < start + near_bin * step, near_bin - 1)
+        .when((near_bin < bins - 1) & (x >= start + (near_bin + 1) * step), near_bin + 1)
+        .otherwise(near_bin)
     )
     counted = (
-        df.where(x.isNotNull())
+        with_row(counts, span, "span")
+        .withColumn("near", near)
         .groupBy(exact.cast("int").alias("bin"))
-        .agg(F.count("*").alias("listings"))
+        .agg(F.sum("n").alias("listings"))
     )
-    all_bins = df.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
+    all_bins = counts.sparkSession.range(bins).select(F.col("id").cast("int").alias("bin"))
     return (
-        all_bins.join(counted, "bin", "left")
+        with_row(all_bins.join(F.broadcast(counted), "bin", "left"), span, "span")
+        .where(start.isNotNull())
         .select(
             "bin",
             (start + F.col("bin") * step).alias("lower_edge"),
             (start + (F.col("bin") + 1) * step).alias("upper_edge"),
             F.coalesce("listings", F.lit(0).cast("long")).alias("listings"),
         )
-        .where("lower_edge IS NOT NULL")
     )
 
 
@@ -176,7 +180,10 @@ def source_table(df: DataFrame, by: str = "search_term", price: str = PRICE) ->
 
 def share_by(df: DataFrame, by: str = "search_term") -> DataFrame:
     """Rows per non-null group and their share of all such rows, in percent."""
-    counted = df.where(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("listings"))
+    return share_of(df.where(F.col(by).isNotNull()).groupBy(by).agg(F.count("*").alias("listings")))
+
+
+def share_of(counted: DataFrame) -> DataFrame:
     total = counted.agg(F.sum("listings")).scalar()
     return counted.withColumn("share_pct", F.round(share(F.col("listings"), total), 1))
 
@@ -193,8 +200,11 @@ def box_summary(df: DataFrame, by: str = "search_term", price: str = PRICE) -> D
     A whisker ends at the last price within 1.5 interquartile ranges of the box. Only the
     distinct prices of a group are compared with its fences.
     """
-    base = df.where(F.col(by).isNotNull())
-    counts = value_counts(base, price, [by])
+    return box_of(value_counts(df.where(F.col(by).isNotNull()), price, [by]), by)
+
+
+def box_of(counts: DataFrame, by: str = "search_term") -> DataFrame:
+    """The box-plot figures of prices counted per group."""
     box = quantiles_of_counts(counts, {"q25": 0.25, "median_price": 0.5, "q75": 0.75}, [by])
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = (F.col("value") >= F.col("q25") - reach) & (F.col("value") <= F.col("q75") + reach)

@@ -80,9 +80,14 @@ def _correlation(x: str, y: str) -> Column:
 
 def overall_trend(df: DataFrame, price: str = PRICE) -> DataFrame:
     """Correlation of the daily mean with time; no row unless there are two days."""
-    days = numbered_days(daily_means(df, price=price))
+    return trend_of(daily_means(df, price=price))
+
+
+def trend_of(daily: DataFrame) -> DataFrame:
+    """The overall trend from daily means."""
     return (
-        days.agg(
+        numbered_days(daily)
+        .agg(
             F.count("*").alias("total_days"),
             F.avg("priced").alias("avg_daily_products"),
             _correlation("mean_price", "day_number").alias("price_trend_correlation"),
@@ -94,9 +99,14 @@ def overall_trend(df: DataFrame, price: str = PRICE) -> DataFrame:
 
 def trend_by(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Trend per group, with the deviation of its daily means; needs two days."""
-    days = numbered_days(daily_means(df, [by], price), [by])
+    return trend_of_groups(daily_means(df, [by], price), by)
+
+
+def trend_of_groups(daily: DataFrame, by: str = "search_term") -> DataFrame:
+    """The trend of every group from daily means per group."""
     return (
-        days.groupBy(by)
+        numbered_days(daily, [by])
+        .groupBy(by)
         .agg(
             F.count("*").alias("days_tracked"),
             _correlation("mean_price", "day_number").alias("price_trend_correlation"),
@@ -127,14 +137,22 @@ def _busiest(count: str) -> Column:
 
 def peak_hours(df: DataFrame, price: str = PRICE) -> DataFrame:
     """The busiest hour by priced rows and by all rows; the earlier hour wins a tie."""
-    return hourly_activity(df, price).agg(
+    return peaks_of(hourly_activity(df, price))
+
+
+def peaks_of(hourly: DataFrame) -> DataFrame:
+    return hourly.agg(
         _busiest("priced").alias("peak_hour_priced"), _busiest("listings").alias("peak_hour_all")
     )
 
 
 def hourly_variation(df: DataFrame, price: str = PRICE) -> DataFrame:
     """Deviation of the hourly mean prices."""
-    return hourly_activity(df, price).agg(F.stddev_samp("mean_price").alias("price_variation_by_hour"))
+    return variation_of(hourly_activity(df, price))
+
+
+def variation_of(hourly: DataFrame) -> DataFrame:
+    return hourly.agg(F.stddev_samp("mean_price").alias("price_variation_by_hour"))
 
 
 def temporal_summary(df: DataFrame) -> DataFrame:
@@ -142,7 +160,13 @@ def temporal_summary(df: DataFrame) -> DataFrame:
 
     Rows are first counted per day and hour; everything else follows from those counts.
     """
-    cells = df.groupBy("scrape_date", "scrape_hour").agg(F.count("*").alias("listings"))
+    return temporal_summary_of(
+        df.groupBy("scrape_date", "scrape_hour").agg(F.count("*").alias("listings"))
+    )
+
+
+def temporal_summary_of(cells: DataFrame) -> DataFrame:
+    """The temporal summary from row counts per day and hour."""
     busiest = (
         cells.where(F.col("scrape_hour").isNotNull())
         .groupBy("scrape_hour")

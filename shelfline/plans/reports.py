@@ -3,11 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from functools import cached_property
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.operators import compare, outliers, quality, stats, trends
+from shelfline.operators import compare, outliers, quality, rollup, stats, trends
+from shelfline.operators.joins import join_on, with_row
+from shelfline.session import materialise
 
 # When an observation is worth reporting.
 LOW_PRICE_COMPLETENESS = 80.0
@@ -15,29 +18,122 @@ MANY_DUPLICATES = 10
 FAR_ABOVE_MEAN = 10.0
 
 
-def _row(frame: DataFrame) -> Column:
-    """A frame of at most one row as a scalar struct; NULL when it is empty."""
-    return frame.select(F.struct("*").alias("row")).scalar()
-
-
 def quality_report(df: DataFrame) -> DataFrame:
     """Completeness, validity and duplicates in one row."""
     return quality.quality_row(df)
 
 
+class Report:
+    """The tables of a report over one scan, grouped by one column.
+
+    The two tables most figures follow from are written to the shared folder when first
+    needed; after that only quality figures and distinct names read the listings.
+    """
+
+    def __init__(self, df: DataFrame, by: str = "search_term") -> None:
+        timed = "scrape_date" in df.columns and "scrape_hour" in df.columns
+        self.df = df if timed else trends.with_day_and_hour(df)
+        self.by = by
+
+    @cached_property
+    def prices(self) -> DataFrame:
+        return materialise(rollup.price_cells(self.df, self.by), "price-cells")
+
+    @cached_property
+    def times(self) -> DataFrame:
+        return materialise(rollup.time_cells(self.df, self.by), "time-cells")
+
+    @cached_property
+    def counts(self) -> DataFrame:
+        return rollup.counts_of(self.prices)
+
+    @cached_property
+    def quality(self) -> DataFrame:
+        return quality.quality_row(self.df)
+
+    def statistics(self) -> DataFrame:
+        return rollup.statistics_of(self.prices)
+
+    def summary(self) -> DataFrame:
+        return rollup.performance_of(self.prices, self.by).drop("price_std", "data_completeness")
+
+    def percentiles(self) -> DataFrame:
+        return stats.percentiles_of(self.counts)
+
+    def histogram(self, bins: int = 10) -> DataFrame:
+        return stats.histogram_of(self.counts, bins)
+
+    def price_analysis(self) -> DataFrame:
+        return outliers.analysis_of(self.counts)
+
+    def daily(self) -> DataFrame:
+        return rollup.daily_of(self.times)
+
+    def daily_by(self) -> DataFrame:
+        return rollup.daily_of(self.times, [self.by])
+
+    def overall_trend(self) -> DataFrame:
+        return trends.trend_of(self.daily())
+
+    def trend_by(self) -> DataFrame:
+        return trends.trend_of_groups(self.daily_by(), self.by)
+
+    def hourly(self) -> DataFrame:
+        return rollup.hourly_of(self.times)
+
+    def peak_hours(self) -> DataFrame:
+        return trends.peaks_of(self.hourly())
+
+    def hourly_variation(self) -> DataFrame:
+        return trends.variation_of(self.hourly())
+
+    def temporal_summary(self) -> DataFrame:
+        return trends.temporal_summary_of(self.times)
+
+    def performance(self) -> DataFrame:
+        named = self.df.where(F.col(self.by).isNotNull()).groupBy(self.by)
+        names = named.agg(F.count_distinct("name").alias("unique_products"))
+        return join_on(rollup.performance_of(self.prices, self.by), names, [self.by])
+
+    def averages(self) -> DataFrame:
+        return rollup.averages_of(self.prices, self.by)
+
+    def cross_source(self) -> DataFrame:
+        return compare.insights_of(self.averages(), self.by)
+
+    def positioning(self) -> DataFrame:
+        return compare.positioning_of(self.counts, self.averages(), self.by)
+
+    def box_plot(self) -> DataFrame:
+        known = self.prices.where(F.col(self.by).isNotNull() & F.col("value").isNotNull())
+        return stats.box_of(known, self.by)
+
+    def shares(self) -> DataFrame:
+        return stats.share_of(rollup.listings_of(self.prices, self.by))
+
+    def period(self) -> DataFrame:
+        return self.df.agg(
+            F.min("scrape_time").alias("start"),
+            F.max("scrape_time").alias("end"),
+            F.count("*").alias("total_records_analyzed"),
+        )
+
+    def insights(self) -> DataFrame:
+        return insights_of(self.quality, self.statistics(), self.overall_trend(), self.cross_source())
+
+
 def insights(df: DataFrame, by: str = "search_term") -> DataFrame:
     """Observations that follow from the measures, in a fixed order; one row each."""
-    spark = df.sparkSession
-    p = "price_numeric"
-    facts = (
-        spark.range(1)
-        .select(
-            _row(quality.quality_row(df)).alias("q"),
-            _row(df.agg(F.avg(p).alias("mean"), F.stddev_samp(p).alias("std"), F.max(p).alias("max"))).alias("s"),
-            _row(trends.overall_trend(df)).alias("t"),
-            _row(compare.cross_source_insights(df, by)).alias("c"),
-        )
-    )
+    return Report(df, by).insights()
+
+
+def insights_of(
+    quality_row: DataFrame, statistics: DataFrame, trend: DataFrame, cross_source: DataFrame
+) -> DataFrame:
+    """The observations from given figures, each a frame of at most one row."""
+    facts = quality_row.sparkSession.range(1)
+    for name, frame in (("q", quality_row), ("s", statistics), ("t", trend), ("c", cross_source)):
+        facts = with_row(facts, frame, name)
     q, s, t, c = (F.col(n) for n in "qstc")
     # The wording of the observations.
     rules = F.array(
@@ -55,11 +151,11 @@ def insights(df: DataFrame, by: str = "search_term") -> DataFrame:
             ),
         ),
         F.when(
-            s["std"] > s["mean"],
+            s["std_price"] > s["mean_price"],
             "💰 High price variance detected - market shows significant price diversity",
         ),
         F.when(
-            s["max"] > s["mean"] * FAR_ABOVE_MEAN,
+            s["max_price"] > s["mean_price"] * FAR_ABOVE_MEAN,
             "🔍 Potential outliers detected - some products significantly more expensive than average",
         ),
         F.when(
@@ -106,30 +202,32 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
 
 def statistics_metrics(df: DataFrame, by: str = "search_term") -> DataFrame:
     """Quality, statistics and price analysis as one metrics table."""
+    r = Report(df, by)
     return _stack(
         [
-            long_form(quality.quality_row(df), "data_quality"),
-            long_form(stats.price_statistics(df), "price_statistics"),
-            long_form(stats.summary_by(df, by), "by_source", by),
-            long_form(stats.percentiles(df), "percentiles", "percentile"),
-            long_form(stats.histogram(df).drop("lower_edge", "upper_edge"), "histogram", "bin"),
-            long_form(outliers.price_analysis(df), "price_analysis"),
+            long_form(r.quality, "data_quality"),
+            long_form(r.statistics(), "price_statistics"),
+            long_form(r.summary(), "by_source", by),
+            long_form(r.percentiles(), "percentiles", "percentile"),
+            long_form(r.histogram().drop("lower_edge", "upper_edge"), "histogram", "bin"),
+            long_form(r.price_analysis(), "price_analysis"),
         ]
     )
 
 
 def trend_metrics(df: DataFrame, by: str = "search_term") -> DataFrame:
     """Trends and comparison of groups as one metrics table."""
+    r = Report(df, by)
     return _stack(
         [
-            long_form(trends.overall_trend(df), "overall_trend"),
-            long_form(trends.trend_by(df, by), "trend_by_source", by),
-            long_form(trends.hourly_activity(df), "hourly_activity", "scrape_hour"),
-            long_form(trends.peak_hours(df), "peak_hours"),
-            long_form(trends.hourly_variation(df), "hourly_variation"),
-            long_form(compare.source_performance(df, by), "source_performance", by),
-            long_form(compare.cross_source_insights(df, by), "cross_source"),
-            long_form(compare.market_positioning(df, by), "market_position", by),
+            long_form(r.overall_trend(), "overall_trend"),
+            long_form(r.trend_by(), "trend_by_source", by),
+            long_form(r.hourly(), "hourly_activity", "scrape_hour"),
+            long_form(r.peak_hours(), "peak_hours"),
+            long_form(r.hourly_variation(), "hourly_variation"),
+            long_form(r.performance(), "source_performance", by),
+            long_form(r.cross_source(), "cross_source"),
+            long_form(r.positioning(), "market_position", by),
         ]
     )
 
@@ -141,41 +239,42 @@ def stamped(metrics: DataFrame, generated_at: str, parameters: Mapping[str, str]
     return metrics.withColumn("generated_at", F.lit(generated_at)).withColumn("parameters", params)
 
 
-def trend_report(df: DataFrame, by: str = "search_term") -> dict[str, DataFrame]:
-    """The tables of a trend report."""
-    return {
-        "period": df.agg(
-            F.min("scrape_time").alias("start"),
-            F.max("scrape_time").alias("end"),
-            F.count("*").alias("total_records_analyzed"),
-        ),
-        "overall_trend": trends.overall_trend(df),
-        "daily_series": trends.series(df),
-        "trend_by_source": trends.trend_by(df, by),
-        "hourly_activity": trends.hourly_activity(df),
-        "peak_hours": trends.peak_hours(df),
-        "hourly_variation": trends.hourly_variation(df),
-        "source_performance": compare.source_performance(df, by),
-        "cross_source": compare.cross_source_insights(df, by),
-        "market_positioning": compare.market_positioning(df, by),
-    }
-
-
-def chart_tables(df: DataFrame, by: str = "search_term", days: list[str] | None = None) -> dict[str, DataFrame]:
-    """The data behind every chart."""
-    tables = {
-        "price_distribution": stats.histogram(df, bins=20),
-        "listings_by_source": quality.counts_by(df, by),
-        "average_by_source": stats.summary_by(df, by).select(by, "avg_price"),
-        "daily_prices": trends.daily_means(df).orderBy("scrape_date"),
-        "box_plot": stats.box_summary(df, by),
-        "hourly_listings": stats.rows_by_hour(df),
-        "source_share": stats.share_by(df, by),
-        "heat_cells": trends.daily_means(df, [by]),
-    }
-    if days:
-        tables["heat_map"] = stats.pivot_by_day(df, days, by)
-    return tables
+# The tables of a trend report, each built only when asked for.
+TREND_TABLES = {
+    "period": Report.period,
+    "overall_trend": Report.overall_trend,
+    "trend_by_source": Report.trend_by,
+    "hourly_activity": Report.hourly,
+    "peak_hours": Report.peak_hours,
+    "hourly_variation": Report.hourly_variation,
+    "source_performance": Report.performance,
+    "cross_source": Report.cross_source,
+    "market_positioning": Report.positioning,
+}
+
+# The data behind every chart.
+CHART_TABLES = {
+    "price_distribution": lambda r: r.histogram(20),
+    "listings_by_source": lambda r: rollup.listings_of(r.prices, r.by).orderBy(F.desc("listings"), r.by),
+    "average_by_source": Report.averages,
+    "daily_prices": lambda r: r.daily().orderBy("scrape_date"),
+    "box_plot": Report.box_plot,
+    "hourly_listings": lambda r: r.hourly().select("scrape_hour", "listings"),
+    "source_share": Report.shares,
+    "heat_cells": Report.daily_by,
+}
+
+
+def trend_report(df: DataFrame, by: str = "search_term", tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """The tables of a trend report, or the named ones of them."""
+    r = Report(df, by)
+    return {name: TREND_TABLES[name](r) for name in tables or TREND_TABLES}
+
+
+def chart_tables(df: DataFrame, by: str = "search_term", tables: list[str] | None = None) -> dict[str, DataFrame]:
+    """The data behind every chart, or behind the named ones."""
+    r = Report(df, by)
+    return {name: CHART_TABLES[name](r) for name in tables or CHART_TABLES}
 
 
 def custom_report(
@@ -186,17 +285,20 @@ def custom_report(
     by: str = "search_term",
 ) -> dict[str, DataFrame]:
     """The tables of the requested sections; insights need both statistics and trends."""
-    report: dict[str, DataFrame] = {"total": df.agg(F.count("*").alias("total_products"))}
+    r = Report(df, by)
+    report = {"total": df.agg(F.count("*").alias("total_products"))}
     if include_stats:
-        report["quality"] = quality.quality_row(df)
-        report["statistics"] = statistics_metrics(df, by)
+        report |= {
+            "quality": r.quality, "statistics": r.statistics(), "summary": r.summary(),
+            "percentiles": r.percentiles(), "histogram": r.histogram(), "price_analysis": r.price_analysis(),
+        }
     if include_trends:
-        report["temporal_summary"] = trends.temporal_summary(df)
-        report |= {f"trend_{k}": v for k, v in trend_report(df, by).items()}
+        report["temporal_summary"] = r.temporal_summary()
+        report |= {f"trend_{name}": build(r) for name, build in TREND_TABLES.items()}
     if include_charts:
-        report |= {f"chart_{k}": v for k, v in chart_tables(df, by).items()}
+        report |= {f"chart_{name}": build(r) for name, build in CHART_TABLES.items()}
     if include_stats and include_trends:
-        report["insights"] = insights(df, by)
+        report["insights"] = r.insights()
     else:
         limited = "Custom report generated with limited analysis"
         report["insights"] = df.sparkSession.range(1).select(

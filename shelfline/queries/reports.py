@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from shelfline.operators import stats
 from shelfline.plans import reports
 from shelfline.queries.analytics import (
-    BOX, CROSS, DAILY, DAYS, DIRECTION, NUMBERED, PERFORMANCE, _histogram_sql,
+    BOX, CROSS, DAILY, DIRECTION, NUMBERED, PERFORMANCE, _histogram_sql,
 )
 from shelfline.queries.registry import EV, SHOP, days, query, rounded, stamps
 from shelfline.queries.scans import events, shop
@@ -16,6 +16,17 @@ from shelfline.sources import sinks
 
 RUN = "2024-02-01T00:00:00"
 
+# Means of few rows often end in an exact half at six digits; sums of sums may tip it.
+DAILY_9 = DAILY.replace(", 6)", ", 9)")
+
+
+def _trend(spark, folder, name):
+    return reports.trend_report(events(spark, folder), tables=[name])[name]
+
+
+def _chart(spark, folder, name):
+    return reports.chart_tables(events(spark, folder), tables=[name])[name]
+
 
 @query(f"""WITH {SHOP} SELECT count(*) AS total_records,
 round(count(name) * 100.0::DOUBLE / count(*), 6) AS name_complete,
@@ -105,19 +116,19 @@ def s10_trend_report(spark, folder):
 @query(f"""WITH {EV} SELECT strftime(min(scrape_time), '%Y-%m-%d %H:%M:%S') AS start,
 strftime(max(scrape_time), '%Y-%m-%d %H:%M:%S') AS "end", count(*) AS total_records_analyzed FROM ev""")
 def e4_trend_report_period(spark, folder):
-    return stamps(reports.trend_report(events(spark, folder))["period"], "start", "end")
+    return stamps(_trend(spark, folder, "period"), "start", "end")
 
 
 @query(f"WITH {EV} {PERFORMANCE} FROM ev GROUP BY 1")
 def e4_trend_report_performance(spark, folder):
-    return rounded(reports.trend_report(events(spark, folder))["source_performance"])
+    return rounded(_trend(spark, folder, "source_performance"))
 
 
 @query(f"""WITH {EV}, {NUMBERED}, t AS (SELECT count(*) AS total_days, avg(n) AS avg_daily, coalesce(corr(m, i), 0) AS r FROM d)
 SELECT total_days, round(avg_daily, 6) AS avg_daily_products, round(r, 6) AS price_trend_correlation,
 {DIRECTION} AS trend_direction FROM t""")
 def e4_trend_report_overall(spark, folder):
-    return rounded(reports.trend_report(events(spark, folder))["overall_trend"])
+    return rounded(_trend(spark, folder, "overall_trend"))
 
 
 SEGMENTS = f"""WITH {EV}, {CROSS}, q AS (SELECT quantile_cont(price_numeric, 0.25) AS p25,
@@ -131,29 +142,86 @@ FROM a, ev, q GROUP BY 1"""
 
 @query(SEGMENTS)
 def e4_market_positioning(spark, folder):
-    return rounded(reports.trend_report(events(spark, folder))["market_positioning"])
+    return rounded(_trend(spark, folder, "market_positioning"))
 
 
 @query(_histogram_sql(20))
 def e5_chart_price_distribution(spark, folder):
-    return rounded(reports.chart_tables(events(spark, folder))["price_distribution"])
+    return rounded(_chart(spark, folder, "price_distribution"))
 
 
-@query(f"WITH {EV} {DAILY} FROM ev GROUP BY ev.scrape_date ORDER BY ev.scrape_date")
+@query(f"WITH {EV} {DAILY_9} FROM ev GROUP BY ev.scrape_date ORDER BY ev.scrape_date")
 def e5_chart_daily_prices(spark, folder):
-    return rounded(days(reports.chart_tables(events(spark, folder))["daily_prices"], "scrape_date"))
+    return rounded(days(_chart(spark, folder, "daily_prices"), "scrape_date"), 9)
 
 
 @query(f"WITH {EV}, {BOX}")
 def e5_chart_box_plot(spark, folder):
-    return rounded(reports.chart_tables(events(spark, folder))["box_plot"])
+    return rounded(_chart(spark, folder, "box_plot"))
 
 
-@query(f"""WITH {EV} {DAILY}, search_term FROM ev GROUP BY search_term, ev.scrape_date""")
+@query(f"""WITH {EV} {DAILY_9}, search_term FROM ev GROUP BY search_term, ev.scrape_date""")
 def e5_chart_heat_cells(spark, folder):
-    return rounded(days(reports.chart_tables(events(spark, folder), days=DAYS)["heat_cells"], "scrape_date"))
+    return rounded(days(_chart(spark, folder, "heat_cells"), "scrape_date"), 9)
 
 
 @query(f"WITH {EV} SELECT search_term, round(avg(price_numeric), 6) AS avg_price FROM ev GROUP BY 1")
 def e5_chart_average_by_source(spark, folder):
-    return rounded(reports.chart_tables(events(spark, folder))["average_by_source"])
+    return rounded(_chart(spark, folder, "average_by_source"))
+
+
+HOURLY = """h AS (SELECT scrape_hour, count(*) AS n, count(price_numeric) AS k, avg(price_numeric) AS m FROM ev GROUP BY 1)"""
+
+
+@query(f"WITH {EV}, {HOURLY} SELECT scrape_hour, n AS listings, k AS priced, round(m, 6) AS mean_price FROM h")
+def e4_trend_report_hourly(spark, folder):
+    return rounded(_trend(spark, folder, "hourly_activity"))
+
+
+@query(f"""WITH {EV}, {HOURLY} SELECT (SELECT scrape_hour FROM h ORDER BY k DESC, 1 LIMIT 1) AS peak_hour_priced,
+(SELECT scrape_hour FROM h ORDER BY n DESC, 1 LIMIT 1) AS peak_hour_all""")
+def e4_trend_report_peaks(spark, folder):
+    return _trend(spark, folder, "peak_hours")
+
+
+@query(f"""WITH {EV}, d AS (SELECT search_term, scrape_date, count(price_numeric) AS n, avg(price_numeric) AS m,
+  row_number() OVER (PARTITION BY search_term ORDER BY scrape_date) - 1 AS i FROM ev GROUP BY 1, 2),
+t AS (SELECT search_term, count(*) AS days_tracked, avg(n) AS avg_daily, coalesce(corr(m, i), 0) AS r,
+  stddev_samp(m) AS v FROM d GROUP BY 1 HAVING count(*) > 1)
+SELECT search_term, days_tracked, round(r, 6) AS price_trend_correlation, round(avg_daily, 6) AS avg_daily_products,
+round(v, 6) AS price_volatility, {DIRECTION} AS trend_direction FROM t""")
+def e4_trend_report_by_source(spark, folder):
+    return rounded(_trend(spark, folder, "trend_by_source"))
+
+
+@query(f"WITH {EV} SELECT search_term, count(*) AS listings, "
+       "round(count(*) * 100.0::DOUBLE / (SELECT count(*) FROM ev), 1) AS share_pct FROM ev GROUP BY 1")
+def e5_chart_source_share(spark, folder):
+    return _chart(spark, folder, "source_share")
+
+
+@query(f"""WITH {EV}, f AS (SELECT quantile_cont(price_numeric, 0.25) AS a, quantile_cont(price_numeric, 0.75) AS b,
+  max(price_numeric) AS x, a - 1.5 * (b - a) AS lo, b + 1.5 * (b - a) AS hi FROM ev),
+c AS (SELECT price_numeric AS p, count(*) AS n FROM ev WHERE price_numeric IS NOT NULL GROUP BY 1)
+SELECT sum(n)::BIGINT AS priced, coalesce(sum(n) FILTER (WHERE p < lo OR p > hi), 0)::BIGINT AS total_outliers,
+coalesce(sum(n) FILTER (WHERE p >= 0 AND p <= a), 0)::BIGINT AS budget,
+coalesce(sum(n) FILTER (WHERE p >= a AND p <= b), 0)::BIGINT AS mid_range,
+coalesce(sum(n) FILTER (WHERE p >= b AND p <= x), 0)::BIGINT AS premium,
+coalesce(sum(n) FILTER (WHERE p::VARCHAR LIKE '%.99'), 0)::BIGINT AS ending_in_99,
+coalesce(sum(n) FILTER (WHERE p % 1 = 0), 0)::BIGINT AS round_numbers,
+count(*) AS unique_prices, round(avg(n), 6) AS avg_products_per_price,
+round(any_value(lo), 6) AS lower_bound, round(any_value(hi), 6) AS upper_bound FROM c, f""")
+def o0_price_analysis(spark, folder):
+    return rounded(reports.Report(events(spark, folder)).price_analysis())
+
+
+STATS_ROWS = f"""WITH {EV}, q AS (SELECT count(*) AS n, count(price_numeric) AS k, avg(price_numeric) AS m,
+  stddev_samp(price_numeric) AS s, min(price_numeric) AS lo, max(price_numeric) AS hi,
+  quantile_cont(price_numeric, 0.5) AS md, quantile_cont(price_numeric, 0.25) AS a, quantile_cont(price_numeric, 0.75) AS b FROM ev)
+SELECT n AS total_products, k AS products_with_prices, round(m, 6) AS mean_price, round(s, 6) AS std_price,
+  lo AS min_price, hi AS max_price, round(md, 6) AS median_price, round(a, 6) AS q25, round(b, 6) AS q75 FROM q"""
+
+
+@query(STATS_ROWS)
+def e3_statistics_from_cells(spark, folder):
+    return rounded(reports.Report(events(spark, folder)).statistics())
