@@ -8,15 +8,13 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 # White space as the cleaning rules see it: the Unicode set and the four separator controls.
-_OTHER_SPACE = (
-    "\t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
+SPACES = (
+    " \t\n\x0b\x0c\r\x1c\x1d\x1e\x1f\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006"
     "\u2007\u2008\u2009\u200a\u2028\u2029\u202f\u205f\u3000"
 )
-SPACES = " " + _OTHER_SPACE
-# Single blanks are left alone, so that plain text costs no replacement.
-_RUNS = f"[{SPACES}]{{2,}}|[{_OTHER_SPACE}]"
+_RUNS = r"(?U)[\s\x1c-\x1f]+"
 # A word character is a letter, a number of any kind or an underscore; combining marks are not.
-_NOT_PLAIN = r"[^a-zA-Z0-9_ \-.,!?()\p{L}\p{N}]+"
+_NOT_PLAIN = r"[^\p{L}\p{N}_ \-.,!?()]"
 
 # Fields that text cleaning applies to.
 TEXT_FIELDS = ["name", "description", "availability", "category", "brand", "seller"]

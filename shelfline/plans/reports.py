@@ -124,7 +124,14 @@ class Report:
 
 def insights(df: DataFrame, by: str = "search_term") -> DataFrame:
     """Observations that follow from the measures, in a fixed order; one row each."""
-    return Report(df, by).insights()
+    p = "price_numeric"
+    moments = df.agg(
+        F.avg(p).alias("mean_price"), F.stddev_samp(p).alias("std_price"), F.max(p).alias("max_price")
+    )
+    timed = df if "scrape_date" in df.columns else trends.with_day_and_hour(df)
+    return insights_of(
+        quality.quality_row(df), moments, trends.overall_trend(timed), compare.cross_source_insights(df, by)
+    )
 
 
 def insights_of(
