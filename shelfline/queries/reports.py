@@ -94,7 +94,7 @@ def _report_roundtrip(spark, metrics, label, fmt):
     path = scratch_dir(spark, label)
     sinks.write_report(metrics, path, fmt)
     reader = spark.read.schema(metrics.schema)
-    back = sinks.read_csv(metrics.schema, spark, path) if fmt == "csv" else reader.format(fmt).load(path)
+    back = sinks.read_csv(spark, path, metrics.schema) if fmt == "csv" else reader.format(fmt).load(path)
     return rounded(back)
 
 

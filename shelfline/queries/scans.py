@@ -92,7 +92,7 @@ def s6_csv_export(spark, folder):
     rows = stamps(A.shop_listings(spark, folder), "scrape_time")
     path = scratch_dir(spark, "csv")
     sinks.write_csv(rows, path)
-    return sinks.read_csv(rows.schema, spark, path)
+    return sinks.read_csv(spark, path, rows.schema)
 
 
 @query(f"""WITH {RAW_SHOP} SELECT {TEN}, price FROM raw""")

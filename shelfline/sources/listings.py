@@ -77,8 +77,10 @@ def read_items(
         .option("mode", "PERMISSIVE")
         .option("columnNameOfCorruptRecord", corrupt)
     )
+    # An item with one unreadable field is kept without it.
+    some = F.coalesce(*[F.col(f.name).cast("string") for f in schema.fields]).isNotNull()
     try:
-        return reader.json(path).where(F.col(corrupt).isNull()).drop(corrupt)
+        return reader.json(path).where(F.col(corrupt).isNull() | some).drop(corrupt)
     except AnalysisException as error:
         if error.getCondition() != "PATH_NOT_FOUND":
             raise

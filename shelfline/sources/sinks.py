@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.operators.select import from_source, in_date_range, pick_fields
 
@@ -21,15 +22,20 @@ def write_raw_json(df: DataFrame, path: str, by: str = "source") -> None:
 
 def write_csv(df: DataFrame, path: str) -> None:
     """All columns as CSV with a header. Quotes are doubled, so that any text reads back."""
-    df.write.option("header", True).option("escape", '"').option("emptyValue", '""').csv(path)
+    df.write.option("header", True).option("escape", '"').csv(path)
 
 
-def read_csv(df_schema, spark, path: str) -> DataFrame:
-    """Read back what ``write_csv`` wrote; fields may span lines."""
+def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """Read back what ``write_csv`` wrote; fields may span lines.
+
+    An unquoted empty field is NULL and a quoted one the empty text, which Spark tells apart
+    once another mark stands for NULL; this one occurs in no text.
+    """
     return (
-        spark.read.schema(df_schema)
+        spark.read.schema(schema)
         .option("header", True)
         .option("escape", '"')
+        .option("nullValue", "\u0000")
         .option("multiLine", True)
         .csv(path)
     )

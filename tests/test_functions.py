@@ -68,70 +68,63 @@ def _one(spark, value, expression):
     return spark.createDataFrame([(value,)], "t string").select(expression(F.col("t"))).first()[0]
 
 
-@pytest.mark.parametrize(
-    ("text", "status", "strict"),
-    [
-        ("In Stock", "in_stock", "in_stock"), ("Unavailable", "in_stock", "out_of_stock"),
-        ("Sold out", "out_of_stock", "out_of_stock"), ("Few left", "limited_stock", "limited_stock"),
-        ("Call us", "unknown", "unknown"), ("", None, None), (None, None, None),
-    ],
-)
-def test_availability(spark, text, status, strict):
-    assert _one(spark, text, X.availability_status) == status
-    assert _one(spark, text, lambda c: X.availability_status(c, strict=True)) == strict
-
-
-@pytest.mark.parametrize(
-    ("text", "standard", "strict"),
-    [
-        ("Brand New", "new", "new"), ("Renewed", "new", "refurbished"), ("Pre-Owned", "used", "used"),
-        ("For parts", "damaged", "damaged"), ("?", "unknown", "unknown"), ("", None, None),
-    ],
-)
-def test_condition(spark, text, standard, strict):
-    assert _one(spark, text, X.condition_standard) == standard
-    assert _one(spark, text, lambda c: X.condition_standard(c, strict=True)) == strict
-
-
-@pytest.mark.parametrize(
-    ("url", "valid"),
-    [
-        ("//a.com/x", "https://a.com/x"), ("/x", None), ("a.com/x", "https://a.com/x"),
-        ("https://a.com", "https://a.com"), ("http://a b", None), ("", ""), (None, None),
-        ("http://localhost:80/x", "http://localhost:80/x"), ("http://1.2.3.4", "http://1.2.3.4"),
-        ("HTTP://a.com", None), ("http://a.toolongtld", None),
-    ],
-)
-def test_validate_url(spark, url, valid):
-    assert _one(spark, url, U.validate_url) == valid
-
-
-@pytest.mark.parametrize(
-    "base",
-    ["http://h.com/a/b/c.html?q=1#f", "https://h.com", "http://h.com/a/", "http://h.com/a/b?x=/y/z"],
-)
-@pytest.mark.parametrize(
-    "link",
-    [
-        "x", "./x", "../x", "../../x", "../../../x", "/x/./y/../z", "//o.com/p", "http://o.com/q", "?k=v", "#top",
-        "", "x/y/../z?u=..#v", "a/..", "..", ".", "mailto:me@h.com", "x/",
-    ],
-)
-def test_absolute_url_agrees_with_urljoin(spark, base, link):
-    rows = spark.createDataFrame([(base, link)], "b string, l string")
-    want = urljoin(base, link)
-    assert rows.select(U.absolute_url(F.col("b"), F.col("l"))).first()[0] == want
+def _all(spark, values, *expressions):
+    """Results of the expressions for every value, in order."""
+    rows = spark.createDataFrame([(v,) for v in values], "t string").coalesce(1)
+    return [tuple(r) for r in rows.select(*[e(F.col("t")) for e in expressions]).collect()]
+
+
+AVAILABILITY = [
+    ("In Stock", "in_stock", "in_stock"), ("Unavailable", "in_stock", "out_of_stock"),
+    ("Sold out", "out_of_stock", "out_of_stock"), ("Few left", "limited_stock", "limited_stock"),
+    ("Call us", "unknown", "unknown"), ("", None, None), (None, None, None),
+]
+CONDITIONS = [
+    ("Brand New", "new", "new"), ("Renewed", "new", "refurbished"), ("Pre-Owned", "used", "used"),
+    ("For parts", "damaged", "damaged"), ("?", "unknown", "unknown"), ("", None, None),
+]
+
+
+def test_labels(spark):
+    for table, label in ((AVAILABILITY, X.availability_status), (CONDITIONS, X.condition_standard)):
+        got = _all(spark, [r[0] for r in table], label, lambda c: label(c, strict=True))
+        assert got == [r[1:] for r in table]
+
+
+LINKS = [
+    ("//a.com/x", "https://a.com/x"), ("/x", None), ("a.com/x", "https://a.com/x"),
+    ("https://a.com", "https://a.com"), ("http://a b", None), ("", ""), (None, None),
+    ("http://localhost:80/x", "http://localhost:80/x"), ("http://1.2.3.4", "http://1.2.3.4"),
+    ("HTTP://a.com", None), ("http://a.toolongtld", None),
+]
+
+
+def test_validate_url(spark):
+    assert [r[0] for r in _all(spark, [u for u, _ in LINKS], U.validate_url)] == [v for _, v in LINKS]
+
+
+BASES = ["http://h.com/a/b/c.html?q=1#f", "https://h.com", "http://h.com/a/", "http://h.com/a/b?x=/y/z"]
+HREFS = [
+    "x", "./x", "../x", "../../x", "../../../x", "/x/./y/../z", "//o.com/p", "http://o.com/q", "?k=v", "#top",
+    "", "x/y/../z?u=..#v", "a/..", "..", ".", "mailto:me@h.com", "x/",
+]
+
+
+def test_absolute_url_agrees_with_urljoin(spark):
+    pairs = [(b, h) for b in BASES for h in HREFS]
+    rows = spark.createDataFrame(pairs, "b string, l string")
+    for b, h, made in rows.select("b", "l", U.absolute_url(F.col("b"), F.col("l"))).collect():
+        assert made == urljoin(b, h), (b, h)
 
 
 WORDS = ["  Café  au  lait ®™ (new!) ", "a\x1cb\tc\n", "² ½ x_y - z", "***", "", None, "été"]
 
 
-@pytest.mark.parametrize("text", WORDS)
-def test_text_cleaning_agrees_with_python_regex(spark, text):
-    squeezed = None if text is None else re.sub(r"\s+", " ", text.strip())
-    assert _one(spark, text, X.sanitize_text) == squeezed
-    cleaned = text if not text else (re.sub(r"[^\w\s\-.,!?()]", "", squeezed) or None)
-    assert _one(spark, text, X.clean_text) == cleaned
+def test_text_cleaning_agrees_with_python_regex(spark):
+    for text, got in zip(WORDS, _all(spark, WORDS, X.sanitize_text, X.clean_text)):
+        squeezed = None if text is None else re.sub(r"\s+", " ", text.strip())
+        cleaned = text if not text else (re.sub(r"[^\w\s\-.,!?()]", "", squeezed) or None)
+        assert got == (squeezed, cleaned)
 
 
 def test_product_name_model_and_brand(spark):
@@ -158,8 +151,8 @@ def test_times(spark):
         "2024-01-01 10:00:00": "2024-01-01 10:00:00", "2024-01-01": "2024-01-01 00:00:00",
         "yesterday": None, "": None,
     }
-    for text, want in forms.items():
-        assert _one(spark, text, lambda c: D.parse_time(c).cast("string")) == want
+    got = _all(spark, list(forms), lambda c: D.parse_time(c).cast("string"))
+    assert [r[0] for r in got] == list(forms.values())
     assert _one(spark, "", lambda c: D.time_or_default(c, "now")) == "now"
 
 
