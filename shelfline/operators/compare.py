@@ -6,9 +6,10 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from shelfline.operators.joins import join_on
-from shelfline.operators.outliers import averages, positions_of, segments_of
-from shelfline.operators.ranks import value_counts
+from shelfline.operators.outliers import SEGMENT_ENDS, averages, positions_of, segments_of
 from shelfline.operators.quality import share
+from shelfline.operators.ranks import quantiles_of_counts, value_counts
+from shelfline.session import materialise
 
 PRICE = "price_numeric"
 
@@ -61,12 +62,16 @@ def insights_of(group_averages: DataFrame, by: str = "search_term") -> DataFrame
 
 def market_positioning(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Market segment and percentile position of every group with prices."""
-    return positioning_of(value_counts(df, price), averages(df, by, price), by)
+    counts = value_counts(df, price)
+    fixed = materialise(averages(df, by, price), "averages")
+    return positioning_of(counts, fixed, quantiles_of_counts(counts, SEGMENT_ENDS), by)
 
 
-def positioning_of(counts: DataFrame, group_averages: DataFrame, by: str = "search_term") -> DataFrame:
-    """Segment and position of given group averages among counted prices."""
-    segments = segments_of(counts, group_averages).drop("avg_price")
+def positioning_of(
+    counts: DataFrame, group_averages: DataFrame, marks: DataFrame, by: str = "search_term"
+) -> DataFrame:
+    """Segment and position of given, written averages among counted prices."""
+    segments = segments_of(group_averages, marks).drop("avg_price")
     return join_on(segments, positions_of(counts, group_averages, by), [by])
 
 

@@ -9,9 +9,14 @@ from shelfline.functions.price import ends_in_99, is_round
 from shelfline.operators.joins import with_row
 from shelfline.operators.quality import share
 from shelfline.operators.ranks import count_below, quantiles, quantiles_of_counts, value_counts
+from shelfline.session import materialise
 
 PRICE = "price_numeric"
 
+# The quantiles that bound the bands, and those that bound the market segments.
+BAND_ENDS = {"p25": 0.25, "p75": 0.75, "p100": 1.0}
+SEGMENT_ENDS = {"p25": 0.25, "p50": 0.5, "p75": 0.75}
+
 
 def iqr_fences(df: DataFrame, price: str = PRICE) -> DataFrame:
     """Quartiles and the fences 1.5 interquartile ranges outside them."""
@@ -57,14 +62,14 @@ def price_bands(df: DataFrame, price: str = PRICE) -> DataFrame:
 
     Both ends of a band belong to it, so a price on a quartile counts in two bands.
     """
-    return bands_of(value_counts(df, price))
+    counts = value_counts(df, price)
+    return bands_of(counts, quantiles_of_counts(counts, BAND_ENDS))
 
 
-def bands_of(counts: DataFrame) -> DataFrame:
-    """The price bands of counted prices."""
-    marks = quantiles_of_counts(counts, {"q25": 0.25, "q75": 0.75, "top": 1.0})
+def bands_of(counts: DataFrame, marks: DataFrame) -> DataFrame:
+    """The price bands of counted prices and their quantiles."""
     v, n = F.col("value"), F.col("n")
-    low, mid, top = F.col("q.q25"), F.col("q.q75"), F.col("q.top")
+    low, mid, top = F.col("q.p25"), F.col("q.p75"), F.col("q.p100")
 
     def rows(condition: Column, name: str) -> Column:
         return F.coalesce(F.sum(F.when(condition, n)), F.lit(0).cast("long")).alias(name)
@@ -116,12 +121,11 @@ def averages(df: DataFrame, by: str = "search_term", price: str = PRICE) -> Data
 
 def market_segments(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Segment of each group by where its average lies among the price quartiles."""
-    return segments_of(value_counts(df, price), averages(df, by, price))
+    return segments_of(averages(df, by, price), quantiles(df, price, SEGMENT_ENDS))
 
 
-def segments_of(counts: DataFrame, group_averages: DataFrame) -> DataFrame:
-    """Segments of given group averages among counted prices."""
-    marks = quantiles_of_counts(counts, {"p25": 0.25, "p50": 0.5, "p75": 0.75})
+def segments_of(group_averages: DataFrame, marks: DataFrame) -> DataFrame:
+    """Segments of given group averages between given price quartiles."""
     avg = F.col("avg_price")
     segment = (
         F.when(avg <= F.col("q.p25"), "budget")
@@ -134,11 +138,12 @@ def segments_of(counts: DataFrame, group_averages: DataFrame) -> DataFrame:
 
 def percentile_positions(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
     """Share of all priced rows that cost strictly less than each group's average."""
-    return positions_of(value_counts(df, price), averages(df, by, price), by)
+    fixed = materialise(averages(df, by, price), "averages")
+    return positions_of(value_counts(df, price), fixed, by)
 
 
 def positions_of(counts: DataFrame, group_averages: DataFrame, by: str = "search_term") -> DataFrame:
-    """Percentile positions of given group averages among counted prices."""
+    """Percentile positions of given, written averages among counted prices."""
     total = counts.agg(F.sum("n")).scalar()
     return count_below(counts, group_averages, "avg_price").select(
         by, "avg_price", F.col("below").alias("rows_below"),
@@ -148,14 +153,14 @@ def positions_of(counts: DataFrame, group_averages: DataFrame, by: str = "search
 
 def price_analysis(df: DataFrame, price: str = PRICE) -> DataFrame:
     """Fences, outliers, bands and patterns in one row."""
-    return analysis_of(value_counts(df, price))
+    counts = value_counts(df, price)
+    return analysis_of(counts, quantiles_of_counts(counts, BAND_ENDS))
 
 
-def analysis_of(counts: DataFrame) -> DataFrame:
-    """The price analysis of counted prices."""
-    marks = quantiles_of_counts(counts, {"q25": 0.25, "q75": 0.75, "top": 1.0})
+def analysis_of(counts: DataFrame, marks: DataFrame) -> DataFrame:
+    """The price analysis of counted prices and their quantiles."""
     v, n = F.col("value"), F.col("n")
-    low, mid, top = F.col("q.q25"), F.col("q.q75"), F.col("q.top")
+    low, mid, top = F.col("q.p25"), F.col("q.p75"), F.col("q.p100")
     reach = (mid - low) * 1.5
 
     def rows(condition: Column) -> Column:

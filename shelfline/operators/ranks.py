@@ -15,7 +15,6 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfline.operators.joins import join_on, spread_join
-from shelfline.session import materialise
 
 # A slot spans a factor of 2 ** (1 / 1024), less than 0.07 % of a price.
 SLOTS_PER_DOUBLING = 1024
@@ -44,52 +43,49 @@ def quantiles_of_counts(
 ) -> DataFrame:
     """Quantiles with linear interpolation, one row per group: ``*by, *probs``."""
     by = list(by)
+    group = [f"`{b}`" for b in by]
+    part = f"PARTITION BY {', '.join(group)}" if by else ""
+    place = {name: f"((total - 1) * {float(p)!r}D)" for name, p in probs.items()}
+    low = {name: f"floor({at})" for name, at in place.items()}
+    high = {name: f"least({rank} + 1, total - 1)" for name, rank in low.items()}
+
     slotted = counts.withColumn("slot", slot_of(F.col("value")))
-    part = W.partitionBy(*by)
-    slots = (
-        slotted.groupBy(*by, "slot")
-        .agg(F.sum("n").alias("in_slot"))
-        .withColumn("upto_slot", _running(part, ["slot"], "in_slot"))
-        .withColumn("total", F.sum("in_slot").over(part))
-        .withColumn("before", F.col("upto_slot") - F.col("in_slot"))
+    slots = slotted.groupBy(*by, "slot").agg(F.sum("n").alias("in_slot")).selectExpr(
+        *group,
+        "slot",
+        "in_slot",
+        f"sum(in_slot) OVER ({part} ORDER BY slot ROWS UNBOUNDED PRECEDING) AS upto_slot",
+        f"sum(in_slot) OVER ({part}) AS total",
     )
-
-    def position(p: float) -> Column:
-        return (F.col("total") - 1) * F.lit(float(p))
-
-    def low(p: float) -> Column:
-        return F.floor(position(p))
-
-    def high(p: float) -> Column:
-        return F.least(low(p) + 1, F.col("total") - 1)
-
-    ranks = F.array(*[r for p in probs.values() for r in (low(p), high(p))])
+    ranks = ", ".join([*low.values(), *high.values()])
     wanted = slots.where(
-        F.exists(ranks, lambda r: (r >= F.col("before")) & (r < F.col("upto_slot")))
-    ).select(*by, "slot", "before", "total")
+        f"exists(array({ranks}), r -> r >= upto_slot - in_slot AND r < upto_slot)"
+    ).selectExpr(*group, "slot", "upto_slot - in_slot AS before", "total")
     if not by:
         # At most two slots per quantile.
         wanted = F.broadcast(wanted)
-    placed = join_on(slotted, wanted, [*by, "slot"], never_null=("slot",)).withColumn(
-        "upto", F.col("before") + _running(W.partitionBy(*by, "slot"), ["value"], "n")
+    in_order = f"PARTITION BY {', '.join([*group, 'slot'])} ORDER BY value ROWS UNBOUNDED PRECEDING"
+    placed = join_on(slotted, wanted, [*by, "slot"], never_null=("slot",)).selectExpr(
+        *group, "value", "n", "total", f"before + sum(n) OVER ({in_order}) AS upto"
     )
-    first = F.col("upto") - F.col("n")
 
-    def at(rank: Column) -> Column:
-        return F.max(F.when((rank >= first) & (rank < F.col("upto")), F.col("value")))
+    def holding(rank: str, name: str) -> Column:
+        return F.expr(f"max(CASE WHEN {rank} >= upto - n AND {rank} < upto THEN value END)").alias(name)
 
     found = placed.groupBy(*by).agg(
         F.max("total").alias("total"),
-        *[at(low(p)).alias(f"{name}_low") for name, p in probs.items()],
-        *[at(high(p)).alias(f"{name}_high") for name, p in probs.items()],
+        *[holding(rank, f"{name}_low") for name, rank in low.items()],
+        *[holding(rank, f"{name}_high") for name, rank in high.items()],
+    )
+    # Equal neighbours need no interpolation; this also keeps infinities.
+    return found.selectExpr(
+        *group,
+        *[
+            f"CASE WHEN {n}_low = {n}_high THEN {n}_low "
+            f"ELSE {n}_low + ({n}_high - {n}_low) * ({place[n]} - {low[n]}) END AS {n}"
+            for n in probs
+        ],
     )
-
-    def between(name: str, p: float) -> Column:
-        lo, hi = F.col(f"{name}_low"), F.col(f"{name}_high")
-        # Equal neighbours need no interpolation; this also keeps infinities.
-        return F.when(lo == hi, lo).otherwise(lo + (hi - lo) * (position(p) - low(p)))
-
-    return found.select(*by, *[between(name, p).alias(name) for name, p in probs.items()])
 
 
 def quantiles(
@@ -103,10 +99,9 @@ def count_below(counts: DataFrame, probes: DataFrame, probe: str) -> DataFrame:
     """For every row of ``probes``, the number of counted rows strictly below its value.
 
     Values and probes are ordered together slot by slot, so no pair of them is formed. The
-    probes are written once: averages summed again in another order may differ in their last
-    digit, and the result is joined back on the value.
+    result is joined back on the value, so ``probes`` must read the same every time: write
+    averages out first, since a sum in another order may differ in its last digit.
     """
-    probes = materialise(probes, "probes")
     marks = probes.select(F.col(probe).alias("value")).where("value IS NOT NULL").distinct()
     both = (
         counts.select("value", "n", F.lit(False).alias("is_probe"))

@@ -12,7 +12,6 @@ from pyspark.sql import functions as F
 
 from shelfline.operators.joins import with_row
 from shelfline.operators.quality import share
-from shelfline.operators.ranks import quantiles_of_counts
 
 PRICE = "price_numeric"
 
@@ -60,14 +59,13 @@ def _centered(cells: DataFrame) -> DataFrame:
     return with_row(cells, mean, "overall")
 
 
-def statistics_of(cells: DataFrame) -> DataFrame:
+def statistics_of(cells: DataFrame, marks: DataFrame) -> DataFrame:
     """Overall price statistics, as ``stats.price_statistics`` computes them from rows."""
-    quartiles = {"q25": 0.25, "median_price": 0.5, "q75": 0.75}
-    row = _centered(cells).agg(*_weighted(F.col("overall.mean")))
-    row = with_row(row, quantiles_of_counts(counts_of(cells), quartiles), "q")
+    row = with_row(_centered(cells).agg(*_weighted(F.col("overall.mean"))), marks, "q")
     return row.select(
         "total_products", "products_with_prices", F.col("avg_price").alias("mean_price"),
-        F.col("price_std").alias("std_price"), "min_price", "max_price", "q.median_price", "q.q25", "q.q75",
+        F.col("price_std").alias("std_price"), "min_price", "max_price",
+        F.col("q.p50").alias("median_price"), F.col("q.p25").alias("q25"), F.col("q.p75").alias("q75"),
     )
 
 

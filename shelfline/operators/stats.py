@@ -72,14 +72,19 @@ def overall_and_by(df: DataFrame, by: str = "search_term", price: str = PRICE) -
 
 def percentiles(df: DataFrame, price: str = PRICE, points: list[int] | None = None) -> DataFrame:
     """One row per percentile of the price."""
-    return percentiles_of(value_counts(df, price), points)
+    points = points or PERCENTILES
+    return percentiles_of(quantiles(df, price, marks_at(points)), points)
+
 
+def marks_at(points: list[int]) -> dict[str, float]:
+    return {f"p{p}": p / 100.0 for p in points}
 
-def percentiles_of(counts: DataFrame, points: list[int] | None = None) -> DataFrame:
-    """Percentiles of counted prices."""
-    probs = {f"p{p}": p / 100.0 for p in points or PERCENTILES}
-    pairs = [F.struct(F.lit(n).alias("percentile"), F.col(n).alias("price")) for n in probs]
-    return quantiles_of_counts(counts, probs).select(F.inline(F.array(*pairs))).where("price IS NOT NULL")
+
+def percentiles_of(marks: DataFrame, points: list[int] | None = None) -> DataFrame:
+    """A row of percentiles as one row per percentile."""
+    names = marks_at(points or PERCENTILES)
+    pairs = [F.struct(F.lit(n).alias("percentile"), F.col(n).alias("price")) for n in names]
+    return marks.select(F.inline(F.array(*pairs))).where("price IS NOT NULL")
 
 
 def approximate_percentiles(
@@ -104,12 +109,13 @@ def histogram(df: DataFrame, price: str = PRICE, bins: int = 10) -> DataFrame:
     return histogram_of(rows.select(F.col(price).alias("value"), F.lit(1).cast("long").alias("n")), bins)
 
 
-def histogram_of(counts: DataFrame, bins: int = 10) -> DataFrame:
-    """The histogram of counted prices."""
+def histogram_of(counts: DataFrame, bins: int = 10, ends: DataFrame | None = None) -> DataFrame:
+    """The histogram of counted prices; ``ends`` holds their range as lo and hi when known."""
     lo, hi = F.col("lo"), F.col("hi")
+    if ends is None:
+        ends = counts.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
     span = (
-        counts.agg(F.min("value").alias("lo"), F.max("value").alias("hi"))
-        .select(
+        ends.select(
             F.when(lo == hi, lo - 0.5).otherwise(lo).alias("lo"),
             F.when(lo == hi, hi + 0.5).otherwise(hi).alias("hi"),
         )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.operators.joins import join_on
+from shelfline.operators.joins import join_on, spread_join
 from shelfline.operators.ranks import quantiles
 
 PRICE = "price_numeric"
@@ -181,18 +181,18 @@ def temporal_summary_of(cells: DataFrame) -> DataFrame:
     ).select("*", busiest.alias("peak_hour"))
 
 
-def price_correlation_between(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
-    """Correlation of the daily mean prices of every two groups (an extension).
+def price_correlation_with(
+    df: DataFrame, other: str, by: str = "search_term", price: str = PRICE
+) -> DataFrame:
+    """Correlation of every group's daily mean prices with those of one group (an extension).
 
-    The input of the self-join is one row per group and day.
+    The chosen group has one row per day, so the join adds no rows.
     """
     daily = daily_means(df, [by], price).where("mean_price IS NOT NULL")
-    left = daily.select(DAY, F.col(by).alias("group_a"), F.col("mean_price").alias("mean_a"))
-    right = daily.select(DAY, F.col(by).alias("group_b"), F.col("mean_price").alias("mean_b"))
+    chosen = daily.where(F.col(by) == other).select(DAY, F.col("mean_price").alias("other_mean"))
     return (
-        left.join(right, DAY)
-        .where("group_a < group_b")
-        .groupBy("group_a", "group_b")
-        .agg(F.count("*").alias("shared_days"), _correlation("mean_a", "mean_b").alias("correlation"))
+        spread_join(daily.where(F.col(by) != other), chosen, [DAY])
+        .groupBy(by)
+        .agg(F.count("*").alias("shared_days"), _correlation("mean_price", "other_mean").alias("correlation"))
         .where("shared_days > 1")
     )

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import compare, outliers, quality, rollup, stats, trends
 from shelfline.operators.joins import join_on, with_row
+from shelfline.operators.ranks import quantiles_of_counts
 from shelfline.session import materialise
 
 # When an observation is worth reporting.
@@ -47,24 +48,35 @@ class Report:
     def counts(self) -> DataFrame:
         return rollup.counts_of(self.prices)
 
+    @cached_property
+    def marks(self) -> DataFrame:
+        """One row with every price quantile that a table needs."""
+        points = stats.marks_at([0, *stats.PERCENTILES, 100])
+        return materialise(quantiles_of_counts(self.counts, points), "marks")
+
+    @cached_property
+    def averages(self) -> DataFrame:
+        return materialise(rollup.averages_of(self.prices, self.by), "averages")
+
     @cached_property
     def quality(self) -> DataFrame:
         return quality.quality_row(self.df)
 
     def statistics(self) -> DataFrame:
-        return rollup.statistics_of(self.prices)
+        return rollup.statistics_of(self.prices, self.marks)
 
     def summary(self) -> DataFrame:
         return rollup.performance_of(self.prices, self.by).drop("price_std", "data_completeness")
 
     def percentiles(self) -> DataFrame:
-        return stats.percentiles_of(self.counts)
+        return stats.percentiles_of(self.marks)
 
     def histogram(self, bins: int = 10) -> DataFrame:
-        return stats.histogram_of(self.counts, bins)
+        ends = self.marks.select(F.col("p0").alias("lo"), F.col("p100").alias("hi"))
+        return stats.histogram_of(self.counts, bins, ends)
 
     def price_analysis(self) -> DataFrame:
-        return outliers.analysis_of(self.counts)
+        return outliers.analysis_of(self.counts, self.marks)
 
     def daily(self) -> DataFrame:
         return rollup.daily_of(self.times)
@@ -95,14 +107,11 @@ class Report:
         names = named.agg(F.count_distinct("name").alias("unique_products"))
         return join_on(rollup.performance_of(self.prices, self.by), names, [self.by])
 
-    def averages(self) -> DataFrame:
-        return rollup.averages_of(self.prices, self.by)
-
     def cross_source(self) -> DataFrame:
-        return compare.insights_of(self.averages(), self.by)
+        return compare.insights_of(self.averages, self.by)
 
     def positioning(self) -> DataFrame:
-        return compare.positioning_of(self.counts, self.averages(), self.by)
+        return compare.positioning_of(self.counts, self.averages, self.marks, self.by)
 
     def box_plot(self) -> DataFrame:
         known = self.prices.where(F.col(self.by).isNotNull() & F.col("value").isNotNull())
@@ -263,7 +272,7 @@ TREND_TABLES = {
 CHART_TABLES = {
     "price_distribution": lambda r: r.histogram(20),
     "listings_by_source": lambda r: rollup.listings_of(r.prices, r.by).orderBy(F.desc("listings"), r.by),
-    "average_by_source": Report.averages,
+    "average_by_source": lambda r: r.averages,
     "daily_prices": lambda r: r.daily().orderBy("scrape_date"),
     "box_plot": Report.box_plot,
     "hourly_listings": lambda r: r.hourly().select("scrape_hour", "listings"),

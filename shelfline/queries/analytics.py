@@ -392,7 +392,7 @@ def w9_daily_series(spark, folder):
 
 @query(f"""WITH {EV}, d AS (SELECT search_term AS s, scrape_date AS t, avg(price_numeric) AS m FROM ev
   WHERE price_numeric IS NOT NULL GROUP BY 1, 2)
-SELECT x.s AS group_a, y.s AS group_b, count(*) AS shared_days, round(coalesce(corr(x.m, y.m), 0), 6) AS correlation
-FROM d x JOIN d y ON x.t = y.t AND x.s < y.s GROUP BY 1, 2 HAVING count(*) > 1""")
+SELECT x.s AS search_term, count(*) AS shared_days, round(coalesce(corr(x.m, y.m), 0), 6) AS correlation
+FROM d x JOIN d y ON x.t = y.t AND x.s <> 'purchase' AND y.s = 'purchase' GROUP BY 1 HAVING count(*) > 1""")
 def w10_price_correlation(spark, folder):
-    return rounded(trends.price_correlation_between(events(spark, folder)))
+    return rounded(trends.price_correlation_with(events(spark, folder), "purchase"))

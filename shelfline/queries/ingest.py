@@ -54,17 +54,15 @@ def i3_missing_columns(spark, folder):
 
 @query(f"""WITH {ORDERS}, b AS (SELECT *, CASE WHEN scrape_time < '1998' THEN 1 ELSE 2 END AS batch FROM co)
 SELECT name, price, link, scrape_time, search_term, batch::BIGINT AS job_id FROM b
-QUALIFY row_number() OVER (PARTITION BY link ORDER BY batch, scrape_time, b.job_id) = 1""")
+QUALIFY row_number() OVER (PARTITION BY link ORDER BY batch, scrape_time, b.job_id::VARCHAR) = 1""")
 def i4_two_batches(spark, folder):
     """Two batches appended to a store, the second one twice: each link is stored once."""
+    # The order's key tells rows of one time apart.
     rows = _orders(A.table(spark, folder, "orders")).withColumn("source", F.col("job_id").cast("string"))
     store = scratch_dir(spark, "store")
-    # Orders carry their key in a text column, so that the order within a batch is total.
     early, late = rows.where("scrape_time < '1998'"), rows.where("scrape_time >= '1998'")
-    order = ["scrape_time", "order_key"]
     for job, batch in ((1, early), (2, late), (2, late)):
-        stored = ingest.to_stored(batch, job).withColumn("order_key", F.col("source").cast("long"))
-        ingest.write_batch(stored, store, f"job-{job}", order)
+        ingest.append_batch(batch, store, job, ["scrape_time", "source"])
     return ingest.read_store(spark, store).select("name", "price", "link", "scrape_time", "search_term", "job_id")
 
 

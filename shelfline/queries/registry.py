@@ -51,8 +51,6 @@ folded AS (
          CASE WHEN o_orderstatus = 'F' THEN greatest(shipped, o_orderdate + INTERVAL 1 DAY) END AS completed_at
   FROM orders LEFT JOIN shipped ON k = o_orderkey)"""
 
-STAMP = "%Y-%m-%d %H:%M:%S"
-
 
 def query(sql: str | None = None):
     """Register a function ``(spark, folder) -> DataFrame`` under its own name."""

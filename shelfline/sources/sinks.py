@@ -60,19 +60,19 @@ def write_by_term(df: DataFrame, path: str, by: str = "search_term", fmt: str =
 def write_report(metrics: DataFrame, path: str, fmt: str = "json") -> None:
     """A metrics table as JSON, CSV or parquet; an unknown format means JSON.
 
-    A report has a few hundred rows, so it is written as one file.
+    REBALANCE writes a small report as one file and one with very many groups as several.
     """
-    one = metrics.coalesce(1)
+    sized = metrics.hint("rebalance")
     if fmt == "csv":
         flat = [
             F.to_json(c).alias(c) if t.startswith(("map", "array", "struct")) else F.col(c)
-            for c, t in one.dtypes
+            for c, t in sized.dtypes
         ]
-        write_csv(one.select(*flat), path)
+        write_csv(sized.select(*flat), path)
     elif fmt == "parquet":
-        one.write.parquet(path)
+        sized.write.parquet(path)
     else:
-        write_json(one, path)
+        write_json(sized, path)
 
 
 def configured_export(

@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 
+import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -53,10 +54,22 @@ def first_links(stream: DataFrame, time: str = "scrape_time", delay: str = "1 da
     """The first listing of each link; a link is remembered for the length of ``delay``.
 
     Repeats that are further apart are caught when the batch is compared with the store. Rows
-    without a link pass.
+    without a link are left to that comparison as well.
+
+    Streaming deduplication has no partial step, so repeats within one transfer batch are
+    dropped ahead of the shuffle. The first row of a link and its latest one stay: should the
+    first turn out too late for the watermark, the latest still counts.
     """
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
-    return timed.where(F.col("link").isNotNull()).dropDuplicatesWithinWatermark(["link"])
+
+    def thinned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for rows in batches:
+            first = ~rows.duplicated("link")
+            latest = ~rows.sort_values(time, kind="stable").duplicated("link", keep="last")
+            yield rows[first | latest.reindex(rows.index)]
+
+    linked = stream.withColumn(time, F.col(time).cast("timestamp")).where(F.col("link").isNotNull())
+    timed = linked.mapInPandas(thinned, linked.schema).withWatermark(time, delay)
+    return timed.dropDuplicatesWithinWatermark(["link"])
 
 
 def hourly_counts(

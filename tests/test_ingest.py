@@ -318,3 +318,22 @@ def test_page_classes(spark):
         (1, "a.com", True, False, True), (2, "a.com", False, True, False), (3, "b.com", False, False, False),
     }
     assert as_set(pages.block_rates(classes), "host", "pages", "blocked_rate") == {("a.com", 2, 0.5), ("b.com", 1, 0.0)}
+
+
+def test_hot_link_is_thinned_ahead_of_the_shuffle(spark, tmp_path):
+    """A link that fills the stream is emitted once; one whose first row is late is not lost."""
+    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+    schema = "link string, scrape_time timestamp, n int"
+    rows = "SELECT link, CAST(t AS timestamp) AS scrape_time, n FROM VALUES {} AS v(link, t, n)"
+    hot = ", ".join(f"('hot', '2024-01-10 00:00:0{i % 10}', {i})" for i in range(50))
+    spark.sql(rows.format(hot)).coalesce(1).write.parquet(source)
+
+    def run():
+        stream = arrivals.arriving(spark, source, spark.createDataFrame([], schema).schema)
+        arrivals.run_to_files(arrivals.first_links(stream), out, progress)
+        return as_set(spark.read.parquet(out), "link", "n")
+
+    assert run() == {("hot", 0)}
+    late = "('b', '2024-01-01 00:00:00', 1), ('b', '2024-01-10 01:00:00', 2), ('hot', '2024-01-10 02:00:00', 99)"
+    spark.sql(rows.format(late)).coalesce(1).write.mode("append").parquet(source)
+    assert run() == {("hot", 0), ("b", 2)}
