@@ -9,7 +9,7 @@ from shelfline.plans import reports
 from shelfline.queries.analytics import (
     BOX, CROSS, DAILY, DIRECTION, NUMBERED, PERFORMANCE, _histogram_sql,
 )
-from shelfline.queries.registry import EV, SHOP, days, query, rounded, stamps
+from shelfline.queries.registry import EV, ORACLES, SHOP, days, query, rounded, stamps
 from shelfline.queries.scans import events, shop
 from shelfline.session import scratch_dir
 from shelfline.sources import sinks
@@ -98,21 +98,6 @@ def _report_roundtrip(spark, metrics, label, fmt):
     return rounded(back)
 
 
-@query()
-def s9_statistics_report(spark, folder):
-    return _report_roundtrip(spark, reports.statistics_metrics(events(spark, folder)), "statistics", "json")
-
-
-@query()
-def s9_statistics_report_csv(spark, folder):
-    return _report_roundtrip(spark, reports.statistics_metrics(events(spark, folder)), "statistics", "csv")
-
-
-@query()
-def s10_trend_report(spark, folder):
-    return _report_roundtrip(spark, reports.trend_metrics(events(spark, folder)), "trends", "json")
-
-
 @query(f"""WITH {EV} SELECT strftime(min(scrape_time), '%Y-%m-%d %H:%M:%S') AS start,
 strftime(max(scrape_time), '%Y-%m-%d %H:%M:%S') AS "end", count(*) AS total_records_analyzed FROM ev""")
 def e4_trend_report_period(spark, folder):
@@ -225,3 +210,81 @@ SELECT n AS total_products, k AS products_with_prices, round(m, 6) AS mean_price
 @query(STATS_ROWS)
 def e3_statistics_from_cells(spark, folder):
     return rounded(reports.Report(events(spark, folder)).statistics())
+
+
+def _long_sql(analysis: str, wide: str, metrics: list[str], dimension: str | None = None) -> str:
+    """SQL that turns the columns of a wide query into rows of a metrics table."""
+    label = f"{dimension}::VARCHAR" if dimension else "NULL::VARCHAR"
+    names = ", ".join(f"'{m}'" for m in metrics)
+    values = ", ".join(f"{m}::DOUBLE" for m in metrics)
+    return (
+        f"SELECT '{analysis}' AS analysis_type, unnest([{names}]) AS metric, {label} AS dimension, "
+        f"unnest([{values}]) AS value FROM ({wide}) w"
+    )
+
+
+QUALITY_SQL = f"""WITH {EV} SELECT count(*) AS total_records, 100.0 AS name_complete,
+round(count(price_numeric) * 100.0::DOUBLE / count(*), 6) AS price_complete, 100.0 AS link_complete,
+round(count(*) FILTER (WHERE search_term <> 'error') * 100.0::DOUBLE / count(*), 6) AS availability_complete,
+count(*) FILTER (WHERE price_numeric > 0) AS valid_prices, count(*) FILTER (WHERE price_numeric <= 0) AS invalid_prices,
+count(*) FILTER (WHERE price_numeric IS NULL) AS missing_prices, count(*) AS valid_links,
+count(*) - (SELECT count(*) FROM (SELECT DISTINCT name, search_term FROM ev)) AS duplicate_products FROM ev"""
+
+STATISTICS_SQL = " UNION ALL ".join(
+    [
+        _long_sql("data_quality", QUALITY_SQL, [
+            "total_records", "name_complete", "price_complete", "link_complete", "availability_complete",
+            "valid_prices", "invalid_prices", "missing_prices", "valid_links", "duplicate_products",
+        ]),
+        _long_sql("price_statistics", STATS_ROWS, [
+            "total_products", "products_with_prices", "mean_price", "std_price", "min_price", "max_price",
+            "median_price", "q25", "q75",
+        ]),
+        _long_sql("by_source", f"WITH {EV} {PERFORMANCE} FROM ev GROUP BY 1", [
+            "total_products", "products_with_prices", "avg_price", "min_price", "max_price",
+        ], "search_term"),
+        _long_sql("percentiles", ORACLES["a9_percentiles"], ["price"], "percentile"),
+        _long_sql("histogram", _histogram_sql(10), ["listings"], "bin"),
+        _long_sql("price_analysis", ORACLES["o0_price_analysis"], [
+            "priced", "total_outliers", "budget", "mid_range", "premium", "ending_in_99", "round_numbers",
+            "unique_prices", "avg_products_per_price", "lower_bound", "upper_bound",
+        ]),
+    ]
+)
+
+TRENDS_SQL = " UNION ALL ".join(
+    [
+        _long_sql("overall_trend", ORACLES["w2_overall_trend"], [
+            "total_days", "avg_daily_products", "price_trend_correlation",
+        ]),
+        _long_sql("trend_by_source", ORACLES["w3_trend_by_source"], [
+            "days_tracked", "price_trend_correlation", "avg_daily_products", "price_volatility",
+        ], "search_term"),
+        _long_sql("hourly_activity", ORACLES["a15_hourly_activity"], ["listings", "priced", "mean_price"], "scrape_hour"),
+        _long_sql("peak_hours", ORACLES["w4_peak_hours"], ["peak_hour_priced", "peak_hour_all"]),
+        _long_sql("hourly_variation", ORACLES["w6_hourly_variation"], ["price_variation_by_hour"]),
+        _long_sql("source_performance", ORACLES["a16_source_performance"], [
+            "total_products", "products_with_prices", "data_completeness", "avg_price", "price_std", "min_price",
+            "max_price", "unique_products",
+        ], "search_term"),
+        _long_sql("cross_source", ORACLES["a17_cross_source_dispersion"], [
+            "sources", "price_variance_across_sources", "coefficient_of_variation", "price_difference",
+        ]),
+        _long_sql("market_position", SEGMENTS, ["avg_price", "rows_below", "percentile_position"], "search_term"),
+    ]
+)
+
+
+@query(STATISTICS_SQL)
+def s9_statistics_report(spark, folder):
+    return _report_roundtrip(spark, reports.statistics_metrics(events(spark, folder)), "statistics", "json")
+
+
+@query(STATISTICS_SQL)
+def s9_statistics_report_csv(spark, folder):
+    return _report_roundtrip(spark, reports.statistics_metrics(events(spark, folder)), "statistics", "csv")
+
+
+@query(TRENDS_SQL)
+def s10_trend_report(spark, folder):
+    return _report_roundtrip(spark, reports.trend_metrics(events(spark, folder)), "trends", "json")
