@@ -9,10 +9,13 @@ from pyspark.sql import functions as F
 
 from shelfline.functions.text import present, strip
 
-# What may be cast to a number. Spark's own cast also takes a trailing "d" or "f".
-_NUMBER = r"^[+-]?(\d+\.?\d*|\.\d+)([eE][+-]?\d+)?$"
-_GROUPED = r"^[+-]?(\d+(_\d+)*\.?(\d+(_\d+)*)?|\.\d+(_\d+)*)([eE][+-]?\d+(_\d+)*)?$"
-_INFINITE = r"(?i)^[+-]?inf(inity)?$"
+# What may be cast to a number, with white space around it. Spark's own cast also takes a
+# trailing "d" or "f". The second form lets underscores group digits.
+_EDGE = r"[\s\x1c-\x1f]*"
+_REST = r"([eE][+-]?[0-9]+)?|[iI][nN][fF]([iI][nN][iI][tT][yY])?"
+_NUMBER = rf"(?U)^{_EDGE}[+-]?(([0-9]+\.?[0-9]*|\.[0-9]+){_REST}){_EDGE}$"
+_DIGITS = r"[0-9]+(_[0-9]+)*"
+_GROUPED = rf"(?U)^{_EDGE}[+-]?(({_DIGITS}\.?({_DIGITS})?|\.{_DIGITS}){_REST}){_EDGE}$"
 
 # Currency marks and codes, tested in order.
 CURRENCIES = {
@@ -23,15 +26,13 @@ CURRENCIES = {
 
 def to_number(text: Column) -> Column:
     """A text as a double, or NULL when it is not a plain number or an infinity."""
-    t = strip(text)
-    return F.when(t.rlike(_NUMBER) | t.rlike(_INFINITE), t.try_cast("double"))
+    return F.when(text.rlike(_NUMBER), strip(text).try_cast("double"))
 
 
 def loose_number(text: Column) -> Column:
     """Like ``to_number`` but digits may be grouped with underscores, as in ``1_000``."""
-    t = strip(text)
-    grouped = F.when(t.rlike(_GROUPED), F.replace(t, F.lit("_"), F.lit("")).try_cast("double"))
-    return F.coalesce(grouped, F.when(t.rlike(_INFINITE), t.try_cast("double")))
+    plain = F.replace(strip(text), F.lit("_"), F.lit(""))
+    return F.when(text.rlike(_GROUPED), plain.try_cast("double"))
 
 
 def no_nan(c: Column) -> Column:

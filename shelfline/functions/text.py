@@ -70,19 +70,23 @@ def strip(c: Column) -> Column:
 
 def sanitize_text(c: Column) -> Column:
     """Trim and collapse white space."""
-    return F.btrim(F.regexp_replace(c, _RUNS, " "), F.lit(" "))
+    return F.trim(F.regexp_replace(c, _RUNS, " "))
 
 
 def clean_text(c: Column) -> Column:
-    """Collapse white space, delete special characters, and turn an emptied text into NULL."""
+    """Collapse white space, delete special characters, and turn an emptied text into NULL.
+
+    A text that was empty before stays empty.
+    """
     kept = F.nullif(F.regexp_replace(sanitize_text(c), _NOT_PLAIN, ""), F.lit(""))
-    return F.when(present(c), kept).otherwise(c)
+    # Inside a CASE the regular expressions of NULLIF would run twice.
+    return F.coalesce(kept, F.when(c == "", c))
 
 
 def clean_product_name(c: Column) -> Column:
     """Remove promotional phrases and the gaps they leave."""
     bare = reduce(lambda acc, p: F.regexp_replace(acc, rf"(?iU){p}", ""), PROMOTIONS, c)
-    return F.when(present(c), sanitize_text(bare)).otherwise(c)
+    return sanitize_text(bare)
 
 
 def model_of(cleaned_name: Column) -> Column:
@@ -119,7 +123,7 @@ def availability_status(c: Column, strict: bool = False) -> Column:
     order = list(AVAILABILITY)
     if strict:
         order = ["out_of_stock", "limited_stock", "in_stock"]
-    label = _first_label(strip(F.lower(c)), AVAILABILITY, order)
+    label = _first_label(F.lower(c), AVAILABILITY, order)
     return F.when(present(c), label)
 
 
@@ -131,7 +135,7 @@ def condition_standard(c: Column, strict: bool = False) -> Column:
     order = list(CONDITIONS)
     if strict:
         order = ["refurbished", "used", "damaged", "new"]
-    label = _first_label(strip(F.lower(c)), CONDITIONS, order)
+    label = _first_label(F.lower(c), CONDITIONS, order)
     return F.when(present(c), label)
 
 
