@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import atexit
+import re
+import shutil
 import tempfile
 import uuid
 
@@ -15,6 +18,8 @@ def build_session(app: str = "shelfline", master: str | None = None, **conf: str
         .config("spark.sql.session.timeZone", "UTC")
         .config("spark.sql.adaptive.enabled", "true")
         .config("spark.sql.adaptive.skewJoin.enabled", "true")
+        # A hot key is split even where that costs another shuffle.
+        .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
@@ -28,15 +33,25 @@ def build_session(app: str = "shelfline", master: str | None = None, **conf: str
     return builder.getOrCreate()
 
 
+def _own_folder() -> str:
+    base = tempfile.mkdtemp(prefix="shelfline-")
+    atexit.register(shutil.rmtree, base, ignore_errors=True)
+    return base
+
+
 def scratch_dir(spark: SparkSession, label: str) -> str:
     """A new folder under the cluster's shared checkpoint location.
 
-    Only a session that names no such location (a test on one machine) falls back to a
-    folder of its own.
+    The session must name that location: a folder of one machine is of no use to the others.
+    Only a session that runs in a single local process gets a folder of its own, removed at
+    its end.
     """
     base = spark.conf.get("spark.checkpoint.dir", None)
     if not base:
-        base = tempfile.mkdtemp(prefix="shelfline-")
+        master = spark.conf.get("spark.master", "")
+        if not re.fullmatch(r"local(\[.*\])?", master):
+            raise ValueError(f"spark.checkpoint.dir must name a folder that all machines of {master!r} share")
+        base = _own_folder()
         spark.conf.set("spark.checkpoint.dir", base)
     return f"{base.rstrip('/')}/{label}-{uuid.uuid4().hex}"
 
