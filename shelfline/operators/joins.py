@@ -1,30 +1,14 @@
-"""Joins that hold when one key carries a large share of the rows."""
+"""Joins of many rows to one row per key.
 
-from __future__ import annotations
+They are plain joins: Spark broadcasts a small side and splits the partitions of a hot key by
+itself (adaptive execution splits them by map output, so equal rows are spread as well).
+"""
 
-import re
+from __future__ import annotations
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Copies made of the small side when it is too large to broadcast. A key that holds a third
-# of all rows is spread over this many tasks.
-SALTS = 32
-
-_UNITS = {"": 1, "b": 1, "k": 2**10, "m": 2**20, "g": 2**30, "t": 2**40}
-
-
-def _bytes(text: str) -> int:
-    number, unit = re.fullmatch(r"(-?\d+)\s*([a-z]?)i?b?", text.strip().lower()).groups()
-    return int(number) * _UNITS[unit]
-
-
-def fits_broadcast(df: DataFrame) -> bool:
-    """Whether Catalyst's size estimate of ``df`` is within the session's broadcast limit."""
-    limit = _bytes(df.sparkSession.conf.get("spark.sql.autoBroadcastJoinThreshold"))
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return 0 <= size <= limit
-
 
 def _apart(right: DataFrame, keys: list[str]) -> DataFrame:
     """Rename the join keys of one side so that both sides can be named in a condition."""
@@ -53,23 +37,6 @@ def with_row(df: DataFrame, frame: DataFrame, name: str) -> DataFrame:
     return df.withColumn(name, frame.select(F.struct("*").alias(name)).scalar())
 
 
-def spread_join(
-    rows: DataFrame, groups: DataFrame, keys: list[str], how: str = "inner", salts: int = SALTS
-) -> DataFrame:
-    """Join many rows to one row per group without piling a hot group into one task.
-
-    A group table within the broadcast limit is broadcast. A larger one is copied once per
-    salt and the rows of each key are divided among the salts. The salt is a hash of the
-    row, so a recomputed task assigns the same one. ``how`` is inner, left, left_semi or
-    left_anti; NULL keys do not match.
-    """
-    if fits_broadcast(groups):
-        return rows.join(F.broadcast(groups), keys, how)
-    salted = rows.withColumn("salt", F.pmod(F.xxhash64(*rows.columns), F.lit(salts)).cast("int"))
-    copies = groups.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(salts - 1))))
-    return salted.join(copies, [*keys, "salt"], how).drop("salt")
-
-
 def attach_jobs(listings: DataFrame, jobs: DataFrame) -> DataFrame:
     """Left join to the job of each listing: search term, status and creation time.
 
@@ -81,21 +48,13 @@ def attach_jobs(listings: DataFrame, jobs: DataFrame) -> DataFrame:
         F.col("status").alias("job_status"),
         F.col("created_at").alias("job_created_at"),
     )
-    return spread_join(listings, wanted, ["job_id"], "left")
+    return listings.join(wanted, "job_id", "left")
 
 
 def unseen(incoming: DataFrame, stored: DataFrame, key: str = "link") -> DataFrame:
     """Rows whose key is not stored yet. A NULL key never conflicts.
 
-    The batch is the small side: the stored keys are first reduced to those that occur in
-    the batch, so the store is read once, one column wide, and is not shuffled while the
-    batch's keys fit a broadcast. Distinct keys on both sides leave no hot key.
+    Of the store only the key column is read. The batch is evaluated once, and a key that is
+    repeated on either side multiplies nothing.
     """
-    batch_keys = incoming.select(key).where(F.col(key).isNotNull()).distinct()
-    stored_keys = stored.select(key).where(F.col(key).isNotNull())
-    if fits_broadcast(batch_keys):
-        taken = stored_keys.join(F.broadcast(batch_keys), key, "left_semi").distinct()
-    else:
-        taken = stored_keys.distinct().join(batch_keys, key, "left_semi")
-    fresh = spread_join(incoming.where(F.col(key).isNotNull()), taken, [key], "left_anti")
-    return fresh.unionByName(incoming.where(F.col(key).isNull()))
+    return incoming.join(stored.select(key), key, "left_anti").select(*incoming.columns)

@@ -14,7 +14,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.operators.joins import join_on, spread_join
+from shelfline.operators.joins import join_on
 
 # A slot spans a factor of 2 ** (1 / 1024), less than 0.07 % of a price.
 SLOTS_PER_DOUBLING = 1024
@@ -122,4 +122,4 @@ def count_below(counts: DataFrame, probes: DataFrame, probe: str) -> DataFrame:
         .where("is_probe")
         .select(F.col("value").alias(probe), "below")
     )
-    return spread_join(probes, below, [probe], "left")
+    return probes.join(below, probe, "left")
