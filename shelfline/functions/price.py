@@ -35,6 +35,32 @@ def loose_number(text: Column) -> Column:
     return F.when(text.rlike(_GROUPED), plain.try_cast("double"))
 
 
+NUMBERS = ("double", "float", "bigint", "int", "smallint", "tinyint", "decimal")
+
+
+def is_number(kind: str) -> bool:
+    """Whether a column type holds numbers; their prices need no parsing."""
+    return kind.startswith(NUMBERS)
+
+
+def given(c: Column, kind: str) -> Column:
+    """Whether a field has a value: a text that is not empty, a number other than zero or NaN."""
+    if is_number(kind):
+        return F.coalesce((c != 0) & ~F.isnan(c.cast("double")), F.lit(False))
+    return present(c)
+
+
+def plain_text(c: Column, kind: str) -> Column:
+    """A value as text; numbers in plain decimal notation, never in powers of ten."""
+    if kind in ("double", "float"):
+        size = F.abs(c)
+        ordinary = ((size >= 1e-3) & (size < 1e7)) | (size == 0) | F.isnan(c) | (size == float("inf"))
+        digits = F.regexp_replace(F.format_string("%.20f", c), r"0+$", "")
+        long = F.when(c.isNotNull(), F.regexp_replace(digits, r"\.$", ".0"))
+        return F.when(ordinary, c.cast("string")).otherwise(long)
+    return c.cast("string")
+
+
 def no_nan(c: Column) -> Column:
     """NaN means missing."""
     return F.nullif(c.cast("double"), F.lit(float("nan")))
@@ -50,18 +76,29 @@ def ingest_price(text: Column) -> Column:
     return loose_number(F.translate(text, "$,", ""))
 
 
-def model_price(text: Column, price_numeric: Column) -> Column:
+def model_price(price: Column, price_numeric: Column, kind: str = "string") -> Column:
     """Numeric price of a listing record.
 
-    The text is parsed only where the numeric price is missing or zero.
+    The price is used only where the numeric price is missing or zero: a number as it is, a
+    text parsed. A zero is no price.
     """
+    if is_number(kind):
+        missing = F.coalesce(price_numeric, F.lit(0.0)) == 0.0
+        return F.when(given(price, kind) & missing, price.cast("double")).otherwise(price_numeric)
+    text = price
     digits = F.replace(F.regexp_replace(text, r"[^0-9.,]", ""), F.lit(","), F.lit(""))
     missing = F.coalesce(price_numeric, F.lit(0.0)) == 0.0
     return F.when(present(text) & missing, to_number(digits)).otherwise(price_numeric)
 
 
-def localized_price(text: Column) -> Column:
-    """Numeric price of a text whose comma may be a decimal or a thousands mark."""
+def localized_price(price: Column, kind: str = "string") -> Column:
+    """Numeric price of a text whose comma may be a decimal or a thousands mark.
+
+    A number passes through, zero counts as missing.
+    """
+    if is_number(kind):
+        return F.when(given(price, kind), price.cast("double"))
+    text = price
     kept = F.regexp_replace(text, r"[^0-9.,]", "")
     decimal_comma = kept.rlike(r"^[^.,]*,[^.,]{0,2}$")
     plain = F.when(decimal_comma, F.replace(kept, F.lit(","), F.lit("."))).otherwise(
@@ -81,8 +118,10 @@ def result_price(text: Column) -> Column:
     return to_number(F.regexp_replace(text, r"[^0-9.]", ""))
 
 
-def currency_of(text: Column) -> Column:
-    """Currency a price text names; US dollars when it names none."""
+def currency_of(text: Column, kind: str = "string") -> Column:
+    """Currency a price text names; US dollars when it names none, as a bare number does."""
+    if is_number(kind):
+        return F.when(given(text, kind), F.lit("USD"))
     lowered = F.lower(text)
     marks = list(CURRENCIES.items())
     chain = reduce(

@@ -26,17 +26,21 @@ def clean_text(df: DataFrame) -> DataFrame:
     return df.withColumns({c: X.clean_text(F.col(c)) for c in X.TEXT_FIELDS if c in df.columns})
 
 
+def _price_kind(df: DataFrame) -> str:
+    return dict(df.dtypes)["price"]
+
+
 def extract_currency(df: DataFrame) -> DataFrame:
     if "price" not in df.columns:
         return df
-    found = P.currency_of(F.col("price").cast("string"))
+    found = P.currency_of(F.col("price"), _price_kind(df))
     return df.withColumn("currency", F.coalesce(found, _column(df, "currency")))
 
 
 def normalize_price(df: DataFrame) -> DataFrame:
     if "price" not in df.columns:
         return df
-    found = P.localized_price(F.col("price").cast("string"))
+    found = P.localized_price(F.col("price"), _price_kind(df))
     known = _column(df, "price_numeric").cast("double")
     return extract_currency(df).withColumn("price_numeric", F.coalesce(found, known))
 
@@ -99,7 +103,8 @@ class Cleaner:
         """Apply the named steps in order and keep the usable listings.
 
         An unknown name is skipped with a warning. Every built-in step is a projection, so a
-        chain stays one scan without a shuffle.
+        chain stays one scan without a shuffle. The cleaned columns pass through a one-row
+        array, which keeps the optimizer from repeating the steps inside the filter.
         """
         for name in names:
             step = self.steps.get(name)
@@ -107,12 +112,11 @@ class Cleaner:
                 log.warning("unknown cleaning step: %s", name)
                 continue
             df = df.transform(step)
-        # The numeric price of a kept record comes from its text where no step has set it.
-        if "price" in df.columns:
-            text = F.col("price").cast("string")
-            known = _column(df, "price_numeric").cast("double")
-            df = df.withColumn("price_numeric", P.model_price(text, known))
         for required in ("name", "link", "price"):
             if required not in df.columns:
                 df = df.withColumn(required, F.lit(None).cast("string"))
-        return df.where(minimum_valid())
+        # The numeric price of a kept record comes from its price where no step has set it.
+        known = _column(df, "price_numeric").cast("double")
+        df = df.withColumn("price_numeric", P.model_price(F.col("price"), known, _price_kind(df)))
+        cleaned = df.select(F.inline(F.array(F.struct(*[F.col(f"`{c}`") for c in df.columns]))))
+        return cleaned.where(minimum_valid(_price_kind(df)))

@@ -7,6 +7,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.price import given, plain_text
 from shelfline.functions.temporal import time_or_default
 from shelfline.functions.text import PLACEHOLDER_NAMES, present
 from shelfline.schemas import LISTING_FIELDS
@@ -17,11 +18,10 @@ def named(df: DataFrame) -> DataFrame:
     return df.where(F.col("name").isNotNull())
 
 
-def minimum_valid() -> Column:
-    """A usable listing: a name, and a link or a price."""
+def minimum_valid(price_kind: str = "string") -> Column:
+    """A usable listing: a name, and a link or a price; the number 0 is no price."""
     return F.coalesce(
-        present(F.col("name"))
-        & (present(F.col("link")) | F.coalesce(present(F.col("price").cast("string")), F.lit(False))),
+        present(F.col("name")) & (present(F.col("link")) | F.coalesce(given(F.col("price"), price_kind), F.lit(False))),
         F.lit(False),
     )
 
@@ -90,7 +90,8 @@ def fold_extras(df: DataFrame) -> DataFrame:
     if not extra:
         empty = F.create_map().cast("map<string,string>")
         return df.select(*known, empty.alias("extra_attributes"))
-    pairs = F.create_map(*[x for c in extra for x in (F.lit(c), F.col(c).cast("string"))])
+    kinds = dict(df.dtypes)
+    pairs = F.create_map(*[x for c in extra for x in (F.lit(c), plain_text(F.col(c), kinds[c]))])
     return df.select(
         *known, F.map_filter(pairs, lambda _, v: v.isNotNull()).alias("extra_attributes")
     )
@@ -99,9 +100,9 @@ def fold_extras(df: DataFrame) -> DataFrame:
 def flatten_extras(df: DataFrame, keys: list[str]) -> DataFrame:
     """The inverse of ``fold_extras`` for the given keys; an extra wins over a named field."""
     extras = F.col("extra_attributes")
-    known = [c for c in df.columns if c != "extra_attributes"]
+    known, kinds = [c for c in df.columns if c != "extra_attributes"], dict(df.dtypes)
     kept = [
-        F.when(F.map_contains_key(extras, k), extras[k]).otherwise(F.col(k).cast("string")).alias(k)
+        F.when(F.map_contains_key(extras, k), extras[k]).otherwise(plain_text(F.col(k), kinds[k])).alias(k)
         if k in keys
         else F.col(k)
         for k in known
@@ -123,7 +124,8 @@ def as_listings(df: DataFrame, source: str, search_term: str) -> DataFrame:
     """
     direct = ["price", "link", "image", "availability"]
     name = F.coalesce(F.col("name"), F.lit("")) if "name" in df.columns else F.lit("")
-    pairs = F.create_map(*[x for c in df.columns for x in (F.lit(c), F.col(c).cast("string"))])
+    kinds = dict(df.dtypes)
+    pairs = F.create_map(*[x for c in df.columns for x in (F.lit(c), plain_text(F.col(c), kinds[c]))])
     return df.select(
         name.alias("name"),
         *[

@@ -8,7 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.functions.price import loose_number
+from shelfline.functions.price import given, is_number, loose_number
 from shelfline.functions.text import present
 from shelfline.functions.urls import has_web_scheme
 from shelfline.operators.ingest import first_arrivals
@@ -17,23 +17,23 @@ from shelfline.operators.ingest import first_arrivals
 PRICE_RANGE = (0.01, 100000.0)
 MAX_NAME = 500
 
-Rule = Callable[[], Column]
+Rule = Callable[..., Column]
 
 
 def _sure(c: Column) -> Column:
     return F.coalesce(c, F.lit(False))
 
 
-def required_fields() -> Column:
-    """Name, price and link are all given."""
-    return _sure(
-        present(F.col("name")) & present(F.col("price").cast("string")) & present(F.col("link"))
-    )
+def required_fields(price_kind: str = "string") -> Column:
+    """Name, price and link are all given; the number 0 is no price."""
+    return _sure(present(F.col("name")) & given(F.col("price"), price_kind) & present(F.col("link")))
 
 
-def price_range() -> Column:
+def price_range(price_kind: str = "string") -> Column:
     """The raw price is itself a number within the range; "$10.99" is not a number."""
-    return _sure(loose_number(F.col("price").cast("string")).between(*PRICE_RANGE))
+    price = F.col("price")
+    value = price.cast("double") if is_number(price_kind) else loose_number(price)
+    return _sure(value.between(*PRICE_RANGE))
 
 
 def url_format() -> Column:
@@ -67,12 +67,16 @@ class Validator:
     def register(self, name: str, rule: Rule) -> None:
         self.rules[name] = rule
 
-    def _known(self, names: list[str]) -> dict[str, Column]:
-        return {n: self.rules[n]() for n in names if n in self.rules}
+    def _known(self, df: DataFrame, names: list[str]) -> dict[str, Column]:
+        by_kind = {required_fields, price_range}
+        kind = dict(df.dtypes).get("price", "string")
+        return {
+            n: self.rules[n](kind) if self.rules[n] in by_kind else self.rules[n]() for n in names if n in self.rules
+        }
 
     def verdicts(self, df: DataFrame, names: list[str]) -> DataFrame:
         """One boolean column per rule and the first rule a row fails."""
-        rules = self._known(names)
+        rules = self._known(df, names)
         failed = F.coalesce(
             *[F.when(~ok, F.lit(n)) for n, ok in rules.items()], F.lit(None).cast("string")
         )
@@ -83,7 +87,7 @@ class Validator:
 
         ``unique`` also drops all but the first row of each (name, search term).
         """
-        passed = reduce(lambda a, b: a & b, self._known(names).values(), F.lit(True))
+        passed = reduce(lambda a, b: a & b, self._known(df, names).values(), F.lit(True))
         kept = df.where(passed)
         if unique:
             kept = first_arrivals(kept, ["name", "search_term"], sorted(df.columns))

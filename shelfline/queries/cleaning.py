@@ -8,8 +8,9 @@ from shelfline.functions import price as P
 from shelfline.functions import temporal as D
 from shelfline.functions import text as X
 from shelfline.functions import urls as U
-from shelfline.operators import quality
+from shelfline.operators import quality, select
 from shelfline.operators.cleaning import Cleaner, normalize_price
+from shelfline.operators.select import minimum_valid
 from shelfline.operators.validate import Validator
 from shelfline.queries.registry import EV, SHOP, query, rounded
 from shelfline.queries.scans import events, shop
@@ -100,6 +101,62 @@ def p8_normalized_price(spark, folder):
     return normalize_price(A.raw_items(spark, folder)).select("id", "currency", "price_numeric")
 
 
+# Parts with a price that is a number: none, zero, a very large, a very small and a plain one.
+NUMBERS = """nu AS (SELECT p_partkey AS id, p_name AS name, CASE WHEN p_size % 2 = 0 THEN 'http://shop.example.com/' || p_partkey END AS link,
+  CASE p_size % 5 WHEN 0 THEN 0.0::DOUBLE WHEN 1 THEN 12345678.0::DOUBLE + p_partkey WHEN 2 THEN 0.0001::DOUBLE
+    WHEN 3 THEN p_retailprice::DOUBLE END AS price FROM part)"""
+
+
+def _numbers(spark, folder):
+    size = F.col("p_size") % 5
+    price = (
+        F.when(size == 0, F.lit(0.0)).when(size == 1, F.col("p_partkey") + F.lit(12345678.0)).when(size == 2, F.lit(0.0001))
+        .when(size == 3, F.col("p_retailprice").cast("double"))
+    )
+    link = F.concat(F.lit("http://shop.example.com/"), F.col("p_partkey").cast("string"))
+    return A.table(spark, folder, "part").select(
+        F.col("p_partkey").alias("id"), F.col("p_name").alias("name"),
+        F.when(F.col("p_size") % 2 == 0, link).alias("link"), price.alias("price"),
+    )
+
+
+@query(f"""WITH {NUMBERS} SELECT id, CASE WHEN price <> 0 THEN 'USD' END AS currency, nullif(price, 0) AS price_numeric FROM nu""")
+def p8_numeric_price(spark, folder):
+    return normalize_price(_numbers(spark, folder)).select("id", "currency", "price_numeric")
+
+
+@query(f"""WITH {NUMBERS} SELECT id, CASE WHEN id % 3 = 0 THEN 5.0::DOUBLE WHEN price <> 0 THEN price ELSE 0.0::DOUBLE END AS value FROM nu""")
+def p3_numeric_price(spark, folder):
+    known = F.when(F.col("id") % 3 == 0, 5.0).otherwise(0.0)
+    return _numbers(spark, folder).select("id", P.model_price(F.col("price"), known, "double").alias("value"))
+
+
+@query(f"""WITH {NUMBERS} SELECT * FROM nu WHERE name <> '' AND (link <> '' OR price <> 0)""")
+def f2_numeric_prices(spark, folder):
+    return _numbers(spark, folder).where(minimum_valid("double"))
+
+
+@query(f"""WITH {NUMBERS} SELECT *, coalesce(name <> '' AND price <> 0 AND link <> '', false) AS ok_required_fields,
+coalesce(price BETWEEN 0.01 AND 100000, false) AS ok_price_range FROM nu""")
+def v1_numeric_prices(spark, folder):
+    return Validator().verdicts(_numbers(spark, folder), ["required_fields", "price_range"]).drop("first_failed_rule")
+
+
+@query(f"""WITH {NUMBERS} SELECT *, nullif(price, 0) AS price_numeric, CASE WHEN price <> 0 THEN 'USD' END AS currency
+FROM nu WHERE name <> '' AND (link <> '' OR price <> 0)""")
+def v7_numeric_prices(spark, folder):
+    return Cleaner().run(_numbers(spark, folder), ["normalize_price", "validate_url"])
+
+
+@query(f"""WITH {NUMBERS} SELECT id, name, price::VARCHAR AS shown FROM nu""")
+def pr2_numeric_extras(spark, folder):
+    """Numbers among the extras are written in plain decimals."""
+    rows = _numbers(spark, folder).withColumnRenamed("price", "weight")
+    return select.fold_extras(rows).select(
+        F.col("extra_attributes")["id"].cast("long").alias("id"), "name", F.col("extra_attributes")["weight"].alias("shown")
+    )
+
+
 WS = r"[\s\x0b\x1c-\x1f\x{85}\p{Z}]"
 
 
@@ -114,6 +171,7 @@ def xt2_sanitize_text(spark, folder):
     return A.table(spark, folder, "documents").select("doc_id", X.sanitize_text(F.col("text")).alias("cleaned"))
 
 
+# The SQL side of the promotion, model and address patterns.
 PROMO = r"""trim(regexp_replace(regexp_replace(regexp_replace(regexp_replace(regexp_replace({0},
  '(?i)\b(new|sale|discount|offer|deal|free shipping)\b', '', 'g'), '(?i)\d+%\s*off', '', 'g'),
  '(?i)\$?\d+\s*off', '', 'g'), '(?i)\b(limited time|while supplies last)\b', '', 'g'), '\s+', ' ', 'g'))"""
@@ -139,10 +197,26 @@ def xt4_model_in_documents(spark, folder):
     return A.table(spark, folder, "documents").select("doc_id", X.model_of(F.col("text")).alias("model"))
 
 
+# Fixed values of the SQL side, written out so that a slip in the library's lists shows.
+BRAND_NAMES = (
+    "Apple", "Samsung", "Google", "Microsoft", "Amazon", "Sony", "Lg", "Dell", "Hp", "Lenovo", "Acer", "Asus", "Nvidia",
+    "Amd", "Intel",
+)
+STOCK_WORDS = {
+    "in_stock": ("in stock", "available", "ready"),
+    "out_of_stock": ("out of stock", "unavailable", "sold out"),
+    "limited_stock": ("limited", "few left", "low stock"),
+}
+CONDITION_WORDS = {
+    "new": ("new", "brand new", "factory sealed"),
+    "used": ("used", "pre-owned", "second hand"),
+    "refurbished": ("refurbished", "renewed", "reconditioned"),
+    "damaged": ("damaged", "broken", "parts"),
+}
+
+
 def _brand_sql(text: str) -> str:
-    cases = " ".join(
-        f"WHEN contains(lower({text}), '{b}') THEN '{b.title()}'" for b in X.BRANDS
-    )
+    cases = " ".join(f"WHEN contains(lower({text}), '{b.lower()}') THEN '{b}'" for b in BRAND_NAMES)
     return f"CASE {cases} END"
 
 
@@ -156,7 +230,7 @@ def xt5_brand_in_documents(spark, folder):
     return A.table(spark, folder, "documents").select("doc_id", X.brand_of(F.col("text")).alias("brand"))
 
 
-def _label_sql(column: str, table: dict[str, list[str]], order: list[str]) -> str:
+def _label_sql(column: str, table: dict[str, tuple[str, ...]], order: list[str]) -> str:
     cases = " ".join(
         "WHEN " + " OR ".join(f"contains(lower({column}), '{t}')" for t in table[k]) + f" THEN '{k}'"
         for k in order
@@ -164,8 +238,8 @@ def _label_sql(column: str, table: dict[str, list[str]], order: list[str]) -> st
     return f"CASE WHEN coalesce({column}, '') = '' THEN NULL {cases} ELSE 'unknown' END"
 
 
-@query(f"""WITH {ITEMS} SELECT id, {_label_sql('availability', X.AVAILABILITY, list(X.AVAILABILITY))} AS status,
-{_label_sql('availability', X.AVAILABILITY, ['out_of_stock', 'limited_stock', 'in_stock'])} AS strict_status FROM it""")
+@query(f"""WITH {ITEMS} SELECT id, {_label_sql('availability', STOCK_WORDS, list(STOCK_WORDS))} AS status,
+{_label_sql('availability', STOCK_WORDS, ['out_of_stock', 'limited_stock', 'in_stock'])} AS strict_status FROM it""")
 def xt6_availability(spark, folder):
     c = F.col("availability")
     return A.raw_items(spark, folder).select(
@@ -173,8 +247,8 @@ def xt6_availability(spark, folder):
     )
 
 
-@query(f"""WITH {ITEMS} SELECT id, {_label_sql('condition', X.CONDITIONS, list(X.CONDITIONS))} AS condition,
-{_label_sql('condition', X.CONDITIONS, ['refurbished', 'used', 'damaged', 'new'])} AS strict_condition FROM it""")
+@query(f"""WITH {ITEMS} SELECT id, {_label_sql('condition', CONDITION_WORDS, list(CONDITION_WORDS))} AS condition,
+{_label_sql('condition', CONDITION_WORDS, ['refurbished', 'used', 'damaged', 'new'])} AS strict_condition FROM it""")
 def xt7_condition(spark, folder):
     c = F.col("condition")
     return A.raw_items(spark, folder).select(
@@ -348,8 +422,8 @@ CHAIN = [
   {FULL_URL} AS f FROM it),
 d AS (SELECT id, n AS name, {LOCAL} AS price_numeric, {CURRENCY} AS currency, {MODEL.format('n')} AS model,
   CASE WHEN link = '' THEN '' WHEN regexp_matches(f, '{URL_OK}') THEN f END AS link,
-  {_label_sql('availability', X.AVAILABILITY, list(X.AVAILABILITY))} AS availability_status, {_brand_sql('n')} AS brand,
-  {_label_sql('condition', X.CONDITIONS, list(X.CONDITIONS))} AS condition_standard FROM c)
+  {_label_sql('availability', STOCK_WORDS, list(STOCK_WORDS))} AS availability_status, {_brand_sql('n')} AS brand,
+  {_label_sql('condition', CONDITION_WORDS, list(CONDITION_WORDS))} AS condition_standard FROM c)
 SELECT * FROM d WHERE name <> ''""")
 def v7_cleaning_chain(spark, folder):
     rows = Cleaner().run(A.raw_items(spark, folder), CHAIN)
