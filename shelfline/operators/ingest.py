@@ -2,8 +2,11 @@
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.errors import AnalysisException
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -12,24 +15,34 @@ from shelfline.operators.joins import unseen
 from shelfline.schemas import STORED_LISTING
 
 
+def in_order(df: DataFrame, names: list[str]) -> list[Column]:
+    """Columns to sort by; a map, which has no order of its own, counts by its sorted entries."""
+    kinds = dict(df.dtypes)
+
+    def sortable(c: str) -> Column:
+        if kinds[c].startswith("map"):
+            return F.array_sort(F.map_entries(c))
+        return F.to_json(F.struct(c)) if "map<" in kinds[c] else F.col(c)
+
+    return [sortable(c) for c in names]
+
+
 def first_arrivals(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The first row of each key in the given order; NULL keys equal each other.
 
-    This is an aggregate, not a window: each task already reduces a repeated key to one row,
-    so a key that holds a third of the input costs no more than any other. ``order`` should
-    tell any two different rows apart.
+    The row limit of the window is applied in every map task as well, so a key that holds a
+    third of the input is reduced before the shuffle. ``order`` should tell any two different
+    rows apart.
     """
-    rest = [c for c in df.columns if c not in keys]
-    if not rest:
-        return df.distinct()
-    first = F.min_by(F.struct(*rest), F.struct(*order)).alias("first")
-    return df.groupBy(*keys).agg(first).select(*keys, "first.*").select(*df.columns)
+    first = W.partitionBy(*keys).orderBy(*in_order(df, order))
+    return df.withColumn("arrival", F.row_number().over(first)).where("arrival = 1").drop("arrival")
 
 
 def first_per_link(df: DataFrame, order: list[str], link: str = "link") -> DataFrame:
-    """First-write-wins on the link; rows without a link are all kept."""
-    linked = first_arrivals(df.where(F.col(link).isNotNull()), [link], order)
-    return linked.unionByName(df.where(F.col(link).isNull()))
+    """First-write-wins on the link; rows without a link are all kept, each as a key of its own."""
+    alone = F.when(F.col(link).isNull(), F.monotonically_increasing_id())
+    marked = df.withColumn("alone", alone)
+    return first_arrivals(marked, [link, "alone"], order).drop("alone")
 
 
 def with_missing_columns(df: DataFrame) -> DataFrame:
@@ -64,9 +77,15 @@ def new_rows(batch: DataFrame, stored: DataFrame, order: list[str] | None = None
     return unseen(first_per_link(batch, order or sorted(batch.columns)), stored)
 
 
-def read_store(spark: SparkSession, store: str) -> DataFrame:
-    """The stored listings with the batch that wrote each; empty before the first batch."""
-    schema = T.StructType([*STORED_LISTING.fields, T.StructField("batch_id", T.StringType())])
+def stored_month(time: str = "scrape_time") -> Column:
+    """The first day of the month a row is stored under; NULL for a missing or unreadable time."""
+    return F.trunc(F.substring(F.col(time).cast("string"), 1, 10).try_cast("date"), "month")
+
+
+def read_store(spark: SparkSession, store: str, schema: T.StructType = STORED_LISTING) -> DataFrame:
+    """The stored rows with their month and the batch that wrote each; empty before the first batch."""
+    layout = [T.StructField("stored_month", T.DateType()), T.StructField("batch_id", T.StringType())]
+    schema = T.StructType([*schema.fields, *layout])
     try:
         return spark.read.schema(schema).parquet(store)
     except AnalysisException as error:
@@ -75,21 +94,38 @@ def read_store(spark: SparkSession, store: str) -> DataFrame:
         return spark.createDataFrame([], schema)
 
 
+def write_stored(rows: DataFrame, store: str) -> None:
+    """Write rows that have their ``stored_month`` and ``batch_id``, replacing those folders only."""
+    # REBALANCE keeps the files of a large month apart and those of small months whole.
+    (
+        rows.hint("rebalance", "stored_month").write.mode("overwrite")
+        .option("partitionOverwriteMode", "dynamic")
+        .partitionBy("stored_month", "batch_id")
+        .parquet(store)
+    )
+
+
 def write_batch(
-    batch: DataFrame, store: str, batch_id: str, order: list[str] | None = None
+    batch: DataFrame, store: str, batch_id: str, order: list[str] | None = None, time: str = "scrape_time"
 ) -> None:
     """Append a batch to a parquet store, keeping the first listing of each link.
 
-    New rows go to the batch's own folder and are compared with the other batches only. A
-    repeated batch therefore replaces its earlier output and adds nothing twice.
+    New rows go to the batch's own folders, one per month, and are compared with the other
+    batches only. A repeated batch therefore replaces its earlier output and adds nothing
+    twice. ``batch_id`` names one batch of one run; whoever writes new rows uses a new one.
     """
     spark = batch.sparkSession
-    others = read_store(spark, store).where(F.col("batch_id") != batch_id)
-    new_rows(batch, others, order).write.mode("overwrite").parquet(f"{store}/batch_id={batch_id}")
+    others = read_store(spark, store, batch.schema).where(F.col("batch_id") != batch_id)
+    fresh = new_rows(batch, others, order)
+    write_stored(fresh.withColumn("stored_month", stored_month(time)).withColumn("batch_id", F.lit(batch_id)), store)
 
 
 def append_batch(
-    batch: DataFrame, store: str, job_id: int, order: list[str] | None = None
+    batch: DataFrame, store: str, job_id: int | None = None, order: list[str] | None = None, run: str | None = None
 ) -> None:
-    """Store the listings that one job collected."""
-    write_batch(to_stored(batch, job_id), store, f"job-{job_id}", order)
+    """Store listings, optionally those that one job collected.
+
+    Every call adds, also under a job that has stored rows before. Give a ``run`` of its own
+    to a call that may have to be repeated: the repeat then replaces what the first try wrote.
+    """
+    write_batch(to_stored(batch, job_id), store, f"run-{run or uuid.uuid4().hex}", order)

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.functions.temporal import seconds_between
+from shelfline.operators.ingest import read_store, write_stored
+from shelfline.schemas import STORED_LISTING
 
 # Fixed value: days that listings are kept.
 RETENTION_DAYS = 30
@@ -89,31 +92,35 @@ def store_status(listings: DataFrame, jobs: DataFrame) -> DataFrame:
     return total.unionByName(per_term).unionByName(states)
 
 
-def _expired(as_of: str, days: int, time: str):
-    cutoff = F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
-    return F.coalesce(F.col(time) < cutoff, F.lit(False))
+def _cutoff(as_of: str, days: int) -> Column:
+    return F.lit(as_of).cast("timestamp") - F.expr(f"INTERVAL {int(days)} DAYS")
 
 
 def retained(df: DataFrame, as_of: str, days: int = RETENTION_DAYS, time: str = "scrape_time") -> DataFrame:
     """Rows not older than ``days`` before ``as_of``; rows without a time stay."""
-    return df.where(~_expired(as_of, days, time))
+    return df.where(F.col(time).isNull() | (F.col(time) >= _cutoff(as_of, days)))
 
 
 def retention_counts(
     df: DataFrame, as_of: str, days: int = RETENTION_DAYS, time: str = "scrape_time"
 ) -> DataFrame:
-    old = _expired(as_of, days, time)
+    old = F.coalesce(F.col(time) < _cutoff(as_of, days), F.lit(False))
     return df.agg(F.count_if(old).alias("removed"), F.count_if(~old).alias("kept"))
 
 
 def rewrite_retained(
-    spark, store: str, target: str, as_of: str, days: int = RETENTION_DAYS, time: str = "scrape_time"
+    spark: SparkSession, store: str, target: str, as_of: str, days: int = RETENTION_DAYS,
+    schema: T.StructType = STORED_LISTING, time: str = "scrape_time",
 ) -> None:
-    """Write the retained part of a parquet store to a new place, by day.
+    """Write the retained part of a store to a new place, in the same layout.
 
-    The store being read is never overwritten; the caller swaps the two when the write has
-    succeeded. REBALANCE keeps the files of a large day apart and those of small days whole.
+    Months that have passed are never read, since the store is laid out by month; in the month
+    in which the limit falls, rows are compared by their time. Batches keep their names, so
+    later appends and repeats work on the new store as on the old one. The store being read
+    is never overwritten; the caller swaps the two when the write has succeeded.
     """
-    kept = retained(spark.read.parquet(store), as_of, days, time)
-    day = kept.withColumn("scrape_date", F.to_date(time))
-    day.hint("rebalance", "scrape_date").write.partitionBy("scrape_date").parquet(target)
+    month, limit = F.col("stored_month"), _cutoff(as_of, days)
+    first = F.trunc(limit, "month")
+    rows = read_store(spark, store, schema).where(month.isNull() | (month >= first))
+    typed = F.col(time).try_cast("timestamp")
+    write_stored(rows.where(month.isNull() | (month > first) | typed.isNull() | (typed >= limit)), target)

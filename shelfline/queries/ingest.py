@@ -52,18 +52,51 @@ def i3_missing_columns(spark, folder):
     return ingest.with_missing_columns(rows)
 
 
-@query(f"""WITH {ORDERS}, b AS (SELECT *, CASE WHEN scrape_time < '1998' THEN 1 ELSE 2 END AS batch FROM co)
-SELECT name, price, link, scrape_time, search_term, batch::BIGINT AS job_id FROM b
-QUALIFY row_number() OVER (PARTITION BY link ORDER BY batch, scrape_time, b.job_id::VARCHAR) = 1""")
-def i4_two_batches(spark, folder):
-    """Two batches appended to a store, the second one twice: each link is stored once."""
+TWO_BATCHES = f"""WITH {ORDERS}, b AS (SELECT *, CASE WHEN scrape_time < '1998' THEN 1 ELSE 2 END AS batch FROM co)
+SELECT name, price, link, scrape_time, search_term, {{job}}::BIGINT AS job_id FROM b
+QUALIFY row_number() OVER (PARTITION BY link ORDER BY batch, scrape_time, b.job_id::VARCHAR) = 1"""
+
+
+def _early_and_late(spark, folder):
     # The order's key tells rows of one time apart.
     rows = _orders(A.table(spark, folder, "orders")).withColumn("source", F.col("job_id").cast("string"))
+    return rows.where("scrape_time < '1998'"), rows.where("scrape_time >= '1998'")
+
+
+def _stored(spark, store):
+    return ingest.read_store(spark, store).select("name", "price", "link", "scrape_time", "search_term", "job_id")
+
+
+@query(TWO_BATCHES.format(job="batch"))
+def i4_two_batches(spark, folder):
+    """Two batches appended to a store, the second one twice: each link is stored once."""
     store = scratch_dir(spark, "store")
-    early, late = rows.where("scrape_time < '1998'"), rows.where("scrape_time >= '1998'")
+    early, late = _early_and_late(spark, folder)
     for job, batch in ((1, early), (2, late), (2, late)):
-        ingest.append_batch(batch, store, job, ["scrape_time", "source"])
-    return ingest.read_store(spark, store).select("name", "price", "link", "scrape_time", "search_term", "job_id")
+        ingest.append_batch(batch, store, job, ["scrape_time", "source"], run=str(job))
+    return _stored(spark, store)
+
+
+@query(TWO_BATCHES.format(job="7"))
+def i5_two_inserts_of_one_job(spark, folder):
+    """A second insert under the same job adds to the first."""
+    store = scratch_dir(spark, "store")
+    for batch in _early_and_late(spark, folder):
+        ingest.append_batch(batch, store, 7, ["scrape_time", "source"])
+    return _stored(spark, store)
+
+
+@query(f"""WITH {ORDERS}, n AS (SELECT name, price, scrape_time, CASE WHEN scrape_time < '1998' THEN link END AS link,
+  CASE WHEN scrape_time < '1998' THEN 1 ELSE 2 END AS batch, job_id FROM co)
+SELECT name, price, link, scrape_time, NULL::BIGINT AS job_id FROM n
+QUALIFY link IS NULL OR row_number() OVER (PARTITION BY link ORDER BY batch, scrape_time, n.job_id::VARCHAR) = 1""")
+def i6_inserts_without_job(spark, folder):
+    """Inserts that belong to no job; rows without a link are all stored."""
+    store = scratch_dir(spark, "store")
+    early, late = _early_and_late(spark, folder)
+    for batch in (early, late.withColumn("link", F.lit(None).cast("string"))):
+        ingest.append_batch(batch.drop("job_id"), store, order=["scrape_time", "source"])
+    return _stored(spark, store).drop("search_term")
 
 
 STAMP_JOB = """SELECT job_id, search_term, status, strftime(created_at, '%Y-%m-%d %H:%M:%S') AS created_at,
@@ -119,14 +152,32 @@ def l6_retention_counts(spark, folder):
     return jobs.retention_counts(A.event_listings(spark, folder), AS_OF, days=10)
 
 
-@query(f"""SELECT strftime(ts, '%Y-%m-%d') AS scrape_date, count(*) AS listings FROM events
-WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAYS GROUP BY 1""")
+def _event_rows(spark, folder):
+    return stamps(A.event_listings(spark, folder), "scrape_time").drop("id")
+
+
+@query(f"""SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS scrape_time, 'http://shop.example.com/e/' || event_id AS link,
+event_type AS search_term FROM events WHERE ts >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAYS""")
 def l6_rewritten_store(spark, folder):
+    """Every row that retention leaves in a store."""
     store, target = scratch_dir(spark, "listings"), scratch_dir(spark, "retained")
-    A.event_listings(spark, folder).write.parquet(store)
+    ingest.append_batch(_event_rows(spark, folder), store)
     jobs.rewrite_retained(spark, store, target, AS_OF, days=10)
-    kept = spark.read.parquet(target).withColumn("scrape_date", F.col("scrape_date").cast("string"))
-    return kept.groupBy("scrape_date").agg(F.count("*").alias("listings"))
+    return ingest.read_store(spark, target).select("scrape_time", "link", "search_term")
+
+
+@query(f"""SELECT strftime(ts, '%Y-%m-%d %H:%M:%S') AS scrape_time, 'http://shop.example.com/e/' || event_id AS link,
+CASE WHEN event_id % 2 = 0 AND ts >= TIMESTAMP '{AS_OF}' - INTERVAL 10 DAYS THEN 1 ELSE 2 END::BIGINT AS job_id FROM events""")
+def l7_append_after_retention(spark, folder):
+    """A store goes on after retention: what was removed may be stored anew, what is left stays."""
+    store, target = scratch_dir(spark, "listings"), scratch_dir(spark, "retained")
+    rows = _event_rows(spark, folder)
+    even = F.regexp_extract("link", "([0-9]+)$", 1).cast("long") % 2 == 0
+    ingest.append_batch(rows.where(even), store, 1, run="first")
+    jobs.rewrite_retained(spark, store, target, AS_OF, days=10)
+    for _ in range(2):
+        ingest.append_batch(rows, target, 2, run="second")
+    return ingest.read_store(spark, target).select("scrape_time", "link", "job_id")
 
 
 @query(f"""WITH {JOBS}, p AS (SELECT * FROM jobs WHERE status = 'pending')
@@ -144,16 +195,37 @@ def r1_incremental_ingest(spark, folder):
     for _ in range(2):
         stream = arrivals.arriving(spark, folder, schema, pattern="orders.parquet")
         arrivals.ingest_arrivals(stream, store, checkpoint, _orders, ["scrape_time", "job_id"]).awaitTermination()
-    return ingest.read_store(spark, store).select("name", "price", "link", "scrape_time", "search_term", "job_id")
+    return _stored(spark, store)
 
 
-@query("SELECT DISTINCT 'http://shop.example.com/c/' || o_custkey AS link FROM orders")
-def r2_stream_first_links(spark, folder):
+@query(f"""WITH {ORDERS} SELECT name, price, link, scrape_time, search_term, job_id FROM co
+QUALIFY row_number() OVER (PARTITION BY link ORDER BY (co.scrape_time >= '1998')::INT, co.scrape_time, job_id) = 1""")
+def r4_two_streams(spark, folder):
+    """Two streams with progress of their own fill one store, one after the other."""
     schema = A.table(spark, folder, "orders").schema
-    stream = _orders(arrivals.arriving(spark, folder, schema, pattern="orders.parquet"))
-    path = scratch_dir(spark, "links")
-    arrivals.run_to_files(arrivals.first_links(stream), path, scratch_dir(spark, "progress"))
-    return spark.read.parquet(path).select("link")
+    store = scratch_dir(spark, "store")
+    for part in ("scrape_time < '1998'", "scrape_time >= '1998'"):
+        stream = arrivals.arriving(spark, folder, schema, pattern="orders.parquet")
+        arrivals.ingest_arrivals(
+            stream, store, scratch_dir(spark, "progress"), lambda df, p=part: _orders(df).where(p), ["scrape_time", "job_id"]
+        ).awaitTermination()
+    return _stored(spark, store)
+
+
+@query(f"""WITH {ORDERS}, n AS (SELECT name, price, CASE WHEN job_id % 7 > 0 THEN link END AS link, scrape_time, search_term,
+  job_id, (co.scrape_time < '1996')::INT AS batch FROM co)
+SELECT name, price, link, scrape_time, search_term, job_id FROM n
+QUALIFY link IS NULL OR row_number() OVER (PARTITION BY link ORDER BY batch, n.scrape_time, n.job_id) = 1""")
+def r2_stream_first_links(spark, folder):
+    """Files of later rows come first, then one with older rows; some rows have no link."""
+    rows = _orders(A.table(spark, folder, "orders"))
+    rows = rows.withColumn("link", F.when(F.col("job_id") % 7 > 0, F.col("link")))
+    files, store, progress = (scratch_dir(spark, x) for x in ("arrivals", "links", "progress"))
+    for part in ("scrape_time >= '1996'", "scrape_time < '1996'"):
+        rows.where(part).write.mode("append").parquet(files)
+        stream = arrivals.arriving(spark, files, rows.schema)
+        arrivals.first_links(stream, store, progress, ["scrape_time", "job_id"]).awaitTermination()
+    return ingest.read_store(spark, store, rows.schema).select(rows.columns)
 
 
 @query("""WITH h AS (SELECT date_trunc('hour', ts) AS h, count(*) AS listings, count(CASE WHEN value >= 1.0 THEN value END) AS priced,
@@ -168,6 +240,25 @@ def r3_stream_hourly_counts(spark, folder):
     stream = raw.select(
         F.col("ts").cast("timestamp").alias("scrape_time"), F.when(value >= 1.0, value).alias("price_numeric")
     )
+    return rounded(stamps(_hours(spark, stream), "hour_start"))
+
+
+def _hours(spark, stream):
     path = scratch_dir(spark, "hours")
     arrivals.run_to_files(arrivals.hourly_counts(stream), path, scratch_dir(spark, "progress"))
-    return rounded(stamps(spark.read.parquet(path), "hour_start"))
+    return spark.read.parquet(path)
+
+
+@query("""SELECT strftime(date_trunc('hour', ts), '%Y-%m-%d %H:%M:%S') AS hour_start, count(*) AS listings,
+count(CASE WHEN value >= 1.0 THEN value END) AS priced, round(avg(CASE WHEN value >= 1.0 THEN value END), 6) AS mean_price
+FROM events GROUP BY 1""")
+def r3_all_hours(spark, folder):
+    """The hours a stream has emitted, and those still open when its input ends."""
+    events = A.table(spark, folder, "events")
+
+    def timed(df):
+        value = F.when(F.col("value") >= 1.0, F.col("value"))
+        return df.select(F.col("ts").cast("timestamp").alias("scrape_time"), value.alias("price_numeric"))
+
+    closed = _hours(spark, timed(arrivals.arriving(spark, folder, events.schema, pattern="events.parquet")))
+    return rounded(stamps(closed.unionByName(arrivals.open_hours(timed(events), closed)), "hour_start"))

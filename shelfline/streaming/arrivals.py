@@ -2,9 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Iterator
+from collections.abc import Callable
+from queue import Queue
 
-import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -26,6 +26,31 @@ def arriving(
     return reader.load(path)
 
 
+def _into_store(stream: DataFrame, checkpoint: str, store_batch: Callable[[DataFrame, str], None]) -> StreamingQuery:
+    """Hand each micro-batch over with its name: the stream's own id and the batch number.
+
+    The id lives with the progress of the stream. A restart goes on under the same id, so a
+    repeated micro-batch has its old name; another stream, or one without progress, has
+    other names.
+    """
+    names: Queue[str] = Queue()
+
+    def each(batch: DataFrame, number: int) -> None:
+        stream_id = names.get()
+        names.put(stream_id)
+        batch.persist()
+        try:
+            store_batch(batch, f"stream-{stream_id}-{number:010d}")
+        finally:
+            batch.unpersist()
+
+    query = (
+        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+    )
+    names.put(query.id)
+    return query
+
+
 def ingest_arrivals(
     stream: DataFrame,
     store: str,
@@ -35,41 +60,25 @@ def ingest_arrivals(
 ) -> StreamingQuery:
     """Store what has arrived since the last run, first listing per link, then stop.
 
-    Each micro-batch owns a folder of the store. When Spark repeats one after a failure, it
-    replaces that folder, so no row is stored twice.
+    Each micro-batch owns its folders of the store. When Spark repeats one after a failure, it
+    replaces them, so no row is stored twice; streams that share a store never touch each
+    other's folders.
     """
-
-    def store_batch(batch: DataFrame, batch_id: int) -> None:
-        write_batch(to_stored(prepare(batch)), store, f"arrival-{batch_id:010d}", order)
-
-    return (
-        stream.writeStream.foreachBatch(store_batch)
-        .option("checkpointLocation", checkpoint)
-        .trigger(availableNow=True)
-        .start()
+    return _into_store(
+        stream, checkpoint, lambda batch, name: write_batch(to_stored(prepare(batch)), store, name, order)
     )
 
 
-def first_links(stream: DataFrame, time: str = "scrape_time", delay: str = "1 day") -> DataFrame:
-    """The first listing of each link; a link is remembered for the length of ``delay``.
-
-    Repeats that are further apart are caught when the batch is compared with the store. Rows
-    without a link are left to that comparison as well.
+def first_links(
+    stream: DataFrame, store: str, checkpoint: str, order: list[str], time: str = "scrape_time"
+) -> StreamingQuery:
+    """The first row of each link that a stream brings, all columns kept, then stop.
 
-    Streaming deduplication has no partial step, so repeats within one transfer batch are
-    dropped ahead of the shuffle. The first row of a link and its latest one stay: should the
-    first turn out too late for the watermark, the latest still counts.
+    Within a micro-batch the first in ``order`` counts; a link that is stored already stays as
+    it is, however late its other rows come. Rows without a link are all kept. Read the
+    result with ``read_store`` and the schema of the stream.
     """
-
-    def thinned(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for rows in batches:
-            first = ~rows.duplicated("link")
-            latest = ~rows.sort_values(time, kind="stable").duplicated("link", keep="last")
-            yield rows[first | latest.reindex(rows.index)]
-
-    linked = stream.withColumn(time, F.col(time).cast("timestamp")).where(F.col("link").isNotNull())
-    timed = linked.mapInPandas(thinned, linked.schema).withWatermark(time, delay)
-    return timed.dropDuplicatesWithinWatermark(["link"])
+    return _into_store(stream, checkpoint, lambda batch, name: write_batch(batch, store, name, order, time))
 
 
 def hourly_counts(
@@ -78,8 +87,20 @@ def hourly_counts(
     """Rows, priced rows and mean price per clock hour.
 
     An hour is emitted once the watermark has passed it; rows later than that are dropped.
+    The hours that are still open when the input ends stay in the state until more arrives;
+    ``open_hours`` gives them from the files themselves.
     """
-    timed = stream.withColumn(time, F.col(time).cast("timestamp")).withWatermark(time, delay)
+    timed = stream.withColumn(time, F.col(time).cast("timestamp"))
+    return _per_hour(timed.withWatermark(time, delay), time, price)
+
+
+def open_hours(rows: DataFrame, closed: DataFrame, time: str = "scrape_time", price: str = "price_numeric") -> DataFrame:
+    """The hours of all rows that a stream has not emitted yet: ``closed`` holds those it has."""
+    counted = _per_hour(rows.withColumn(time, F.col(time).cast("timestamp")), time, price)
+    return counted.join(closed.select("hour_start"), "hour_start", "left_anti")
+
+
+def _per_hour(timed: DataFrame, time: str, price: str) -> DataFrame:
     return (
         timed.groupBy(F.window(time, "1 hour"))
         .agg(
