@@ -179,6 +179,17 @@ def analysis_of(counts: DataFrame, marks: DataFrame) -> DataFrame:
     )
     return (
         with_row(counted, marks, "q")
-        .select("*", (low - reach).alias("lower_bound"), (mid + reach).alias("upper_bound"))
+        .select(
+            "*", share(F.col("total_outliers"), F.col("priced")).alias("outlier_percentage"),
+            (low - reach).alias("lower_bound"), (mid + reach).alias("upper_bound"),
+        )
         .drop("q")
     )
+
+
+def outlier_values_of(counts: DataFrame, marks: DataFrame) -> DataFrame:
+    """Distinct prices outside the fences, with their number of rows."""
+    v, low, mid = F.col("value"), F.col("q.p25"), F.col("q.p75")
+    reach = (mid - low) * 1.5
+    outside = with_row(counts, marks, "q").where((v < low - reach) | (v > mid + reach))
+    return outside.select(v.alias("price"), F.col("n").alias("listings"))

@@ -26,8 +26,8 @@ BLOCK_PHRASES = [
 # Fixed value: the text that marks a page with results.
 RESULT_MARK = '[data-component-type="s-search-result"]'
 
-# Fixed value: records taken from one result page.
-MAX_RECORDS = 25
+# Fixed value: records of one result page that a reader with a limit takes (W8).
+PAGE_LIMIT = 25
 
 # Character references that page text is freed of; the ampersand comes last.
 _ENTITIES = {
@@ -35,9 +35,9 @@ _ENTITIES = {
     "&pound;": "£", "&euro;": "€", "&yen;": "¥", "&amp;": "&",
 }
 
-# Patterns for result pages; the first group holds the text or address.
+# Patterns for result pages; the first group holds the text or address. the
+# class and attribute names in all patterns below.
 RESULT_CONTAINERS = [
-    r'(?s)<div[^>]*data-component-type="s-search-result"[^>]*>(.*?)</div><!-- /result -->',
     r'(?s)<div[^>]*data-component-type="s-search-result"[^>]*>(.*?)(?=<div[^>]*data-component-type="s-search-result"|$)',
     r'(?s)<div[^>]*class="[^"]*s-result-item[^"]*"[^>]*>(.*?)(?=<div[^>]*class="[^"]*s-result-item|$)',
     r'(?s)<div[^>]*class="[^"]*s-widget-container[^"]*"[^>]*>(.*?)(?=<div[^>]*class="[^"]*s-widget-container|$)',
@@ -106,11 +106,14 @@ def fallback(text: Column, patterns: list[str]) -> Column:
     return strip(text_of(raw))
 
 
+def _first_found(results: list[Column], found) -> Column:
+    """The first result that was found; each is evaluated once, and only when needed."""
+    return F.coalesce(*[F.get(F.filter(F.array(r), found), F.lit(0)) for r in results])
+
+
 def containers(html: Column, patterns: list[str]) -> Column:
     """The repeated pieces of a page; the first pattern that occurs decides."""
-    return F.coalesce(
-        *[F.when(html.rlike(p), F.regexp_extract_all(html, F.lit(p), 1)) for p in patterns]
-    )
+    return _first_found([F.regexp_extract_all(html, F.lit(p), 1) for p in patterns], lambda x: F.size(x) > 0)
 
 
 def split_containers(
@@ -118,7 +121,7 @@ def split_containers(
 ) -> DataFrame:
     """One row per repeated piece of a page, numbered from 0: ``page_id, url, position, item``.
 
-    ``limit`` keeps the first pieces of every page, as the search-result reader does.
+    ``limit`` keeps the first pieces of every page only; without it all are kept.
     """
     pieces = containers(F.col("html"), patterns)
     rows = pages.select("page_id", "url", F.posexplode(pieces).alias("position", "item"))
@@ -234,8 +237,9 @@ def block_rates(classified: DataFrame) -> DataFrame:
 
 
 def records_per_page(pages: DataFrame, patterns: list[str]) -> DataFrame:
-    """Number of repeated pieces on every page, 0 for none."""
-    found = F.coalesce(F.size(containers(F.col("html"), patterns)), F.lit(0))
+    """Number of repeated pieces on every page, 0 for none; the pieces are not built."""
+    counts = [F.regexp_count("html", F.lit(p)) for p in patterns]
+    found = F.coalesce(_first_found(counts, lambda n: n > 0), F.lit(0))
     return pages.select("page_id", host_of(F.col("url")).alias("host"), found.alias("records"))
 
 

@@ -55,8 +55,8 @@ def duplicate_count(df: DataFrame, keys: list[str] | None = None) -> DataFrame:
     return df.agg(_duplicates(keys or ["name", "search_term"]))
 
 
-def quality_row(df: DataFrame) -> DataFrame:
-    """Completeness, validity and duplicates in one pass over the listings."""
+def quality_row(df: DataFrame, *more: Column) -> DataFrame:
+    """Completeness, validity and duplicates in one pass over the listings, with further sums."""
     rows = F.count("*")
     return df.agg(
         rows.alias("total_records"),
@@ -66,6 +66,7 @@ def quality_row(df: DataFrame) -> DataFrame:
         share(F.count("availability"), rows).alias("availability_complete"),
         *_validity(),
         _duplicates(["name", "search_term"]),
+        *more,
     )
 
 

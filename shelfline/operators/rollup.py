@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from shelfline.functions.temporal import weekday_name
 from shelfline.operators.joins import with_row
 from shelfline.operators.quality import share
 
@@ -87,6 +88,25 @@ def averages_of(cells: DataFrame, by: str = "search_term") -> DataFrame:
     )
 
 
+def averages_of_times(cells: DataFrame, by: str = "search_term") -> DataFrame:
+    """The same averages from time cells."""
+    return (
+        cells.where(F.col(by).isNotNull())
+        .groupBy(by)
+        .agg(F.try_divide(F.sum("price_total"), F.sum("priced")).alias("avg_price"))
+        .where("avg_price IS NOT NULL")
+    )
+
+
+def weekdays_of(cells: DataFrame) -> DataFrame:
+    """Rows per day of the week, as ``stats.rows_by_weekday``."""
+    return (
+        cells.where(F.col("scrape_date").isNotNull())
+        .groupBy(weekday_name(F.col("scrape_date")).alias("scrape_day"))
+        .agg(F.sum("listings").alias("listings"))
+    )
+
+
 def daily_of(cells: DataFrame, by: list[str] | None = None) -> DataFrame:
     """Priced rows and mean price per day (and group), as ``trends.daily_means``."""
     by = by or []

@@ -7,7 +7,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from shelfline.functions.temporal import weekday_name
-from shelfline.operators.joins import join_on, spread_join, with_row
+from shelfline.operators.joins import join_on, with_row
 from shelfline.operators.quality import share
 from shelfline.operators.ranks import quantiles, quantiles_of_counts, value_counts
 
@@ -100,6 +100,42 @@ def approximate_percentiles(
     )
 
 
+def rank_errors(
+    df: DataFrame, price: str = PRICE, points: list[int] | None = None, accuracy: int = 10000
+) -> DataFrame:
+    """Whether each approximate percentile has its rank within the sketch's bound.
+
+    The share of prices below a value and up to it must embrace the wanted share, give or
+    take one part in ``accuracy``.
+    """
+    found = approximate_percentiles(df, price, points, accuracy)
+    one_row = found.agg(F.collect_list(F.struct("percentile", "price")).alias("v")).scalar()
+    p, marks = F.col(price), points or PERCENTILES
+    known = df.where(p.isNotNull()).withColumn("v", one_row)
+
+    def counted_at(m: int) -> list[Column]:
+        at = F.get(F.filter("v", lambda e: e["percentile"] == f"p{m}"), F.lit(0))["price"]
+        return [F.count_if(p < at).alias(f"below_{m}"), F.count_if(p <= at).alias(f"upto_{m}")]
+
+    sums = [c for m in marks for c in counted_at(m)]
+    counted = known.agg(F.count("*").alias("n"), *sums)
+    slack = F.col("n") / F.lit(float(accuracy)) + 1
+    return counted.select(
+        F.inline(
+            F.array(
+                *[
+                    F.struct(
+                        F.lit(f"p{m}").alias("percentile"),
+                        ((F.col(f"below_{m}") <= F.col("n") * (m / 100.0) + slack)
+                         & (F.col(f"upto_{m}") >= F.col("n") * (m / 100.0) - slack)).alias("within_bound"),
+                    )
+                    for m in marks
+                ]
+            )
+        )
+    )
+
+
 def histogram(df: DataFrame, price: str = PRICE, bins: int = 10) -> DataFrame:
     """Equal-width bins over the price range; the last bin is closed, empty bins are listed.
 
@@ -215,7 +251,7 @@ def box_of(counts: DataFrame, by: str = "search_term") -> DataFrame:
     reach = (F.col("q75") - F.col("q25")) * 1.5
     inside = (F.col("value") >= F.col("q25") - reach) & (F.col("value") <= F.col("q75") + reach)
     return (
-        spread_join(counts, box, [by])
+        counts.join(box, by)
         .groupBy(by)
         .agg(
             F.max("q25").alias("q25"),
@@ -228,27 +264,38 @@ def box_of(counts: DataFrame, by: str = "search_term") -> DataFrame:
     )
 
 
+def prices_by_day(df: DataFrame, by: str = "search_term", price: str = PRICE) -> DataFrame:
+    """Mean price of every group on every day, one row each; nothing has to be named ahead."""
+    return (
+        df.where(F.col(by).isNotNull() & F.col(price).isNotNull())
+        .withColumn("day", F.date_format("scrape_time", "yyyy-MM-dd"))
+        .groupBy(by, "day")
+        .agg(F.avg(price).alias("mean_price"), F.count("*").alias("priced"))
+    )
+
+
 def pivot_by_day(
     df: DataFrame, days: list[str], by: str = "search_term", price: str = PRICE
 ) -> DataFrame:
-    """Mean price with one row per group and one column per day.
+    """Mean price with one row per group and one column per given day.
 
-    The days are given, so that no extra job has to look for them.
+    A view of ``prices_by_day``; ``other_days`` counts the priced rows of all other days.
     """
-    return (
-        df.where(F.col(by).isNotNull() & F.col(price).isNotNull())
-        .withColumn("day", F.date_format("scrape_time", "yyyy-MM-dd"))
-        .groupBy(by)
-        .pivot("day", days)
-        .agg(F.avg(price))
-    )
+    cells = prices_by_day(df, by, price)
+    shown = [F.max(F.when(F.col("day") == d, F.col("mean_price"))).alias(d) for d in days]
+    others = F.coalesce(F.sum(F.when(~F.coalesce(F.col("day").isin(days), F.lit(False)), F.col("priced"))), F.lit(0))
+    return cells.groupBy(by).agg(*shown, others.cast("long").alias("other_days"))
 
 
 def top_prices(df: DataFrame, k: int = 10, price: str = PRICE) -> DataFrame:
     """The most common prices; the lower price comes first on ties."""
+    return top_of(value_counts(df, price), k)
+
+
+def top_of(counts: DataFrame, k: int = 10) -> DataFrame:
+    """The most common of counted prices."""
     return (
-        value_counts(df, price)
-        .select(F.col("value").alias("price"), F.col("n").alias("listings"))
+        counts.select(F.col("value").alias("price"), F.col("n").alias("listings"))
         .orderBy(F.desc("listings"), "price")
         .limit(k)
     )

@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.operators.joins import join_on, spread_join
+from shelfline.operators.joins import join_on
 from shelfline.operators.ranks import quantiles
 
 PRICE = "price_numeric"
@@ -191,7 +191,7 @@ def price_correlation_with(
     daily = daily_means(df, [by], price).where("mean_price IS NOT NULL")
     chosen = daily.where(F.col(by) == other).select(DAY, F.col("mean_price").alias("other_mean"))
     return (
-        spread_join(daily.where(F.col(by) != other), chosen, [DAY])
+        daily.where(F.col(by) != other).join(chosen, DAY)
         .groupBy(by)
         .agg(F.count("*").alias("shared_days"), _correlation("mean_price", "other_mean").alias("correlation"))
         .where("shared_days > 1")

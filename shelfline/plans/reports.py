@@ -24,6 +24,12 @@ def quality_report(df: DataFrame) -> DataFrame:
     return quality.quality_row(df)
 
 
+def timed(df: DataFrame) -> DataFrame:
+    """The listings with their day and hour."""
+    known = "scrape_date" in df.columns and "scrape_hour" in df.columns
+    return df if known else trends.with_day_and_hour(df)
+
+
 class Report:
     """The tables of a report over one scan, grouped by one column.
 
@@ -32,8 +38,7 @@ class Report:
     """
 
     def __init__(self, df: DataFrame, by: str = "search_term") -> None:
-        timed = "scrape_date" in df.columns and "scrape_hour" in df.columns
-        self.df = df if timed else trends.with_day_and_hour(df)
+        self.df = timed(df)
         self.by = by
 
     @cached_property
@@ -75,12 +80,31 @@ class Report:
         ends = self.marks.select(F.col("p0").alias("lo"), F.col("p100").alias("hi"))
         return stats.histogram_of(self.counts, bins, ends)
 
+    def weekdays(self) -> DataFrame:
+        return rollup.weekdays_of(self.times)
+
+    def listings_by(self) -> DataFrame:
+        return rollup.listings_of(self.prices, self.by)
+
+    def bands(self) -> DataFrame:
+        return outliers.bands_of(self.counts, self.marks)
+
+    def outlier_values(self) -> DataFrame:
+        return outliers.outlier_values_of(self.counts, self.marks)
+
+    def common_prices(self) -> DataFrame:
+        return stats.top_of(self.counts)
+
     def price_analysis(self) -> DataFrame:
         return outliers.analysis_of(self.counts, self.marks)
 
     def daily(self) -> DataFrame:
         return rollup.daily_of(self.times)
 
+    def daily_series(self) -> DataFrame:
+        """Priced rows, mean and median price of every day."""
+        return trends.daily_prices(self.df)
+
     def daily_by(self) -> DataFrame:
         return rollup.daily_of(self.times, [self.by])
 
@@ -127,20 +151,31 @@ class Report:
             F.count("*").alias("total_records_analyzed"),
         )
 
+    def release(self) -> None:
+        """Forget the written tables; the next figure writes them anew.
+
+        Their folders stay until the retention of the shared folder removes them.
+        """
+        for name in ("prices", "times", "counts", "marks", "averages", "quality"):
+            self.__dict__.pop(name, None)
+
     def insights(self) -> DataFrame:
         return insights_of(self.quality, self.statistics(), self.overall_trend(), self.cross_source())
 
 
 def insights(df: DataFrame, by: str = "search_term") -> DataFrame:
-    """Observations that follow from the measures, in a fixed order; one row each."""
+    """Observations that follow from the measures, in a fixed order; one row each.
+
+    The listings are read twice: once for quality and price moments, once for the daily cells
+    from which the trend and the group averages follow.
+    """
     p = "price_numeric"
-    moments = df.agg(
-        F.avg(p).alias("mean_price"), F.stddev_samp(p).alias("std_price"), F.max(p).alias("max_price")
-    )
-    timed = df if "scrape_date" in df.columns else trends.with_day_and_hour(df)
-    return insights_of(
-        quality.quality_row(df), moments, trends.overall_trend(timed), compare.cross_source_insights(df, by)
+    figures = quality.quality_row(
+        df, F.avg(p).alias("mean_price"), F.stddev_samp(p).alias("std_price"), F.max(p).alias("max_price")
     )
+    cells = rollup.time_cells(timed(df), by)
+    trend = trends.trend_of(rollup.daily_of(cells))
+    return insights_of(figures, figures, trend, compare.insights_of(rollup.averages_of_times(cells, by), by))
 
 
 def insights_of(
@@ -196,17 +231,26 @@ def insights_of(
     )
 
 
+NUMERIC = ("bigint", "int", "double", "float", "smallint")
+
+
 def long_form(frame: DataFrame, analysis: str, dimension: str | None = None) -> DataFrame:
-    """Numeric columns of a frame as rows: ``analysis_type, metric, dimension, value``."""
-    numeric = ("bigint", "int", "double", "float", "smallint")
-    metrics = [c for c, t in frame.dtypes if c != dimension and t in numeric]
-    cells = F.array(
-        *[F.struct(F.lit(c).alias("metric"), F.col(c).cast("double").alias("value")) for c in metrics]
-    )
-    label = F.col(dimension).cast("string") if dimension else F.lit(None).cast("string")
+    """Columns of a frame as rows: ``analysis_type, metric, dimension, value, text``.
+
+    Numbers stand in ``value``, everything else (labels, names, times) in ``text``.
+    """
+    no_value, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+
+    def cell(c: str, kind: str):
+        value = F.col(c).cast("double") if kind in NUMERIC else no_value
+        text = no_text if kind in NUMERIC else F.col(c).cast("string")
+        return F.struct(F.lit(c).alias("metric"), value.alias("value"), text.alias("text"))
+
+    cells = F.array(*[cell(c, t) for c, t in frame.dtypes if c != dimension])
+    label = F.col(dimension).cast("string") if dimension else no_text
     return frame.select(
         F.lit(analysis).alias("analysis_type"), label.alias("dimension"), F.inline(cells)
-    ).select("analysis_type", "metric", "dimension", "value")
+    ).select("analysis_type", "metric", "dimension", "value", "text")
 
 
 def _stack(frames: list[DataFrame]) -> DataFrame:
@@ -216,36 +260,100 @@ def _stack(frames: list[DataFrame]) -> DataFrame:
     return result
 
 
+def statistics_sections(r: Report) -> list[DataFrame]:
+    """Quality, statistics and price analysis, every figure of them."""
+    return [
+        long_form(r.quality, "data_quality"),
+        long_form(r.listings_by(), "listings_by_source", r.by),
+        long_form(r.statistics(), "price_statistics"),
+        long_form(r.summary(), "by_source", r.by),
+        long_form(r.percentiles(), "percentiles", "percentile"),
+        long_form(r.histogram(), "histogram", "bin"),
+        long_form(r.hourly().select("scrape_hour", "listings"), "rows_by_hour", "scrape_hour"),
+        long_form(r.weekdays(), "rows_by_weekday", "scrape_day"),
+        long_form(r.period(), "period"),
+        long_form(r.price_analysis(), "price_analysis"),
+        long_form(r.bands(), "price_bands", "band"),
+        long_form(r.outlier_values(), "outlier_values", "price"),
+        long_form(r.common_prices(), "common_prices", "price"),
+    ]
+
+
+def trend_sections(r: Report) -> list[DataFrame]:
+    """Trends, with their daily series, and comparison of groups."""
+    return [
+        long_form(r.overall_trend(), "overall_trend"),
+        long_form(r.daily_series(), "daily_series", "scrape_date"),
+        long_form(r.trend_by(), "trend_by_source", r.by),
+        long_form(r.hourly(), "hourly_activity", "scrape_hour"),
+        long_form(r.peak_hours(), "peak_hours"),
+        long_form(r.hourly_variation(), "hourly_variation"),
+        long_form(r.performance(), "source_performance", r.by),
+        long_form(r.cross_source(), "cross_source"),
+        long_form(r.positioning(), "market_position", r.by),
+        long_form(r.period(), "analysis_period"),
+    ]
+
+
+def insight_section(r: Report) -> DataFrame:
+    return long_form(r.insights(), "insights", "position")
+
+
+def chart_sections(r: Report) -> list[DataFrame]:
+    """The data behind every chart; cells of two dimensions are labelled by both."""
+    heat = r.daily_by().withColumn("cell", F.concat_ws(" ", r.by, F.col("scrape_date").cast("string")))
+    return [
+        long_form(r.histogram(20), "chart_price_distribution", "bin"),
+        long_form(r.averages, "chart_average_by_source", r.by),
+        long_form(r.daily(), "chart_daily_prices", "scrape_date"),
+        long_form(r.box_plot(), "chart_box_plot", r.by),
+        long_form(r.shares(), "chart_source_share", r.by),
+        long_form(heat.drop(r.by, "scrape_date"), "chart_heat_cells", "cell"),
+    ]
+
+
 def statistics_metrics(df: DataFrame, by: str = "search_term") -> DataFrame:
     """Quality, statistics and price analysis as one metrics table."""
-    r = Report(df, by)
-    return _stack(
-        [
-            long_form(r.quality, "data_quality"),
-            long_form(r.statistics(), "price_statistics"),
-            long_form(r.summary(), "by_source", by),
-            long_form(r.percentiles(), "percentiles", "percentile"),
-            long_form(r.histogram().drop("lower_edge", "upper_edge"), "histogram", "bin"),
-            long_form(r.price_analysis(), "price_analysis"),
-        ]
-    )
+    return _stack(statistics_sections(Report(df, by)))
 
 
 def trend_metrics(df: DataFrame, by: str = "search_term") -> DataFrame:
     """Trends and comparison of groups as one metrics table."""
+    return _stack(trend_sections(Report(df, by)))
+
+
+def comprehensive_metrics(df: DataFrame, by: str = "search_term") -> DataFrame:
+    """The whole report as one metrics table, from one set of shared cells."""
     r = Report(df, by)
-    return _stack(
-        [
-            long_form(r.overall_trend(), "overall_trend"),
-            long_form(r.trend_by(), "trend_by_source", by),
-            long_form(r.hourly(), "hourly_activity", "scrape_hour"),
-            long_form(r.peak_hours(), "peak_hours"),
-            long_form(r.hourly_variation(), "hourly_variation"),
-            long_form(r.performance(), "source_performance", by),
-            long_form(r.cross_source(), "cross_source"),
-            long_form(r.positioning(), "market_position", by),
-        ]
-    )
+    return _stack([*statistics_sections(r), *trend_sections(r), insight_section(r)])
+
+
+def custom_metrics(
+    df: DataFrame, include_stats: bool = True, include_trends: bool = True, include_charts: bool = True,
+    by: str = "search_term",
+) -> DataFrame:
+    """The requested sections as one metrics table, ready for a report writer."""
+    r = Report(df, by)
+    total = df.agg(F.count("*").alias("total_products"))
+    sections = [long_form(total, "total")]
+    if include_stats:
+        sections += statistics_sections(r)
+    if include_trends:
+        sections += trend_sections(r)
+    if include_charts:
+        sections += chart_sections(r)
+    if include_stats and include_trends:
+        sections.append(insight_section(r))
+    else:
+        sections.append(long_form(limited_insight(df), "insights", "position"))
+    return _stack(sections)
+
+
+def limited_insight(df: DataFrame) -> DataFrame:
+    """What stands for the insights of a report that lacks the figures for them."""
+    # Fixed value: the wording of the note.
+    limited = "Custom report generated with limited analysis"
+    return df.sparkSession.range(1).select(F.lit(0).alias("position"), F.lit(limited).alias("insight"))
 
 
 def stamped(metrics: DataFrame, generated_at: str, parameters: Mapping[str, str] | None = None) -> DataFrame:
@@ -259,6 +367,7 @@ def stamped(metrics: DataFrame, generated_at: str, parameters: Mapping[str, str]
 TREND_TABLES = {
     "period": Report.period,
     "overall_trend": Report.overall_trend,
+    "daily_series": Report.daily_series,
     "trend_by_source": Report.trend_by,
     "hourly_activity": Report.hourly,
     "peak_hours": Report.peak_hours,
@@ -305,6 +414,7 @@ def custom_report(
     report = {"total": df.agg(F.count("*").alias("total_products"))}
     if include_stats:
         report |= {
+            "bands": r.bands(), "common_prices": r.common_prices(), "weekdays": r.weekdays(),
             "quality": r.quality, "statistics": r.statistics(), "summary": r.summary(),
             "percentiles": r.percentiles(), "histogram": r.histogram(), "price_analysis": r.price_analysis(),
         }
@@ -316,10 +426,7 @@ def custom_report(
     if include_stats and include_trends:
         report["insights"] = r.insights()
     else:
-        limited = "Custom report generated with limited analysis"
-        report["insights"] = df.sparkSession.range(1).select(
-            F.lit(0).alias("position"), F.lit(limited).alias("insight")
-        )
+        report["insights"] = limited_insight(df)
     return report
 
 

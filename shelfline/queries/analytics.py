@@ -88,6 +88,12 @@ def a9_approximate_percentiles(spark, folder):
     return rounded(stats.approximate_percentiles(events(spark, folder)))
 
 
+@query("SELECT unnest(['p5', 'p10', 'p25', 'p50', 'p75', 'p90', 'p95']) AS percentile, true AS within_bound")
+def a9_approximate_ranks(spark, folder):
+    """Whether the rank of each approximate percentile keeps to the bound of the sketch."""
+    return stats.rank_errors(events(spark, folder), accuracy=100)
+
+
 @query(f"""WITH {SHOP} SELECT source, round(quantile_cont(price_numeric, 0.05), 6) AS p5,
 round(quantile_cont(price_numeric, 0.5), 6) AS p50, round(quantile_cont(price_numeric, 0.95), 6) AS p95
 FROM sh WHERE price_numeric IS NOT NULL GROUP BY 1""")
@@ -245,12 +251,20 @@ def a26_box_summary(spark, folder):
         f"""round(avg(price_numeric) FILTER (WHERE scrape_date = DATE '{d}'), 6) AS "{d}\""""
         for d in DAYS
     )
-    + " FROM ev GROUP BY 1"
+    + f""", count(price_numeric) FILTER (WHERE NOT (strftime(scrape_date, '%Y-%m-%d') IN {tuple(DAYS)})) AS other_days
+      FROM ev GROUP BY 1"""
 )
 def a27_price_pivot(spark, folder):
     return rounded(stats.pivot_by_day(events(spark, folder), DAYS))
 
 
+@query(f"""WITH {SHOP} SELECT search_term, strftime(scrape_time, '%Y-%m-%d') AS day, round(avg(price_numeric), 6) AS mean_price,
+count(*) AS priced FROM sh WHERE search_term IS NOT NULL AND price_numeric IS NOT NULL GROUP BY 1, 2""")
+def a27_prices_by_day(spark, folder):
+    """Mean prices of all days, whichever they are."""
+    return rounded(stats.prices_by_day(shop(spark, folder)))
+
+
 FENCES = """f AS (SELECT quantile_cont(price_numeric, 0.25) AS a, quantile_cont(price_numeric, 0.75) AS b,
   a - 1.5 * (b - a) AS lo, b + 1.5 * (b - a) AS hi FROM ev)"""
 

@@ -27,7 +27,7 @@ def x1_split_containers(spark, folder):
 
 @query(f"WITH {_pieces(PARAGRAPH, 'p')} SELECT page_id, position FROM p WHERE position < 25")
 def w8_records_per_page_limit(spark, folder):
-    rows = G.split_containers(A.pages(spark, folder), [PARAGRAPH], limit=G.MAX_RECORDS)
+    rows = G.split_containers(A.pages(spark, folder), [PARAGRAPH], limit=G.PAGE_LIMIT)
     return rows.select("page_id", "position")
 
 
@@ -41,11 +41,11 @@ def x2_field_extraction(spark, folder):
 
 
 @query(f"""WITH {_pieces(ITEM, 'i')}, r AS (SELECT page_id, position, trim(regexp_extract(item, '<a[^>]*>([^<]*)<', 1)) AS name,
-regexp_extract(item, 'href="([^"]*)"', 1) AS h FROM i WHERE position < 25)
+regexp_extract(item, 'href="([^"]*)"', 1) AS h FROM i)
 SELECT page_id, position, name, NULL::DOUBLE AS price, 'http://shop.example.com' || h AS link, 'laptop' AS search_term,
 'In Stock' AS availability, NULL::VARCHAR AS rating, 'Pages' AS source FROM r WHERE name <> ''""")
 def x3_search_results(spark, folder):
-    items = G.split_containers(A.pages(spark, folder), [ITEM], limit=G.MAX_RECORDS)
+    items = G.split_containers(A.pages(spark, folder), [ITEM])
     return G.extract_results(
         items, "laptop",
         titles=[r"<h2[^>]*>([^<]*)<", r"<a[^>]*>([^<]*)<"],
@@ -93,3 +93,65 @@ def x7_paragraph_previews(spark, folder):
     """Text of every paragraph, tags and character references resolved, as a list shows it."""
     rows = G.split_containers(A.pages(spark, folder), [PARAGRAPH])
     return rows.select("page_id", "position", preview(G.text_of(F.col("item"))).alias("preview"))
+
+
+# Parts as pages of records whose fields are all there: five kinds of a part on a page.
+FILLED = """q AS (SELECT p_partkey AS k, p_partkey // 40 AS page_id, p_name AS n, p_brand AS b, p_size AS z,
+  (row_number() OVER (PARTITION BY p_partkey // 40 ORDER BY p_partkey) - 1)::INT AS position,
+  printf('%.2f', p_retailprice) AS r FROM part)"""
+
+
+def _filled(spark, folder, record: str):
+    """Pages with one record per part; ``record`` is a format with the part's fields."""
+    part = A.table(spark, folder, "part")
+    key = F.col("p_partkey")
+    markup = F.format_string(
+        record, key, "p_name", F.format_string("%.2f", "p_retailprice"), "p_brand", "p_size"
+    )
+    rows = part.select(F.floor(key / 40).cast("long").alias("page_id"), F.struct(key, markup.alias("m")).alias("r"))
+    pages = rows.groupBy("page_id").agg(F.array_sort(F.collect_list("r")).alias("r"))
+    body = F.concat(F.lit("<html><body>"), F.array_join(F.col("r.m"), "\n"), F.lit("</body></html>"))
+    return pages.select("page_id", F.lit("http://shop.example.com/list/all.html").alias("url"), body.alias("html"))
+
+
+@query(f"""WITH {FILLED} SELECT page_id, position, n AS name, r::DOUBLE AS price, 'http://shop.example.com/list/p/' || k AS link,
+'http://shop.example.com/img/' || k || '.jpg' AS image, CASE WHEN z > 25 THEN 'In stock' ELSE 'Size ' || z END AS availability FROM q""")
+def x2_filled_fields(spark, folder):
+    """Cards with price, image and availability."""
+    card = (
+        '<article class="card product_pod"><h3><a href="p/%1$d" title="%2$s">%2$s</a></h3><img src="/img/%1$d.jpg">'
+        '<p class="price_color">£%3$s</p><p class="instock availability"> Size\n  %5$d </p></article>'
+    )
+    pages = _filled(spark, folder, card)
+    # Large sizes say that they are in stock.
+    large = F.regexp_replace("html", r"Size\s+(2[6-9]|[3-9][0-9])\s", "In  stock ")
+    items = G.split_containers(pages.withColumn("html", large), G.CATALOGUE_CONTAINERS)
+    return G.extract_fields(items, G.CATALOGUE_FIELDS)
+
+
+@query(f"""WITH {FILLED} SELECT page_id, position, n AS name, r::DOUBLE AS price, 'https://www.amazon.com/dp/' || k AS link,
+'parts' AS search_term, 'In Stock' AS availability, CASE WHEN z <= 25 THEN z || ' out of 50' END AS rating, 'Amazon' AS source FROM q""")
+def x3_filled_results(spark, folder):
+    """Search results with prices and, for the smaller sizes, a rating; up to forty on a page."""
+    result = (
+        '<div class="s-result-item" data-component-type="s-search-result"><div data-cy="title-recipe">'
+        '<a class="a-link-normal" href="/dp/%1$d"><h2><span>%2$s</span></h2></a></div><i class="a-icon-alt">%5$d out of 50</i>'
+        '<span class="a-price"><span class="a-offscreen">$%3$s</span></span></div>'
+    )
+    unrated = F.regexp_replace(F.col("html"), r'<i class="a-icon-alt">(2[6-9]|[3-9][0-9]) out of 50</i>', "")
+    pages = _filled(spark, folder, result).withColumn("html", unrated)
+    return G.extract_results(G.split_containers(pages, G.RESULT_CONTAINERS), "parts")
+
+
+@query(f"""WITH {FILLED} SELECT page_id AS page, position, n AS name, '$' || r || ' to $' || r AS price,
+'http://shop.example.com/' || k AS link, CASE WHEN z <= 25 THEN 'Brand ' || b ELSE 'Unknown' END AS availability FROM q""")
+def x4_filled_auctions(spark, folder):
+    """Auctions with a price range and, for the smaller sizes, a note on availability."""
+    auction = (
+        '<li class="s-item s-item__pl"><a class="s-item__link" href="http://shop.example.com/%1$d">'
+        '<div class="s-item__title"><span role="heading">%2$s</span></div></a><span class="s-item__price">$%3$s to $%3$s</span>'
+        '<span class="SECONDARY_INFO">Brand %4$s<!-- %5$d --></span></li>'
+    )
+    bare = F.regexp_replace("html", r'<span class="SECONDARY_INFO">Brand [^<]*<!-- (2[6-9]|[3-9][0-9]) --></span>', "")
+    pages = _filled(spark, folder, auction).withColumn("html", bare)
+    return G.extract_auctions(G.split_containers(pages, G.AUCTION_CONTAINERS))

@@ -104,7 +104,7 @@ def s7_json_export(spark, folder):
 
 
 @query(f"""WITH {RAW_SHOP} SELECT name, price, link, search_term, job_id,
-substring(replace(search_term, ' ', '_'), 1, 31) AS sheet FROM raw WHERE search_term IS NOT NULL""")
+replace(search_term, ' ', '_') AS sheet FROM raw WHERE search_term IS NOT NULL""")
 def s8_partition_per_term(spark, folder):
     rows = A.shop_listings(spark, folder).select("name", "price", "link", "search_term", "job_id")
     path = scratch_dir(spark, "sheets")
@@ -130,12 +130,11 @@ def f1_named(spark, folder):
     return stamps(select.named(A.shop_listings(spark, folder)), "scrape_time")
 
 
-@query(f"""WITH {RAW_SHOP} SELECT (name IS NOT NULL AND name <> ''
-  AND (coalesce(link, '') <> '' OR price IS NOT NULL)) AS usable, count(*) AS listings
-FROM raw GROUP BY 1""")
+@query(f"""WITH {RAW_SHOP} SELECT name, price, link, job_id, (name IS NOT NULL AND name <> ''
+  AND (coalesce(link, '') <> '' OR price IS NOT NULL)) AS usable FROM raw""")
 def f2_minimum_valid(spark, folder):
-    rows = A.shop_listings(spark, folder)
-    return rows.groupBy(select.minimum_valid().alias("usable")).agg(F.count("*").alias("listings"))
+    rows = A.shop_listings(spark, folder).select("name", "price", "link", "job_id")
+    return rows.withColumn("usable", select.minimum_valid("double"))
 
 
 @query("""WITH it AS (

@@ -8,8 +8,8 @@ from pyspark.sql import types as T
 
 from shelfline.operators.select import from_source, in_date_range, pick_fields
 
-# Fixed value: longest name of a per-term partition.
-SHEET_NAME_LENGTH = 31
+# Rows in one CSV file at most: a file whose fields may span lines is read by one task.
+CSV_FILE_ROWS = 250_000
 
 
 def write_raw_json(df: DataFrame, path: str, by: str = "source") -> None:
@@ -21,8 +21,11 @@ def write_raw_json(df: DataFrame, path: str, by: str = "source") -> None:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    """All columns as CSV with a header. Quotes are doubled, so that any text reads back."""
-    df.write.option("header", True).option("escape", '"').csv(path)
+    """All columns as CSV with a header. Quotes are doubled, so that any text reads back.
+
+    Files are kept short, since one whose fields span lines cannot be split for reading.
+    """
+    df.write.option("header", True).option("escape", '"').option("maxRecordsPerFile", CSV_FILE_ROWS).csv(path)
 
 
 def read_csv(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
@@ -46,14 +49,20 @@ def write_json(df: DataFrame, path: str) -> None:
     df.write.option("ignoreNullFields", False).json(path)
 
 
-def sheet_name(term: Column) -> Column:
-    """Partition name of a search term: spaces to underscores, cut to a fixed length."""
-    return F.substring(F.replace(term, F.lit(" "), F.lit("_")), 1, SHEET_NAME_LENGTH)
+def sheet_name(term: Column, length: int | None = None) -> Column:
+    """Partition name of a search term: spaces to underscores.
+
+    A ``length`` cuts it, as spreadsheets need; terms that begin alike then share a name.
+    """
+    name = F.replace(term, F.lit(" "), F.lit("_"))
+    return name if length is None else F.substring(name, 1, length)
 
 
-def write_by_term(df: DataFrame, path: str, by: str = "search_term", fmt: str = "parquet") -> None:
+def write_by_term(
+    df: DataFrame, path: str, by: str = "search_term", fmt: str = "parquet", name_length: int | None = None
+) -> None:
     """One output partition per non-null search term."""
-    sheets = df.where(F.col(by).isNotNull()).withColumn("sheet", sheet_name(F.col(by)))
+    sheets = df.where(F.col(by).isNotNull()).withColumn("sheet", sheet_name(F.col(by), name_length))
     sheets.hint("rebalance", "sheet").write.partitionBy("sheet").format(fmt).save(path)
 
 
