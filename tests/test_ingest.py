@@ -3,10 +3,12 @@
 from __future__ import annotations
 
 import json
+import re
 
 import pytest
 from pyspark.sql import functions as F
 
+from shelfline import session
 from shelfline.operators import ingest, joins, pages, select
 from shelfline.operators import jobs as J
 from shelfline.operators.cleaning import Cleaner
@@ -32,35 +34,53 @@ def test_listings_keep_all_rows_when_joined_to_jobs(spark, five, jobs):
     }
 
 
-@pytest.fixture
-def no_broadcast(spark):
-    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
-    yield
+@pytest.fixture(params=["-1", "10MB"])
+def join_limit(request, spark):
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", request.param)
+    yield request.param
     spark.conf.unset("spark.sql.autoBroadcastJoinThreshold")
 
 
-@pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
-def test_salted_join_equals_plain_join(spark, no_broadcast, how):
-    """A third of the rows share one key; some keys are NULL or unmatched."""
-    left = spark.range(3000).select(
-        F.when(F.col("id") < 1000, 1).when(F.col("id") < 1100, None).otherwise(F.col("id") % 50).alias("k"),
-        F.col("id").alias("v"),
-    )
-    right = spark.range(25).select(F.col("id").alias("k"), (F.col("id") * 2).alias("w"))
-    assert not joins.fits_broadcast(right)
-    got = joins.spread_join(left, right, ["k"], how)
-    want = left.join(right, "k", how)
-    assert got.columns == want.columns
-    assert sorted(map(str, got.collect())) == sorted(map(str, want.collect()))
+def with_extras(df):
+    return df.withColumn("extra_attributes", F.create_map(F.lit("a"), F.col("name")))
 
 
-def test_salt_spreads_a_hot_key(spark, no_broadcast):
-    left = spark.range(1000).select(F.lit(1).alias("k"), "id")
-    right = spark.createDataFrame([(1, "x")], "k int, w string")
-    plan = joins.spread_join(left, right, ["k"])._jdf.queryExecution().optimizedPlan().toString()
-    assert "xxhash64" in plan
-    salts = left.select(F.pmod(F.xxhash64("k", "id"), F.lit(joins.SALTS)).alias("s")).distinct().count()
-    assert salts == joins.SALTS
+def test_joins_hold_a_hot_key_of_equal_rows(spark, join_limit):
+    """A third of the rows are equal and share one key; rows carry a map."""
+    rows = spark.range(3000).select(
+        F.when(F.col("id") < 1000, 1).when(F.col("id") < 1100, None).otherwise(F.col("id") % 50).alias("job_id"),
+        F.when(F.col("id") < 1000, F.lit("same")).otherwise(F.col("id").cast("string")).alias("name"),
+    )
+    jobs = spark.range(25).selectExpr(
+        "id AS job_id", "'t' || id AS search_term", "'pending' AS status", "timestamp'2024-01-01' AS created_at"
+    )
+    got = joins.attach_jobs(with_extras(rows), jobs)
+    assert got.count() == 3000 and got.where("job_id = 1 AND job_search_term = 't1'").count() == 1000 + 38
+    assert got.where("job_id IS NULL AND job_status IS NULL").count() == 100
+    links = with_extras(rows.withColumn("link", F.col("job_id").cast("string")))
+    fresh = joins.unseen(links, jobs.select(F.col("job_id").cast("string").alias("link")))
+    assert fresh.columns == links.columns
+    assert fresh.count() == 100 + rows.where("job_id >= 25").count()
+
+
+def test_a_batch_is_read_once(spark, tmp_path, join_limit):
+    batch, stored = str(tmp_path / "batch"), str(tmp_path / "stored")
+    rows = spark.range(50).selectExpr("if(id % 5 = 0, null, id % 20) AS link", "id AS scrape_time", "'x' AS name")
+    rows.write.parquet(batch)
+    rows.where("link < 5").write.parquet(stored)
+    fresh = ingest.new_rows(with_extras(spark.read.parquet(batch)), spark.read.parquet(stored), ["scrape_time"])
+    assert sorted(r.scrape_time for r in fresh.where("link IS NOT NULL").collect()) == [6, 7, 8, 9, 11, 12, 13, 14, 16, 17, 18, 19]
+    assert fresh.where("link IS NULL").count() == 10
+    plan = spark._jvm.PythonSQLUtils.explainString(fresh._jdf.queryExecution(), "simple")
+    assert plan.count(f"{batch}]") == 1
+
+
+def test_first_arrivals_order_maps_by_their_entries(spark):
+    rows = spark.createDataFrame([(1, {"b": "2"}), (1, {"a": "9"}), (None, {"a": "1"}), (None, {"a": "0"})], "k int, m map<string, string>")
+    got = ingest.first_arrivals(rows, ["k"], ["m"])
+    assert {(r.k, tuple(r.m.items())) for r in got.collect()} == {(1, (("a", "9"),)), (None, (("a", "0"),))}
+    listings = with_extras(rows.withColumns({"name": F.lit("n"), "search_term": F.lit("t")}))
+    assert Validator().keep(listings, ["duplicate_check"], unique=True).count() == 1
 
 
 @pytest.mark.parametrize("limit", ["10485760b", "-1"])
@@ -82,9 +102,9 @@ def test_first_per_link(spark):
 
 
 def test_hot_link_is_reduced_before_the_shuffle(spark):
-    rows = spark.range(1000).select(F.lit("hot").alias("link"), "id")
+    rows = spark.range(1000).select((F.col("id") % 3).alias("link"), "id")
     plan = ingest.first_arrivals(rows, ["link"], ["id"])._jdf.queryExecution().executedPlan().toString()
-    assert "partial_min_by" in plan and plan.index("Exchange") < plan.index("partial_min_by")
+    assert re.search(r"(?s)WindowGroupLimit .*Final.*Exchange.*WindowGroupLimit .*Partial", plan)
 
 
 def test_first_rows_per_group_are_limited_before_the_shuffle(spark):
@@ -109,6 +129,17 @@ def test_batches_are_stored_once(spark, five, tmp_path):
     assert set(STORED_FIELDS) < set(stored.columns)
 
 
+def test_every_insert_adds_unless_it_is_a_repeat(spark, five, tmp_path):
+    store = str(tmp_path / "store")
+    for run, part in (("a", "product_id <= 2"), ("b", "product_id > 2"), ("b", "product_id > 2")):
+        ingest.append_batch(five.where(part).withColumn("source", F.lit("x")), store, 1, run=run)
+    assert ingest.read_store(spark, store).count() == 5
+    unlinked = five.limit(2).drop("job_id").withColumns({"link": F.lit(None).cast("string"), "source": F.lit("x")})
+    for _ in range(2):
+        ingest.append_batch(unlinked, store)
+    assert ingest.read_store(spark, store).where("job_id IS NULL").count() == 4
+
+
 def test_store_is_empty_before_the_first_batch(spark, tmp_path):
     assert ingest.read_store(spark, str(tmp_path / "none")).count() == 0
 
@@ -163,16 +194,28 @@ def test_incremental_ingest_reads_only_new_files(spark, five, tmp_path):
     assert as_set(ingest.read_store(spark, store).where("link LIKE '%/3'"), "name") == {("Product C",)}
 
 
-def test_stream_drops_repeats_and_late_rows(spark, five, tmp_path):
+def test_streams_share_a_store(spark, five, tmp_path):
+    """Streams with progress of their own, and one that starts anew, never replace each other's rows."""
+    source, store = str(tmp_path / "in"), str(tmp_path / "store")
+    five.write.parquet(source)
+    for progress, part in (("p1", "product_id = 1"), ("p2", "product_id <= 3"), ("p3", "product_id >= 3"), ("p1", "product_id > 0")):
+        stream = arrivals.arriving(spark, source, five.schema)
+        arrivals.ingest_arrivals(
+            stream, store, str(tmp_path / progress), lambda df, p=part: df.where(p), ["scrape_time"]
+        ).awaitTermination()
+    assert sorted(r.link[-1] for r in ingest.read_store(spark, store).collect()) == list("12345")
+
+
+def test_hours_of_a_stream(spark, five, tmp_path):
     source = str(tmp_path / "in")
-    doubled = five.unionByName(five)
-    doubled.coalesce(1).write.parquet(source)
+    five.unionByName(five).coalesce(1).write.parquet(source)
+    rows = spark.read.parquet(source).withColumn("price_numeric", F.lit(1.0))
     stream = arrivals.arriving(spark, source, five.schema).withColumn("price_numeric", F.lit(1.0))
-    links, hours = str(tmp_path / "links"), str(tmp_path / "hours")
-    arrivals.run_to_files(arrivals.first_links(stream), links, str(tmp_path / "p1"))
-    assert spark.read.parquet(links).count() == 5
+    hours = str(tmp_path / "hours")
     arrivals.run_to_files(arrivals.hourly_counts(stream), hours, str(tmp_path / "p2"))
-    assert as_set(spark.read.parquet(hours), F.hour("hour_start"), "listings") == {(10, 2), (11, 2), (12, 2), (13, 2)}
+    closed = spark.read.parquet(hours)
+    assert as_set(closed, F.hour("hour_start"), "listings") == {(10, 2), (11, 2), (12, 2), (13, 2)}
+    assert as_set(arrivals.open_hours(rows, closed), F.dayofmonth("hour_start"), "listings") == {(2, 2)}
     late = five.where("product_id = 1").withColumn("scrape_time", F.lit("2023-12-01T00:00:00"))
     late.write.mode("append").parquet(source)
     arrivals.run_to_files(arrivals.hourly_counts(stream), hours, str(tmp_path / "p2"))
@@ -206,7 +249,9 @@ def test_sheets_and_export(spark, five, tmp_path):
     long = five.withColumn("search_term", F.when(F.col("search_term") == "books", F.lit("a b " * 10)))
     sinks.write_by_term(long, path)
     sheets = spark.read.parquet(path)
-    assert as_set(sheets, "sheet") == {(("a_b_" * 10)[:31],)} and sheets.count() == 3
+    assert as_set(sheets, "sheet") == {("a_b_" * 10,)} and sheets.count() == 3
+    sinks.write_by_term(long, path + "-short", name_length=31)
+    assert as_set(spark.read.parquet(path + "-short"), "sheet") == {(("a_b_" * 10)[:31],)}
     rows = five.withColumn("source", F.when(F.col("product_id") > 1, "eBay"))
     got = sinks.configured_export(rows, "name, nothing,price", "EBAY", "2024-01-01", "2024-01-01")
     assert got.columns == ["name", "price"] and got.count() == 3
@@ -288,9 +333,9 @@ RESULT = """<div class="s-result-item" data-component-type="s-search-result"><di
 def test_search_results_page(spark):
     html = "".join(RESULT.format(i) for i in range(9)) * 4
     page = spark.createDataFrame([(1, "http://a.example.com", html)], "page_id int, url string, html string")
-    items = pages.split_containers(page, pages.RESULT_CONTAINERS, limit=pages.MAX_RECORDS)
-    got = pages.extract_results(items, "laptop").orderBy("position").collect()
-    assert len(got) == 25
+    assert pages.split_containers(page, pages.RESULT_CONTAINERS, limit=pages.PAGE_LIMIT).count() == 25
+    got = pages.extract_results(pages.split_containers(page, pages.RESULT_CONTAINERS), "laptop").orderBy("position").collect()
+    assert len(got) == 36
     r = got[1].asDict()
     assert (r["name"], r["price"], r["rating"], r["source"]) == ("Laptop 1", 1010.5, "4.1 out of 5", "Amazon")
     assert r["link"] == "https://www.amazon.com/dp/1" and r["availability"] == "In Stock"
@@ -320,20 +365,67 @@ def test_page_classes(spark):
     assert as_set(pages.block_rates(classes), "host", "pages", "blocked_rate") == {("a.com", 2, 0.5), ("b.com", 1, 0.0)}
 
 
-def test_hot_link_is_thinned_ahead_of_the_shuffle(spark, tmp_path):
-    """A link that fills the stream is emitted once; one whose first row is late is not lost."""
-    source, out, progress = (str(tmp_path / n) for n in ("in", "out", "progress"))
+def test_stream_keeps_the_first_row_of_each_link(spark, tmp_path):
+    """The earliest row of a batch counts; late files and rows without a link are kept."""
+    source, store, progress = (str(tmp_path / n) for n in ("in", "store", "progress"))
     schema = "link string, scrape_time timestamp, n int"
     rows = "SELECT link, CAST(t AS timestamp) AS scrape_time, n FROM VALUES {} AS v(link, t, n)"
-    hot = ", ".join(f"('hot', '2024-01-10 00:00:0{i % 10}', {i})" for i in range(50))
-    spark.sql(rows.format(hot)).coalesce(1).write.parquet(source)
 
-    def run():
-        stream = arrivals.arriving(spark, source, spark.createDataFrame([], schema).schema)
-        arrivals.run_to_files(arrivals.first_links(stream), out, progress)
-        return as_set(spark.read.parquet(out), "link", "n")
-
-    assert run() == {("hot", 0)}
-    late = "('b', '2024-01-01 00:00:00', 1), ('b', '2024-01-10 01:00:00', 2), ('hot', '2024-01-10 02:00:00', 99)"
-    spark.sql(rows.format(late)).coalesce(1).write.mode("append").parquet(source)
-    assert run() == {("hot", 0), ("b", 2)}
+    def run(values):
+        spark.sql(rows.format(values)).coalesce(1).write.mode("append").parquet(source)
+        shape = spark.createDataFrame([], schema).schema
+        stream = arrivals.arriving(spark, source, shape)
+        arrivals.first_links(stream, store, progress, ["scrape_time", "n"]).awaitTermination()
+        return as_set(ingest.read_store(spark, store, shape), "link", "n")
+
+    hot = ", ".join(f"('hot', '2024-01-10 00:00:{59 - i}', {i})" for i in range(50))
+    assert run(hot + ", (NULL, '2024-01-10 00:00:00', 77), (NULL, '2024-01-10 00:00:00', 77)") == {("hot", 49), (None, 77)}
+    late = "('b', '2023-01-01 00:00:00', 1), ('b', '2022-01-01 00:00:00', 2), ('hot', '2020-01-10 02:00:00', 99), (NULL, NULL, 78)"
+    assert run(late) == {("hot", 49), (None, 77), ("b", 2), (None, 78)}
+    assert ingest.read_store(spark, store).count() == 5
+
+
+def plan_of(df) -> str:
+    return df.sparkSession._jvm.PythonSQLUtils.explainString(df._jdf.queryExecution(), "formatted")
+
+
+def test_retention_reaches_the_files(spark, tmp_path):
+    path = str(tmp_path / "rows")
+    spark.sql("SELECT timestamp'2024-01-01' AS scrape_time").write.parquet(path)
+    plan = plan_of(J.retained(spark.read.parquet(path), "2024-01-31", 10))
+    assert re.search(r"PushedFilters: \[Or\(IsNull\(scrape_time\),GreaterThanOrEqual\(scrape_time", plan)
+
+
+def test_cleaning_steps_run_once(mixed):
+    """The filter on the cleaned rows does not repeat the steps."""
+    plan = plan_of(Cleaner().run(mixed, ["clean_product_name", "normalize_price", "validate_url"]))
+    tree = plan.split("== Physical Plan ==")[1]
+    assert tree.count("limited time") <= 2  # the name itself and its model, in one projection
+    assert "limited time" not in "".join(x for x in tree.splitlines() if x.startswith("Condition"))
+
+
+def test_insights_read_the_listings_twice(spark, five, tmp_path):
+    path = str(tmp_path / "rows")
+    L.timed_scan(five).write.parquet(path)
+    plan = plan_of(reports.insights(spark.read.parquet(path)))
+    assert len(set(re.findall(r"ReadSchema: (\S+)", plan))) <= 2
+
+
+def test_scratch_needs_a_shared_location(spark, monkeypatch):
+    class Session:
+        def __init__(self, **conf):
+            self.conf = self
+            self.known = conf
+
+        def get(self, key, default=None):
+            return self.known.get(key, default)
+
+        def set(self, key, value):
+            self.known[key] = value
+
+    for master in ("yarn", "spark://host:7077", "local-cluster[3,2,1000]", "k8s://host"):
+        with pytest.raises(ValueError, match="checkpoint"):
+            session.scratch_dir(Session(**{"spark.master": master}), "x")
+    assert session.scratch_dir(Session(**{"spark.master": "yarn", "spark.checkpoint.dir": "s3://b/t/"}), "x").startswith("s3://b/t/x-")
+    alone = Session(**{"spark.master": "local[4]"})
+    assert session.scratch_dir(alone, "x").startswith(alone.get("spark.checkpoint.dir"))
