@@ -40,8 +40,6 @@ ALLOWED = (
     re.compile(r"(sha(1|256|384|512)|md5)-.*"),  # integrity checksums
     re.compile(r"/?([a-z0-9_-]+/)+[a-z0-9_-]*"),  # paths
 )
-# Entropy contribution of a character seen c times in a window.
-_TERM = [0.0] + [c / WINDOW * log2(c / WINDOW) for c in range(1, WINDOW + 1)]
 
 
 def char_class(text: str) -> tuple[frozenset, float] | None:
@@ -58,17 +56,19 @@ def hot_stretches(text: str, bits: float, window: int = WINDOW) -> list[tuple[in
 
     The window moves one character at a time; only the two counts that change are updated.
     """
+    # What a character seen c times takes from the entropy of a window.
+    terms = [0.0, *(c / window * log2(c / window) for c in range(1, window + 1))]
     counts: dict[str, int] = {}
     entropy, found = 0.0, []
     for i, c in enumerate(text):
-        n = counts.get(c, 0)
-        entropy += _TERM[n] - _TERM[n + 1]
-        counts[c] = n + 1
         if i >= window:
             old = text[i - window]
             n = counts[old]
-            entropy += _TERM[n] - _TERM[n - 1]
+            entropy += terms[n] - terms[n - 1]
             counts[old] = n - 1
+        n = counts.get(c, 0)
+        entropy += terms[n] - terms[n + 1]
+        counts[c] = n + 1
         if i >= window - 1 and entropy > bits + 1e-9:
             start = i - window + 1
             if found and start <= found[-1][1]:
