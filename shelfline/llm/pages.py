@@ -251,35 +251,37 @@ def _cells(rows: DataFrame, most: int) -> DataFrame:
 
 def _differences(parsed: DataFrame, most: int) -> DataFrame:
     """Lines of each page that the page with the nearest URL of its host has as well."""
+    cells = ["host", "cell", "part_of_cell"]
     rows = _cells(parsed.select("row", "host", "path", "marks"), most)
-    order = W.partitionBy("host", "cell", "part_of_cell").orderBy("path", "row")
+    rows = rows.withColumn("lines_id", F.xxhash64(*cells, "marks"))
+    # Pages with the same lines tell nothing about what belongs to the site; they are one
+    # place in the order, that of their first path, and get the same answer.
+    kinds = rows.groupBy(*cells, "lines_id").agg(F.min("path").alias("path"), F.first("marks").alias("marks"))
+    order = W.partitionBy(*cells).orderBy("path", "lines_id")
 
     def beside(c: str, step: Column) -> list[Column]:
         return [step(F.col(x)).over(order).alias(f"{c}_{x}") for x in ("path", "marks")]
 
-    paired = rows.select("row", "path", "marks", *beside("back", F.lag), *beside("on", F.lead))
+    paired = kinds.select("lines_id", "path", "marks", *beside("back", F.lag), *beside("on", F.lead))
 
     def make():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = {"at_row": [], "shared": []}
+            out = {"of_lines": [], "shared": []}
             for r in batch.to_pylist():
-                # A page with the same lines tells nothing about what belongs to the site.
-                near = [
-                    (-_shared_prefix(r["path"], r[f"{c}_path"]), c)
-                    for c in ("back", "on") if r[f"{c}_marks"] is not None and r[f"{c}_marks"] != r["marks"]
-                ]
+                near = [(-_shared_prefix(r["path"], r[f"{c}_path"]), c) for c in ("back", "on") if r[f"{c}_marks"] is not None]
                 if near:
                     shared = common_lines(r["marks"], r[f"{min(near)[1]}_marks"])
                     if shared:
-                        out["at_row"].append(r["row"])
+                        out["of_lines"].append(r["lines_id"])
                         out["shared"].append(shared)
             return pa.RecordBatch.from_arrays(
-                [pa.array(out["at_row"], pa.int64()), pa.array(out["shared"], pa.list_(pa.int32()))], ["at_row", "shared"]
+                [pa.array(out["of_lines"], pa.int64()), pa.array(out["shared"], pa.list_(pa.int32()))], ["of_lines", "shared"]
             )
 
         return run
 
-    return over_batches(paired, make, "at_row long, shared array<int>")
+    found = over_batches(paired, make, "of_lines long, shared array<int>")
+    return rows.join(found, F.col("lines_id") == F.col("of_lines")).select(F.col("row").alias("at_row"), "shared")
 
 
 def chosen_lines(lines: Sequence[str], parts: Sequence[int], shared: Sequence[int]) -> list[str]:
@@ -298,8 +300,8 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
     """Main text of every page: ``page_id, url, text, n_chars``.
 
     Pages are cut into lines (blocks) with the part of the page they stand in. Pages of a
-    host are sorted by URL path, each is paired with the neighbour whose path shares the
-    longer prefix, and their lines outside articles are aligned by longest common
+    host are sorted by URL path, each is paired with the neighbour of other lines whose path
+    shares the longer prefix, and their lines outside articles are aligned by longest common
     subsequence; shared lines are deleted. Lines inside an article are never deleted, since
     pages may carry the same article; menus, footers and the like are left out by structure
     as well, so that a page without a neighbour is right. Hosts of more than ``cell_pages``
