@@ -68,7 +68,7 @@ def op7_html_extraction(spark, folder):
 
 @query
 def op8_source_mixing(spark, folder):
-    return mixing.mix(table(spark, folder, "documents"))
+    return mixing.mix(table(spark, folder, "documents")).withColumn("target", F.round("target", 6))
 
 
 @query
