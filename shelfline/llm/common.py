@@ -3,11 +3,13 @@
 from __future__ import annotations
 
 from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from shelfline.session import materialise
 
@@ -20,11 +22,23 @@ WORD_BYTES = bytes(
 # Rows that one task ranks by sorting; cells hold about this many.
 ROWS_PER_CELL = 20_000
 BATCH_ROWS = 1000
+_BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
 def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
     """Keep the texts of one Arrow batch few, so that long ones fit a Python worker."""
-    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(rows))
+    spark.conf.set(_BATCH, str(rows))
+
+
+@contextmanager
+def batches_of(spark: SparkSession, rows: int) -> Iterator[None]:
+    """Arrow batches of another size for what is run, not only planned, inside."""
+    before = spark.conf.get(_BATCH)
+    spark.conf.set(_BATCH, str(rows))
+    try:
+        yield
+    finally:
+        spark.conf.set(_BATCH, before)
 
 
 def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
@@ -32,12 +46,9 @@ def table(spark: SparkSession, folder: str, name: str) -> DataFrame:
 
 
 def over_batches(
-    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch | pa.Table]], schema: str
+    df: DataFrame, make: Callable[[], Callable[[pa.RecordBatch], pa.RecordBatch]], schema: str | T.StructType
 ) -> DataFrame:
     """Apply a function to every Arrow batch; ``make`` prepares it once per task."""
-    from pyspark.sql.types import _parse_datatype_string
-
-    wanted = _parse_datatype_string(schema)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         fn = make()
@@ -46,7 +57,7 @@ def over_batches(
                 yield fn(batch)
 
     small_batches(df.sparkSession)
-    return df.mapInArrow(run, wanted)
+    return df.mapInArrow(run, schema)
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
@@ -55,9 +66,9 @@ def written(df: DataFrame, label: str) -> DataFrame:
 
 
 def hashable(df: DataFrame, names: list[str]) -> list[Column]:
-    """The columns that can be hashed; Spark hashes no maps and no variants."""
+    """Columns as Spark can hash them: those with maps as JSON, others as they are."""
     kinds = dict(df.dtypes)
-    return [F.col(f"`{c}`") for c in names if "map<" not in kinds[c] and "variant" not in kinds[c]]
+    return [F.to_json(F.struct(f"`{c}`")) if "map<" in kinds[c] else F.col(f"`{c}`") for c in names]
 
 
 def order_key(seed: int, column: Column) -> Column:
