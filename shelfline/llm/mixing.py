@@ -4,23 +4,45 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+import pyarrow as pa
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
-from shelfline.llm.common import before_in_group, order_key
+from shelfline.llm.common import before_in_group, hashable, order_key, over_batches, written
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
 EPOCHS = 2
 
 
-def word_count(text: Column) -> Column:
-    """Runs of characters that are not ASCII white space; 0 for a null text."""
-    bare = F.trim(F.regexp_replace(F.coalesce(text, F.lit("")), r"[\x20\x09-\x0D]+", " "))
-    return F.when(bare == "", F.lit(0)).otherwise(
-        F.length(bare) - F.length(F.replace(bare, F.lit(" "), F.lit(""))) + 1
-    ).cast("long")
+def _sized(docs: DataFrame, kept: list[str], seed: int) -> DataFrame:
+    """The kept columns as ``row``, with the words, the key and the source of every document.
+
+    Texts are read once and the result is written, so that later passes read a few numbers.
+    """
+    rows = docs.select(
+        F.struct(*[F.col(f"`{c}`") for c in kept]).alias("row"),
+        F.coalesce("text", F.lit("")).alias("text"),
+        F.coalesce("source", F.lit("")).alias("src"),
+        F.col("source").isNull().alias("no_src"),
+        order_key(seed, F.col("doc_id")).alias("key"),
+        F.xxhash64(*hashable(docs, docs.columns)).alias("tie"),
+    )
+
+    def make():
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            # Bytes are split at ASCII white space, as a size is defined.
+            sizes = [len(t.encode("utf-8", "replace").split()) for t in batch.column(1).to_pylist()]
+            columns = [batch.column(0), *batch.columns[2:], pa.array(sizes, pa.int64())]
+            return pa.RecordBatch.from_arrays(columns, ["row", "src", "no_src", "key", "tie", "size"])
+
+        return run
+
+    fields = [f for f in rows.schema.fields if f.name != "text"]
+    shape = T.StructType([*fields, T.StructField("size", T.LongType())])
+    return written(over_batches(rows, make, shape), "sizes")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, epochs: float) -> DataFrame:
@@ -56,22 +78,14 @@ def mix(
     documents in order, the last one in part. ``taken`` counts words, repeats included.
 
     Null or empty texts have size 0 and are never taken; a null source is one source, last
-    in order; equal ids are ordered by size and then by text, so that a rerun can exchange
-    equal rows only. An empty table gives no rows; other columns are ignored.
+    in order; equal ids are ordered by size and then by the hash of the row, so that a rerun
+    can exchange equal rows only. An empty table gives no rows; other columns are ignored.
     """
-    text = F.coalesce("text", F.lit(""))
-    rows = docs.select(
-        "doc_id",
-        word_count(F.col("text")).alias("size"),
-        order_key(seed, F.col("doc_id")).alias("key"),
-        F.crc32(text.cast("binary")).alias("tie"),
-        F.coalesce(F.col("source"), F.lit("")).alias("src"),
-        F.col("source").isNull().alias("no_src"),
-    )
-    return _taken(rows, ["doc_id"], weights, share, epochs)
+    taken = _taken(_sized(docs, ["doc_id"], seed), weights, share, epochs)
+    return taken.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
-def _taken(rows: DataFrame, kept: list[str], weights: Sequence[float], share: float, epochs: int) -> DataFrame:
+def _taken(rows: DataFrame, weights: Sequence[float], share: float, epochs: int) -> DataFrame:
     sizes = rows.groupBy("no_src", "src").agg(F.sum("size").alias("size_total"))
     targets = source_targets(sizes, weights, share, epochs)
     joined = before_in_group(rows, ["no_src", "src"], "key", ["size", "tie"], {"size": "size"}, targets)
@@ -80,7 +94,7 @@ def _taken(rows: DataFrame, kept: list[str], weights: Sequence[float], share: fl
     joined = joined.withColumn("rest", F.col("budget") - F.col("rounds") * F.col("size_total"))
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("size_before")))
     return joined.select(
-        *kept, "size", F.col("size_total").alias("source_size"), "target",
+        "row", "size", F.col("size_total").alias("source_size"), "target",
         (F.col("rounds") * F.col("size") + extra).cast("long").alias("taken"),
     )
 
@@ -94,15 +108,7 @@ def mixed(
     taken. Columns stay as they are; empty documents, which no budget counts, are left out
     with the documents that are not taken.
     """
-    rows = docs.select(
-        F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"),
-        word_count(F.col("text")).alias("size"),
-        order_key(seed, F.col("doc_id")).alias("key"),
-        F.crc32(F.coalesce("text", F.lit("")).cast("binary")).alias("tie"),
-        F.coalesce(F.col("source"), F.lit("")).alias("src"),
-        F.col("source").isNull().alias("no_src"),
-    )
-    taken = _taken(rows, ["row"], weights, share, epochs)
+    taken = _taken(_sized(docs, docs.columns, seed), weights, share, epochs)
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
     copies = taken.where("size > 0").withColumn("times", times).where("times > 0")
     return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")
