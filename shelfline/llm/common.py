@@ -20,7 +20,7 @@ WORD_BYTES = bytes(
     b + 32 if 65 <= b <= 90 else b if 48 <= b <= 57 or 97 <= b <= 122 or b >= 128 else 32 for b in range(256)
 )
 # Rows that one task ranks by sorting; cells hold about this many.
-ROWS_PER_CELL = 20_000
+ROWS_PER_CELL = 4_000
 BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
