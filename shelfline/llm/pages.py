@@ -40,7 +40,7 @@ COMMENTS = frozenset("comment comments respond disqus".split())
 
 HIDDEN, BESIDE, OPEN, ARTICLE = 0, 1, 2, 3
 _NAME = re.compile(r"[A-Za-z0-9]+")
-_URL = re.compile(r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)")
+_URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
 
 
 class Lines(HTMLParser):
@@ -205,26 +205,37 @@ def _shared_prefix(a: str, b: str) -> int:
     return n
 
 
+def candidates(found: Sequence[tuple[str, int]]) -> tuple[list[str], list[int] | None, list[str]]:
+    """What may be main text, its places among the compared lines, and the compared lines.
+
+    Lines of an article stand for themselves and have no places. Without an article it is
+    the lines that are not marked as something else. All lines outside articles are compared
+    with those of other pages.
+    """
+    compared = [(x, p) for x, p in found if p != ARTICLE]
+    if len(compared) < len(found):
+        return [x for x, p in found if p == ARTICLE], None, [x for x, _ in compared]
+    places = [i for i, (_, p) in enumerate(compared) if p == OPEN]
+    return [compared[i][0] for i in places], places, [x for x, _ in compared]
+
+
 def _parsed(pages: DataFrame) -> DataFrame:
-    """Lines of every page, packed, with the hashes of those outside the article."""
+    """The possible lines of every page, packed, with hashes of the lines to compare."""
 
     def make():
-        pack = zstandard.ZstdCompressor(level=3)
+        pack = zstandard.ZstdCompressor(level=6)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            hosts, paths, lines, parts, marks = [], [], [], [], []
-            for url, html in zip(batch.column(1).to_pylist(), batch.column(2).to_pylist()):
-                place = _URL.match(url or "")
-                hosts.append(place[1].lower() if place else "")
-                paths.append(place[2] if place else "")
-                found = page_lines(html)
-                lines.append(pack.compress("\n".join(x for x, _ in found).encode("utf-8", "replace")))
-                parts.append(bytes(p for _, p in found))
-                marks.append([xxhash.xxh64_intdigest(x) - (1 << 63) for x, p in found if p != ARTICLE])
+            lines, places, marks = [], [], []
+            for html in batch.column(2).to_pylist():
+                kept, at, compared = candidates(page_lines(html))
+                lines.append(pack.compress("\n".join(kept).encode("utf-8", "replace")) if kept else None)
+                places.append(at)
+                marks.append([xxhash.xxh64_intdigest(x) - (1 << 63) for x in compared])
             return pa.RecordBatch.from_arrays(
-                [batch.column(0), batch.column(1), pa.array(hosts, pa.string()), pa.array(paths, pa.string()),
-                 pa.array(lines, pa.binary()), pa.array(parts, pa.binary()), pa.array(marks, pa.list_(pa.int64()))],
-                ["page_id", "url", "host", "path", "lines", "parts", "marks"],
+                [*batch.columns[:2], pa.array(lines, pa.binary()), pa.array(places, pa.list_(pa.int32())),
+                 pa.array(marks, pa.list_(pa.int64()))],
+                ["page_id", "url", "lines", "places", "marks"],
             )
 
         return run
@@ -232,7 +243,7 @@ def _parsed(pages: DataFrame) -> DataFrame:
     kinds = dict(pages.dtypes)
     return over_batches(
         pages.select("page_id", "url", "html"), make,
-        f"page_id {kinds['page_id']}, url string, host string, path string, lines binary, parts binary, marks array<long>",
+        f"page_id {kinds['page_id']}, url string, lines binary, places array<int>, marks array<long>",
     ).withColumn("row", F.monotonically_increasing_id())
 
 
@@ -252,7 +263,8 @@ def _cells(rows: DataFrame, most: int) -> DataFrame:
 def _differences(parsed: DataFrame, most: int) -> DataFrame:
     """Lines of each page that the page with the nearest URL of its host has as well."""
     cells = ["host", "cell", "part_of_cell"]
-    rows = _cells(parsed.select("row", "host", "path", "marks"), most)
+    host, path = (F.regexp_extract(F.coalesce("url", F.lit("")), _URL, i) for i in (1, 2))
+    rows = _cells(parsed.select("row", F.lower(host).alias("host"), path.alias("path"), "marks"), most)
     rows = rows.withColumn("lines_id", F.xxhash64(*cells, "marks"))
     # Pages with the same lines tell nothing about what belongs to the site; they are one
     # place in the order, that of their first path, and get the same answer.
@@ -284,18 +296,6 @@ def _differences(parsed: DataFrame, most: int) -> DataFrame:
     return rows.join(found, F.col("lines_id") == F.col("of_lines")).select(F.col("row").alias("at_row"), "shared")
 
 
-def chosen_lines(lines: Sequence[str], parts: Sequence[int], shared: Sequence[int]) -> list[str]:
-    """The lines of the main text.
-
-    Lines of an article stand for themselves. Without an article the text is what is neither
-    marked as something else nor shared with the paired page.
-    """
-    if ARTICLE in parts:
-        return [x for x, p in zip(lines, parts) if p == ARTICLE]
-    gone = set(shared)
-    return [x for i, (x, p) in enumerate(zip(lines, parts)) if p == OPEN and i not in gone]
-
-
 def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
     """Main text of every page: ``page_id, url, text, n_chars``.
 
@@ -313,16 +313,19 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
     """
     parsed = written(_parsed(pages), "page-lines")
     found = _differences(parsed, cell_pages)
-    joined = parsed.select("row", "page_id", "url", "lines", "parts").join(found, F.col("row") == F.col("at_row"), "left")
+    joined = parsed.drop("marks").join(found, F.col("row") == F.col("at_row"), "left")
 
     def make():
         unpack = zstandard.ZstdDecompressor()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = []
-            for packed, parts, shared in zip(*[batch.column(i).to_pylist() for i in (2, 3, 4)]):
-                lines = unpack.decompress(packed).decode().split("\n") if parts else []
-                texts.append("\n".join(chosen_lines(lines, parts, shared or ())))
+            for packed, places, shared in zip(*[batch.column(i).to_pylist() for i in (2, 3, 4)]):
+                lines = unpack.decompress(packed).decode().split("\n") if packed else []
+                if shared and places is not None:
+                    gone = set(shared)
+                    lines = [x for x, at in zip(lines, places) if at not in gone]
+                texts.append("\n".join(lines))
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
                 ["page_id", "url", "text", "n_chars"],
@@ -332,5 +335,5 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
 
     kind = dict(pages.dtypes)["page_id"]
     return over_batches(
-        joined.select("page_id", "url", "lines", "parts", "shared"), make, f"page_id {kind}, url string, text string, n_chars long"
+        joined.select("page_id", "url", "lines", "places", "shared"), make, f"page_id {kind}, url string, text string, n_chars long"
     )
