@@ -37,12 +37,27 @@ MARKS = frozenset(
     "comment comments respond disqus share sharing social related popup modal contentinfo complementary search".split()
 )
 COMMENTS = frozenset("comment comments respond disqus".split())
+# Words that turn a mark around (``no-sidebar``), and marks that an article's own parts carry.
+TURNING = frozenset("no has have with without free".split())
+OF_ARTICLES = frozenset("header masthead".split())
 
 HIDDEN, BESIDE, OPEN, ARTICLE = 0, 1, 2, 3
-_NAME = re.compile(r"[A-Za-z0-9]+")
+_NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
 
 
+def marks_of(attrs: Sequence[tuple[str, str | None]]) -> set[str]:
+    """Words of an element's classes, id and role, without those of a class that turns them around."""
+    names: set[str] = set()
+    for key, value in attrs:
+        if key in ("class", "id", "role") and value:
+            for one in value.split():
+                words = {w.lower() for w in _NAME.findall(one)}
+                if not words & TURNING:
+                    names |= words
+    return names
+
+
 class Lines(HTMLParser):
     """Text blocks of a page with the part of the page they stand in.
 
@@ -76,7 +91,9 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         _, part, comments = self.stack[-1]
-        names = {w.lower() for k, v in attrs if k in ("class", "id", "role") and v for w in _NAME.findall(v)}
+        names = marks_of(attrs)
+        if part == ARTICLE:
+            names -= OF_ARTICLES
         comments = comments or bool(names & COMMENTS)
         if tag in NO_TEXT or part == HIDDEN:
             now = HIDDEN

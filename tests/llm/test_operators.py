@@ -279,6 +279,21 @@ def test_article_and_nothing_else():
     assert all(p == pages.BESIDE for x, p in lines if p != pages.ARTICLE)
 
 
+@pytest.mark.parametrize(
+    ("body", "kept"),
+    [
+        ("<div class='no-sidebar wrap'><p>text</p></div><div class=siteFooter>f</div><div id=cookieBar>c</div>", ["text"]),
+        ("<article class='post with-comments'><div class=entry-header><h1>T</h1></div>x<div class=share-links>s</div></article>", ["T", "x"]),
+        ("<div class=sidebar><p>s</p></div><p>a<p>b", ["a", "b"]),
+        ("<main><p>a</main><div>b</div>", ["a"]),
+        ("<![CDATA[x]]><p>1 < 2 &lt;b&gt; <3<p>&#x41;&unknown;</p><!-- <p>no</p> --><p hidden", ["1 < 2 <b> <3", "A&unknown;"]),
+        ("<div><span class=ad>buy</span>text <em>and</em> more</div>", ["text and more"]),
+    ],
+)
+def test_structure(body, kept):
+    assert pages.candidates(pages.page_lines(page(body)))[0] == kept
+
+
 def test_shared_lines_go_where_structure_is_silent(spark, monkeypatch):
     frame = "<div>Home of all</div><div>{}</div><div>{}</div><div>Imprint and rights</div>"
     data = [
