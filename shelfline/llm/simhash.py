@@ -272,12 +272,14 @@ def without_near_duplicates(
 
     Equal ids are ordered by the hash of the row; of equal rows one stays. Null ids come last.
     """
-    mark = F.xxhash64(*hashable(docs, docs.columns))
-    prints = written(fingerprints(docs, shingle, mark.alias("mark")), "fingerprints")
-    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), F.col("mark").alias("mark"))
-    kept = _classes(prints, order, reach, shard_rows).select("first.*").distinct()
-    kept = kept.select(F.col("id").alias("kept_id"), F.col("mark").alias("kept_mark"))
-    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), F.col("doc_id").alias("id"), mark.alias("mark"))
-    once = W.partitionBy("mark", "id").orderBy("mark")
-    found = rows.join(kept, (F.col("mark") == F.col("kept_mark")) & F.col("id").eqNullSafe(F.col("kept_id")), "left_semi")
+    # Two hashes of the whole row name it; they are never null, so that the rows are dealt once
+    # for the join and for dropping repeats.
+    whole = hashable(docs, docs.columns)
+    marks = [F.xxhash64(*whole).alias("mark"), F.xxhash64(F.lit(1), *whole).alias("mark2")]
+    prints = written(fingerprints(docs, shingle, *marks), "fingerprints")
+    order = F.struct(F.col("doc_id").isNull().alias("none"), F.col("doc_id").alias("id"), "mark", "mark2")
+    kept = _classes(prints, order, reach, shard_rows).select("first.mark", "first.mark2").distinct()
+    rows = docs.select(F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"), *marks)
+    once = W.partitionBy("mark", "mark2").orderBy("mark")
+    found = rows.join(kept, ["mark", "mark2"], "left_semi")
     return found.withColumn("turn", F.row_number().over(once)).where("turn = 1").select("row.*")
