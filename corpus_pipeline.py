@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 
 from shelfline.llm import decontaminate, mixing, quality, shards, simhash
-from shelfline.llm.common import small_batches, table, written
+from shelfline.llm.common import prepare, table, written
 
 # Operators of these stages have no SQL form (trees, fingerprints, an automaton).
 ORACLE_SQL: str | None = None
@@ -19,17 +19,17 @@ SHARDS = 16
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return simhash.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    small_batches(spark)
+    prepare(spark)
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 

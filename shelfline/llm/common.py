@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import os
 from collections.abc import Callable, Iterator
 from contextlib import contextmanager
+from pathlib import Path
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -25,9 +27,17 @@ BATCH_ROWS = 1000
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
-def small_batches(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
-    """Keep the texts of one Arrow batch few, so that long ones fit a Python worker."""
+def prepare(spark: SparkSession, rows: int = BATCH_ROWS) -> None:
+    """Settings for functions on Arrow batches.
+
+    Batches hold few texts, so that long ones fit a Python worker; and workers look for this
+    package where the driver has it, besides where they look anyway.
+    """
     spark.conf.set(_BATCH, str(rows))
+    here, known = str(Path(__file__).resolve().parents[2]), spark.sparkContext.environment
+    paths = known.get("PYTHONPATH", "").split(os.pathsep)
+    if here not in paths:
+        known["PYTHONPATH"] = os.pathsep.join([*filter(None, paths), here])
 
 
 @contextmanager
@@ -56,7 +66,7 @@ def over_batches(
             if batch.num_rows:
                 yield fn(batch)
 
-    small_batches(df.sparkSession)
+    prepare(df.sparkSession)
     return df.mapInArrow(run, schema)
 
 
@@ -65,6 +75,19 @@ def written(df: DataFrame, label: str) -> DataFrame:
     return materialise(df, label)
 
 
+def numbered(df: DataFrame, label: str) -> DataFrame:
+    """Write rows once with a number of their own, ``rid``; what is read back keeps it."""
+    return written(df.withColumn("rid", F.monotonically_increasing_id()), label)
+
+
+def with_rows(found: DataFrame, rows: DataFrame) -> DataFrame:
+    """Bring what was found by number together with the whole rows.
+
+    Rows are shuffled once and not sorted; the narrow side is hashed, a partition at a time.
+    """
+    return rows.select("rid", "row").join(found.hint("shuffle_hash"), "rid").drop("rid")
+
+
 def hashable(df: DataFrame, names: list[str]) -> list[Column]:
     """Columns as Spark can hash them: those with maps as JSON, others as they are."""
     kinds = dict(df.dtypes)

@@ -10,7 +10,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.llm.common import before_in_group, hashable, order_key, over_batches, written
+from shelfline.llm.common import before_in_group, hashable, numbered, order_key, over_batches, with_rows
 
 WEIGHTS = (5.0, 2.0, 1.0)
 SHARE = 1.5
@@ -42,7 +42,7 @@ def _sized(docs: DataFrame, kept: list[str], seed: int) -> DataFrame:
 
     fields = [f for f in rows.schema.fields if f.name != "text"]
     shape = T.StructType([*fields, T.StructField("size", T.LongType())])
-    return written(over_batches(rows, make, shape), "sizes")
+    return numbered(over_batches(rows, make, shape), "sizes")
 
 
 def source_targets(sizes: DataFrame, weights: Sequence[float], share: float, epochs: float) -> DataFrame:
@@ -81,20 +81,21 @@ def mix(
     in order; equal ids are ordered by size and then by the hash of the row, so that a rerun
     can exchange equal rows only. An empty table gives no rows; other columns are ignored.
     """
-    taken = _taken(_sized(docs, ["doc_id"], seed), weights, share, epochs)
+    taken = _taken(_sized(docs, ["doc_id"], seed), "row", weights, share, epochs)
     return taken.select("row.doc_id", "size", "source_size", "target", "taken")
 
 
-def _taken(rows: DataFrame, weights: Sequence[float], share: float, epochs: int) -> DataFrame:
+def _taken(rows: DataFrame, kept: str, weights: Sequence[float], share: float, epochs: int) -> DataFrame:
     sizes = rows.groupBy("no_src", "src").agg(F.sum("size").alias("size_total"))
     targets = source_targets(sizes, weights, share, epochs)
+    rows = rows.select(kept, "no_src", "src", "key", "tie", "size")
     joined = before_in_group(rows, ["no_src", "src"], "key", ["size", "tie"], {"size": "size"}, targets)
     joined = joined.withColumn("budget", F.floor(F.col("target") + 0.5).cast("long"))
     joined = joined.withColumn("rounds", F.when(F.col("size_total") > 0, F.expr("budget div size_total")).otherwise(F.lit(0)))
     joined = joined.withColumn("rest", F.col("budget") - F.col("rounds") * F.col("size_total"))
     extra = F.greatest(F.lit(0), F.least(F.col("size"), F.col("rest") - F.col("size_before")))
     return joined.select(
-        "row", "size", F.col("size_total").alias("source_size"), "target",
+        kept, "size", F.col("size_total").alias("source_size"), "target",
         (F.col("rounds") * F.col("size") + extra).cast("long").alias("taken"),
     )
 
@@ -108,7 +109,8 @@ def mixed(
     taken. Columns stay as they are; empty documents, which no budget counts, are left out
     with the documents that are not taken.
     """
-    taken = _taken(_sized(docs, docs.columns, seed), weights, share, epochs)
+    rows = _sized(docs, docs.columns, seed)
+    taken = _taken(rows, "rid", weights, share, epochs).where("size > 0")
     times = F.floor(F.col("taken") / F.col("size") + 0.5).cast("int")
-    copies = taken.where("size > 0").withColumn("times", times).where("times > 0")
+    copies = with_rows(taken.select("rid", times.alias("times")).where("times > 0"), rows)
     return copies.select("row", F.explode(F.sequence(F.lit(1), F.col("times")))).select("row.*")

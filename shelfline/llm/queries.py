@@ -10,7 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from shelfline.llm import decontaminate, licenses, mixing, pages, quality, secrets, shards, simhash, tokens, topk
-from shelfline.llm.common import small_batches, table, written
+from shelfline.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 
@@ -19,7 +19,7 @@ def query(fn):
     @wraps(fn)
     def run(spark: SparkSession, folder: str) -> DataFrame:
         spark.conf.set("spark.sql.session.timeZone", "UTC")
-        small_batches(spark)
+        prepare(spark)
         return fn(spark, folder)
 
     QUERIES[fn.__name__] = run
@@ -49,8 +49,7 @@ def op4_token_counts(spark, folder):
 
 @query
 def op5_sharding(spark, folder):
-    rows = written(shards.sized(table(spark, folder, "documents")), "sizes")
-    return shards.interleave(rows, 16).select(
+    return shards.interleave(shards.sized(table(spark, folder, "documents")), 16).select(
         "doc_id", "size", "text_crc32", F.lit("rows").alias("law"), "shard", "slot",
         F.lit(None).cast("int").alias("grown_shard"),
     )

@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import ROWS_PER_CELL, before_in_group, hashable, order_key
+from shelfline.llm.common import ROWS_PER_CELL, before_in_group, hashable, numbered, order_key, with_rows
 
 
 def interleave(rows: DataFrame, shards: int = 16, seed: int = 5, source: str = "source", key: str = "doc_id") -> DataFrame:
@@ -15,8 +15,8 @@ def interleave(rows: DataFrame, shards: int = 16, seed: int = 5, source: str = "
     Rows of a source stand in a seeded random order of their keys; the k-th of n rows gets
     the fractional rank (k - 1/2) / n. All rows sorted by it are cut into shards whose row
     counts differ by one at most; ``slot`` counts from 0 within a shard. No task sorts more
-    than a cell of some twenty thousand rows, whatever the size of a source. Texts travel
-    through two shuffles if the rows have them.
+    than a cell of some thousand keys, whatever the size of a source; the rows themselves are
+    written once and shuffled once, and never sorted.
 
     A null source is a source of its own, a null key orders like an empty one, and repeated
     rows are rows like any others (equal keys are ordered by the hash of the whole row, so a
@@ -32,8 +32,9 @@ def interleave(rows: DataFrame, shards: int = 16, seed: int = 5, source: str = "
         F.col(source).isNull().alias("no_src"),
         F.lit(1).cast("long").alias("one"),
     )
-    ranked = before_in_group(keyed, ["no_src", "src"], "key", ["tie"], {"one": "rows"})
-    total = keyed.select(F.count("*").alias("n")).scalar()
+    table = numbered(keyed, "rows")
+    ranked = before_in_group(table.drop("row"), ["no_src", "src"], "key", ["tie"], {"one": "rows"})
+    total = table.select(F.count("*").alias("n")).scalar()
     cells = F.greatest(F.ceil(total / F.lit(float(ROWS_PER_CELL))), F.lit(1)).cast("long")
     dealt = ranked.withColumn("part", (2 * F.col("rows_before") + 1).cast("double") / (2 * F.col("rows_total")))
     dealt = dealt.withColumn("cell", F.floor(F.col("part") * cells).cast("long"))
@@ -48,15 +49,10 @@ def interleave(rows: DataFrame, shards: int = 16, seed: int = 5, source: str = "
         dealt.withColumn("inside", F.row_number().over(inside))
         .join(starts, F.col("cell") == F.col("at_cell"))
         .withColumn("place", F.col("start") + F.col("inside") - 1)
+        .withColumn("shard", F.expr(f"cast((place * {shards}) div n_rows AS int)"))
     )
-    return placed.select("row.*", _shard(shards).cast("int").alias("shard"), "place", "n_rows").select(
-        *[f"`{c}`" for c in kept], "shard",
-        (F.col("place") - F.expr(f"(shard * n_rows + {shards - 1}) div {shards}")).alias("slot"),
-    )
-
-
-def _shard(shards: int) -> Column:
-    return F.expr(f"(place * {shards}) div n_rows")
+    slot = F.col("place") - F.expr(f"(shard * n_rows + {shards - 1}) div {shards}")
+    return with_rows(placed.select("rid", "shard", slot.alias("slot")), table).select("row.*", "shard", "slot")
 
 
 def sized(docs: DataFrame) -> DataFrame:
