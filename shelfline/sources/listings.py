@@ -15,9 +15,14 @@ from shelfline.operators.trends import with_day_and_hour
 from shelfline.schemas import COLLECTED_ITEM
 
 
-def read_parquet(spark: SparkSession, path: str) -> DataFrame:
-    """A parquet table whose files may differ by added columns."""
-    return spark.read.option("mergeSchema", True).parquet(path)
+def read_parquet(spark: SparkSession, path: str, schema: T.StructType | None = None, merge: bool = False) -> DataFrame:
+    """A parquet table.
+
+    Files may lack columns that were added later: give the ``schema``, or ``merge`` the files'
+    own, which reads the footer of every file.
+    """
+    reader = spark.read.option("mergeSchema", merge)
+    return (reader.schema(schema) if schema else reader).parquet(path)
 
 
 def read_jdbc(spark: SparkSession, url: str, table: str, **options: str) -> DataFrame:

@@ -244,6 +244,14 @@ def test_csv_reads_back_any_text(spark, tmp_path):
     assert as_set(sinks.read_csv(spark, path, rows.schema), "name", "note") == as_set(rows, "name", "note")
 
 
+def test_files_that_lack_a_column(spark, five, tmp_path):
+    path = str(tmp_path / "rows")
+    five.drop("image").write.parquet(path)
+    five.write.mode("append").parquet(path)
+    for rows in (L.read_parquet(spark, path, five.schema), L.read_parquet(spark, path, merge=True)):
+        assert rows.count() == 10 and rows.where("image IS NULL").count() == 5
+
+
 def test_sheets_and_export(spark, five, tmp_path):
     path = str(tmp_path / "sheets")
     long = five.withColumn("search_term", F.when(F.col("search_term") == "books", F.lit("a b " * 10)))
