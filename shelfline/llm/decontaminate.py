@@ -3,7 +3,7 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from hashlib import sha256
 
 import ahocorasick
@@ -80,8 +80,8 @@ def merged(stretches: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[list[tuple[str, str]]]:
-    """Test items in blocks of bounded size, fetched block by block.
+def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
+    """Test items in blocks of bounded size, one at a time on the driver.
 
     The items are a stated query set; their size is measured first and decides the number of
     blocks. Items without words, and null texts, never match and are left out. A null id
@@ -93,9 +93,8 @@ def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> list[li
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
     block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    return [
-        [(r.item, r.text) for r in items.where(block == i).distinct().orderBy("item", "text").collect()] for i in range(n)
-    ]
+    for i in range(n):
+        yield [(r.item, r.text) for r in items.where(block == i).distinct().orderBy("item", "text").collect()]
 
 
 def _with_hits(docs: DataFrame, benchmark: DataFrame, finish, schema: str, size: int, block_bytes: int) -> DataFrame:
