@@ -121,13 +121,14 @@ class Forest:
     def join(self, a: np.ndarray, b: np.ndarray) -> None:
         """Join the sets of ``a[i]`` and ``b[i]`` for all i."""
         while len(a):
-            ra, rb = self._roots(a), self._roots(b)
+            ra, rb = self.of(a), self.of(b)
             open_ = ra != rb
             a, b = a[open_], b[open_]
             low, high = np.minimum(ra, rb)[open_], np.maximum(ra, rb)[open_]
             np.minimum.at(self.up, high, low)
 
-    def _roots(self, at: np.ndarray) -> np.ndarray:
+    def of(self, at: np.ndarray) -> np.ndarray:
+        """The sets of some points."""
         root = self.up[at]
         while True:
             above = self.up[root]
@@ -137,7 +138,7 @@ class Forest:
             root = above
 
     def roots(self) -> np.ndarray:
-        return self._roots(np.arange(len(self.up)))
+        return self.of(np.arange(len(self.up)))
 
 
 def join_close(points: np.ndarray, homes: int, reach: int, leaf: int = LEAF_ROWS) -> np.ndarray:
@@ -145,24 +146,30 @@ def join_close(points: np.ndarray, homes: int, reach: int, leaf: int = LEAF_ROWS
 
     The first ``homes`` points are held in a vantage-point tree, all points are sought in it.
     A branch is left out when the triangle inequality shows that nothing in it is close
-    enough. Only joined sets are kept, never the pairs.
+    enough. Only joined sets are kept, never the pairs; where a whole branch is one set, its
+    members need not seek it, so that a large group of copies is soon done with.
     """
     forest = Forest(len(points))
     rng = np.random.default_rng(10)
     todo = [(np.arange(homes), np.arange(len(points)))]
     while todo:
         own, seekers = todo.pop()
+        if len(own) and len(seekers):
+            sets = forest.of(own)
+            if (sets == sets[0]).all():
+                seekers = seekers[forest.of(seekers) != sets[0]]
         if not len(own) or not len(seekers):
             continue
         split = None
         if len(own) > leaf:
-            vantage = points[own[rng.integers(len(own))]]
+            chosen = own[rng.integers(len(own))]
+            vantage = points[chosen]
             d = _distance(points[own], vantage).astype(np.int64)
             radius = int(np.median(d))
             if radius >= d.max():
                 radius = int(d.max()) - 1
             if radius >= d.min():
-                split = vantage, d, radius
+                split = chosen, d, radius
         if split is None:
             step = max(1, 2_000_000 // len(own))
             for i in range(0, len(seekers), step):
@@ -170,8 +177,10 @@ def join_close(points: np.ndarray, homes: int, reach: int, leaf: int = LEAF_ROWS
                 s, o = np.nonzero(_distance(points[part][:, None], points[own][None, :]) <= reach)
                 forest.join(part[s], own[o])
             continue
-        vantage, d, radius = split
-        e = _distance(points[seekers], vantage).astype(np.int64)
+        chosen, d, radius = split
+        e = _distance(points[seekers], points[chosen]).astype(np.int64)
+        close = seekers[e <= reach]
+        forest.join(close, np.full(len(close), chosen))
         todo.append((own[d <= radius], seekers[e <= radius + reach]))
         todo.append((own[d > radius], seekers[e > radius - reach]))
     return forest.roots()
