@@ -11,7 +11,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import written
+from shelfline.llm.common import batches_of, prepare, written
 
 K = 5
 SCALE = 256
@@ -20,6 +20,8 @@ LARGEST = float(1 << 15)
 SHARD_ROWS = 16_384
 QUERY_ROWS = 2_048
 LEAF_ROWS = 64
+# Packed shards or blocks in one Arrow batch; each may hold some megabytes.
+PACKED_ROWS = 2
 
 
 class BallTree:
@@ -124,7 +126,7 @@ def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
     )
 
     def pack(key: tuple, batch: pa.Table) -> pa.Table:
-        ids = batch.column("vec_id").combine_chunks().to_numpy(zero_copy_only=False).astype(np.int64)
+        ids = np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column("vec_id").chunks]).astype(np.int64)
         dims = key[1].as_py()
         flat = pa.concat_arrays([c.flatten() for c in batch.column("v").chunks])
         rows = flat.to_numpy(zero_copy_only=False).astype(np.int32).reshape(-1, dims)
@@ -140,6 +142,9 @@ def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
     return dealt.groupBy("shard", "dims").applyInArrow(pack, _PACKED)
 
 
+_ANSWERS = "block long, dims int, query_id long, vec_id long, score long"
+
+
 def top_k(
     rows: DataFrame, k: int = K, every: int = 50, per_shard: int = SHARD_ROWS, per_block: int = QUERY_ROWS
 ) -> DataFrame:
@@ -148,70 +153,107 @@ def top_k(
     Queries are the vectors whose id is divisible by ``every``; candidates are all others.
     Vectors are packed into shards and queries into blocks, both of bounded size. First each
     block searches one shard, which gives every query a k-th score that its answer reaches;
-    then all shards are searched below that bound, each by its own ball tree. The answers of
-    the shards are merged per query. Equal scores go to smaller ids; vectors of different
-    lengths are not compared. A table with fewer candidates gives fewer rows, an empty one none.
+    then all shards are searched below that bound, each by its own ball tree. A task takes
+    its shards one after another, meets their blocks one at a time, and carries the k-th
+    scores on. The answers of the shards are merged per query. Equal scores go to smaller
+    ids; vectors of different lengths are not compared. A table with fewer candidates gives
+    fewer rows, an empty one none.
     """
+    spark = rows.sparkSession
+    prepare(spark)
     vectors = written(whole_vectors(rows), "vectors")
     shards = written(_packed(vectors, per_shard), "vector-shards")
-    blocks = _packed(vectors.where(F.col("vec_id") % every == 0), per_block).select(
-        F.col("shard").alias("block"), "dims", F.col("n").alias("q_n"), F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows")
+    blocks = written(
+        _packed(vectors.where(F.col("vec_id") % every == 0), per_block).select(
+            F.col("shard").alias("block"), "dims", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows")
+        ),
+        "query-blocks",
     )
-    blocks = written(blocks, "query-blocks")
-    first = shards.groupBy("dims").agg(F.min("shard").alias("shard"))
-    kinds = "block long, dims int, query_id long, vec_id long, score long"
-    # A first answer from one shard per block; its k-th scores are the floors of the rest.
-    start = blocks.join(first, "dims").join(shards, ["dims", "shard"]).select("block", "dims", "q_n", "q_ids", "q_rows", "n", "ids", "rows", F.lit(None).cast("binary").alias("floors"))
-    begun = written(start.mapInArrow(_search(k), kinds), "first-answers")
+    first = shards.groupBy("dims").agg(F.min("shard").alias("first"))
+    # One shard per vector length, of per_shard rows at most about.
+    start = shards.join(first, "dims").where("shard = first").drop("n", "first")
+    with batches_of(spark, PACKED_ROWS):
+        begun = written(blocks.join(F.broadcast(start), "dims").mapInArrow(_search_first(k), _ANSWERS), "first-answers")
     # Queries with k answers so far, with the worst of them.
     kth = begun.groupBy("block", "dims", "query_id").agg(F.count("*").alias("n"), F.min("score").alias("score")).where(F.col("n") == k)
-    floors = kth.groupBy("block", "dims").applyInArrow(_pack_floors, "block long, dims int, floors binary")
+    floors = written(kth.groupBy("block", "dims").applyInArrow(_pack_floors, "block long, dims int, floors binary"), "floors")
+    rest = shards.join(first, "dims").where("shard <> first").drop("n", "first")
     # Every shard meets every block once: the stated query set against all rows, in blocks.
-    rest = shards.join(first.withColumnRenamed("shard", "first"), "dims").where("shard <> first")
-    jobs = rest.join(blocks.join(floors, ["block", "dims"], "left"), "dims")
-    answers = jobs.repartition("shard", "block").mapInArrow(_search(k), kinds).unionByName(begun)
+    asked = blocks.join(floors, ["block", "dims"], "left").join(rest.select("shard", "dims"), "dims")
+    both = rest.unionByName(asked, allowMissingColumns=True).withColumn("asks", F.col("block").isNotNull())
+    met = both.repartition("shard", "dims").sortWithinPartitions("shard", "dims", "asks", "block")
+    with batches_of(spark, PACKED_ROWS):
+        answers = written(met.mapInArrow(_search_rest(k), _ANSWERS), "answers").unionByName(begun)
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
     return answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
 
 
 def _pack_floors(key: tuple, batch: pa.Table) -> pa.Table:
-    ids = batch.column("query_id").combine_chunks().to_numpy(zero_copy_only=False)
-    scores = batch.column("score").combine_chunks().to_numpy(zero_copy_only=False)
+    ids, scores = (
+        np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column(x).chunks]) for x in ("query_id", "score")
+    )
     packed = np.stack([ids, scores], 1).astype(np.int64).tobytes()
-    return pa.table({"block": pa.array([key[0].as_py()], pa.int64()), "dims": pa.array([key[1].as_py()], pa.int32()), "floors": pa.array([packed], pa.binary())})
+    return pa.table(
+        {"block": pa.array([key[0].as_py()], pa.int64()), "dims": pa.array([key[1].as_py()], pa.int32()),
+         "floors": pa.array([packed], pa.binary())}
+    )
+
+
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        for i in range(batch.num_rows):
+            yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
+
+
+def _tree(row: dict) -> BallTree:
+    return BallTree(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["rows"], np.int32).reshape(-1, row["dims"]))
+
+
+def _answers(tree: BallTree, row: dict, floors: np.ndarray | None, k: int) -> tuple[pa.RecordBatch, np.ndarray]:
+    """Search a block of queries in a shard; also the floors of the block from now on."""
+    q_ids = np.frombuffer(row["q_ids"], np.int64)
+    queries = np.frombuffer(row["q_rows"], np.int32).reshape(-1, row["dims"])
+    if floors is None:
+        floors = np.full(len(q_ids), -np.inf)
+        if row.get("floors"):
+            known = np.frombuffer(row["floors"], np.int64).reshape(-1, 2)
+            floors[np.searchsorted(q_ids, known[:, 0])] = known[:, 1]
+    hits, floors = tree.search(queries, q_ids, floors, k)
+    found = pa.RecordBatch.from_arrays(
+        [
+            pa.array([row["block"]] * len(hits), pa.int64()), pa.array([row["dims"]] * len(hits), pa.int32()),
+            pa.array([int(q_ids[q]) for q, _, _ in hits], pa.int64()),
+            pa.array([v for _, v, _ in hits], pa.int64()), pa.array([s for _, _, s in hits], pa.int64()),
+        ],
+        ["block", "dims", "query_id", "vec_id", "score"],
+    )
+    return found, floors
+
+
+def _search_first(k: int):
+    """Each row holds a block of queries and the first shard of their length."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        trees: dict[int, BallTree] = {}
+        for row in _rows_of(batches):
+            if row["dims"] not in trees:
+                trees = {row["dims"]: _tree(row)}
+            yield _answers(trees[row["dims"]], row, None, k)[0]
+
+    return run
 
 
-def _search(k: int):
-    """Search each block of queries in its shard; floors are kept for later shards of a task."""
+def _search_rest(k: int):
+    """A shard comes first, then the blocks that are sought in it."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        tree_of, tree = None, None
-        known: dict[tuple[int, int], np.ndarray] = {}
-        for batch in batches:
-            for i in range(batch.num_rows):
-                row = {c: batch.column(c)[i].as_py() for c in batch.schema.names}
-                dims, block = row["dims"], row["block"]
-                key = (dims, row["ids"][:64], row["n"])
-                if key != tree_of:
-                    tree = BallTree(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["rows"], np.int32).reshape(-1, dims))
-                    tree_of = key
-                q_ids = np.frombuffer(row["q_ids"], np.int64)
-                queries = np.frombuffer(row["q_rows"], np.int32).reshape(-1, dims)
-                floors = known.get((dims, block))
-                if floors is None:
-                    floors = np.full(len(q_ids), -np.inf)
-                    if row["floors"]:
-                        got = np.frombuffer(row["floors"], np.int64).reshape(-1, 2)
-                        floors[np.searchsorted(q_ids, got[:, 0])] = got[:, 1]
-                hits, floors = tree.search(queries, q_ids, floors, k)
-                known = {(dims, block): floors}
-                yield pa.RecordBatch.from_arrays(
-                    [
-                        pa.array([block] * len(hits), pa.int64()), pa.array([dims] * len(hits), pa.int32()),
-                        pa.array([int(q_ids[q]) for q, _, _ in hits], pa.int64()),
-                        pa.array([v for _, v, _ in hits], pa.int64()), pa.array([s for _, _, s in hits], pa.int64()),
-                    ],
-                    ["block", "dims", "query_id", "vec_id", "score"],
-                )
+        tree, floors = None, {}
+        for row in _rows_of(batches):
+            if not row["asks"]:
+                tree = _tree(row)
+                continue
+            block = (row["dims"], row["block"])
+            found, floors[block] = _answers(tree, row, floors.get(block), k)
+            yield found
 
     return run
