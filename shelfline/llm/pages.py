@@ -267,11 +267,13 @@ def _parsed(pages: DataFrame) -> DataFrame:
 def _cells(rows: DataFrame, most: int) -> DataFrame:
     """Pages of a host together, a large host by directory, a large directory by hash."""
     rows = rows.withColumn("folder", F.regexp_extract("path", r"^(.*/)", 1))
-    counts = rows.groupBy("host", "folder").agg(F.count("*").alias("in_folder"))
-    counts = counts.withColumn("in_host", F.sum("in_folder").over(W.partitionBy("host"))).select(
+    folders = rows.groupBy("host", "folder").agg(F.count("*").alias("in_folder"))
+    hosts = folders.groupBy(F.col("host").alias("of_host")).agg(F.sum("in_folder").alias("in_host"))
+    large = F.col("in_host") > most
+    counts = folders.join(hosts, F.col("host") == F.col("of_host")).select(
         F.col("host").alias("c_host"), F.col("folder").alias("c_folder"),
-        F.when(F.col("in_host") > most, F.col("folder")).otherwise("").alias("cell"),
-        F.when(F.col("in_host") > most, F.ceil(F.col("in_folder") / F.lit(float(most)))).otherwise(1).cast("long").alias("parts_of_cell"),
+        F.when(large, F.col("folder")).otherwise("").alias("cell"),
+        F.when(large, F.ceil(F.col("in_folder") / F.lit(float(most)))).otherwise(1).cast("long").alias("parts_of_cell"),
     )
     joined = rows.join(counts, (F.col("host") == F.col("c_host")) & (F.col("folder") == F.col("c_folder")))
     return joined.withColumn("part_of_cell", F.pmod(F.xxhash64("row"), "parts_of_cell"))
