@@ -46,31 +46,36 @@ def _vocabulary() -> list[str]:
     return sorted({w for _, t, *_ in (*BASE, *TEMPLATES) for w in t.split()})
 
 
-def _templates(n_docs: Column, found: Column) -> Column:
-    """All templates as an array of structs: words, weights and the rare words to look up.
+def _templates() -> Column:
+    """All templates as an array of structs, from the columns ``n_docs`` and ``found``.
 
-    The weight of a word is its inverse document frequency over the whole table. Rare words
-    are the heaviest ones that together outweigh what a match may miss, so every match holds
-    one of them.
+    The weight of a word is its inverse document frequency over the whole table.
     """
+
+    def listed(values) -> str:
+        return f"array({', '.join(values)})"
+
+    def quoted(words: list[str]) -> str:
+        return listed(f"'{w}'" for w in words)
+
     rows = []
     for i, (label, text, *key) in enumerate((*BASE, *TEMPLATES)):
         tokens = text.split()
         phrase = (key[0] if key else text).split()
         at = next(k for k in range(len(tokens)) if tokens[k : k + len(phrase)] == phrase)
-        idf = F.array(*[F.log((n_docs + 2.0) / (F.coalesce(F.element_at(found, F.lit(w)), F.lit(0)) + 1.0)) for w in tokens])
+        idf = listed(f"ln((n_docs + 2.0D) / (coalesce(element_at(found, '{w}'), 0) + 1.0D))" for w in tokens)
         rows.append(
-            F.struct(
-                F.lit(label).alias("label"), F.lit(i < len(BASE)).alias("base"), F.array(*map(F.lit, tokens)).alias("words"),
-                idf.alias("idf"), F.lit(at).alias("key_at"), F.array(*map(F.lit, phrase)).alias("key"),
-                F.lit(1.0 if i < len(BASE) else LEAST).alias("least"),
-            )
+            f"named_struct('label', '{label}', 'base', {i < len(BASE)}, 'words', {quoted(tokens)}, 'idf', {idf}, "
+            f"'key_at', {at}, 'key', {quoted(phrase)}, 'least', {1.0 if i < len(BASE) else LEAST}D)"
         )
-    return F.array(*rows)
+    return F.expr(listed(rows))
 
 
 def _rare(t: Column) -> Column:
-    """Positions of a template's heaviest words, as few as outweigh the allowed miss."""
+    """Positions of a template's heaviest words, as few as together outweigh the allowed miss.
+
+    Every match holds one of them at least.
+    """
     ranked = F.sort_array(F.transform(t["idf"], lambda x, i: F.struct(x.alias("w"), (-i).alias("i"))), asc=False)
     total = F.aggregate(t["idf"], F.lit(0.0), lambda a, x: a + x)
     allowed = (1.0 - t["least"]) * total
@@ -101,23 +106,27 @@ def license_scan(docs: DataFrame) -> DataFrame:
     repeated rows are scanned one by one, an empty table gives no rows, other columns are
     ignored.
     """
-    vocabulary = _vocabulary()
     # Two bounded figures: the number of rows, and one count for each licence word.
     n_docs = docs.select(F.count("*").cast("double").alias("n")).scalar()
-    index = _index(docs)
     filled = F.coalesce(F.col("found"), F.create_map().cast("map<string,bigint>"))
-    heads = index.select(filled.alias("found")).withColumn("n_docs", n_docs)
-    heads = heads.select(_templates(F.col("n_docs"), F.col("found")).alias("t"))
+    heads = _index(docs).select(filled.alias("found")).withColumn("n_docs", n_docs).select(_templates().alias("t"))
     heads = heads.select(F.transform("t", lambda t: t.withField("rare", _rare(t))).alias("t"))
     heads = heads.select(
         F.transform("t", lambda t: t.withField("total", F.aggregate(t["idf"], F.lit(0.0), lambda a, x: a + x))).alias("t")
     )
-    texts = docs.select("doc_id", words(F.col("text")).alias("w"))
+    anchors = F.array_distinct(F.flatten(F.transform("t", lambda t: F.transform(t["rare"], lambda j: t["words"][j]))))
+    index = heads.select(F.struct(anchors.alias("anchors"), "t")).scalar()
+
+    def anchored(w: Column) -> Column:
+        # The fixed list settles most words, by hash; the rare ones are a few of it.
+        return w.isin(*_vocabulary()) & F.array_contains(F.col("index")["anchors"], w)
+
     hits = F.filter(
-        F.transform("w", lambda w, i: F.when(w.isin(*vocabulary), F.struct(w.alias("word"), i.alias("at")))), lambda h: h.isNotNull()
+        F.transform("w", lambda w, i: F.when(anchored(w), F.struct(w.alias("word"), i.alias("at")))), lambda h: h.isNotNull()
     )
-    found = texts.withColumn("hits", hits).withColumn("n_words", F.size("w").cast("long"))
-    found = found.withColumn("templates", F.when(F.size("hits") > 0, heads.select("t").scalar()))
+    found = docs.select("doc_id", words(F.col("text")).alias("w"), index.alias("index")).withColumn("hits", hits)
+    found = found.withColumn("n_words", F.size("w").cast("long"))
+    found = found.withColumn("templates", F.when(F.size("hits") > 0, F.col("index")["t"]))
 
     def share(t: Column, start: Column) -> Column:
         held = F.aggregate(
