@@ -13,7 +13,7 @@ from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from shelfline.session import materialise
+from shelfline.session import scratch_dir
 
 # Separators of lower-cased ASCII words; every other character belongs to a word.
 SEPARATORS = r"[\x00-\x2F\x3A-\x60\x7B-\x7F]+"
@@ -23,7 +23,8 @@ WORD_BYTES = bytes(
 )
 # Rows that one task ranks by sorting; cells hold about this many.
 ROWS_PER_CELL = 4_000
-BATCH_ROWS = 1000
+# Rows of one Arrow batch; the longest texts decide how much memory it takes.
+BATCH_ROWS = 256
 _BATCH = "spark.sql.execution.arrow.maxRecordsPerBatch"
 
 
@@ -71,8 +72,14 @@ def over_batches(
 
 
 def written(df: DataFrame, label: str) -> DataFrame:
-    """Write an intermediate table to the shared folder once and read it back."""
-    return materialise(df, label)
+    """Write an intermediate table to the shared folder once and read it back.
+
+    It survives lost executors and lets later passes read only the columns they need. Texts
+    are the bulk of it, so it is packed more tightly than Spark does by default.
+    """
+    path = scratch_dir(df.sparkSession, label)
+    df.write.option("compression", "zstd").parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
 def numbered(df: DataFrame, label: str) -> DataFrame:
