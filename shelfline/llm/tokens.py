@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+from bisect import bisect_right
 from functools import lru_cache
 
 import ahocorasick
@@ -17,6 +18,8 @@ PIECES = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!
 LIMIT = 512
 # Pieces whose counts a worker remembers; beyond it the memory starts anew.
 REMEMBERED = 400_000
+# Characters of a piece from which its prefixes are counted all at once.
+LONG_PIECE = 64
 
 
 def byte_letters() -> dict[str, int]:
@@ -143,8 +146,6 @@ class PrefixTable:
         Pieces before the one that is cut stay as they are, but for white space next to the
         cut and a special token that is cut, whose piece is read again with the tail.
         """
-        from bisect import bisect_right
-
         if length >= len(self.text):
             return self.total
         if length <= 0:
@@ -160,18 +161,32 @@ class PrefixTable:
         """The longest prefix, in characters, with at most ``budget`` tokens.
 
         Counts can fall when a character completes a word, so the last fitting length is
-        sought from the far side: pieces beyond the budget are skipped, then single
-        characters are tried.
+        sought from the far side. Pieces beyond the budget are skipped; a long piece is read
+        once for the counts of all its prefixes, and what it proposes is verified.
         """
-        from bisect import bisect_right
-
         if self.total <= budget:
             return len(self.text)
         far = bisect_right(self.ahead, budget)
         length = self.begins[far] if far < len(self.begins) else len(self.text)
-        while length and self.tokens(length) > budget:
+        while length:
+            at = bisect_right(self.begins, length - 1) - 1
+            if length - self.begins[at] > LONG_PIECE and not self.kinds[at]:
+                length = self._within(at, length, budget)
+            if self.tokens(length) <= budget:
+                return length
             length -= 1
-        return length
+        return 0
+
+    def _within(self, at: int, length: int, budget: int) -> int:
+        """The longest prefix that ends in piece ``at`` and fits, by the counts of the piece."""
+        letters = self.text[self.begins[at] : length]
+        counts = self.counter.piece_counts(letters.encode("utf-8", "replace"))
+        end = len(counts) - 1
+        for n in range(len(letters), 0, -1):
+            if self.ahead[at] + counts[end] <= budget:
+                return self.begins[at] + n
+            end -= len(letters[n - 1].encode("utf-8", "replace"))
+        return self.begins[at] + 1
 
 
 @lru_cache(maxsize=2)
@@ -207,3 +222,30 @@ def token_counts(docs: DataFrame, path: str, limit: int = LIMIT) -> DataFrame:
     return over_batches(
         docs.select("doc_id", "text"), make, f"doc_id {kind}, n_bytes long, n_tokens long, over_limit boolean"
     )
+
+
+def truncations(docs: DataFrame, path: str, budget: int = LIMIT) -> DataFrame:
+    """Where texts are cut to fit a budget: ``doc_id, n_tokens, kept_chars, kept_tokens``.
+
+    ``kept_chars`` is the longest prefix in code points with at most ``budget`` tokens,
+    answered from the prefix counts. Null and empty texts keep nothing of nothing.
+    """
+
+    def make():
+        known = counter(path)
+
+        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
+            tables = [known.table(t or "") for t in batch.column(1).to_pylist()]
+            kept = [t.truncated(budget) for t in tables]
+            return pa.RecordBatch.from_arrays(
+                [batch.column(0), *[pa.array(x, pa.int64()) for x in (
+                    [t.total for t in tables], kept, [t.tokens(n) for t, n in zip(tables, kept)])]],
+                ["doc_id", "n_tokens", "kept_chars", "kept_tokens"],
+            )
+
+        return run
+
+    kind = dict(docs.dtypes)["doc_id"]
+    return over_batches(
+        docs.select("doc_id", "text"), make, f"doc_id {kind}, n_tokens long, kept_chars long, kept_tokens long"
+    )

@@ -185,6 +185,27 @@ def test_every_prefix_has_its_exact_count(text, tail):
         assert answers.truncated(budget) == max(k for k, n in enumerate(exact) if n <= budget)
 
 
+def test_truncation_to_a_budget(odd, documents, library):
+    for docs, budget in ((odd, 3), (odd, 40), (documents.limit(20), 64)):
+        known = pairs(docs)
+        for (_, text), r in zip(known, tokens.truncations(docs, BPE, budget).collect()):
+            text = text or ""
+            fits = [len(library.encode(text[:n], add_special_tokens=False).ids) <= budget for n in range(min(len(text), 400) + 1)]
+            if r.kept_chars < 400:
+                assert r.kept_chars == max(n for n, ok in enumerate(fits) if ok)
+            assert r.kept_tokens == len(library.encode(text[: r.kept_chars], add_special_tokens=False).ids) <= budget
+            assert r.n_tokens == len(library.encode(text, add_special_tokens=False).ids)
+
+
+def test_truncation_inside_one_long_piece(library):
+    for text in ("a" * 5000, "\u4e2d" * 700, " " * 900 + "x", "ab" * 300 + "!" * 300, "1234567890" * 50):
+        table = tokens.counter(BPE).table(text)
+        for budget in (0, 1, 5, 33, 200):
+            kept = table.truncated(budget)
+            exact = [len(library.encode(text[:n], add_special_tokens=False).ids) for n in range(max(0, kept - 40), min(len(text), kept + 40) + 1)]
+            assert max(n for n, e in enumerate(exact) if e <= budget) + max(0, kept - 40) == kept
+
+
 # 5: sharding
 
 
@@ -238,6 +259,16 @@ def test_top_k_with_ties_and_unsound_vectors(spark):
     assert topk.top_k(rows.where("vec_id < 3")).count() == 2
 
 
+def test_repeated_ids_count_once(spark):
+    data = [(i % 60, [float(i % 7), float(i % 60)]) for i in range(120)]
+    largest = {}
+    for i, v in data:
+        largest[i] = max(largest.get(i, v), v)
+    rows = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    got = collected(topk.top_k(rows, per_shard=16), "query_id", "rank", "vec_id", "score")
+    assert got == Counter(brute.top_rows(sorted(largest.items())))
+
+
 def test_ball_tree_leaves_nodes_out():
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(20, 8)) * 100
