@@ -192,7 +192,11 @@ def _original(text: str, data: bytes, found: list[tuple[int, int]]) -> list[tupl
 def decontaminated(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
-    """The documents in which no window of a test item occurs, with all their columns."""
+    """The documents in which no window of a test item occurs, with all their columns.
+
+    Null and empty texts hold no words and stay; repeated rows are kept or dropped alike; an
+    empty table stays empty.
+    """
 
     def finish(batch, raw, single, hits, items):
         return batch.filter(pa.array([not h for h in hits], pa.bool_()))

@@ -107,7 +107,8 @@ def mixed(
 
     Texts are never cut: a document taken in part is kept whole when at least half of it is
     taken. Columns stay as they are; empty documents, which no budget counts, are left out
-    with the documents that are not taken.
+    with the documents that are not taken. Null sources, equal ids and repeated rows are treated
+    as in ``mix``; an empty table stays empty.
     """
     rows = _sized(docs, docs.columns, seed)
     taken = _taken(rows, "rid", weights, share, epochs).where("size > 0")

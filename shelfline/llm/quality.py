@@ -206,7 +206,11 @@ def quality_scores(docs: DataFrame, labels: DataFrame, training_rows: int = TRAI
 
 
 def accepted(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_ROWS) -> DataFrame:
-    """The documents that the classifier accepts, with all their columns."""
+    """The documents that the classifier accepts, with all their columns.
+
+    Null and empty texts are scored like any other; repeated rows are kept or dropped alike.
+    Without usable labels everything is accepted, an empty table stays empty.
+    """
     model = fitted(docs, labels, training_rows)
 
     def make():

@@ -280,6 +280,7 @@ def without_near_duplicates(
     """One document of each group, the one with the smallest id, with all its columns.
 
     Equal ids are ordered by the hash of the row; of equal rows one stays. Null ids come last.
+    Texts without words are one group; an empty table stays empty.
     """
     # Two hashes of the whole row name it; they are never null, so that the rows are dealt once
     # for the join and for dropping repeats.
