@@ -3,21 +3,24 @@
 from __future__ import annotations
 
 import re
-from collections.abc import Iterator, Sequence
+from collections import deque
+from collections.abc import Iterable, Iterator, Sequence
 from html.parser import HTMLParser
+from itertools import chain, islice
 
 import numpy as np
 import pyarrow as pa
 import xxhash
 import zstandard
-from pyspark.sql import Column, DataFrame
-from pyspark.sql import Window as W
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import over_batches, written
+from shelfline.llm.common import BATCH_ROWS, over_batches, prepare, written
 
 # Pages that are put in URL order together, at most about.
 CELL_PAGES = 20_000
+# Places on either side of a page in URL order that it may be compared with.
+REACH = 1
 
 # Elements by what their text is.
 NO_TEXT = frozenset("head script style noscript template svg iframe object canvas select textarea button datalist".split())
@@ -264,54 +267,103 @@ def _parsed(pages: DataFrame) -> DataFrame:
     ).withColumn("row", F.monotonically_increasing_id())
 
 
-def _cells(rows: DataFrame, most: int) -> DataFrame:
-    """Pages of a host together, a large host by directory, a large directory by hash."""
-    rows = rows.withColumn("folder", F.regexp_extract("path", r"^(.*/)", 1))
-    folders = rows.groupBy("host", "folder").agg(F.count("*").alias("in_folder"))
-    hosts = folders.groupBy(F.col("host").alias("of_host")).agg(F.sum("in_folder").alias("in_host"))
-    large = F.col("in_host") > most
-    counts = folders.join(hosts, F.col("host") == F.col("of_host")).select(
-        F.col("host").alias("c_host"), F.col("folder").alias("c_folder"),
-        F.when(large, F.col("folder")).otherwise("").alias("cell"),
-        F.when(large, F.ceil(F.col("in_folder") / F.lit(float(most)))).otherwise(1).cast("long").alias("parts_of_cell"),
-    )
-    joined = rows.join(counts, (F.col("host") == F.col("c_host")) & (F.col("folder") == F.col("c_folder")))
-    return joined.withColumn("part_of_cell", F.pmod(F.xxhash64("row"), "parts_of_cell"))
+_PLACE = "host string, path string, lines_id long, marks array<long>"
+_SHARED = "of_lines long, shared array<int>"
 
 
-def _differences(parsed: DataFrame, most: int) -> DataFrame:
-    """Lines of each page that the page with the nearest URL of its host has as well."""
-    cells = ["host", "cell", "part_of_cell"]
-    host, path = (F.regexp_extract(F.coalesce("url", F.lit("")), _URL, i) for i in (1, 2))
-    rows = _cells(parsed.select("row", F.lower(host).alias("host"), path.alias("path"), "marks"), most)
-    rows = rows.withColumn("lines_id", F.xxhash64(*cells, "marks"))
-    # Pages with the same lines tell nothing about what belongs to the site; they are one
-    # place in the order, that of their first path, and get the same answer.
-    kinds = rows.groupBy(*cells, "lines_id").agg(F.min("path").alias("path"), F.first("marks").alias("marks"))
-    order = W.partitionBy(*cells).orderBy("path", "lines_id")
+def _windows(places: Iterable[dict | None]) -> Iterator[list[dict | None]]:
+    """Every place with REACH others on either side, in order."""
+    held: deque[dict | None] = deque(maxlen=2 * REACH + 1)
+    for place in places:
+        held.append(place)
+        if len(held) == 2 * REACH + 1:
+            yield list(held)
 
-    def beside(c: str, step: Column) -> list[Column]:
-        return [step(F.col(x)).over(order).alias(f"{c}_{x}") for x in ("path", "marks")]
 
-    paired = kinds.select("lines_id", "path", "marks", *beside("back", F.lag), *beside("on", F.lead))
+def _shared_lines(window: Sequence[dict | None]) -> list[int]:
+    """Lines of the middle place that the nearest URL of its host has as well."""
+    own = window[REACH]
+    beside = [x for x in (window[REACH - 1], window[REACH + 1]) if x is not None and x["host"] == own["host"]]
+    if not beside:
+        return []
+    # Of two as near, the earlier one.
+    return common_lines(own["marks"], max(beside, key=lambda x: _shared_prefix(own["path"], x["path"]))["marks"])
 
-    def make():
-        def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            out = {"of_lines": [], "shared": []}
-            for r in batch.to_pylist():
-                near = [(-_shared_prefix(r["path"], r[f"{c}_path"]), c) for c in ("back", "on") if r[f"{c}_marks"] is not None]
-                if near:
-                    shared = common_lines(r["marks"], r[f"{min(near)[1]}_marks"])
-                    if shared:
-                        out["of_lines"].append(r["lines_id"])
-                        out["shared"].append(shared)
-            return pa.RecordBatch.from_arrays(
-                [pa.array(out["of_lines"], pa.int64()), pa.array(out["shared"], pa.list_(pa.int32()))], ["of_lines", "shared"]
-            )
 
-        return run
+def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
+    for batch in batches:
+        yield from batch.to_pylist()
+
+
+def _batches(rows: Iterator[dict], schema: pa.Schema) -> Iterator[pa.RecordBatch]:
+    while some := list(islice(rows, BATCH_ROWS)):
+        yield pa.RecordBatch.from_pylist(some, schema)
+
+
+def _in_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare the places of one range; those at its ends come out whole, ``open`` if not compared yet."""
+
+    def run() -> Iterator[dict]:
+        n, first, last = 0, [], deque(maxlen=2 * REACH)
 
-    found = over_batches(paired, make, "of_lines long, shared array<int>")
+        def seen() -> Iterator[dict]:
+            nonlocal n
+            for place in _rows_of(batches):
+                if n < 2 * REACH:
+                    first.append(place)
+                last.append((n, place))
+                n += 1
+                yield place
+
+        for window in _windows(seen()):
+            if shared := _shared_lines(window):
+                yield {"of_lines": window[REACH]["lines_id"], "shared": shared}
+        for i, place in [*enumerate(first), *[x for x in last if x[0] >= 2 * REACH]]:
+            yield place | {"open": i < REACH or i >= n - REACH}
+
+    return _batches(run(), _RANGE_ROWS)
+
+
+def _at_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """Compare the places that the ranges left open, among the ends of all ranges of a host."""
+    outside = [None] * REACH
+    found = (
+        {"of_lines": window[REACH]["lines_id"], "shared": shared}
+        for window in _windows(chain(outside, _rows_of(batches), outside))
+        if window[REACH]["open"] and (shared := _shared_lines(window))
+    )
+    return _batches(found, _SHARED_ROWS)
+
+
+_SHARED_ROWS = pa.schema([("of_lines", pa.int64()), ("shared", pa.list_(pa.int32()))])
+_RANGE_ROWS = pa.schema(
+    [*_SHARED_ROWS, ("host", pa.string()), ("path", pa.string()), ("lines_id", pa.int64()), ("marks", pa.list_(pa.int64())), ("open", pa.bool_())]
+)
+
+
+def _differences(parsed: DataFrame, most: int) -> DataFrame:
+    """Lines of each page that the page with the nearest URL of its host has as well.
+
+    All places stand in one order by host and path, cut into ranges. A range is compared in
+    one pass; the places at its ends meet those of the ranges beside it afterwards, so the
+    cuts change nothing.
+    """
+    spark = parsed.sparkSession
+    host, path = (F.regexp_extract(F.coalesce("url", F.lit("")), _URL, i) for i in (1, 2))
+    rows = parsed.select("row", F.lower(host).alias("host"), path.alias("path"), "marks")
+    rows = rows.withColumn("lines_id", F.xxhash64("host", "marks"))
+    # Pages with the same lines tell nothing about what belongs to the site; they are one
+    # place in the order, that of their first path, and get the same answer.
+    kinds = rows.groupBy("host", "lines_id").agg(F.min("path").alias("path"), F.first("marks").alias("marks"))
+    pages = parsed.count()
+    ranges = max(1, -(-pages // most), min(spark.sparkContext.defaultParallelism, pages // BATCH_ROWS))
+    order = ["host", "path", "lines_id"]
+    dealt = kinds.select("host", "path", "lines_id", "marks").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    prepare(spark)
+    passed = written(dealt.mapInArrow(_in_ranges, f"{_SHARED}, {_PLACE}, open boolean"), "page-ranges")
+    ends = passed.where("open IS NOT NULL").select(*order, "marks", "open")
+    rest = ends.repartition("host").sortWithinPartitions(*order).mapInArrow(_at_ends, _SHARED)
+    found = passed.where("of_lines IS NOT NULL").select("of_lines", "shared").unionByName(rest)
     return rows.join(found, F.col("lines_id") == F.col("of_lines")).select(F.col("row").alias("at_row"), "shared")
 
 
@@ -323,9 +375,9 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
     shares the longer prefix, and their lines outside articles are aligned by longest common
     subsequence; shared lines are deleted. Lines inside an article are never deleted, since
     pages may carry the same article; menus, footers and the like are left out by structure
-    as well, so that a page without a neighbour is right. Hosts of more than ``cell_pages``
-    pages are paired within URL directories. Only hashes of lines are compared, and the
-    packed lines are shuffled once.
+    as well, so that a page without a neighbour is right. The order is cut into ranges of
+    about ``cell_pages`` pages, whose ends meet, so that hosts of any size are paired alike.
+    Only hashes of lines are compared, and the packed lines are shuffled once.
 
     A null or empty page has the empty text; a null URL belongs to the host with no name;
     repeated rows each have a row; an empty table gives none; other columns are ignored.

@@ -345,6 +345,19 @@ def test_shared_lines_go_where_structure_is_silent(spark, monkeypatch):
             assert got[3][0] == "Third\nLast end"
 
 
+@pytest.mark.parametrize("cell", [1, 2, 3, 7, 20_000])
+def test_large_hosts_are_paired_like_small_ones(spark, cell):
+    """Every page has a folder of its own, and shares its section's line with the nearest URL only."""
+    data, expected = [], {}
+    for i in range(40):
+        host, section = ("h.example", i // 2) if i < 36 else (f"h{i // 2}.example", i // 2)
+        body = f"<div>Home</div><div>Section {section}</div><div>Text {i}</div><div>Imprint</div>"
+        data.append((i, f"http://{host}/2024/{section:02d}/slug-{i}/", page(body)))
+        expected[i] = f"Text {i}"
+    docs = spark.createDataFrame(data, "page_id int, url string, html string").repartition(5)
+    assert {r.page_id: r.text for r in pages.main_texts(docs, cell).collect()} == expected
+
+
 def test_pages_of_the_table(spark, rows):
     """Pages carry the article between its tags; only references and white space change."""
     import html as library
