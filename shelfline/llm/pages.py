@@ -20,7 +20,9 @@ from shelfline.llm.common import BATCH_ROWS, over_batches, prepare, written
 # Pages that are put in URL order together, at most about.
 CELL_PAGES = 20_000
 # Places on either side of a page in URL order that it may be compared with.
-REACH = 1
+REACH = 3
+# Of them, so many at least must have a line of an article before it goes.
+LEAST_BESIDE = 2
 
 # Elements by what their text is.
 NO_TEXT = frozenset("head script style noscript template svg iframe object canvas select textarea button datalist".split())
@@ -228,34 +230,50 @@ def _shared_prefix(a: str, b: str) -> int:
 def candidates(found: Sequence[tuple[str, int]]) -> tuple[list[str], list[int] | None, list[str]]:
     """What may be main text, its places among the compared lines, and the compared lines.
 
-    Lines of an article stand for themselves and have no places. Without an article it is
-    the lines that are not marked as something else. All lines outside articles are compared
-    with those of other pages.
+    Lines of an article stand for the page, and have no places, if the unmarked lines around
+    it are not the larger part of the text (a teaser is an article, too). Otherwise, and
+    without an article, it is all lines that are not marked as something else; those of the
+    article have negative places, counted from -1 down. All lines outside articles are
+    compared with those of other pages.
     """
-    compared = [(x, p) for x, p in found if p != ARTICLE]
-    if len(compared) < len(found):
-        return [x for x, p in found if p == ARTICLE], None, [x for x, _ in compared]
-    places = [i for i, (_, p) in enumerate(compared) if p == OPEN]
-    return [compared[i][0] for i in places], places, [x for x, _ in compared]
+    compared = [x for x, p in found if p != ARTICLE]
+    if sum(len(x) for x, p in found if p == OPEN) <= sum(len(x) for x, p in found if p == ARTICLE):
+        inside = [x for x, p in found if p == ARTICLE]
+        return inside, None if inside else [], compared
+    kept, places, outside, inside = [], [], 0, 0
+    for x, p in found:
+        if p == ARTICLE:
+            inside += 1
+        else:
+            outside += 1
+        if p in (OPEN, ARTICLE):
+            kept.append(x)
+            places.append(-inside if p == ARTICLE else outside - 1)
+    return kept, places, compared
 
 
 def _parsed(pages: DataFrame) -> DataFrame:
-    """The possible lines of every page, packed, with hashes of the lines to compare."""
+    """The possible lines of every page, packed, with hashes of the lines to compare.
+
+    ``marks`` are those outside articles, ``body`` those of articles.
+    """
 
     def make():
         pack = zstandard.ZstdCompressor(level=6)
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            lines, places, marks = [], [], []
+            lines, places, marks, body = [], [], [], []
             for html in batch.column(2).to_pylist():
-                kept, at, compared = candidates(page_lines(html))
+                found = page_lines(html)
+                kept, at, compared = candidates(found)
                 lines.append(pack.compress("\n".join(kept).encode("utf-8", "replace")) if kept else None)
                 places.append(at)
                 marks.append([xxhash.xxh64_intdigest(x) - (1 << 63) for x in compared])
+                body.append([xxhash.xxh64_intdigest(x) - (1 << 63) for x, p in found if p == ARTICLE])
             return pa.RecordBatch.from_arrays(
                 [*batch.columns[:2], pa.array(lines, pa.binary()), pa.array(places, pa.list_(pa.int32())),
-                 pa.array(marks, pa.list_(pa.int64()))],
-                ["page_id", "url", "lines", "places", "marks"],
+                 pa.array(marks, pa.list_(pa.int64())), pa.array(body, pa.list_(pa.int64()))],
+                ["page_id", "url", "lines", "places", "marks", "body"],
             )
 
         return run
@@ -263,12 +281,12 @@ def _parsed(pages: DataFrame) -> DataFrame:
     kinds = dict(pages.dtypes)
     return over_batches(
         pages.select("page_id", "url", "html"), make,
-        f"page_id {kinds['page_id']}, url string, lines binary, places array<int>, marks array<long>",
+        f"page_id {kinds['page_id']}, url string, lines binary, places array<int>, marks array<long>, body array<long>",
     ).withColumn("row", F.monotonically_increasing_id())
 
 
-_PLACE = "host string, path string, lines_id long, marks array<long>"
-_SHARED = "of_lines long, shared array<int>"
+_PLACE = "host string, path string, lines_id long, marks array<long>, body array<long>"
+_SHARED = "of_lines long, shared array<int>, repeated array<int>"
 
 
 def _windows(places: Iterable[dict | None]) -> Iterator[list[dict | None]]:
@@ -280,14 +298,32 @@ def _windows(places: Iterable[dict | None]) -> Iterator[list[dict | None]]:
             yield list(held)
 
 
-def _shared_lines(window: Sequence[dict | None]) -> list[int]:
-    """Lines of the middle place that the nearest URL of its host has as well."""
+def _shared_lines(window: Sequence[dict | None]) -> dict | None:
+    """Lines of the middle place that do not belong to its page alone, if any.
+
+    ``shared`` are lines outside articles that the nearest URL of the host has as well.
+    ``repeated`` are lines of the article that stand in all articles within REACH, LEAST_BESIDE
+    at least. A place that shares more than half of either article is a copy, which tells
+    nothing, so that real copies of an article keep their lines.
+    """
     own = window[REACH]
-    beside = [x for x in (window[REACH - 1], window[REACH + 1]) if x is not None and x["host"] == own["host"]]
-    if not beside:
-        return []
+    near = [x if x is not None and x["host"] == own["host"] else None for x in window]
+    beside = [x for x in (near[REACH - 1], near[REACH + 1]) if x]
     # Of two as near, the earlier one.
-    return common_lines(own["marks"], max(beside, key=lambda x: _shared_prefix(own["path"], x["path"]))["marks"])
+    nearest = max(beside, key=lambda x: _shared_prefix(own["path"], x["path"]), default=None)
+    shared = common_lines(own["marks"], nearest["marks"]) if nearest else []
+    repeated, told = set(range(len(own["body"]))), 0
+    for other in (*near[:REACH], *near[REACH + 1 :]):
+        if repeated and other and other["body"]:
+            same = common_lines(own["body"], other["body"])
+            if 2 * len(same) <= min(len(own["body"]), len(other["body"])):
+                repeated &= set(same)
+                told += 1
+    if told < LEAST_BESIDE:
+        repeated.clear()
+    if not shared and not repeated:
+        return None
+    return {"of_lines": own["lines_id"], "shared": shared, "repeated": sorted(repeated)}
 
 
 def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
@@ -316,8 +352,8 @@ def _in_ranges(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
                 yield place
 
         for window in _windows(seen()):
-            if shared := _shared_lines(window):
-                yield {"of_lines": window[REACH]["lines_id"], "shared": shared}
+            if found := _shared_lines(window):
+                yield found
         for i, place in [*enumerate(first), *[x for x in last if x[0] >= 2 * REACH]]:
             yield place | {"open": i < REACH or i >= n - REACH}
 
@@ -328,21 +364,22 @@ def _at_ends(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     """Compare the places that the ranges left open, among the ends of all ranges of a host."""
     outside = [None] * REACH
     found = (
-        {"of_lines": window[REACH]["lines_id"], "shared": shared}
+        shared
         for window in _windows(chain(outside, _rows_of(batches), outside))
         if window[REACH]["open"] and (shared := _shared_lines(window))
     )
     return _batches(found, _SHARED_ROWS)
 
 
-_SHARED_ROWS = pa.schema([("of_lines", pa.int64()), ("shared", pa.list_(pa.int32()))])
+_SHARED_ROWS = pa.schema([("of_lines", pa.int64()), ("shared", pa.list_(pa.int32())), ("repeated", pa.list_(pa.int32()))])
 _RANGE_ROWS = pa.schema(
-    [*_SHARED_ROWS, ("host", pa.string()), ("path", pa.string()), ("lines_id", pa.int64()), ("marks", pa.list_(pa.int64())), ("open", pa.bool_())]
+    [*_SHARED_ROWS, ("host", pa.string()), ("path", pa.string()), ("lines_id", pa.int64()), ("marks", pa.list_(pa.int64())),
+     ("body", pa.list_(pa.int64())), ("open", pa.bool_())]
 )
 
 
 def _differences(parsed: DataFrame, most: int) -> DataFrame:
-    """Lines of each page that the page with the nearest URL of its host has as well.
+    """Lines of each page that pages with near URLs of its host have as well.
 
     All places stand in one order by host and path, cut into ranges. A range is compared in
     one pass; the places at its ends meet those of the ranges beside it afterwards, so the
@@ -350,21 +387,21 @@ def _differences(parsed: DataFrame, most: int) -> DataFrame:
     """
     spark = parsed.sparkSession
     host, path = (F.regexp_extract(F.coalesce("url", F.lit("")), _URL, i) for i in (1, 2))
-    rows = parsed.select("row", F.lower(host).alias("host"), path.alias("path"), "marks")
-    rows = rows.withColumn("lines_id", F.xxhash64("host", "marks"))
+    rows = parsed.select("row", F.lower(host).alias("host"), path.alias("path"), "marks", "body")
+    rows = rows.withColumn("lines_id", F.xxhash64("host", "marks", F.lit("|"), "body"))
     # Pages with the same lines tell nothing about what belongs to the site; they are one
     # place in the order, that of their first path, and get the same answer.
-    kinds = rows.groupBy("host", "lines_id").agg(F.min("path").alias("path"), F.first("marks").alias("marks"))
+    kinds = rows.groupBy("host", "lines_id").agg(F.min("path").alias("path"), F.first("marks").alias("marks"), F.first("body").alias("body"))
     pages = parsed.count()
     ranges = max(1, -(-pages // most), min(spark.sparkContext.defaultParallelism, pages // BATCH_ROWS))
     order = ["host", "path", "lines_id"]
-    dealt = kinds.select("host", "path", "lines_id", "marks").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
+    dealt = kinds.select(*order, "marks", "body").repartitionByRange(ranges, *order).sortWithinPartitions(*order)
     prepare(spark)
     passed = written(dealt.mapInArrow(_in_ranges, f"{_SHARED}, {_PLACE}, open boolean"), "page-ranges")
-    ends = passed.where("open IS NOT NULL").select(*order, "marks", "open")
+    ends = passed.where("open IS NOT NULL").select(*order, "marks", "body", "open")
     rest = ends.repartition("host").sortWithinPartitions(*order).mapInArrow(_at_ends, _SHARED)
-    found = passed.where("of_lines IS NOT NULL").select("of_lines", "shared").unionByName(rest)
-    return rows.join(found, F.col("lines_id") == F.col("of_lines")).select(F.col("row").alias("at_row"), "shared")
+    found = passed.where("of_lines IS NOT NULL").select("of_lines", "shared", "repeated").unionByName(rest)
+    return rows.join(found, F.col("lines_id") == F.col("of_lines")).select(F.col("row").alias("at_row"), "shared", "repeated")
 
 
 def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
@@ -373,9 +410,12 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
     Pages are cut into lines (blocks) with the part of the page they stand in. Pages of a
     host are sorted by URL path, each is paired with the neighbour of other lines whose path
     shares the longer prefix, and their lines outside articles are aligned by longest common
-    subsequence; shared lines are deleted. Lines inside an article are never deleted, since
-    pages may carry the same article; menus, footers and the like are left out by structure
-    as well, so that a page without a neighbour is right. The order is cut into ranges of
+    subsequence; shared lines are deleted. A line inside an article is deleted if it stands in
+    the articles of all pages around in that order (REACH on either side, as far as the host
+    has them, and LEAST_BESIDE at least) which are not copies, since pages may carry the same
+    article or passage; menus, footers and the like are left out by structure as well, so that
+    a page without a neighbour is right. Unmarked lines around an article count if they are
+    the larger part of the text. The order is cut into ranges of
     about ``cell_pages`` pages, whose ends meet, so that hosts of any size are paired alike.
     Only hashes of lines are compared, and the packed lines are shuffled once.
 
@@ -384,18 +424,19 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
     """
     parsed = written(_parsed(pages), "page-lines")
     found = _differences(parsed, cell_pages)
-    joined = parsed.drop("marks").join(found, F.col("row") == F.col("at_row"), "left")
+    joined = parsed.drop("marks", "body").join(found, F.col("row") == F.col("at_row"), "left")
 
     def make():
         unpack = zstandard.ZstdDecompressor()
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
             texts = []
-            for packed, places, shared in zip(*[batch.column(i).to_pylist() for i in (2, 3, 4)]):
+            for packed, places, shared, repeated in zip(*[batch.column(i).to_pylist() for i in (2, 3, 4, 5)]):
                 lines = unpack.decompress(packed).decode().split("\n") if packed else []
-                if shared and places is not None:
-                    gone = set(shared)
-                    lines = [x for x, at in zip(lines, places) if at not in gone]
+                if shared or repeated:
+                    gone = {*(shared or ()), *(-1 - i for i in repeated or ())}
+                    at_lines = range(-1, -1 - len(lines), -1) if places is None else places
+                    lines = [x for x, at in zip(lines, at_lines) if at not in gone]
                 texts.append("\n".join(lines))
             return pa.RecordBatch.from_arrays(
                 [batch.column(0), batch.column(1), pa.array(texts, pa.string()), pa.array([len(t) for t in texts], pa.int64())],
@@ -406,5 +447,5 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
 
     kind = dict(pages.dtypes)["page_id"]
     return over_batches(
-        joined.select("page_id", "url", "lines", "places", "shared"), make, f"page_id {kind}, url string, text string, n_chars long"
+        joined.select("page_id", "url", "lines", "places", "shared", "repeated"), make, f"page_id {kind}, url string, text string, n_chars long"
     )

@@ -358,6 +358,31 @@ def test_large_hosts_are_paired_like_small_ones(spark, cell):
     assert {r.page_id: r.text for r in pages.main_texts(docs, cell).collect()} == expected
 
 
+@pytest.mark.parametrize("cell", [2, 20_000])
+def test_lines_that_every_article_of_a_host_repeats(spark, cell):
+    data, expected = [], {}
+    for i in range(12):
+        body = f"<article><h1>Title {i}</h1><p>Read our letter</p><p>Text {i}</p><p>{'Passage' if i in (4, 5) else f'More {i}'}</p></article>"
+        data.append((i, f"http://h.example/{i:02d}", page(body)))
+        expected[i] = f"Title {i}\nText {i}\n" + ("Passage" if i in (4, 5) else f"More {i}")
+    for i in range(20, 24):  # copies of an article, all but a line
+        data.append((i, f"http://copies.example/{i}", page(f"<article><h1>Same</h1><p>One</p><p>Two</p><p>Seen {i}</p></article>")))
+        expected[i] = f"Same\nOne\nTwo\nSeen {i}"
+    for i in range(30, 32):  # one page beside tells too little
+        data.append((i, f"http://two.example/{i}", page(f"<article><h1>Title {i}</h1><p>Passage</p><p>Text {i}</p></article>")))
+        expected[i] = f"Title {i}\nPassage\nText {i}"
+    docs = spark.createDataFrame(data, "page_id int, url string, html string")
+    assert {r.page_id: r.text for r in pages.main_texts(docs, cell).collect()} == expected
+
+
+def test_a_teaser_does_not_stand_for_the_page(spark):
+    frame = "<div>Home of all</div><div>{}</div><article><p>Teaser {}</p><p>Buy now</p></article><div>Long text of the page {}</div><div>Imprint</div>"
+    data = [(i, f"http://h.example/{i}", page(frame.format(f"Title {i}", i, i))) for i in range(5)]
+    docs = spark.createDataFrame(data, "page_id int, url string, html string")
+    got = {r.page_id: r.text for r in pages.main_texts(docs).collect()}
+    assert got == {i: f"Title {i}\nTeaser {i}\nLong text of the page {i}" for i in range(5)}
+
+
 def test_pages_of_the_table(spark, rows):
     """Pages carry the article between its tags; only references and white space change."""
     import html as library
