@@ -101,28 +101,32 @@ class BallTree:
         return hits, floors
 
 
-def whole_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
+def whole_vectors(rows: DataFrame, scale: int = SCALE, one_per_id: bool = True) -> DataFrame:
     """Integer vectors: floor(scale * x) of every component, in ``vec_id`` and ``v``.
 
     Vectors that are null, empty, or hold null, non-finite or larger components than LARGEST
     (whose products are not exact in doubles) take no part, nor do
-    rows without an id; of rows with one id the largest vector counts.
+    rows without an id. Of rows with one id all count, or the largest vector if ``one_per_id``.
     """
     ints = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("int"))
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < LARGEST))
     good = rows.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(sound).where(F.size("embedding") > 0)
-    return good.select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("v")).groupBy("vec_id").agg(F.max("v").alias("v"))
+    whole = good.select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("v"))
+    return whole.groupBy("vec_id").agg(F.max("v").alias("v")) if one_per_id else whole
 
 
 _PACKED = "shard long, dims int, n int, ids binary, rows binary"
 
 
 def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
-    """Vectors in shards of about ``per_shard`` rows, each one row of bytes."""
+    """Vectors in shards of about ``per_shard`` rows, each one row of bytes.
+
+    They are dealt by ``row``, so that rows of one id spread over the shards.
+    """
     total = vectors.select(F.count("*").alias("n")).scalar()
     shards = F.greatest(F.ceil(total / F.lit(float(per_shard))), F.lit(1)).cast("long")
     dealt = vectors.select(
-        F.pmod(F.xxhash64("vec_id", F.lit(6)), shards).alias("shard"), F.size("v").alias("dims"), "vec_id", "v"
+        F.pmod(F.xxhash64("row", F.lit(6)), shards).alias("shard"), F.size("v").alias("dims"), "vec_id", "v"
     )
 
     def pack(key: tuple, batch: pa.Table) -> pa.Table:
@@ -130,7 +134,7 @@ def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
         dims = key[1].as_py()
         flat = pa.concat_arrays([c.flatten() for c in batch.column("v").chunks])
         rows = flat.to_numpy(zero_copy_only=False).astype(np.int32).reshape(-1, dims)
-        order = np.argsort(ids)
+        order = np.argsort(ids, kind="stable")
         return pa.table(
             {
                 "shard": pa.array([key[0].as_py()], pa.int64()), "dims": pa.array([dims], pa.int32()),
@@ -142,15 +146,20 @@ def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
     return dealt.groupBy("shard", "dims").applyInArrow(pack, _PACKED)
 
 
-_ANSWERS = "block long, dims int, query_id long, vec_id long, score long"
+# ``place`` is that of the query in its block; several queries may have one id.
+_ANSWERS = "block long, dims int, place int, query_id long, vec_id long, score long"
 
 
 def top_k(
-    rows: DataFrame, k: int = K, every: int = 50, per_shard: int = SHARD_ROWS, per_block: int = QUERY_ROWS
+    rows: DataFrame, k: int = K, every: int = 50, per_shard: int = SHARD_ROWS, per_block: int = QUERY_ROWS,
+    one_per_id: bool = True,
 ) -> DataFrame:
     """The k best inner products of every query: ``query_id, rank, vec_id, score``.
 
-    Queries are the vectors whose id is divisible by ``every``; candidates are all others.
+    Queries are the vectors whose id is divisible by ``every``; candidates are all rows with
+    other ids. With ``one_per_id`` the largest vector stands for rows of one id; without it
+    each row is a candidate of its own, takes a rank of its own, and the rows of a query's
+    id share its k ranks, as in the query's SQL.
     Vectors are packed into shards and queries into blocks, both of bounded size. First each
     block searches one shard, which gives every query a k-th score that its answer reaches;
     then all shards are searched below that bound, each by its own ball tree. A task takes
@@ -161,7 +170,8 @@ def top_k(
     """
     spark = rows.sparkSession
     prepare(spark)
-    vectors = written(whole_vectors(rows), "vectors")
+    whole = whole_vectors(rows, one_per_id=one_per_id)
+    vectors = written(whole.withColumn("row", F.monotonically_increasing_id()), "vectors")
     shards = written(_packed(vectors, per_shard), "vector-shards")
     blocks = written(
         _packed(vectors.where(F.col("vec_id") % every == 0), per_block).select(
@@ -175,7 +185,7 @@ def top_k(
     with batches_of(spark, PACKED_ROWS):
         begun = written(blocks.join(F.broadcast(start), "dims").mapInArrow(_search_first(k), _ANSWERS), "first-answers")
     # Queries with k answers so far, with the worst of them.
-    kth = begun.groupBy("block", "dims", "query_id").agg(F.count("*").alias("n"), F.min("score").alias("score")).where(F.col("n") == k)
+    kth = begun.groupBy("block", "dims", "place").agg(F.count("*").alias("n"), F.min("score").alias("score")).where(F.col("n") == k)
     floors = written(kth.groupBy("block", "dims").applyInArrow(_pack_floors, "block long, dims int, floors binary"), "floors")
     rest = shards.join(first, "dims").where("shard <> first").drop("n", "first")
     # Every shard meets every block once: the stated query set against all rows, in blocks.
@@ -189,10 +199,10 @@ def top_k(
 
 
 def _pack_floors(key: tuple, batch: pa.Table) -> pa.Table:
-    ids, scores = (
-        np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column(x).chunks]) for x in ("query_id", "score")
+    places, scores = (
+        np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column(x).chunks]) for x in ("place", "score")
     )
-    packed = np.stack([ids, scores], 1).astype(np.int64).tobytes()
+    packed = np.stack([places, scores], 1).astype(np.int64).tobytes()
     return pa.table(
         {"block": pa.array([key[0].as_py()], pa.int64()), "dims": pa.array([key[1].as_py()], pa.int32()),
          "floors": pa.array([packed], pa.binary())}
@@ -217,15 +227,15 @@ def _answers(tree: BallTree, row: dict, floors: np.ndarray | None, k: int) -> tu
         floors = np.full(len(q_ids), -np.inf)
         if row.get("floors"):
             known = np.frombuffer(row["floors"], np.int64).reshape(-1, 2)
-            floors[np.searchsorted(q_ids, known[:, 0])] = known[:, 1]
+            floors[known[:, 0]] = known[:, 1]
     hits, floors = tree.search(queries, q_ids, floors, k)
     found = pa.RecordBatch.from_arrays(
         [
             pa.array([row["block"]] * len(hits), pa.int64()), pa.array([row["dims"]] * len(hits), pa.int32()),
-            pa.array([int(q_ids[q]) for q, _, _ in hits], pa.int64()),
+            pa.array([q for q, _, _ in hits], pa.int32()), pa.array([int(q_ids[q]) for q, _, _ in hits], pa.int64()),
             pa.array([v for _, v, _ in hits], pa.int64()), pa.array([s for _, _, s in hits], pa.int64()),
         ],
-        ["block", "dims", "query_id", "vec_id", "score"],
+        ["block", "dims", "place", "query_id", "vec_id", "score"],
     )
     return found, floors
 

@@ -269,6 +269,35 @@ def test_repeated_ids_count_once(spark):
     assert got == Counter(brute.top_rows(sorted(largest.items())))
 
 
+def registered_top_k(data):
+    """What the query's SQL gives for rows of ``vec_id, embedding``."""
+    import duckdb
+
+    from shelfline.llm.sql import TOP_K
+
+    base = duckdb.connect()
+    base.execute("CREATE TABLE embeddings (vec_id BIGINT, embedding FLOAT[])")
+    base.executemany("INSERT INTO embeddings VALUES (?, ?)", [list(x) for x in data])
+    return Counter(base.execute(TOP_K).fetchall())
+
+
+@pytest.mark.parametrize("size", [7, 10_000])
+def test_every_row_of_a_repeated_id_is_a_candidate(spark, tmp_path, size, monkeypatch):
+    from shelfline.llm.queries import QUERIES
+
+    rng = random.Random(7)
+    # Ids repeat, those of queries too; a third of all rows has one id, and some rows are equal.
+    data = [(rng.choice([0, 50, 77, 77, *range(30)]), [rng.choice([0.0, 0.5, -0.25, 1.0]) for _ in range(3)]) for _ in range(300)]
+    data += [(77, [1.0, 1.0, 1.0])] * 100
+    spark.createDataFrame(data, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
+    monkeypatch.setattr(topk.top_k, "__defaults__", (topk.K, 50, size, 3, *topk.top_k.__defaults__[4:]))
+    got = collected(QUERIES["op6_exact_top_k"](spark, str(tmp_path)), "query_id", "rank", "vec_id", "score")
+    assert got == registered_top_k(data)
+    alone = [x for x in data if x[0] % 50] + [(100, [1.0, 0.5, 0.0])]
+    rows = spark.createDataFrame(alone, "vec_id long, embedding array<float>")
+    assert collected(topk.top_k(rows, one_per_id=False), "query_id", "rank", "vec_id", "score") == Counter(brute.top_rows(alone))
+
+
 def test_ball_tree_leaves_nodes_out():
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(20, 8)) * 100
