@@ -7,7 +7,7 @@ from heapq import heappop, heappush
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
@@ -15,8 +15,8 @@ from shelfline.llm.common import batches_of, prepare, written
 
 K = 5
 SCALE = 256
-# Components beyond it would not give exact products of whole numbers in doubles.
-LARGEST = float(1 << 15)
+# Sums of whole numbers below it are exact in doubles, in any order.
+EXACT = float(1 << 52)
 SHARD_ROWS = 16_384
 QUERY_ROWS = 2_048
 LEAF_ROWS = 64
@@ -24,6 +24,24 @@ LEAF_ROWS = 64
 PACKED_ROWS = 2
 
 
+def _norms(rows: np.ndarray) -> np.ndarray:
+    return np.sqrt((rows**2).sum(1))
+
+
+def _whole_product(a: np.ndarray, b: np.ndarray) -> int:
+    return sum(int(x) * int(y) for x, y in zip(a.tolist(), b.tolist()))
+
+
+def _at_most(score: int) -> float:
+    """A double that is not above a whole number."""
+    if abs(score) < EXACT:
+        return float(score)
+    try:
+        return float(np.nextafter(float(score), -np.inf))
+    except OverflowError:
+        return float(np.finfo(np.float64).max) if score > 0 else -np.inf
+
+
 class BallTree:
     """Vectors in balls: every node has a centre and a radius, leaves hold few vectors."""
 
@@ -34,6 +52,7 @@ class BallTree:
         self.children: list[tuple[int, int] | None] = []
         centres, radii = [], []
         todo = [(0, len(ids), None)]
+        # Vectors may be too long for sums of squares in doubles; a ball of them is not split.
         while todo:
             a, b, above = todo.pop()
             own = self.rows[self.order[a:b]]
@@ -55,6 +74,8 @@ class BallTree:
                 todo += [(a, middle, node), (middle, b, node)]
         self.centres, self.radii = np.array(centres), np.array(radii)
         self.rows, self.ids = self.rows[self.order], self.ids[self.order]
+        self.norms = _norms(self.rows)
+        self.reach = _norms(self.centres) + self.radii
 
     def search(
         self, queries: np.ndarray, own_ids: np.ndarray, floors: np.ndarray, k: int
@@ -63,12 +84,18 @@ class BallTree:
 
         ``floors`` holds a score that the k-th best of each query reaches already; nodes
         whose bound is below it are left out, equal ones are not, since ties go to smaller
-        ids. The new floors come back with the hits.
+        ids. The new floors come back with the hits. Scores are exact: where doubles may
+        round, they only tell which vectors are multiplied in whole numbers of any size.
         """
         queries = queries.astype(np.float64)
+        lengths = _norms(queries)
+        exact = (lengths * self.norms.max() < EXACT).tolist()
+        # What rounding may change, as a part of the product of two lengths.
+        part = 1e-12 + 1e-15 * queries.shape[1]
         # No vector of a ball scores above centre * q + radius * |q|; the slack covers rounding.
-        bounds = queries @ self.centres.T + np.sqrt((queries**2).sum(1))[:, None] * self.radii[None, :]
-        bounds += 1e-6 * (1.0 + np.abs(bounds))
+        bounds = queries @ self.centres.T + lengths[:, None] * self.radii[None, :]
+        bounds += 1e-6 + part * lengths[:, None] * self.reach[None, :]
+        bounds[np.isnan(bounds)] = np.inf
         hits, floors = [], floors.copy()
         for q in range(len(queries)):
             best: list[tuple[int, int]] = []  # (score, -id), smallest first
@@ -85,31 +112,43 @@ class BallTree:
                             heappush(nodes, (-bounds[q, child], child))
                     continue
                 a, b = self.spans[node]
-                scores = self.rows[a:b] @ queries[q]
-                for i in np.nonzero(scores >= floor)[0]:
+                rows = self.rows[a:b]
+                scores = rows @ queries[q]
+                if exact[q]:
+                    near = scores >= floor
+                else:
+                    most = lengths[q] * self.norms[a:b]
+                    near = ~(scores + np.where(most < EXACT, 0.0, part * most) < floor)
+                for i in np.nonzero(near)[0]:
                     if self.ids[a + i] != own_ids[q]:
-                        item = (int(scores[i]), -int(self.ids[a + i]))
+                        score = int(scores[i]) if exact[q] or most[i] < EXACT else _whole_product(rows[i], queries[q])
+                        item = (score, -int(self.ids[a + i]))
                         if len(best) < k:
                             heappush(best, item)
                         elif item > best[0]:
                             heappop(best)
                             heappush(best, item)
                         if len(best) == k:
-                            floor = max(floor, best[0][0])
+                            worst = best[0][0]
+                            floor = max(floor, worst if exact[q] else _at_most(worst))
             floors[q] = floor
             hits += [(q, -i, s) for s, i in best]
         return hits, floors
 
 
 def whole_vectors(rows: DataFrame, scale: int = SCALE, one_per_id: bool = True) -> DataFrame:
-    """Integer vectors: floor(scale * x) of every component, in ``vec_id`` and ``v``.
+    """Whole vectors: floor(scale * x) of every component as a double, in ``vec_id`` and ``v``.
 
-    Vectors that are null, empty, or hold null, non-finite or larger components than LARGEST
-    (whose products are not exact in doubles) take no part, nor do
+    Vectors that are null, empty, or hold null or non-finite components take no part, nor do
     rows without an id. Of rows with one id all count, or the largest vector if ``one_per_id``.
     """
-    ints = F.transform("embedding", lambda x: F.floor(x.cast("double") * scale).cast("int"))
-    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < LARGEST))
+    def whole_number(x: Column) -> Column:
+        # Doubles from EXACT on have no fraction, and may be too large for a long.
+        y = x.cast("double") * scale
+        return F.when(F.abs(y) < EXACT, F.floor(y).cast("double")).otherwise(y)
+
+    ints = F.transform("embedding", whole_number)
+    sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(sound).where(F.size("embedding") > 0)
     whole = good.select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("v"))
     return whole.groupBy("vec_id").agg(F.max("v").alias("v")) if one_per_id else whole
@@ -133,7 +172,11 @@ def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
         ids = np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column("vec_id").chunks]).astype(np.int64)
         dims = key[1].as_py()
         flat = pa.concat_arrays([c.flatten() for c in batch.column("v").chunks])
-        rows = flat.to_numpy(zero_copy_only=False).astype(np.int32).reshape(-1, dims)
+        rows = flat.to_numpy(zero_copy_only=False).reshape(-1, dims)
+        if not np.isfinite(rows).all():
+            raise OverflowError("a scaled component does not fit a double")
+        if np.abs(rows).max() < 1 << 31:
+            rows = rows.astype(np.int32)
         order = np.argsort(ids, kind="stable")
         return pa.table(
             {
@@ -164,7 +207,8 @@ def top_k(
     block searches one shard, which gives every query a k-th score that its answer reaches;
     then all shards are searched below that bound, each by its own ball tree. A task takes
     its shards one after another, meets their blocks one at a time, and carries the k-th
-    scores on. The answers of the shards are merged per query. Equal scores go to smaller
+    scores on. The answers of the shards are merged per query. Scores are exact for
+    components of any size; an answer whose score does not fit a long is an error. Equal scores go to smaller
     ids; vectors of different lengths are not compared. A table with fewer candidates gives
     fewer rows, an empty one none.
     """
@@ -185,7 +229,7 @@ def top_k(
     with batches_of(spark, PACKED_ROWS):
         begun = written(blocks.join(F.broadcast(start), "dims").mapInArrow(_search_first(k), _ANSWERS), "first-answers")
     # Queries with k answers so far, with the worst of them.
-    kth = begun.groupBy("block", "dims", "place").agg(F.count("*").alias("n"), F.min("score").alias("score")).where(F.col("n") == k)
+    kth = begun.groupBy("block", "dims", "place").agg(F.count("score").alias("n"), F.min("score").alias("score")).where(F.col("n") == k)
     floors = written(kth.groupBy("block", "dims").applyInArrow(_pack_floors, "block long, dims int, floors binary"), "floors")
     rest = shards.join(first, "dims").where("shard <> first").drop("n", "first")
     # Every shard meets every block once: the stated query set against all rows, in blocks.
@@ -195,7 +239,9 @@ def top_k(
     with batches_of(spark, PACKED_ROWS):
         answers = written(met.mapInArrow(_search_rest(k), _ANSWERS), "answers").unionByName(begun)
     best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
-    return answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")
+    ranked = answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
+    score = F.coalesce("score", F.raise_error(F.lit("a score among the best does not fit a long")).cast("long"))
+    return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
 
 
 def _pack_floors(key: tuple, batch: pa.Table) -> pa.Table:
@@ -215,25 +261,37 @@ def _rows_of(batches: Iterator[pa.RecordBatch]) -> Iterator[dict]:
             yield {c: batch.column(c)[i].as_py() for c in batch.schema.names}
 
 
+def _unpacked(rows: bytes, n: int, dims: int) -> np.ndarray:
+    """Vectors are packed as 4-byte whole numbers, or as doubles where those are too small."""
+    return np.frombuffer(rows, np.int32 if len(rows) == 4 * n * dims else np.float64).reshape(-1, dims)
+
+
 def _tree(row: dict) -> BallTree:
-    return BallTree(np.frombuffer(row["ids"], np.int64), np.frombuffer(row["rows"], np.int32).reshape(-1, row["dims"]))
+    return BallTree(np.frombuffer(row["ids"], np.int64), _unpacked(row["rows"], len(row["ids"]) // 8, row["dims"]))
+
+
+def _long(score: int) -> int | None:
+    """A score as a long; none for one below all longs, which may yet be left out of the answer."""
+    if score >= 1 << 63:
+        raise OverflowError(f"a score among the best does not fit a long: {score}")
+    return score if score >= -1 << 63 else None
 
 
 def _answers(tree: BallTree, row: dict, floors: np.ndarray | None, k: int) -> tuple[pa.RecordBatch, np.ndarray]:
     """Search a block of queries in a shard; also the floors of the block from now on."""
     q_ids = np.frombuffer(row["q_ids"], np.int64)
-    queries = np.frombuffer(row["q_rows"], np.int32).reshape(-1, row["dims"])
+    queries = _unpacked(row["q_rows"], len(q_ids), row["dims"])
     if floors is None:
         floors = np.full(len(q_ids), -np.inf)
         if row.get("floors"):
             known = np.frombuffer(row["floors"], np.int64).reshape(-1, 2)
-            floors[known[:, 0]] = known[:, 1]
+            floors[known[:, 0]] = [_at_most(x) for x in known[:, 1].tolist()]
     hits, floors = tree.search(queries, q_ids, floors, k)
     found = pa.RecordBatch.from_arrays(
         [
             pa.array([row["block"]] * len(hits), pa.int64()), pa.array([row["dims"]] * len(hits), pa.int32()),
             pa.array([q for q, _, _ in hits], pa.int32()), pa.array([int(q_ids[q]) for q, _, _ in hits], pa.int64()),
-            pa.array([v for _, v, _ in hits], pa.int64()), pa.array([s for _, _, s in hits], pa.int64()),
+            pa.array([v for _, v, _ in hits], pa.int64()), pa.array([_long(s) for _, _, s in hits], pa.int64()),
         ],
         ["block", "dims", "place", "query_id", "vec_id", "score"],
     )

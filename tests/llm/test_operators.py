@@ -298,6 +298,25 @@ def test_every_row_of_a_repeated_id_is_a_candidate(spark, tmp_path, size, monkey
     assert collected(topk.top_k(rows, one_per_id=False), "query_id", "rank", "vec_id", "score") == Counter(brute.top_rows(alone))
 
 
+@pytest.mark.parametrize("size", [7, 10_000])
+def test_large_components_count_and_are_exact(spark, size):
+    rng = random.Random(8)
+    # Doubles would round these scores: two vectors differ by one in products of 2 ** 60.
+    data = [(i, [float(rng.randint(-9, 9)) for _ in range(3)]) for i in range(100)]
+    data += [(100, [32768.0, 1.0, 0.0]), (150, [2.0**22, 1 / 256, 0.0]), (201, [2.0**22, 1 / 256, 1.0]), (202, [2.0**22, 0.0, 1.0])]
+    data += [(203, [2.0**22, 2 / 256, -3.0]), (204, [-40_000.0, 0.0, 5.0]), (205, [2.0**22, 2 / 256, 7.0]), (206, [2.0**22, 3 / 256, 0.0])]
+    rows = spark.createDataFrame(data, "vec_id long, embedding array<float>")
+    got = collected(topk.top_k(rows, per_shard=size, per_block=2), "query_id", "rank", "vec_id", "score")
+    assert got == Counter(brute.top_rows(data)) == registered_top_k(data)
+    far = [(1, [1e30, 1.0]), (2, [-1e30, 2.0]), (50, [0.0, 3.0]), (51, [3e38, 4.0])]
+    got = collected(topk.top_k(spark.createDataFrame(far, "vec_id long, embedding array<float>")), "query_id", "rank", "vec_id", "score")
+    assert got == Counter(brute.top_rows(far))
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(spark.createDataFrame([(0, [1e30]), (1, [1e30])], "vec_id long, embedding array<float>")).collect()
+    with pytest.raises(Exception, match="does not fit a long"):
+        topk.top_k(spark.createDataFrame([(0, [1e30]), (1, [-1e30])], "vec_id long, embedding array<float>")).collect()
+
+
 def test_ball_tree_leaves_nodes_out():
     rng = np.random.default_rng(2)
     centres = rng.normal(size=(20, 8)) * 100
