@@ -9,7 +9,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from shelfline.llm import decontaminate, licenses, mixing, pages, quality, secrets, shards, simhash, tokens, topk
+from shelfline.llm import (
+    decontaminate, divergence, licenses, mixing, pages, quality, secrets, shards, simhash, spelling, tokens, topk, urls,
+)
 from shelfline.llm.common import prepare, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -78,3 +80,18 @@ def op9_secret_scan(spark, folder):
 @query
 def op10_simhash_near_dedup(spark, folder):
     return simhash.near_duplicates(table(spark, folder, "documents"))
+
+
+@query
+def op11_source_divergence(spark, folder):
+    return divergence.divergence(table(spark, folder, "documents"))
+
+
+@query
+def op12_spelling_variants(spark, folder):
+    return spelling.spelling_variants(table(spark, folder, "documents"))
+
+
+@query
+def op13_url_filter(spark, folder):
+    return urls.url_verdicts(table(spark, folder, "pages"))
