@@ -35,12 +35,11 @@ def term_counts(docs: DataFrame) -> DataFrame:
         held = 0
 
         def sums() -> Iterator[pa.RecordBatch]:
-            for rows in summed(counts):
-                langs, sources, terms, ns = zip(*rows)
-                docs_with = [holders[r[:2]][r[2]] for r in rows]
+            for (lang, source), terms, ns in summed(counts):
+                found_in = holders[lang, source]
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(langs, pa.string()), pa.array(sources, pa.string()), pa.array(terms, pa.binary()),
-                     pa.array(ns, pa.int64()), pa.array(docs_with, pa.int64())],
+                    [pa.repeat(pa.scalar(lang, pa.string()), len(terms)), pa.repeat(pa.scalar(source, pa.string()), len(terms)),
+                     pa.array(terms, pa.binary()), pa.array(ns, pa.int64()), pa.array([found_in[t] for t in terms], pa.int64())],
                     ["lang", "source", "term", "n", "docs"],
                 )
 

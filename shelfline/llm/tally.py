@@ -6,7 +6,7 @@ from collections import Counter
 from collections.abc import Iterator
 
 # Distinct keys that one task counts before it hands its sums on.
-HELD = 200_000
+HELD = 300_000
 # Bytes of a text that are split into words at once.
 PIECE = 1 << 20
 # Rows of one batch of sums.
@@ -25,14 +25,9 @@ def pieces(data: bytes, size: int = PIECE) -> Iterator[list[bytes]]:
     yield data[at:].split()
 
 
-def summed(tally: dict[tuple, Counter]) -> Iterator[list[tuple]]:
-    """The counts as rows ``(*key, word, n)``, in bounded lists."""
-    rows: list[tuple] = []
-    for key, words in tally.items():
-        for word, n in words.items():
-            rows.append((*key, word, n))
-            if len(rows) == SUM_ROWS:
-                yield rows
-                rows = []
-    if rows:
-        yield rows
+def summed(tally: dict[tuple, Counter]) -> Iterator[tuple[tuple, list[bytes], list[int]]]:
+    """The counts by key, as bounded lists of words and of their numbers."""
+    for key, counted in tally.items():
+        words, ns = list(counted), list(counted.values())
+        for i in range(0, len(words), SUM_ROWS):
+            yield key, words[i : i + SUM_ROWS], ns[i : i + SUM_ROWS]
