@@ -2,11 +2,12 @@
 
 Everything is a projection or an explode over one page at a time; no step shuffles.
 Patterns are regular expressions whose first group is the wanted text. They cannot follow
-nested containers.
+nested containers; ``operators/nested.py`` does, and its fields stand beside patterns here.
 """
 
 from __future__ import annotations
 
+from collections.abc import Callable
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame
@@ -128,16 +129,22 @@ def split_containers(
     return rows if limit is None else rows.where(F.col("position") < limit)
 
 
-def extract_fields(items: DataFrame, fields: dict[str, str], base: Column | None = None) -> DataFrame:
+def extract_fields(
+    items: DataFrame, fields: dict[str, str | Callable[[Column], Column]], base: Column | None = None
+) -> DataFrame:
     """Listings from pieces by a field-to-pattern map; a name and a link are required.
 
-    A ``name_title`` pattern, where it finds something, precedes ``name``.
+    A ``name_title`` pattern, where it finds something, precedes ``name``. A field may also be
+    a function of the piece, such as ``nested.first_text``.
     """
     item = F.col("item")
     base = F.col("url") if base is None else base
 
     def found(key: str) -> Column:
-        return captured(item, fields[key]) if key in fields else F.lit(None).cast("string")
+        field = fields.get(key)
+        if field is None:
+            return F.lit(None).cast("string")
+        return captured(item, field) if isinstance(field, str) else field(item)
 
     titled = F.nullif(text_of(found("name_title")), F.lit(""))
     listing = items.select(

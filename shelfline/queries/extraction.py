@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from shelfline.functions.text import preview
+from shelfline.operators import nested as N
 from shelfline.operators import pages as G
 from shelfline.queries.registry import query, rounded
 from shelfline.sources import adapters as A
@@ -155,3 +156,38 @@ def x4_filled_auctions(spark, folder):
     bare = F.regexp_replace("html", r'<span class="SECONDARY_INFO">Brand [^<]*<!-- (2[6-9]|[3-9][0-9]) --></span>', "")
     pages = _filled(spark, folder, auction).withColumn("html", bare)
     return G.extract_auctions(G.split_containers(pages, G.AUCTION_CONTAINERS))
+
+
+@query(rf"""WITH h AS (SELECT page_id, url, regexp_replace(html, '{N.NO_MARKUP}', '', 'g') AS html FROM pages)
+SELECT page_id, url, 0 AS position, '<div>' || html || '</div><div class="card">' || url || '</div>' AS item FROM h
+UNION ALL SELECT page_id, url, 1, url FROM h UNION ALL SELECT page_id, url, 2, page_id::VARCHAR FROM h""")
+def x8_nested_containers(spark, folder):
+    """Cards that hold whole pages, other boxes and cards; the last one has no end tag."""
+    card = [F.lit('<!-- <div class="card"> --><div id=a class="big card"><div>'), "html", F.lit("</div><div class=\"card\">"), "url",
+            F.lit('</div></div><div class="card">'), F.col("page_id").cast("string")]
+    pages = A.pages(spark, folder).withColumn("html", F.concat(*card))
+    return N.split_elements(pages, [("section", None), ("div", 'class="[^"]*card')])
+
+
+@query(f"WITH {_pieces(ITEM, 'i')} SELECT page_id, url, position, item FROM i")
+def x9_items_without_end_tags(spark, folder):
+    """Items of a list end where the next begins, and with their list."""
+    pages = A.pages(spark, folder).withColumn("html", F.replace("html", F.lit("</li>"), F.lit("")))
+    return N.split_elements(pages, [("li", None)])
+
+
+@query(f"""WITH {FILLED} SELECT page_id, position, n AS name, r::DOUBLE AS price, 'http://shop.example.com/list/p/' || k AS link,
+'http://shop.example.com/img/' || k || '.jpg' AS image, 'In stock' AS availability FROM q""")
+def x10_nested_fields(spark, folder):
+    """Cards whose parts are boxes within boxes, and an offer of the same kind inside."""
+    card = (
+        '<div class="card"><div class="top"><div class="name"><a title="a > b" href="p/%1$d">%2$s</a></div></div>'
+        '<div class="body"><div class="money"><div>£</div>%3$s<div class="cents"></div></div>'
+        '<img alt=">" src=/img/%1$d.jpg><div class="stock"> In <b>stock</b></div></div></div>'
+    )
+    fields = {
+        "name": N.first_text("div", 'class="name"'), "price": N.first_text("div", 'class="money"'),
+        "link": N.attribute("a", "href"), "image": N.attribute("img", "src"), "availability": N.first_text("div", 'class="stock"'),
+    }
+    items = N.split_elements(_filled(spark, folder, card), [("div", 'class="card"')])
+    return G.extract_fields(items, fields)

@@ -4,11 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfline.operators import ingest, jobs
+from shelfline.operators import ingest, jobs, links
 from shelfline.queries.registry import JOB_LOG, JOBS, RAW_SHOP, query, rounded, stamps
 from shelfline.session import scratch_dir
 from shelfline.sources import adapters as A
-from shelfline.streaming import arrivals
+from shelfline.streaming import arrivals, seen
 
 ORDERS = """co AS (SELECT 'order of customer ' || o_custkey AS name, o_totalprice AS price,
   'http://shop.example.com/c/' || o_custkey AS link, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS scrape_time,
@@ -262,3 +262,46 @@ def r3_all_hours(spark, folder):
 
     closed = _hours(spark, timed(arrivals.arriving(spark, folder, events.schema, pattern="events.parquet")))
     return rounded(stamps(closed.unionByName(arrivals.open_hours(timed(events), closed)), "hour_start"))
+
+
+# Buckets of the indexes below; a store of a cluster has more.
+FEW_BUCKETS = 16
+
+
+@query(TWO_BATCHES.format(job="batch"))
+def i7_indexed_batches(spark, folder):
+    """Two batches appended by way of an index of links, the second one twice."""
+    store = scratch_dir(spark, "store")
+    index = links.LinkIndex(spark, scratch_dir(spark, "links"), FEW_BUCKETS)
+    early, late = _early_and_late(spark, folder)
+    for job, batch in ((1, early), (2, late), (2, late)):
+        links.append_indexed(batch, store, index, str(job), job, ["scrape_time", "source"])
+    return _stored(spark, store)
+
+
+@query(f"""WITH {ORDERS} SELECT name, price, link, scrape_time, search_term, job_id FROM co
+WHERE link NOT IN (SELECT link FROM co WHERE co.scrape_time < '1994') AND co.scrape_time >= '1994'""")
+def j5_indexed_unseen_links(spark, folder):
+    """Orders whose customer no earlier order has, found in an index made from a store."""
+    rows = _orders(A.table(spark, folder, "orders"))
+    store = scratch_dir(spark, "store")
+    ingest.append_batch(rows.where("scrape_time < '1994'"), store, order=["scrape_time", "job_id"])
+    index = links.indexed(spark, store, scratch_dir(spark, "links"), FEW_BUCKETS)
+    return index.unseen(rows.where("scrape_time >= '1994'"))
+
+
+@query(f"""WITH {ORDERS}, n AS (SELECT name, price, CASE WHEN job_id % 7 > 0 THEN link END AS link, scrape_time, search_term,
+  job_id, (co.scrape_time < '1996')::INT AS batch FROM co)
+SELECT name, price, link, scrape_time, search_term, job_id FROM n
+QUALIFY link IS NULL OR row_number() OVER (PARTITION BY link ORDER BY batch, n.scrape_time, n.job_id) = 1""")
+def r5_first_links_in_time(spark, folder):
+    """The same rows as ``r2_stream_first_links``, with one state entry a link and an index."""
+    rows = _orders(A.table(spark, folder, "orders"))
+    rows = rows.withColumn("link", F.when(F.col("job_id") % 7 > 0, F.col("link")))
+    files, store, progress = (scratch_dir(spark, x) for x in ("arrivals", "store", "progress"))
+    index = links.LinkIndex(spark, scratch_dir(spark, "links"), FEW_BUCKETS)
+    for part in ("scrape_time >= '1996'", "scrape_time < '1996'"):
+        rows.where(part).write.mode("append").parquet(files)
+        stream = arrivals.arriving(spark, files, rows.schema)
+        seen.first_links_in_time(stream, store, index, progress, ["scrape_time", "job_id"]).awaitTermination()
+    return ingest.read_store(spark, store, rows.schema).select(rows.columns)

@@ -26,7 +26,9 @@ def arriving(
     return reader.load(path)
 
 
-def _into_store(stream: DataFrame, checkpoint: str, store_batch: Callable[[DataFrame, str], None]) -> StreamingQuery:
+def into_store(
+    stream: DataFrame, checkpoint: str, store_batch: Callable[[DataFrame, str], None], mode: str = "append"
+) -> StreamingQuery:
     """Hand each micro-batch over with its name: the stream's own id and the batch number.
 
     The id lives with the progress of the stream. A restart goes on under the same id, so a
@@ -45,7 +47,8 @@ def _into_store(stream: DataFrame, checkpoint: str, store_batch: Callable[[DataF
             batch.unpersist()
 
     query = (
-        stream.writeStream.foreachBatch(each).option("checkpointLocation", checkpoint).trigger(availableNow=True).start()
+        stream.writeStream.foreachBatch(each).outputMode(mode).option("checkpointLocation", checkpoint)
+        .trigger(availableNow=True).start()
     )
     names.put(query.id)
     return query
@@ -64,7 +67,7 @@ def ingest_arrivals(
     replaces them, so no row is stored twice; streams that share a store never touch each
     other's folders.
     """
-    return _into_store(
+    return into_store(
         stream, checkpoint, lambda batch, name: write_batch(to_stored(prepare(batch)), store, name, order)
     )
 
@@ -78,7 +81,7 @@ def first_links(
     it is, however late its other rows come. Rows without a link are all kept. Read the
     result with ``read_store`` and the schema of the stream.
     """
-    return _into_store(stream, checkpoint, lambda batch, name: write_batch(batch, store, name, order, time))
+    return into_store(stream, checkpoint, lambda batch, name: write_batch(batch, store, name, order, time))
 
 
 def hourly_counts(

@@ -71,8 +71,10 @@ def test_a_batch_is_read_once(spark, tmp_path, join_limit):
     fresh = ingest.new_rows(with_extras(spark.read.parquet(batch)), spark.read.parquet(stored), ["scrape_time"])
     assert sorted(r.scrape_time for r in fresh.where("link IS NOT NULL").collect()) == [6, 7, 8, 9, 11, 12, 13, 14, 16, 17, 18, 19]
     assert fresh.where("link IS NULL").count() == 10
-    plan = spark._jvm.PythonSQLUtils.explainString(fresh._jdf.queryExecution(), "simple")
-    assert plan.count(f"{batch}]") == 1
+    # One scan of the batch and one of the store, however long their paths are.
+    plan = spark._jvm.PythonSQLUtils.explainString(fresh._jdf.queryExecution(), "formatted")
+    assert len(re.findall(r"(?m)^[ :+-]*\* Scan parquet|^[ :+-]*Scan parquet", plan.split("\n\n")[0])) == 2
+    assert sorted({f.split("/")[-2] for f in fresh.inputFiles()}) == ["batch", "stored"]
 
 
 def test_first_arrivals_order_maps_by_their_entries(spark):
