@@ -84,14 +84,14 @@ SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, s
   (row_number() OVER (PARTITION BY shard ORDER BY place) - 1)::BIGINT AS slot, NULL::INT AS grown_shard FROM s"""
 
 TOP_K = """
-WITH e AS (SELECT vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
+WITH e AS (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: floor(256 * x::DOUBLE)::BIGINT) AS v FROM embeddings
   WHERE vec_id IS NOT NULL AND embedding IS NOT NULL AND len(embedding) > 0
     AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id,
+s AS (SELECT q.r, q.vec_id AS query_id, c.vec_id,
     list_sum(list_transform(range(1, len(q.v) + 1), lambda i: q.v[i] * c.v[i]))::BIGINT AS score
-  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.vec_id <> c.vec_id AND len(q.v) = len(c.v))
-SELECT query_id, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
-QUALIFY row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) <= 5"""
+  FROM e q JOIN e c ON q.vec_id % 50 = 0 AND q.r <> c.r AND len(q.v) = len(c.v))
+SELECT query_id, row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id)::INT AS rank, vec_id, score FROM s
+QUALIFY row_number() OVER (PARTITION BY r ORDER BY score DESC, vec_id) <= 5"""
 
 MIXING = rf"""
 WITH d AS (SELECT doc_id, source, len(regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')) AS size,

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import json
+from collections.abc import Iterator, Sequence
 from heapq import heappop, heappush
 
 import numpy as np
@@ -28,8 +29,8 @@ def _norms(rows: np.ndarray) -> np.ndarray:
     return np.sqrt((rows**2).sum(1))
 
 
-def _whole_product(a: np.ndarray, b: np.ndarray) -> int:
-    return sum(int(x) * int(y) for x, y in zip(a.tolist(), b.tolist()))
+def _whole_product(a: Sequence, b: Sequence) -> int:
+    return sum(int(x) * int(y) for x, y in zip(a, b))
 
 
 def _at_most(score: int) -> float:
@@ -43,11 +44,19 @@ def _at_most(score: int) -> float:
 
 
 class BallTree:
-    """Vectors in balls: every node has a centre and a radius, leaves hold few vectors."""
+    """Vectors in balls: every node has a centre and a radius, leaves hold few vectors.
 
-    def __init__(self, ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF_ROWS):
+    ``numbers`` tell rows of one id apart; ``wide`` has the exact components of vectors that
+    are too long for doubles, by number.
+    """
+
+    def __init__(
+        self, ids: np.ndarray, rows: np.ndarray, leaf: int = LEAF_ROWS, numbers: np.ndarray | None = None,
+        wide: dict[int, list[int]] | None = None,
+    ):
         self.order = np.arange(len(ids))
         self.rows, self.ids = rows.astype(np.float64), ids
+        self.numbers, self.wide = ids if numbers is None else numbers, wide or {}
         self.spans: list[tuple[int, int]] = []
         self.children: list[tuple[int, int] | None] = []
         centres, radii = [], []
@@ -73,21 +82,23 @@ class BallTree:
                 middle = (a + b) // 2
                 todo += [(a, middle, node), (middle, b, node)]
         self.centres, self.radii = np.array(centres), np.array(radii)
-        self.rows, self.ids = self.rows[self.order], self.ids[self.order]
+        self.rows, self.ids, self.numbers = self.rows[self.order], self.ids[self.order], self.numbers[self.order]
         self.norms = _norms(self.rows)
         self.reach = _norms(self.centres) + self.radii
 
     def search(
-        self, queries: np.ndarray, own_ids: np.ndarray, floors: np.ndarray, k: int
+        self, queries: np.ndarray, own: np.ndarray, floors: np.ndarray, k: int, wide: dict[int, list[int]] | None = None
     ) -> tuple[list[tuple[int, int, int]], np.ndarray]:
         """The k best of this shard for each query that may still matter: (query, id, score).
 
+        ``own`` has the numbers of the queries' own rows, which are left out; ``wide`` the
+        exact components of those too long for doubles, by number.
         ``floors`` holds a score that the k-th best of each query reaches already; nodes
         whose bound is below it are left out, equal ones are not, since ties go to smaller
         ids. The new floors come back with the hits. Scores are exact: where doubles may
         round, they only tell which vectors are multiplied in whole numbers of any size.
         """
-        queries = queries.astype(np.float64)
+        queries, wide = queries.astype(np.float64), wide or {}
         lengths = _norms(queries)
         exact = (lengths * self.norms.max() < EXACT).tolist()
         # What rounding may change, as a part of the product of two lengths.
@@ -120,8 +131,12 @@ class BallTree:
                     most = lengths[q] * self.norms[a:b]
                     near = ~(scores + np.where(most < EXACT, 0.0, part * most) < floor)
                 for i in np.nonzero(near)[0]:
-                    if self.ids[a + i] != own_ids[q]:
-                        score = int(scores[i]) if exact[q] or most[i] < EXACT else _whole_product(rows[i], queries[q])
+                    number = int(self.numbers[a + i])
+                    if number != own[q]:
+                        if exact[q] or most[i] < EXACT:
+                            score = int(scores[i])
+                        else:
+                            score = _whole_product(self.wide.get(number, rows[i]), wide.get(int(own[q]), queries[q]))
                         item = (score, -int(self.ids[a + i]))
                         if len(best) < k:
                             heappush(best, item)
@@ -136,11 +151,12 @@ class BallTree:
         return hits, floors
 
 
-def whole_vectors(rows: DataFrame, scale: int = SCALE, one_per_id: bool = True) -> DataFrame:
+def whole_vectors(rows: DataFrame, scale: int = SCALE) -> DataFrame:
     """Whole vectors: floor(scale * x) of every component as a double, in ``vec_id`` and ``v``.
 
     Vectors that are null, empty, or hold null or non-finite components take no part, nor do
-    rows without an id. Of rows with one id all count, or the largest vector if ``one_per_id``.
+    rows without an id. Where a component times ``scale`` is too large for a double, ``wide``
+    has the components as they were; it is null elsewhere.
     """
     def whole_number(x: Column) -> Column:
         # Doubles from EXACT on have no fraction, and may be too large for a long.
@@ -150,11 +166,12 @@ def whole_vectors(rows: DataFrame, scale: int = SCALE, one_per_id: bool = True)
     ints = F.transform("embedding", whole_number)
     sound = F.forall("embedding", lambda x: x.isNotNull() & ~F.isnan(x) & (F.abs(x) < float("inf")))
     good = rows.where("vec_id IS NOT NULL AND embedding IS NOT NULL").where(sound).where(F.size("embedding") > 0)
-    whole = good.select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("v"))
-    return whole.groupBy("vec_id").agg(F.max("v").alias("v")) if one_per_id else whole
+    whole = good.select(F.col("vec_id").cast("long").alias("vec_id"), ints.alias("v"), F.col("embedding").cast("array<double>").alias("x"))
+    too_long = F.exists("v", lambda y: F.abs(y) == float("inf"))
+    return whole.select("vec_id", "v", F.when(too_long, F.col("x")).alias("wide"))
 
 
-_PACKED = "shard long, dims int, n int, ids binary, rows binary"
+_PACKED = "shard long, dims int, n int, ids binary, numbers binary, rows binary, wide string"
 
 
 def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
@@ -165,24 +182,28 @@ def _packed(vectors: DataFrame, per_shard: int) -> DataFrame:
     total = vectors.select(F.count("*").alias("n")).scalar()
     shards = F.greatest(F.ceil(total / F.lit(float(per_shard))), F.lit(1)).cast("long")
     dealt = vectors.select(
-        F.pmod(F.xxhash64("row", F.lit(6)), shards).alias("shard"), F.size("v").alias("dims"), "vec_id", "v"
+        F.pmod(F.xxhash64("row", F.lit(6)), shards).alias("shard"), F.size("v").alias("dims"), "vec_id", "row", "v", "wide"
     )
 
     def pack(key: tuple, batch: pa.Table) -> pa.Table:
-        ids = np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column("vec_id").chunks]).astype(np.int64)
+        ids, numbers = (
+            np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column(x).chunks]).astype(np.int64) for x in ("vec_id", "row")
+        )
         dims = key[1].as_py()
         flat = pa.concat_arrays([c.flatten() for c in batch.column("v").chunks])
         rows = flat.to_numpy(zero_copy_only=False).reshape(-1, dims)
-        if not np.isfinite(rows).all():
-            raise OverflowError("a scaled component does not fit a double")
-        if np.abs(rows).max() < 1 << 31:
+        if np.isfinite(rows).all() and np.abs(rows).max() < 1 << 31:
             rows = rows.astype(np.int32)
+        long = np.nonzero(~np.isfinite(rows).all(axis=1))[0]
+        # Whole numbers of any size, as text.
+        wide = {str(numbers[i]): [str(int(x) * SCALE if np.isinf(y) else int(y)) for x, y in zip(batch.column("wide")[i].as_py(), rows[i].tolist())] for i in long.tolist()}
         order = np.argsort(ids, kind="stable")
         return pa.table(
             {
                 "shard": pa.array([key[0].as_py()], pa.int64()), "dims": pa.array([dims], pa.int32()),
                 "n": pa.array([len(ids)], pa.int32()), "ids": pa.array([ids[order].tobytes()], pa.binary()),
-                "rows": pa.array([rows[order].tobytes()], pa.binary()),
+                "numbers": pa.array([numbers[order].tobytes()], pa.binary()),
+                "rows": pa.array([rows[order].tobytes()], pa.binary()), "wide": pa.array([json.dumps(wide)], pa.string()),
             }
         )
 
@@ -194,32 +215,32 @@ _ANSWERS = "block long, dims int, place int, query_id long, vec_id long, score l
 
 
 def top_k(
-    rows: DataFrame, k: int = K, every: int = 50, per_shard: int = SHARD_ROWS, per_block: int = QUERY_ROWS,
-    one_per_id: bool = True,
+    rows: DataFrame, k: int = K, every: int = 50, per_shard: int = SHARD_ROWS, per_block: int = QUERY_ROWS
 ) -> DataFrame:
     """The k best inner products of every query: ``query_id, rank, vec_id, score``.
 
-    Queries are the vectors whose id is divisible by ``every``; candidates are all rows with
-    other ids. With ``one_per_id`` the largest vector stands for rows of one id; without it
-    each row is a candidate of its own, takes a rank of its own, and the rows of a query's
-    id share its k ranks, as in the query's SQL.
+    Queries are the vectors whose id is divisible by ``every``; candidates are all rows but
+    the query's own. Rows that repeat an id are queries, and candidates, of their own: each
+    such query has its own k ranks.
     Vectors are packed into shards and queries into blocks, both of bounded size. First each
     block searches one shard, which gives every query a k-th score that its answer reaches;
     then all shards are searched below that bound, each by its own ball tree. A task takes
     its shards one after another, meets their blocks one at a time, and carries the k-th
     scores on. The answers of the shards are merged per query. Scores are exact for
-    components of any size; an answer whose score does not fit a long is an error. Equal scores go to smaller
+    components of any size, those included that outgrow a double when scaled; an answer whose
+    score does not fit a long is an error. Equal scores go to smaller
     ids; vectors of different lengths are not compared. A table with fewer candidates gives
     fewer rows, an empty one none.
     """
     spark = rows.sparkSession
     prepare(spark)
-    whole = whole_vectors(rows, one_per_id=one_per_id)
+    whole = whole_vectors(rows)
     vectors = written(whole.withColumn("row", F.monotonically_increasing_id()), "vectors")
     shards = written(_packed(vectors, per_shard), "vector-shards")
     blocks = written(
         _packed(vectors.where(F.col("vec_id") % every == 0), per_block).select(
-            F.col("shard").alias("block"), "dims", F.col("ids").alias("q_ids"), F.col("rows").alias("q_rows")
+            F.col("shard").alias("block"), "dims", F.col("ids").alias("q_ids"), F.col("numbers").alias("q_numbers"),
+            F.col("rows").alias("q_rows"), F.col("wide").alias("q_wide"),
         ),
         "query-blocks",
     )
@@ -238,7 +259,7 @@ def top_k(
     met = both.repartition("shard", "dims").sortWithinPartitions("shard", "dims", "asks", "block")
     with batches_of(spark, PACKED_ROWS):
         answers = written(met.mapInArrow(_search_rest(k), _ANSWERS), "answers").unionByName(begun)
-    best = W.partitionBy("query_id").orderBy(F.col("score").desc(), "vec_id")
+    best = W.partitionBy("block", "dims", "place").orderBy(F.col("score").desc(), "vec_id")
     ranked = answers.withColumn("rank", F.row_number().over(best)).where(F.col("rank") <= k)
     score = F.coalesce("score", F.raise_error(F.lit("a score among the best does not fit a long")).cast("long"))
     return ranked.select("query_id", "rank", "vec_id", score.alias("score"))
@@ -266,8 +287,13 @@ def _unpacked(rows: bytes, n: int, dims: int) -> np.ndarray:
     return np.frombuffer(rows, np.int32 if len(rows) == 4 * n * dims else np.float64).reshape(-1, dims)
 
 
+def _wide(text: str) -> dict[int, list[int]]:
+    return {int(number): [int(x) for x in v] for number, v in json.loads(text).items()}
+
+
 def _tree(row: dict) -> BallTree:
-    return BallTree(np.frombuffer(row["ids"], np.int64), _unpacked(row["rows"], len(row["ids"]) // 8, row["dims"]))
+    ids, numbers = (np.frombuffer(row[x], np.int64) for x in ("ids", "numbers"))
+    return BallTree(ids, _unpacked(row["rows"], len(ids), row["dims"]), numbers=numbers, wide=_wide(row["wide"]))
 
 
 def _long(score: int) -> int | None:
@@ -286,7 +312,7 @@ def _answers(tree: BallTree, row: dict, floors: np.ndarray | None, k: int) -> tu
         if row.get("floors"):
             known = np.frombuffer(row["floors"], np.int64).reshape(-1, 2)
             floors[known[:, 0]] = [_at_most(x) for x in known[:, 1].tolist()]
-    hits, floors = tree.search(queries, q_ids, floors, k)
+    hits, floors = tree.search(queries, np.frombuffer(row["q_numbers"], np.int64), floors, k, _wide(row["q_wide"]))
     found = pa.RecordBatch.from_arrays(
         [
             pa.array([row["block"]] * len(hits), pa.int64()), pa.array([row["dims"]] * len(hits), pa.int32()),

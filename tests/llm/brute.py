@@ -7,6 +7,7 @@ import math
 import re
 import zlib
 from collections import Counter
+from fractions import Fraction
 from hashlib import md5, sha256
 
 import numpy as np
@@ -136,14 +137,15 @@ def mixing_rows(docs, seed=8):
 def top_rows(rows, k=5, every=50, scale=256):
     """rows: (vec_id, vector)."""
     good = [
-        (i, [math.floor(scale * float(x)) for x in v])
+        (i, [math.floor(scale * Fraction(float(x))) for x in v])
         for i, v in rows
         if i is not None and v and all(x is not None and math.isfinite(x) for x in v)
     ]
     out = []
-    for q, v in good:
+    for at, (q, v) in enumerate(good):
         if q % every == 0:
-            scored = sorted((-sum(a * b for a, b in zip(v, o)), i) for i, o in good if i != q and len(o) == len(v))[:k]
+            others = [o for j, o in enumerate(good) if j != at]
+            scored = sorted((-sum(a * b for a, b in zip(v, o)), i) for i, o in others if len(o) == len(v))[:k]
             out += [(q, r + 1, i, -s) for r, (s, i) in enumerate(scored)]
     return out
 

@@ -259,16 +259,6 @@ def test_top_k_with_ties_and_unsound_vectors(spark):
     assert topk.top_k(rows.where("vec_id < 3")).count() == 2
 
 
-def test_repeated_ids_count_once(spark):
-    data = [(i % 60, [float(i % 7), float(i % 60)]) for i in range(120)]
-    largest = {}
-    for i, v in data:
-        largest[i] = max(largest.get(i, v), v)
-    rows = spark.createDataFrame(data, "vec_id long, embedding array<float>")
-    got = collected(topk.top_k(rows, per_shard=16), "query_id", "rank", "vec_id", "score")
-    assert got == Counter(brute.top_rows(sorted(largest.items())))
-
-
 def registered_top_k(data):
     """What the query's SQL gives for rows of ``vec_id, embedding``."""
     import duckdb
@@ -290,12 +280,27 @@ def test_every_row_of_a_repeated_id_is_a_candidate(spark, tmp_path, size, monkey
     data = [(rng.choice([0, 50, 77, 77, *range(30)]), [rng.choice([0.0, 0.5, -0.25, 1.0]) for _ in range(3)]) for _ in range(300)]
     data += [(77, [1.0, 1.0, 1.0])] * 100
     spark.createDataFrame(data, "vec_id long, embedding array<float>").write.parquet(f"{tmp_path}/embeddings.parquet")
-    monkeypatch.setattr(topk.top_k, "__defaults__", (topk.K, 50, size, 3, *topk.top_k.__defaults__[4:]))
+    monkeypatch.setattr(topk.top_k, "__defaults__", (topk.K, 50, size, 3))
     got = collected(QUERIES["op6_exact_top_k"](spark, str(tmp_path)), "query_id", "rank", "vec_id", "score")
-    assert got == registered_top_k(data)
-    alone = [x for x in data if x[0] % 50] + [(100, [1.0, 0.5, 0.0])]
-    rows = spark.createDataFrame(alone, "vec_id long, embedding array<float>")
-    assert collected(topk.top_k(rows, one_per_id=False), "query_id", "rank", "vec_id", "score") == Counter(brute.top_rows(alone))
+    assert got == registered_top_k(data) == Counter(brute.top_rows(data))
+
+
+def test_the_other_row_of_a_query_id_is_its_candidate(spark):
+    data = [(50, [1.0, 0.0]), (50, [0.5, 0.5]), (1, [0.1, 0.1])]
+    got = collected(topk.top_k(spark.createDataFrame(data, "vec_id long, embedding array<float>")), "query_id", "rank", "vec_id", "score")
+    assert got == Counter(brute.top_rows(data)) and got[50, 1, 50, 32_768] == 2
+
+
+def test_components_that_outgrow_doubles_do_not_end_the_query(spark):
+    data = [(0, [0.0, 2.0]), (50, [1.0, 1.0]), (1, [1e307, 3.0]), (2, [-1.7e308, 4.0]), (3, [0.25, 5.0]), (100, [0.0, 1e306]), (4, [9.0, 0.0]), (5, [-3.0, 0.0])]
+    rows = spark.createDataFrame(data, "vec_id long, embedding array<double>")
+    for size in (2, 100):
+        with pytest.raises(Exception, match="does not fit a long"):
+            topk.top_k(rows, per_shard=size, per_block=1).collect()
+        # Where no score among the best is that long, the vectors take part like any others.
+        some = [x for x in data if x[0] not in (50, 100)]
+        got = collected(topk.top_k(rows.where("vec_id NOT IN (50, 100)"), per_shard=size, per_block=1), "query_id", "rank", "vec_id", "score")
+        assert got == Counter(brute.top_rows(some)) and got[0, 2, 2, 4 * 2 * 256 * 256] == 1
 
 
 @pytest.mark.parametrize("size", [7, 10_000])
