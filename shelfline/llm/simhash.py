@@ -16,11 +16,15 @@ from shelfline.llm.common import hashable, over_batches, written
 SHINGLE = 3
 DISTANCE = 3
 SEED = 42
-# Fingerprints in one shard, about, and in a leaf of the tree within it.
+# Fingerprints that one task holds in its tree, about, and as many that it seeks there; and
+# those in a leaf of the tree.
 SHARD_ROWS = 16_384
 LEAF_ROWS = 128
-# Fingerprints, chosen by hash, on which the upper levels of the tree are laid out.
-LAYOUT_ROWS = 8_192
+# Fingerprints, chosen by hash, on which the upper levels of the tree are laid out: so many a
+# shard, but never more than the driver can well hold.
+LAYOUT_ROWS_A_SHARD = 64
+LEAST_LAYOUT_ROWS = 8_192
+MOST_LAYOUT_ROWS = 1 << 20
 _LOWER = bytes(b + 32 if 65 <= b <= 90 else b for b in range(256))
 
 
@@ -69,15 +73,17 @@ class Layout:
 
     Every inner node has a vantage fingerprint and a radius; points within the radius belong
     to the near side, others to the far side. A point is at home in one shard and visits all
-    others in which a point within ``reach`` bits of it can be at home.
+    others in which a point within ``reach`` bits of it can be at home. Nodes are divided
+    until ``most`` points of the sample, at most, are at home in each shard.
     """
 
-    def __init__(self, sample: np.ndarray, levels: int):
+    def __init__(self, sample: np.ndarray, most: float):
         self.nodes: dict[int, tuple[np.uint64, int]] = {}
         todo = [(1, np.unique(sample))]
         while todo:
             node, own = todo.pop()
-            if node >= 1 << levels or len(own) < 2:
+            # Numbers of nodes are longs; so deep a node holds points that no radius parts.
+            if len(own) <= max(1, most) or node >= 1 << 60:
                 continue
             # The vantage point with the widest spread of distances among a few candidates.
             tried = own[:: max(1, len(own) // 8)][:8]
@@ -141,17 +147,20 @@ class Forest:
         return self.of(np.arange(len(self.up)))
 
 
-def join_close(points: np.ndarray, homes: int, reach: int, leaf: int = LEAF_ROWS) -> np.ndarray:
+def join_close(
+    points: np.ndarray, homes: int, reach: int, leaf: int = LEAF_ROWS, seekers: np.ndarray | None = None
+) -> np.ndarray:
     """Set numbers of points, where points within ``reach`` bits share a set.
 
-    The first ``homes`` points are held in a vantage-point tree, all points are sought in it.
-    A branch is left out when the triangle inequality shows that nothing in it is close
-    enough. Only joined sets are kept, never the pairs; where a whole branch is one set, its
-    members need not seek it, so that a large group of copies is soon done with.
+    The first ``homes`` points are held in a vantage-point tree; all points, or those at the
+    places ``seekers``, are sought in it. A branch is left out when the triangle inequality
+    shows that nothing in it is close enough. Only joined sets are kept, never the pairs;
+    where a whole branch is one set, its members need not seek it, so that a large group of
+    copies is soon done with.
     """
     forest = Forest(len(points))
     rng = np.random.default_rng(10)
-    todo = [(np.arange(homes), np.arange(len(points)))]
+    todo = [(np.arange(homes), np.arange(len(points)) if seekers is None else seekers)]
     while todo:
         own, seekers = todo.pop()
         if len(own) and len(seekers):
@@ -186,36 +195,65 @@ def join_close(points: np.ndarray, homes: int, reach: int, leaf: int = LEAF_ROWS
     return forest.roots()
 
 
-def close_links(points: DataFrame, reach: int = DISTANCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
-    """Links that join all distinct fingerprints within ``reach`` bits: ``a, b``.
+def _layout(points: DataFrame, shard_rows: int) -> Layout:
+    """The layout of a bounded sample, chosen by hash."""
+    n = points.count()
+    wanted = min(MOST_LAYOUT_ROWS, max(LEAST_LAYOUT_ROWS, LAYOUT_ROWS_A_SHARD * n // shard_rows))
+    every = max(1, n // wanted)
+    sample = points.where(F.pmod(F.xxhash64("fp", F.lit(7)), F.lit(every)) == 0).select("fp").toArrow()
+    drawn = sample.column("fp").to_numpy().astype(np.int64).view(np.uint64)
+    return Layout(drawn, shard_rows * len(drawn) / max(1, n))
 
-    ``points`` has distinct fingerprints ``fp``. The links of a shard form a star for each
-    joined set, so there are at most as many as points in the shards. The layout of the
-    shards comes from a bounded sample; every fingerprint is routed by it.
+
+def cells(points: DataFrame, layout: Layout, reach: int, shard_rows: int) -> DataFrame:
+    """Points in the cells where they are held or sought: ``shard, i, j, held, seeks, fp``.
+
+    Every point is at home in one shard and visits those that its ball overlaps. The homes of
+    a shard are dealt to parts ``i`` and all its points to parts ``j``, of about
+    ``shard_rows`` each, as many as the shard's counted rows need. A cell holds the homes of
+    one ``i`` and seeks the points of one ``j`` there, so it is bounded however full its
+    shard is, and every home meets every visitor in one cell.
     """
-    spark = points.sparkSession
-    n = points.count()
-    levels = max(0, int(np.ceil(np.log2(max(1, n) / shard_rows))))
-    sample = points.orderBy(F.xxhash64("fp"), "fp").limit(LAYOUT_ROWS).toArrow().column("fp").to_numpy()
-    layout = spark.sparkContext.broadcast(Layout(sample.astype(np.int64).view(np.uint64), levels))
+    shared = points.sparkSession.sparkContext.broadcast(layout)
 
     def route(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             fp = batch.column(0).to_numpy()
-            at, shard, home = layout.value.route(fp.astype(np.int64).view(np.uint64), reach)
-            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(~home), pa.array(fp[at])], ["shard", "visits", "fp"])
+            at, shard, home = shared.value.route(fp.astype(np.int64).view(np.uint64), reach)
+            yield pa.RecordBatch.from_arrays([pa.array(shard), pa.array(home), pa.array(fp[at])], ["shard", "home", "fp"])
+
+    routed = written(points.select("fp").mapInArrow(route, "shard long, home boolean, fp long"), "routed")
+    # Parts have a little room, since hashes fill them unevenly.
+    parts = lambda n: F.ceil(n / F.lit(0.9 * shard_rows))
+    sizes = written(routed.groupBy("shard").agg(parts(F.count_if("home")).alias("n_i"), parts(F.count("*")).alias("n_j")), "shard-sizes")
+    placed = routed.join(sizes, "shard").withColumns({"own_i": F.pmod(F.xxhash64("fp"), "n_i"), "own_j": F.pmod(F.xxhash64("fp", F.lit(1)), "n_j")})
+    # A home is held in all cells of its i, a point is sought in all cells of its j.
+    rows = F.expr("IF(home AND n_i > 0, sequence(0L, n_j - 1), array())")
+    held = F.transform(rows, lambda j: F.struct(F.col("own_i").alias("i"), j.alias("j"), F.lit(True).alias("held"), (j == F.col("own_j")).alias("seeks")))
+    columns = F.expr("IF(n_i > 0, filter(sequence(0L, n_i - 1), x -> NOT home OR x <> own_i), array())")
+    sought = F.transform(columns, lambda i: F.struct(i.alias("i"), F.col("own_j").alias("j"), F.lit(False).alias("held"), F.lit(True).alias("seeks")))
+    return placed.select("shard", "fp", F.inline(F.concat(held, sought)))
+
+
+def close_links(points: DataFrame, reach: int = DISTANCE, shard_rows: int = SHARD_ROWS) -> DataFrame:
+    """Links that join all distinct fingerprints within ``reach`` bits: ``a, b``.
+
+    ``points`` has distinct fingerprints ``fp``. The links of a cell form a star for each
+    joined set, so there are at most as many as points in the cells. The layout of the shards
+    comes from a bounded sample; every fingerprint is routed by it.
+    """
 
     def stars(key: tuple, batch: pa.Table) -> pa.Table:
         fp = np.concatenate([c.to_numpy() for c in batch.column("fp").chunks])
-        visits = np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column("visits").chunks])
-        order = np.lexsort((fp, visits))
-        fp = fp[order]
-        roots = join_close(fp.astype(np.int64).view(np.uint64), int((~visits).sum()), reach)
+        held, seeks = (np.concatenate([c.to_numpy(zero_copy_only=False) for c in batch.column(x).chunks]) for x in ("held", "seeks"))
+        order = np.lexsort((fp, ~held))
+        fp, seeks = fp[order], seeks[order]
+        roots = join_close(fp.astype(np.int64).view(np.uint64), int(held.sum()), reach, seekers=np.nonzero(seeks)[0])
         linked = roots != np.arange(len(fp))
         return pa.table({"a": pa.array(fp[linked]), "b": pa.array(fp[roots[linked]])})
 
-    routed = points.select("fp").mapInArrow(route, "shard long, visits boolean, fp long")
-    return routed.groupBy("shard").applyInArrow(stars, "a long, b long")
+    placed = cells(points, _layout(points, shard_rows), reach, shard_rows)
+    return placed.groupBy("shard", "i", "j").applyInArrow(stars, "a long, b long")
 
 
 def components(links: DataFrame, rounds: int = 60) -> DataFrame:
