@@ -11,10 +11,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import WORD_BYTES, over_batches
+from shelfline.llm.common import WORD_BYTES, numbered, over_batches, written
 
 WINDOW = 10
-# Bytes of test texts in one automaton (some 100 bytes of memory each at most).
+# Bytes of test texts in one automaton (some 100 bytes of memory each at most), and with it
+# what is on the driver, or broadcast, at once.
 BLOCK_BYTES = 1 << 20
 _WORD = re.compile(rb"[^ ]+")
 
@@ -80,56 +81,61 @@ def merged(stretches: Sequence[tuple[int, int]]) -> list[tuple[int, int]]:
     return [(a, b) for a, b in out]
 
 
-def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> Iterator[list[tuple[str, str]]]:
-    """Test items in blocks of bounded size, one at a time on the driver.
+def item_blocks(benchmark: DataFrame, block_bytes: int = BLOCK_BYTES) -> tuple[DataFrame, int]:
+    """Test items with the number of their ``block``, and how many blocks there are.
 
-    The items are a stated query set; their size is measured first and decides the number of
-    blocks. Items without words, and null texts, never match and are left out. A null id
-    counts as an empty one.
+    Blocks hold about ``block_bytes`` of text. Items without words, and null texts, never
+    match and are left out. A null id counts as an empty one.
     """
     items = benchmark.select(
         F.coalesce(F.col("item_id").cast("string"), F.lit("")).alias("item"), F.col("text")
-    ).where("text IS NOT NULL")
+    ).where("text IS NOT NULL").distinct()
     size = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
     n = -(-size // block_bytes) or 1
-    block = F.pmod(F.xxhash64("item", "text"), F.lit(n))
-    for i in range(n):
-        yield [(r.item, r.text) for r in items.where(block == i).distinct().orderBy("item", "text").collect()]
+    return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n))), n
 
 
-def _with_hits(docs: DataFrame, benchmark: DataFrame, finish, schema: str, size: int, block_bytes: int) -> DataFrame:
-    spark = docs.sparkSession
-    blocks = [spark.sparkContext.broadcast(b) for b in item_blocks(benchmark, block_bytes)]
+def _scanned(docs: DataFrame, items: DataFrame, block: int, size: int, finish, schema) -> DataFrame:
+    """One pass over whole texts with the automaton of one block, built once a task."""
+    own = [(r.item, r.text) for r in items.where(F.col("block") == block).orderBy("item", "text").collect()]
+    shared = docs.sparkSession.sparkContext.broadcast(own)
 
     def make():
-        built: dict[int, Scanner] = {}
-
-        def scanner(i: int) -> Scanner:
-            if i not in built:
-                built.clear()  # one automaton in memory at a time
-                built[i] = Scanner(blocks[i].value, size)
-            return built[i]
+        scan = Scanner(shared.value, size).scan
 
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            raw = [normal(t) for t in texts]
+            raw = [normal(t) for t in batch.column(batch.schema.get_field_index("text")).to_pylist()]
             single = [b" ".join([b"", *d.split(), b""]) for d in raw]
-            hits: list[list] = [[] for _ in texts]
-            items: list[set] = [set() for _ in texts]
-            for i in range(len(blocks)):
-                scan = scanner(i).scan
-                for k, data in enumerate(single):
-                    found, ids = scan(data)
-                    if found:
-                        hits[k] += found
-                        items[k] |= ids
-            return finish(batch, raw, single, [merged(h) for h in hits], items)
+            found = [scan(d) for d in single]
+            return finish(batch, raw, single, [hits for hits, _ in found], [ids for _, ids in found])
 
         return run
 
     return over_batches(docs, make, schema)
 
 
+_HITS = "array<struct<first: long, last: long, start: long, end: long>>"
+_HIT = pa.list_(pa.struct([(x, pa.int64()) for x in ("first", "last", "start", "end")]))
+
+
+def _found(batch, raw, single, hits, items, kept: list[str]) -> pa.RecordBatch:
+    """Words and hits of every text: words and code points from and to, and the items found."""
+    column = dict(zip(batch.schema.names, batch.columns))
+    stretches = []
+    for text, data, found in zip(column["text"].to_pylist(), raw, hits):
+        places = _original(text or "", data, found) if found else []
+        stretches.append([dict(zip(("first", "last", "start", "end"), (*w, *c))) for w, c in zip(found, places)])
+    return pa.RecordBatch.from_arrays(
+        [
+            *[column[c] for c in kept],
+            pa.array([max(0, d.count(b" ") - 1) for d in single], pa.int64()),
+            pa.array(stretches, _HIT),
+            pa.array([sorted(i) for i in items], pa.list_(pa.string())),
+        ],
+        [*kept, "n_words", "hits", "items"],
+    )
+
+
 def contamination(
     docs: DataFrame, benchmark: DataFrame, size: int = WINDOW, block_bytes: int = BLOCK_BYTES
 ) -> DataFrame:
@@ -137,43 +143,64 @@ def contamination(
 
     Returns ``doc_id, n_words, n_hit, n_items, items_sha256, contaminated, spans``; spans are
     start and end of hit stretches in the original text, in code points, as an array of
-    structs. Texts are normalised once and scanned once per block of test items (one block
-    unless they exceed ``block_bytes``); documents are not shuffled.
+    structs. One automaton scans every text once and documents are not shuffled. A test set
+    above ``block_bytes`` is cut into blocks with an automaton each: every block is one pass
+    over the texts, of which only the hits are written, so work grows in proportion, and no
+    more than one block is on the driver, broadcast, or in a task at a time. The hits of the
+    passes meet by row number.
 
     A null or empty text has no words and no hits; equal windows of several items count for
     each, repeated items once; without items nothing is contaminated. Repeated documents
     are scanned one by one, an empty table gives no rows, other columns are ignored.
     """
+    items, blocks = item_blocks(benchmark, block_bytes)
+    rows = docs.select("doc_id", "text")
+    if blocks == 1:
+        kept = ["doc_id"]
+    else:
+        kept, rows = ["rid", "doc_id"], numbered(rows, "numbered-texts")
+    kinds = "".join(f"{c} {t}, " for c, t in rows.select(kept).dtypes)
+    schema = f"{kinds}n_words long, hits {_HITS}, items array<string>"
+
+    def finish(*parts) -> pa.RecordBatch:
+        return _found(*parts, kept)
+
+    found = _scanned(rows, items, 0, size, finish, schema)
+    if blocks > 1:
+        # The first pass gives a row for every text, the others for those with hits.
+        passes = [written(found, "block-hits")]
+        for block in range(1, blocks):
+            passes.append(written(_scanned(rows, items, block, size, finish, schema).where(F.size("hits") > 0), "block-hits"))
+        found = passes[0]
+        for more in passes[1:]:
+            found = found.unionByName(more)
+        found = found.groupBy("rid").agg(
+            F.max("doc_id").alias("doc_id"), F.max("n_words").alias("n_words"),
+            F.flatten(F.collect_list("hits")).alias("hits"), F.flatten(F.collect_list("items")).alias("items"),
+        )
+    hits = _joined(F.array_sort("hits"))
+    named = found.withColumns({"hits": hits, "items": F.array_sort(F.array_distinct("items"))})
+    n_hit = F.aggregate("hits", F.lit(0).cast("long"), lambda n, h: n + h["last"] - h["first"])
+    return named.select(
+        "doc_id", "n_words", n_hit.alias("n_hit"), F.size("items").cast("long").alias("n_items"),
+        F.sha2(F.array_join("items", ","), 256).alias("items_sha256"), (F.size("hits") > 0).alias("contaminated"),
+        F.transform("hits", lambda h: F.struct(h["start"].alias("start"), h["end"].alias("end"))).alias("spans"),
+    )
 
-    def finish(batch, raw, single, hits, items):
-        spans, counts = [], []
-        for text, data, found in zip(batch.column(1).to_pylist(), raw, hits):
-            counts.append(sum(b - a for a, b in found))
-            spans.append(_original(text or "", data, found) if found else [])
-        ids = [sorted(i) for i in items]
-        return pa.RecordBatch.from_arrays(
-            [
-                batch.column(0),
-                pa.array([max(0, d.count(b" ") - 1) for d in single], pa.int64()),
-                pa.array(counts, pa.int64()),
-                pa.array([len(i) for i in ids], pa.int64()),
-                pa.array([sha256(",".join(i).encode()).hexdigest() for i in ids], pa.string()),
-                pa.array([n > 0 for n in counts], pa.bool_()),
-                pa.array(
-                    [[{"start": a, "end": b} for a, b in s] for s in spans],
-                    pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())])),
-                ),
-            ],
-            ["doc_id", "n_words", "n_hit", "n_items", "items_sha256", "contaminated", "spans"],
+
+def _joined(hits):
+    """Stretches in order, those that overlap or touch joined into one."""
+
+    def step(done, h):
+        top = F.element_at(done, -1)
+        longer = F.struct(
+            top["first"].alias("first"), F.greatest(top["last"], h["last"]).alias("last"),
+            top["start"].alias("start"), F.greatest(top["end"], h["end"]).alias("end"),
         )
+        joins = (F.size(done) > 0) & (h["first"] <= F.try_element_at(done, F.lit(-1))["last"])
+        return F.when(joins, F.concat(F.slice(done, 1, F.size(done) - 1), F.array(longer))).otherwise(F.concat(done, F.array(h)))
 
-    kind = dict(docs.dtypes)["doc_id"]
-    return _with_hits(
-        docs.select("doc_id", "text"), benchmark, finish,
-        f"doc_id {kind}, n_words long, n_hit long, n_items long, items_sha256 string, contaminated boolean, "
-        "spans array<struct<start: long, end: long>>",
-        size, block_bytes,
-    )
+    return F.when(F.size(hits) < 2, hits).otherwise(F.aggregate(hits, F.array().cast(_HITS), step))
 
 
 def _original(text: str, data: bytes, found: list[tuple[int, int]]) -> list[tuple[int, int]]:
@@ -195,14 +222,19 @@ def decontaminated(
     """The documents in which no window of a test item occurs, with all their columns.
 
     Null and empty texts hold no words and stay; repeated rows are kept or dropped alike; an
-    empty table stays empty.
+    empty table stays empty. Further columns of any name stay as they are; the text is found
+    by its name in any case. Each block of a large test set is one pass, which leaves the
+    documents that it finds clean to the next.
     """
+    items, blocks = item_blocks(benchmark, block_bytes)
+    # Rows are carried as one column beside the text, so that no name can clash.
+    left = docs.select(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
 
-    def finish(batch, raw, single, hits, items):
+    def finish(batch, raw, single, hits, ids):
         return batch.filter(pa.array([not h for h in hits], pa.bool_()))
 
-    return _with_hits(docs, benchmark, finish, _ddl(docs), size, block_bytes)
-
-
-def _ddl(df: DataFrame) -> str:
-    return ", ".join(f"`{c}` {t}" for c, t in df.dtypes)
+    for block in range(blocks):
+        left = _scanned(left, items, block, size, finish, left.schema)
+        if block + 1 < blocks:
+            left = written(left, "clean-so-far")
+    return left.select("row.*")

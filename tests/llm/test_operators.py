@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import json
+import math
 import random
 import re
 from collections import Counter
@@ -12,6 +13,7 @@ import public_tokenizers
 import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
+from pyspark.sql import functions as F
 from tokenizers import Tokenizer
 
 from shelfline.llm import decontaminate, licenses, mixing, pages, quality, secrets, shards, simhash, tokens, topk
@@ -123,6 +125,40 @@ def test_contamination_equals_plain_search(spark, documents, rows):
     assert collected(decontaminate.contamination(documents, items, block_bytes=1500), *HIT_COLUMNS) == expected
 
 
+def test_each_automaton_is_built_once_a_task(spark, monkeypatch, tmp_path):
+    words = [f"w{i}" for i in range(400)]
+    items = spark.createDataFrame([(i, " ".join(words[20 * i : 20 * i + 20])) for i in range(20)], "item_id int, text string")
+    texts = [(i, f"x {' '.join(words[20 * (i % 20) + 3 : 20 * (i % 20) + 15])} y {' '.join(words[5:17])}" if i % 3 else None) for i in range(90)]
+    docs = spark.createDataFrame(texts, "doc_id int, text string").repartition(2, "doc_id")
+    whole = items.selectExpr("sum(octet_length(text))").first()[0]
+    _, blocks = decontaminate.item_blocks(items, whole // 3 + 1)
+    builds = str(tmp_path)
+
+    class Counted(decontaminate.Scanner):
+        def __init__(self, *args):
+            import tempfile
+
+            tempfile.NamedTemporaryFile(dir=builds, delete=False).close()
+            super().__init__(*args)
+
+    monkeypatch.setattr(decontaminate, "Scanner", Counted)
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        monkeypatch.setattr("shelfline.llm.common.BATCH_ROWS", 5)
+        got = collected(decontaminate.contamination(docs, items, block_bytes=whole // 3 + 1), *HIT_COLUMNS)
+        import os
+
+        assert blocks == 3 and 0 < len(os.listdir(builds)) <= 3 * docs.rdd.getNumPartitions()
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")
+    told = [(r.item_id, r.text) for r in items.collect()]
+    assert got == Counter(brute.contamination_rows(texts, told)) == collected(decontaminate.contamination(docs, items), *HIT_COLUMNS)
+    one, many = (decontaminate.contamination(docs, items, block_bytes=b).select("doc_id", "spans") for b in (1 << 20, 300))
+    assert {r.doc_id: r.spans for r in one.collect()} == {r.doc_id: r.spans for r in many.collect()}
+    kept = decontaminate.decontaminated(docs, items, block_bytes=300)
+    assert {r.doc_id for r in kept.collect()} == {r[0] for r in got if not r[5]}
+
+
 def test_contamination_of_odd_rows(spark, odd, none):
     data = [(1, "One, two THREE"), (2, "one two three"), (2, "one two three"), (None, "a"), (3, None), (4, "..."), (5, "word " * 12)]
     items = spark.createDataFrame(data, "item_id long, text string")
@@ -582,7 +618,7 @@ def test_trees_find_every_set_of_close_points(seed):
     roots = simhash.join_close(points, len(points), 3, leaf=8)
     expected = brute.component_rows([(i, int(f)) for i, f in enumerate(points)])
     assert [int(r) for r in roots] == [r[2] for r in expected]
-    layout = simhash.Layout(points[::3], 4)
+    layout = simhash.Layout(points[::3], len(points) / 48)
     at, shard, home = layout.route(points, 3)
     assert Counter(at[home].tolist()) == Counter(range(len(points)))
     homes = {int(a): int(s) for a, s, h in zip(at, shard, home) if h}
@@ -592,6 +628,32 @@ def test_trees_find_every_set_of_close_points(seed):
             assert (i, homes[int(j)]) in visits
 
 
+@pytest.mark.parametrize("n", [65_536, 262_144, 1_048_576])
+def test_cells_are_bounded_at_any_size(spark, n):
+    points = spark.range(n).select(F.xxhash64("id").alias("fp"))
+    placed = simhash.cells(points, simhash._layout(points, simhash.SHARD_ROWS), simhash.DISTANCE, simhash.SHARD_ROWS)
+    sizes = placed.groupBy("shard", "i", "j").agg(F.count("*").alias("n"), F.count_if("held").alias("held"), F.count_if("seeks").alias("sought"))
+    most = sizes.agg(F.max("n"), F.max("held"), F.max("sought")).first()
+    assert most[0] <= 2 * simhash.SHARD_ROWS and most[1] <= 1.02 * simhash.SHARD_ROWS and most[2] <= 1.02 * simhash.SHARD_ROWS
+
+
+def test_links_across_the_parts_of_full_shards(spark):
+    # A layout of one shard, whose homes and seekers fall into many cells.
+    points = clustered(9)
+    rows = spark.createDataFrame([(int(p),) for p in points.view(np.int64)], "fp long")
+    placed = simhash.cells(rows, simhash.Layout(points[:1], 1), 3, 40)
+    assert placed.select("shard").distinct().count() == 1 and placed.groupBy("i", "j").count().count() == math.ceil(len(points) / 36) ** 2
+    met = {(r.i, r.j): (set(), set()) for r in placed.select("i", "j").distinct().collect()}
+    for r in placed.collect():
+        for kind, there in zip((r.held, r.seeks), met[r.i, r.j]):
+            if kind:
+                there.add(r.fp)
+    assert sum(len(held) * len(sought) for held, sought in met.values()) == len(points) ** 2
+    roots = {r.node: r.root for r in simhash.components(simhash.close_links(rows, 3, 40)).collect()}
+    expected = {i: g for i, _, g in brute.component_rows([(int(p), int(q)) for p, q in zip(points.view(np.int64), points)])}
+    assert {i: roots.get(i, i) for i in expected} == expected
+
+
 def test_components_of_a_long_chain(spark):
     order = list(range(3000))
     random.Random(3).shuffle(order)
