@@ -14,7 +14,7 @@ from shelfline.schemas import COLLECTED_ITEM
 from shelfline.session import scratch_dir
 from shelfline.sources import adapters as A
 from shelfline.sources import listings as L
-from shelfline.sources import sinks
+from shelfline.sources import arrays, sinks
 
 TEN = "name, link, image, availability, search_term, source, strftime(scrape_time, '%Y-%m-%d %H:%M:%S') AS scrape_time, job_id"
 
@@ -56,14 +56,16 @@ def s3_listing_lookup(spark, folder):
     return stamps(select.lookup(A.shop_listings(spark, folder), "Brand#3", "SMALL"), "scrape_time")
 
 
-@query("""WITH hits AS (
+PAGE_LINKS = """WITH hits AS (
   SELECT page_id, unnest(regexp_extract_all(html, '<li><a href="([^"]*)"', 1)) AS link FROM pages)
 SELECT link AS name, page_id::DOUBLE AS price, link, 'books' AS search_term,
        '2024-01-01T00:00:00' AS scrape_time, 'In Stock' AS availability,
        NULL::VARCHAR AS rating, 'Amazon' AS source
-FROM hits""")
-def s4_item_array_scan(spark, folder):
-    """Every page's links written as one JSON array per page and read back as rows."""
+FROM hits"""
+
+
+def _page_items(spark, folder):
+    """Every page's links as collected items."""
     link = F.regexp_extract_all("html", F.lit('<li><a href="([^"]*)"'), 1)
 
     def item(x):
@@ -73,12 +75,27 @@ def s4_item_array_scan(spark, folder):
             F.lit("In Stock").alias("availability"), F.lit("Amazon").alias("source"),
         )
 
-    path = scratch_dir(spark, "item-arrays")
     found = A.pages(spark, folder).select("page_id", link.alias("links"))
-    found.select(F.to_json(F.transform("links", item)).alias("value")).write.text(path)
+    return found.select("page_id", F.transform("links", item).alias("items"))
+
+
+@query(PAGE_LINKS)
+def s4_item_array_scan(spark, folder):
+    """Every page's links written as one JSON array per page and read back as rows."""
+    path = scratch_dir(spark, "item-arrays")
+    _page_items(spark, folder).select(F.to_json("items").alias("value")).write.text(path)
     return L.read_items(spark, path, COLLECTED_ITEM, whole_files=False)
 
 
+@query(PAGE_LINKS)
+def s4_split_item_arrays(spark, folder):
+    """The same items as one array for every hundred pages, its files read by several tasks each."""
+    path = scratch_dir(spark, "item-arrays")
+    some = _page_items(spark, folder).groupBy(F.expr("page_id div 100").alias("part"))
+    some.agg(F.to_json(F.flatten(F.collect_list("items")), {"pretty": "true"}).alias("value")).write.partitionBy("part").text(path)
+    return arrays.read_array_items(spark, path, COLLECTED_ITEM, split_bytes=1 << 14)
+
+
 @query(f"""WITH {RAW_SHOP} SELECT name, price, link, search_term, source, job_id FROM raw""")
 def s5_raw_json_by_source(spark, folder):
     rows = A.shop_listings(spark, folder).select("name", "price", "link", "search_term", "source", "job_id")
