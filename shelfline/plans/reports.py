@@ -2,8 +2,9 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
-from functools import cached_property
+from collections.abc import Callable, Mapping, Sequence
+from concurrent.futures import ThreadPoolExecutor
+from threading import Lock
 
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -18,6 +19,11 @@ LOW_PRICE_COMPLETENESS = 80.0
 MANY_DUPLICATES = 10
 FAR_ABOVE_MEAN = 10.0
 
+# Sections of a report that are put together at the same time.
+BUILDERS = 8
+# What the tables of a report share.
+TABLES = ("prices", "times", "counts", "marks", "averages", "quality")
+
 
 def quality_report(df: DataFrame) -> DataFrame:
     """Completeness, validity and duplicates in one row."""
@@ -30,6 +36,22 @@ def timed(df: DataFrame) -> DataFrame:
     return df if known else trends.with_day_and_hour(df)
 
 
+class once:
+    """A property made when first asked for, by one thread while others wait."""
+
+    def __init__(self, make: Callable[[Report], DataFrame]) -> None:
+        self.make = make
+
+    def __set_name__(self, owner: type, name: str) -> None:
+        self.name = name
+
+    def __get__(self, report: Report, owner: type | None = None) -> DataFrame:
+        with report.locks[self.name]:
+            if self.name not in report.__dict__:
+                report.__dict__[self.name] = self.make(report)
+            return report.__dict__[self.name]
+
+
 class Report:
     """The tables of a report over one scan, grouped by one column.
 
@@ -40,30 +62,31 @@ class Report:
     def __init__(self, df: DataFrame, by: str = "search_term") -> None:
         self.df = timed(df)
         self.by = by
+        self.locks = {name: Lock() for name in TABLES}
 
-    @cached_property
+    @once
     def prices(self) -> DataFrame:
         return materialise(rollup.price_cells(self.df, self.by), "price-cells")
 
-    @cached_property
+    @once
     def times(self) -> DataFrame:
         return materialise(rollup.time_cells(self.df, self.by), "time-cells")
 
-    @cached_property
+    @once
     def counts(self) -> DataFrame:
         return rollup.counts_of(self.prices)
 
-    @cached_property
+    @once
     def marks(self) -> DataFrame:
         """One row with every price quantile that a table needs."""
         points = stats.marks_at([0, *stats.PERCENTILES, 100])
         return materialise(quantiles_of_counts(self.counts, points), "marks")
 
-    @cached_property
+    @once
     def averages(self) -> DataFrame:
         return materialise(rollup.averages_of(self.prices, self.by), "averages")
 
-    @cached_property
+    @once
     def quality(self) -> DataFrame:
         return quality.quality_row(self.df)
 
@@ -156,7 +179,7 @@ class Report:
 
         Their folders stay until the retention of the shared folder removes them.
         """
-        for name in ("prices", "times", "counts", "marks", "averages", "quality"):
+        for name in TABLES:
             self.__dict__.pop(name, None)
 
     def insights(self) -> DataFrame:
@@ -239,76 +262,82 @@ def long_form(frame: DataFrame, analysis: str, dimension: str | None = None) ->
 
     Numbers stand in ``value``, everything else (labels, names, times) in ``text``.
     """
-    no_value, no_text = F.lit(None).cast("double"), F.lit(None).cast("string")
+    label = f"cast(`{dimension}` AS string)" if dimension else "cast(null AS string)"
 
-    def cell(c: str, kind: str):
-        value = F.col(c).cast("double") if kind in NUMERIC else no_value
-        text = no_text if kind in NUMERIC else F.col(c).cast("string")
-        return F.struct(F.lit(c).alias("metric"), value.alias("value"), text.alias("text"))
+    def cell(c: str, kind: str) -> str:
+        number, text = (f"`{c}`", "null") if kind in NUMERIC else ("null", f"`{c}`")
+        return (
+            f"named_struct('metric', '{c}', 'dimension', {label}, 'value', cast({number} AS double), "
+            f"'text', cast({text} AS string))"
+        )
 
-    cells = F.array(*[cell(c, t) for c, t in frame.dtypes if c != dimension])
-    label = F.col(dimension).cast("string") if dimension else no_text
-    return frame.select(
-        F.lit(analysis).alias("analysis_type"), label.alias("dimension"), F.inline(cells)
-    ).select("analysis_type", "metric", "dimension", "value", "text")
+    # One expression: a report makes hundreds of cells.
+    cells = ", ".join(cell(c, t) for c, t in frame.dtypes if c != dimension)
+    return frame.selectExpr(f"'{analysis}' AS analysis_type", f"inline(array({cells}))")
 
 
-def _stack(frames: list[DataFrame]) -> DataFrame:
+def _stack(sections: Sequence[Callable[[], DataFrame]]) -> DataFrame:
+    """Sections one below the other; they are put together side by side."""
+    with ThreadPoolExecutor(BUILDERS) as pool:
+        frames = list(pool.map(lambda build: build(), sections))
     result = frames[0]
     for f in frames[1:]:
         result = result.unionByName(f)
     return result
 
 
-def statistics_sections(r: Report) -> list[DataFrame]:
+def statistics_sections(r: Report) -> list[Callable[[], DataFrame]]:
     """Quality, statistics and price analysis, every figure of them."""
     return [
-        long_form(r.quality, "data_quality"),
-        long_form(r.listings_by(), "listings_by_source", r.by),
-        long_form(r.statistics(), "price_statistics"),
-        long_form(r.summary(), "by_source", r.by),
-        long_form(r.percentiles(), "percentiles", "percentile"),
-        long_form(r.histogram(), "histogram", "bin"),
-        long_form(r.hourly().select("scrape_hour", "listings"), "rows_by_hour", "scrape_hour"),
-        long_form(r.weekdays(), "rows_by_weekday", "scrape_day"),
-        long_form(r.period(), "period"),
-        long_form(r.price_analysis(), "price_analysis"),
-        long_form(r.bands(), "price_bands", "band"),
-        long_form(r.outlier_values(), "outlier_values", "price"),
-        long_form(r.common_prices(), "common_prices", "price"),
+        lambda: long_form(r.quality, "data_quality"),
+        lambda: long_form(r.listings_by(), "listings_by_source", r.by),
+        lambda: long_form(r.statistics(), "price_statistics"),
+        lambda: long_form(r.summary(), "by_source", r.by),
+        lambda: long_form(r.percentiles(), "percentiles", "percentile"),
+        lambda: long_form(r.histogram(), "histogram", "bin"),
+        lambda: long_form(r.hourly().select("scrape_hour", "listings"), "rows_by_hour", "scrape_hour"),
+        lambda: long_form(r.weekdays(), "rows_by_weekday", "scrape_day"),
+        lambda: long_form(r.period(), "period"),
+        lambda: long_form(r.price_analysis(), "price_analysis"),
+        lambda: long_form(r.bands(), "price_bands", "band"),
+        lambda: long_form(r.outlier_values(), "outlier_values", "price"),
+        lambda: long_form(r.common_prices(), "common_prices", "price"),
     ]
 
 
-def trend_sections(r: Report) -> list[DataFrame]:
+def trend_sections(r: Report) -> list[Callable[[], DataFrame]]:
     """Trends, with their daily series, and comparison of groups."""
     return [
-        long_form(r.overall_trend(), "overall_trend"),
-        long_form(r.daily_series(), "daily_series", "scrape_date"),
-        long_form(r.trend_by(), "trend_by_source", r.by),
-        long_form(r.hourly(), "hourly_activity", "scrape_hour"),
-        long_form(r.peak_hours(), "peak_hours"),
-        long_form(r.hourly_variation(), "hourly_variation"),
-        long_form(r.performance(), "source_performance", r.by),
-        long_form(r.cross_source(), "cross_source"),
-        long_form(r.positioning(), "market_position", r.by),
-        long_form(r.period(), "analysis_period"),
+        lambda: long_form(r.overall_trend(), "overall_trend"),
+        lambda: long_form(r.daily_series(), "daily_series", "scrape_date"),
+        lambda: long_form(r.trend_by(), "trend_by_source", r.by),
+        lambda: long_form(r.hourly(), "hourly_activity", "scrape_hour"),
+        lambda: long_form(r.peak_hours(), "peak_hours"),
+        lambda: long_form(r.hourly_variation(), "hourly_variation"),
+        lambda: long_form(r.performance(), "source_performance", r.by),
+        lambda: long_form(r.cross_source(), "cross_source"),
+        lambda: long_form(r.positioning(), "market_position", r.by),
+        lambda: long_form(r.period(), "analysis_period"),
     ]
 
 
-def insight_section(r: Report) -> DataFrame:
-    return long_form(r.insights(), "insights", "position")
+def insight_section(r: Report) -> Callable[[], DataFrame]:
+    return lambda: long_form(r.insights(), "insights", "position")
 
 
-def chart_sections(r: Report) -> list[DataFrame]:
+def chart_sections(r: Report) -> list[Callable[[], DataFrame]]:
     """The data behind every chart; cells of two dimensions are labelled by both."""
-    heat = r.daily_by().withColumn("cell", F.concat_ws(" ", r.by, F.col("scrape_date").cast("string")))
+    def heat() -> DataFrame:
+        cells = r.daily_by().withColumn("cell", F.concat_ws(" ", r.by, F.col("scrape_date").cast("string")))
+        return cells.drop(r.by, "scrape_date")
+
     return [
-        long_form(r.histogram(20), "chart_price_distribution", "bin"),
-        long_form(r.averages, "chart_average_by_source", r.by),
-        long_form(r.daily(), "chart_daily_prices", "scrape_date"),
-        long_form(r.box_plot(), "chart_box_plot", r.by),
-        long_form(r.shares(), "chart_source_share", r.by),
-        long_form(heat.drop(r.by, "scrape_date"), "chart_heat_cells", "cell"),
+        lambda: long_form(r.histogram(20), "chart_price_distribution", "bin"),
+        lambda: long_form(r.averages, "chart_average_by_source", r.by),
+        lambda: long_form(r.daily(), "chart_daily_prices", "scrape_date"),
+        lambda: long_form(r.box_plot(), "chart_box_plot", r.by),
+        lambda: long_form(r.shares(), "chart_source_share", r.by),
+        lambda: long_form(heat(), "chart_heat_cells", "cell"),
     ]
 
 
@@ -335,7 +364,7 @@ def custom_metrics(
     """The requested sections as one metrics table, ready for a report writer."""
     r = Report(df, by)
     total = df.agg(F.count("*").alias("total_products"))
-    sections = [long_form(total, "total")]
+    sections = [lambda: long_form(total, "total")]
     if include_stats:
         sections += statistics_sections(r)
     if include_trends:
@@ -345,7 +374,7 @@ def custom_metrics(
     if include_stats and include_trends:
         sections.append(insight_section(r))
     else:
-        sections.append(long_form(limited_insight(df), "insights", "position"))
+        sections.append(lambda: long_form(limited_insight(df), "insights", "position"))
     return _stack(sections)
 
 

@@ -21,6 +21,8 @@ def build_session(app: str = "shelfline", master: str | None = None, **conf: str
         # A hot key is split even where that costs another shuffle.
         .config("spark.sql.adaptive.forceOptimizeSkewedJoin", "true")
         .config("spark.sql.adaptive.coalescePartitions.enabled", "true")
+        # A report has more stages than the default of 100 keeps compiled.
+        .config("spark.sql.codegen.cache.maxEntries", "2000")
         .config(
             "spark.sql.streaming.stateStore.providerClass",
             "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider",
