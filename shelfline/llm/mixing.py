@@ -89,7 +89,7 @@ def _taken(rows: DataFrame, kept: str, weights: Sequence[float], share: float, e
     sizes = rows.groupBy("no_src", "src").agg(F.sum("size").alias("size_total"))
     targets = source_targets(sizes, weights, share, epochs)
     rows = rows.select(kept, "no_src", "src", "key", "tie", "size")
-    joined = before_in_group(rows, ["no_src", "src"], "key", ["size", "tie"], {"size": "size"}, targets)
+    joined = before_in_group(rows, ["no_src", "src"], "key", ["size", "tie"], {"size": "size"}, targets, lead=("size",))
     joined = joined.withColumn("budget", F.floor(F.col("target") + 0.5).cast("long"))
     joined = joined.withColumn("rounds", F.when(F.col("size_total") > 0, F.expr("budget div size_total")).otherwise(F.lit(0)))
     joined = joined.withColumn("rest", F.col("budget") - F.col("rounds") * F.col("size_total"))

@@ -3,10 +3,9 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame
-from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from shelfline.llm.common import ROWS_PER_CELL, before_in_group, hashable, numbered, order_key, with_rows
+from shelfline.llm.common import before_in_group, hashable, numbered, order_key, unit, with_rows
 
 
 def interleave(rows: DataFrame, shards: int = 16, seed: int = 5, source: str = "source", key: str = "doc_id") -> DataFrame:
@@ -34,23 +33,14 @@ def interleave(rows: DataFrame, shards: int = 16, seed: int = 5, source: str = "
     )
     table = numbered(keyed, "rows")
     ranked = before_in_group(table.drop("row"), ["no_src", "src"], "key", ["tie"], {"one": "rows"})
-    total = table.select(F.count("*").alias("n")).scalar()
-    cells = F.greatest(F.ceil(total / F.lit(float(ROWS_PER_CELL))), F.lit(1)).cast("long")
     dealt = ranked.withColumn("part", (2 * F.col("rows_before") + 1).cast("double") / (2 * F.col("rows_total")))
-    dealt = dealt.withColumn("cell", F.floor(F.col("part") * cells).cast("long"))
-    whole = W.partitionBy()
-    starts = dealt.groupBy("cell").agg(F.count("*").alias("n")).select(
-        F.col("cell").alias("at_cell"),
-        (F.sum("n").over(whole.orderBy("cell").rowsBetween(W.unboundedPreceding, W.currentRow)) - F.col("n")).alias("start"),
-        F.sum("n").over(whole).alias("n_rows"),
-    )
-    inside = W.partitionBy("cell").orderBy("part", "no_src", "src", "key", "tie")
-    placed = (
-        dealt.withColumn("inside", F.row_number().over(inside))
-        .join(starts, F.col("cell") == F.col("at_cell"))
-        .withColumn("place", F.col("start") + F.col("inside") - 1)
-        .withColumn("shard", F.expr(f"cast((place * {shards}) div n_rows AS int)"))
+    # Sources of one size share their fractional ranks; their rows are ordered by the keys.
+    dealt = dealt.drop("rows_before", "rows_total")
+    placed = before_in_group(
+        dealt, [], "part", ["key", "no_src", "src", "tie"], {"one": "all"}, place=F.col("part"), within=unit(F.col("key"))
     )
+    placed = placed.withColumnsRenamed({"all_before": "place", "all_total": "n_rows"})
+    placed = placed.withColumn("shard", F.expr(f"cast((place * {shards}) div n_rows AS int)"))
     slot = F.col("place") - F.expr(f"(shard * n_rows + {shards - 1}) div {shards}")
     return with_rows(placed.select("rid", "shard", slot.alias("slot")), table).select("row.*", "shard", "slot")
 

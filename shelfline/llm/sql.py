@@ -78,7 +78,7 @@ b AS (SELECT r, doc_id, source, strlen(x) + 1 AS size, xor(list_reduce(list_conc
     lambda c, v: xor(c >> 8, t[(xor(c, v) & 255) + 1])), 4294967295::BIGINT) AS crc FROM e, crc),
 k AS (SELECT *, md5('5:' || coalesce(doc_id::VARCHAR, '')) AS key FROM b),
 f AS (SELECT *, (2 * row_number() OVER (PARTITION BY source ORDER BY key) - 1)::DOUBLE / (2 * count(*) OVER (PARTITION BY source)) AS part FROM k),
-p AS (SELECT *, row_number() OVER (ORDER BY part, source IS NULL, coalesce(source, ''), key) - 1 AS place, count(*) OVER () AS n FROM f),
+p AS (SELECT *, row_number() OVER (ORDER BY part, key, source IS NULL, coalesce(source, '')) - 1 AS place, count(*) OVER () AS n FROM f),
 s AS (SELECT *, place * 16 // n AS shard FROM p)
 SELECT doc_id, size::BIGINT AS size, crc::BIGINT AS text_crc32, 'rows' AS law, shard::INT AS shard,
   (row_number() OVER (PARTITION BY shard ORDER BY place) - 1)::BIGINT AS slot, NULL::INT AS grown_shard FROM s"""

@@ -88,7 +88,7 @@ def shard_rows(docs, shards=16, seed=5):
     ranked = []
     for s, rows in by.items():
         rows.sort()
-        ranked += [((2 * r + 1) / (2 * len(rows)), s, k, i) for r, (k, i) in enumerate(rows)]
+        ranked += [((2 * r + 1) / (2 * len(rows)), k, s, i) for r, (k, i) in enumerate(rows)]
     ranked.sort()
     out, used = {}, Counter()
     for place, (_, _, _, i) in enumerate(ranked):

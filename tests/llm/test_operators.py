@@ -251,12 +251,55 @@ def test_shards_equal_plain_dealing(documents):
 
 
 def test_shards_hold_with_many_cells(documents, monkeypatch):
-    for module in ("shelfline.llm.common", "shelfline.llm.shards"):
-        monkeypatch.setattr(f"{module}.ROWS_PER_CELL", 7)
+    monkeypatch.setattr("shelfline.llm.common.ROWS_PER_CELL", 7)
+    monkeypatch.setattr("shelfline.llm.common.CELLS_TOGETHER", 3)
     got = {r.doc_id: (r.shard, r.slot) for r in shards.interleave(documents, 5).select("doc_id", "shard", "slot").collect()}
     assert got == brute.shard_rows(triples(documents), 5)
 
 
+@pytest.mark.parametrize("lead", [(), ("v",)])
+def test_running_sums_past_hot_keys(spark, monkeypatch, lead):
+    from shelfline.llm import common
+
+    monkeypatch.setattr(common, "ROWS_PER_CELL", 20)
+    rng = random.Random(4)
+    ids = [rng.choice(["hot", "warm", *map(str, range(400))]) if rng.random() < 0.5 else "hot" for _ in range(900)]
+    data = [(rng.choice("aab"), i, rng.choice([0, 5, 7]), k) for k, i in enumerate(ids)]
+    rows = spark.createDataFrame(data, "g string, id string, v long, k int").select(
+        "*", common.order_key(1, F.col("id")).alias("key"), F.xxhash64("k").alias("tie")
+    )
+    seen = {}
+    keep = common.written
+    monkeypatch.setattr(common, "written", lambda df, label: seen.setdefault(label, keep(df, label)))
+    got = common.before_in_group(rows, ["g"], "key", [*lead, "tie"], {"v": "sum"}, lead=lead)
+    assert got.count() == 900 and sorted(got.columns) == sorted([*rows.columns, "sum_before", "sum_total"])
+    by = {}
+    for r in sorted(rows.collect(), key=lambda r: (r.g, r.key, *[r[c] for c in lead], r.tie)):
+        by.setdefault(r.g, []).append(r)
+    expected = {}
+    for members in by.values():
+        total = sum(r.v for r in members)
+        for n, r in enumerate(members):
+            expected[r.k] = (sum(x.v for x in members[:n]), total)
+    assert {r.k: (r.sum_before, r.sum_total) for r in got.collect()} == expected
+    # No cell of a hot key holds more than its share.
+    cells = seen["hot-cells"].groupBy("g", "key", *lead, "sub").count()
+    assert seen["hot-rows"].count() > 400 and cells.agg(F.max("count")).first()[0] < 3 * 20
+
+
+def test_a_third_of_rows_without_id_and_sources_of_one_row(spark, monkeypatch):
+    monkeypatch.setattr("shelfline.llm.common.ROWS_PER_CELL", 25)
+    data = [(None if i % 3 == 0 else i, f"text {i}", f"one{i}" if i % 3 == 1 else "big") for i in range(600)]
+    docs = spark.createDataFrame(data, "doc_id long, text string, source string")
+    got = shards.interleave(docs, 7).collect()
+    assert Counter((r.doc_id, r.text) for r in got) == Counter((i, t) for i, t, _ in data)
+    sizes = Counter(r.shard for r in got)
+    assert len(sizes) == 7 and max(sizes.values()) - min(sizes.values()) <= 1
+    assert all(sorted(r.slot for r in got if r.shard == s) == list(range(n)) for s, n in sizes.items())
+    mixed = mixing.mix(docs).collect()
+    assert sum(r.taken for r in mixed) == sum(r["size"] for r in mixed) * 3 // 2 and all(r.taken <= 2 * r["size"] for r in mixed)
+
+
 def test_every_shard_has_the_mixture(documents):
     got = shards.interleave(documents, 4).groupBy("source", "shard").count().collect()
     whole = Counter(r.source for r in documents.collect())
