@@ -45,20 +45,30 @@ COMMENTS = frozenset("comment comments respond disqus".split())
 # Words that turn a mark around (``no-sidebar``), and marks that an article's own parts carry.
 TURNING = frozenset("no has have with without free".split())
 OF_ARTICLES = frozenset("header masthead".split())
+# Words that name a place or shape and leave a mark beside them what it is (``comment-list``);
+# beside other words a mark is no mark within an article (``notice-period``, ``search-help``).
+SHAPES = frozenset(
+    "list box area section block wrapper wrap container holder link links post posts item items form bar buttons button widget "
+    "inner slot unit thread top bottom left right main site page global group panel column col row count text title heading".split()
+)
 
 HIDDEN, BESIDE, OPEN, ARTICLE = 0, 1, 2, 3
 _NAME = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|[0-9]+")
 _URL = r"^\s*(?:[A-Za-z][A-Za-z0-9+.-]*:)?//([^/?#]*)([^?#]*)"
 
 
-def marks_of(attrs: Sequence[tuple[str, str | None]]) -> set[str]:
-    """Words of an element's classes, id and role, without those of a class that turns them around."""
+def marks_of(attrs: Sequence[tuple[str, str | None]], in_article: bool = False) -> set[str]:
+    """Words of an element's classes, id and role, without those of a class that turns them around.
+
+    Within an article a class of marks and other words is an article's own; whether such
+    lines stay is left to the page difference.
+    """
     names: set[str] = set()
     for key, value in attrs:
         if key in ("class", "id", "role") and value:
             for one in value.split():
                 words = {w.lower() for w in _NAME.findall(one)}
-                if not words & TURNING:
+                if not words & TURNING and not (in_article and words - MARKS - SHAPES):
                     names |= words
     return names
 
@@ -67,7 +77,8 @@ class Lines(HTMLParser):
     """Text blocks of a page with the part of the page they stand in.
 
     A block ends where a block element begins or ends. Unclosed elements end with the
-    element around them, an open paragraph with the next block.
+    element around them, an open paragraph with the next block. Where an element of each name
+    stands open is kept beside the stack, so that a tag costs the same at any depth.
     """
 
     def __init__(self):
@@ -75,6 +86,30 @@ class Lines(HTMLParser):
         self.lines: list[tuple[str, int]] = []
         self.text: list[str] = []
         self.stack: list[tuple[str, int, bool]] = [("", OPEN, False)]
+        self.open: dict[str, list[int]] = {}
+        self.holders: list[int] = [0]
+        self.asides = 0
+
+    def push(self, tag: str, part: int, comments: bool) -> None:
+        at = len(self.stack)
+        self.stack.append((tag, part, comments))
+        self.open.setdefault(tag, []).append(at)
+        if tag in HOLDERS:
+            self.holders.append(at)
+        self.asides += tag in ASIDE
+
+    def cut(self, at: int) -> None:
+        """End the elements from a place of the stack on."""
+        while len(self.stack) > at:
+            tag = self.stack.pop()[0]
+            self.open[tag].pop()
+            if tag in HOLDERS:
+                self.holders.pop()
+            self.asides -= tag in ASIDE
+
+    def last(self, tag: str) -> int:
+        places = self.open.get(tag)
+        return places[-1] if places else 0
 
     def parse_html_declaration(self, i):
         if self.rawdata.startswith("<![", i):
@@ -96,7 +131,7 @@ class Lines(HTMLParser):
         if tag in VOID:
             return
         _, part, comments = self.stack[-1]
-        names = marks_of(attrs)
+        names = marks_of(attrs, part == ARTICLE)
         if part == ARTICLE:
             names -= OF_ARTICLES
         comments = comments or bool(names & COMMENTS)
@@ -104,7 +139,7 @@ class Lines(HTMLParser):
             now = HIDDEN
         elif comments:
             now = BESIDE
-        elif tag in MAIN and not any(t in ASIDE for t, _, _ in self.stack):
+        elif tag in MAIN and not self.asides:
             now = ARTICLE
         elif tag in ASIDE or names & MARKS and tag not in ("html", "body") or tag == "header" and part != ARTICLE:
             now = BESIDE
@@ -112,7 +147,7 @@ class Lines(HTMLParser):
             now = part
         if now != part:
             self.flush()
-        self.stack.append((tag, now, comments))
+        self.push(tag, now, comments)
 
     def handle_startendtag(self, tag, attrs):
         if tag in VOID:
@@ -123,25 +158,20 @@ class Lines(HTMLParser):
 
     def _end_open(self, tag):
         """End what a new block ends: an open paragraph, or an item of its own kind."""
-        for i in range(len(self.stack) - 1, 0, -1):
-            name = self.stack[i][0]
-            if name == "p" or name == tag and tag in CLOSED_BY_OWN_KIND:
-                del self.stack[i:]
-                return
-            if name in HOLDERS:
-                return
+        at = max(self.last("p"), self.last(tag) if tag in CLOSED_BY_OWN_KIND else 0)
+        if at and at >= self.holders[-1]:
+            self.cut(at)
 
     def handle_endtag(self, tag):
         if tag not in INLINE:
             self.flush()
-        for i in range(len(self.stack) - 1, 0, -1):
-            if self.stack[i][0] == tag:
-                if any(x[1] != self.stack[i - 1][1] for x in self.stack[i:]):
-                    self.flush()
-                del self.stack[i:]
-                return
-            if tag in INLINE and self.stack[i][0] in HOLDERS:
-                return
+        at = self.last(tag)
+        # An inline element does not end across the element that holds it.
+        if not at or tag in INLINE and at < self.holders[-1]:
+            return
+        if any(x[1] != y[1] for x, y in zip(self.stack[at:], self.stack[at - 1 :])):
+            self.flush()
+        self.cut(at)
 
     def handle_data(self, data):
         if self.stack[-1][1] != HIDDEN:
@@ -230,14 +260,13 @@ def _shared_prefix(a: str, b: str) -> int:
 def candidates(found: Sequence[tuple[str, int]]) -> tuple[list[str], list[int] | None, list[str]]:
     """What may be main text, its places among the compared lines, and the compared lines.
 
-    Lines of an article stand for the page, and have no places, if the unmarked lines around
-    it are not the larger part of the text (a teaser is an article, too). Otherwise, and
-    without an article, it is all lines that are not marked as something else; those of the
-    article have negative places, counted from -1 down. All lines outside articles are
-    compared with those of other pages.
+    These are the lines of articles and all lines that nothing marks as something else; which
+    of the latter belong to the site is left to the page difference. Lines of articles have
+    negative places, counted from -1 down (a page of such lines alone has no list of places).
+    All lines outside articles are compared with those of other pages.
     """
     compared = [x for x, p in found if p != ARTICLE]
-    if sum(len(x) for x, p in found if p == OPEN) <= sum(len(x) for x, p in found if p == ARTICLE):
+    if not any(p == OPEN for _, p in found):
         inside = [x for x, p in found if p == ARTICLE]
         return inside, None if inside else [], compared
     kept, places, outside, inside = [], [], 0, 0
@@ -414,9 +443,8 @@ def main_texts(pages: DataFrame, cell_pages: int = CELL_PAGES) -> DataFrame:
     the articles of all pages around in that order (REACH on either side, as far as the host
     has them, and LEAST_BESIDE at least) which are not copies, since pages may carry the same
     article or passage; menus, footers and the like are left out by structure as well, so that
-    a page without a neighbour is right. Unmarked lines around an article count if they are
-    the larger part of the text. The order is cut into ranges of
-    about ``cell_pages`` pages, whose ends meet, so that hosts of any size are paired alike.
+    a page without a neighbour is right. Lines around an article that nothing marks stay
+    unless the difference deletes them. The order is cut into ranges of about ``cell_pages`` pages, whose ends meet, so that hosts of any size are paired alike.
     Only hashes of lines are compared, and the packed lines are shuffled once.
 
     A null or empty page has the empty text; a null URL belongs to the host with no name;
