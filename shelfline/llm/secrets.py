@@ -21,44 +21,39 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]{14,}")
 HEX = re.compile(r"[0-9a-f]{16,}")
 KINDS = ("assign", "access", "hex", "entropy")
 
-# Strings that may be keys: long runs with a digit.
+# Strings that may hold keys.
 CANDIDATE = re.compile(r"[A-Za-z0-9+/_=-]{20,}")
 WINDOW = 20
-# Character classes from narrow to wide, with the bits per character that a random string
-# of WINDOW characters of the class exceeds.
+# Runs of each character class, with the bits per character that a window of a random string
+# of the class exceeds.
 CLASSES = (
-    ("hex", frozenset("0123456789abcdef"), 3.0),
-    ("HEX", frozenset("0123456789ABCDEF"), 3.0),
-    ("alnum", frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"), 3.6),
-    ("base64", frozenset("0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ+/=_-"), 3.7),
+    (re.compile(r"[0-9a-f]{20,}"), 3.0),
+    (re.compile(r"[0-9A-F]{20,}"), 3.0),
+    (re.compile(r"[0-9A-Za-z]{20,}"), 3.6),
+    (re.compile(r"[0-9A-Za-z+/=_-]{20,}"), 3.7),
 )
-# Strings of high entropy that are no secrets.
+# A window has a digit and a letter, or so many letters of either case.
+MIXED_CASE = 5
+# Parts of high entropy that are no secrets; windows that overlap one are left out.
 ALLOWED = (
     re.compile(r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}"),  # identifiers in UUID form
-    re.compile(r"(?i).*(example|sample|placeholder|changeme|your[_-]?).*"),
-    re.compile(r"[0-9+/=_-]+"),  # numbers, dates, telephone numbers, rules
-    re.compile(r"(sha(1|256|384|512)|md5)-.*"),  # integrity checksums
-    re.compile(r"/?([a-z0-9_-]+/)+[a-z0-9_-]*"),  # paths
+    re.compile(r"(?i)example|sample|placeholder|changeme|your[_-]?"),
+    re.compile(r"(sha(1|256|384|512)|md5)-[A-Za-z0-9+/=]+"),  # integrity checksums
 )
+# Whole strings that are none: paths.
+PATH = re.compile(r"/?([a-z0-9_-]+/)+[a-z0-9_-]*")
 
 
-def char_class(text: str) -> tuple[frozenset, float] | None:
-    """The narrowest class that holds all characters, with its threshold."""
-    seen = set(text)
-    for _, letters, bits in CLASSES:
-        if seen <= letters:
-            return letters, bits
-    return None
+def hot_windows(text: str, bits: float, window: int = WINDOW) -> list[int]:
+    """Starts of the windows of a string that hold more than ``bits`` per character.
 
-
-def hot_stretches(text: str, bits: float, window: int = WINDOW) -> list[tuple[int, int]]:
-    """Stretches of a string covered by windows of more than ``bits`` per character.
-
-    The window moves one character at a time; only the two counts that change are updated.
+    The window moves one character at a time; only the counts that change are updated. Only
+    windows with letters and digits, or with letters of both cases, count.
     """
     # What a character seen c times takes from the entropy of a window.
     terms = [0.0, *(c / window * log2(c / window) for c in range(1, window + 1))]
     counts: dict[str, int] = {}
+    kinds = {"digit": 0, "upper": 0, "lower": 0, "other": 0}
     entropy, found = 0.0, []
     for i, c in enumerate(text):
         if i >= window:
@@ -66,20 +61,27 @@ def hot_stretches(text: str, bits: float, window: int = WINDOW) -> list[tuple[in
             n = counts[old]
             entropy += terms[n] - terms[n - 1]
             counts[old] = n - 1
+            kinds[_kind(old)] -= 1
         n = counts.get(c, 0)
         entropy += terms[n] - terms[n + 1]
         counts[c] = n + 1
+        kinds[_kind(c)] += 1
         if i >= window - 1 and entropy > bits + 1e-9:
-            start = i - window + 1
-            if found and start <= found[-1][1]:
-                found[-1][1] = i + 1
-            else:
-                found.append([start, i + 1])
-    return [(a, b) for a, b in found]
+            letters = kinds["upper"] + kinds["lower"]
+            if kinds["digit"] and letters or min(kinds["upper"], kinds["lower"]) >= MIXED_CASE:
+                found.append(i - window + 1)
+    return found
+
+
+def _kind(c: str) -> str:
+    return "digit" if "0" <= c <= "9" else "lower" if "a" <= c <= "z" else "upper" if "A" <= c <= "Z" else "other"
 
 
-def allowed(text: str) -> bool:
-    return any(p.fullmatch(text) for p in ALLOWED)
+def allowed(text: str) -> list[tuple[int, int]]:
+    """Parts of a candidate that are known to be harmless."""
+    if PATH.fullmatch(text):
+        return [(0, len(text))]
+    return [m.span() for p in ALLOWED for m in p.finditer(text)]
 
 
 def base_spans(text: str) -> list[tuple[int, int, int]]:
@@ -90,17 +92,28 @@ def base_spans(text: str) -> list[tuple[int, int, int]]:
     return sorted(spans)
 
 
-def entropy_spans(text: str) -> list[tuple[int, int, int]]:
-    """Stretches of candidate strings with the entropy of a random string of their class."""
+def entropy_spans(text: str, window: int = WINDOW) -> list[tuple[int, int, int]]:
+    """Stretches of candidate strings with the entropy of a random string of their class.
+
+    Windows move over the runs of every character class within a candidate. Those that
+    overlap an allowed part are left out; the others are joined where they overlap or touch.
+    """
     spans = []
     for m in CANDIDATE.finditer(text):
         word = m.group()
-        if not any("0" <= c <= "9" for c in word) or not any(c.isalpha() for c in word):
+        harmless = allowed(word)
+        if harmless == [(0, len(word))]:
             continue
-        kind = char_class(word)
-        if kind is None or allowed(word):
-            continue
-        spans += [(m.start() + a, 3, m.start() + b) for a, b in hot_stretches(word, kind[1])]
+        starts = {run.start() + at for runs, bits in CLASSES for run in runs.finditer(word) for at in hot_windows(run.group(), bits, window)}
+        stretches: list[list[int]] = []
+        for a in sorted(starts):
+            if any(a < y and x < a + window for x, y in harmless):
+                continue
+            if stretches and a <= stretches[-1][1]:
+                stretches[-1][1] = a + window
+            else:
+                stretches.append([a, a + window])
+        spans += [(m.start() + a, 3, m.start() + b) for a, b in stretches]
     return spans
 
 

@@ -206,3 +206,30 @@ def subsequence_length(a, b):
     for x in a:
         row = list(itertools.accumulate(range(1, len(b) + 1), lambda left, j, r=row: max(left, r[j], r[j - 1] + 1) if x == b[j - 1] else max(left, r[j]), initial=0))
     return row[-1]
+
+
+def mixed(window):
+    digits, upper, lower = (sum(f(c) for c in window) for f in (lambda c: c in "0123456789", str.isupper, str.islower))
+    return digits > 0 and upper + lower > 0 or min(upper, lower) >= 5
+
+
+def hot_places(text):
+    """Places of a text that windows of high entropy cover, every window on its own."""
+    classes = [("0123456789abcdef", 3.0), ("0123456789ABCDEF", 3.0)]
+    letters = "0123456789abcdefghijklmnopqrstuvwxyzABCDEFGHIJKLMNOPQRSTUVWXYZ"
+    classes += [(letters, 3.6), (letters + "+/=_-", 3.7)]
+    harmless = set()
+    for m in re.finditer("[A-Za-z0-9+/_=-]{20,}", text):
+        if re.fullmatch("/?([a-z0-9_-]+/)+[a-z0-9_-]*", m[0]):
+            harmless |= set(range(*m.span()))
+        for p in (r"[0-9a-fA-F]{8}(-[0-9a-fA-F]{4}){3}-[0-9a-fA-F]{12}", "(?i)example|sample|placeholder|changeme|your[_-]?", "(sha(1|256|384|512)|md5)-[A-Za-z0-9+/=]+"):
+            for x in re.finditer(p, m[0]):
+                harmless |= set(range(m.start() + x.start(), m.start() + x.end()))
+    out = set()
+    for i in range(len(text) - 19):
+        window = text[i : i + 20]
+        if mixed(window) and any(set(window) <= set(c) and entropy(window) > bits + 1e-9 for c, bits in classes):
+            places = set(range(i, i + 20))
+            if not places & harmless:
+                out |= places
+    return out

@@ -543,6 +543,23 @@ def test_common_lines_are_longest(a, b, most):
         assert all(a[i] in rest for i in found)
 
 
+def test_depth_costs_nothing_more():
+    import time
+
+    for html in ("<div>" * 100_000 + "</p>" * 100_000, "<font>" * 100_000 + "<p>x" * 20_000, "<b>" + "<div>" + "<font>" * 100_000 + "</b>" * 100_000):
+        began = time.process_time()
+        pages.page_lines(html)
+        assert time.process_time() - began < 20
+
+
+def test_class_words_do_not_cost_an_article_its_text():
+    html = '<article><p class="notice-period">Three months.</p><div class="search-help">Try again.</div><div class="comment-list">Me too</div><div class=ad>Buy</div><p>End.</p></article>'
+    assert [x for x, p in pages.page_lines(html) if p == pages.ARTICLE] == ["Three months.", "Try again.", "End."]
+    # Beside an article, too, unmarked lines stay unless other pages have them.
+    kept, places, _ = pages.candidates(pages.page_lines("<div>Short note.</div>" + html))
+    assert kept[0] == "Short note." and places[0] == 0
+
+
 # 8: mixing
 
 
@@ -609,17 +626,38 @@ def test_secrets_equal_plain_search(documents, odd, none):
 
 
 @settings(max_examples=100, deadline=None)
-@given(st.text("0123456789abcdef", min_size=1, max_size=60), st.sampled_from([2.5, 3.0, 3.4]))
+@given(st.text("0123456789abcdefXYZ", min_size=1, max_size=60), st.sampled_from([2.5, 3.0, 3.4]))
 def test_running_entropy_equals_that_of_each_window(text, bits):
-    covered = {p for i in range(len(text) - 19) if brute.entropy(text[i : i + 20]) > bits + 1e-9 for p in range(i, i + 20)}
-    assert {p for a, b in secrets.hot_stretches(text, bits) for p in range(a, b)} == covered
+    starts = [i for i in range(len(text) - 19) if brute.entropy(text[i : i + 20]) > bits + 1e-9 and brute.mixed(text[i : i + 20])]
+    assert secrets.hot_windows(text, bits) == starts
 
 
 def test_entropy_spans_and_allow_list():
     key = "Zx8Kq2Lm9Pw4Rt7Vb1Nc"
     assert secrets.entropy_spans(f"k {key} k") == [(2, 3, 22)]
-    for fine in ("123e4567-e89b-12d3-a456-426614174000", "example" + key, "sha256-" + key, "2024-01-01-2024-01-02-33", "a" * 30 + "1", "internationalization2"):
+    for fine in ("123e4567-e89b-12d3-a456-426614174000", "sha256-" + key, "2024-01-01-2024-01-02-33", "a" * 30 + "1", "internationalization2", "some/long-path/with-words/2024/a1b2c3d4e5f6"):
         assert secrets.entropy_spans(f" {fine} ") == []
+    # An allowed word holds back the windows that overlap it, not the key beside it.
+    assert secrets.entropy_spans(f" example{key} ") == [(8, 3, 28)]
+    long = "key-yourK9f3A7c21E80b4D56aA17f3C2904e6B8dQzXw"
+    assert secrets.entropy_spans(long)[0][2] == len(long) and secrets.entropy_spans(long)[0][0] >= 8
+    # Letters of both cases, and upper-case hexadecimal beside other characters.
+    assert secrets.entropy_spans("kJhGfDsAqWeRtYuIoPzXcVbNmLkJhGfDsA")
+    (a, _, b), = secrets.entropy_spans("SIGNING_KEY=9F3A7C21E80B4D56AA17F3C2904E6B8D")
+    assert a <= 12 and b == 44
+
+
+@pytest.mark.parametrize("which", ["documents", "odd"])
+def test_all_spans_equal_plain_windows(request, which):
+    docs = request.getfixturevalue(which)
+    keys = ["AWS=wJalrXUtnFEMI/K7MDENG/bPxRfiCYzzKEY1 and your_K9f3A7c21E80b4D56aA17f3C2", "x" * 500 + "9F3A7C21E80B4D56AA17" * 3]
+    for text in [*keys, *(t for _, t in pairs(docs))]:
+        assert {p for a, _, b in secrets.entropy_spans(text or "") for p in range(a, b)} == brute.hot_places(text or "")
+    found = {r.doc_id: r.spans for r in secrets.secret_scan(docs).where("doc_id IS NOT NULL").select("doc_id", "spans").collect()}
+    for i, t in pairs(docs):
+        if i is not None and i != 3:
+            every = sorted(brute.base_secrets(t) + secrets.entropy_spans(t or ""))
+            assert found[i] == ",".join(f"{secrets.KINDS[k]}:{a}:{b}" for a, k, b in every)
 
 
 # 10: near-duplicates
