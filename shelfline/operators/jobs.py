@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -14,26 +16,54 @@ from shelfline.schemas import STORED_LISTING
 RETENTION_DAYS = 30
 
 
-def latest_jobs(job_events: DataFrame) -> DataFrame:
-    """State of every job, folded from its log of status changes.
+def job_states(job_events: DataFrame) -> DataFrame:
+    """What the fold of a log keeps of every job; such states merge in any order.
 
-    Creation is the first entry; start and completion are the latest entries of that kind.
-    Among entries of one time the later stage decides, so the fold is deterministic.
+    A state holds the latest entry, the first time, the latest start and end, and the latest
+    failure, all of them largest or smallest values: entries that come late or twice change
+    nothing but what they ought to.
     """
     t, status = F.col("event_time"), F.col("status")
     done = status.isin("completed", "failed", "cancelled")
     stage = F.when(status == "pending", 0).when(status == "running", 1).otherwise(2)
-    at = F.struct(t, stage, status)
     return job_events.groupBy("job_id").agg(
-        F.max_by("search_term", at).alias("search_term"),
-        F.max_by(status, at).alias("status"),
+        F.max(F.struct(t.alias("at"), stage.alias("stage"), status.alias("status"), "search_term")).alias("last"),
         F.min(t).alias("created_at"),
         F.max(F.when(status == "running", t)).alias("started_at"),
         F.max(F.when(done, t)).alias("completed_at"),
-        F.max_by("message", F.when(status == "failed", t)).alias("error_message"),
+        F.max(F.when(status == "failed", F.struct(t.alias("at"), "message"))).alias("failure"),
+    )
+
+
+def merged_states(*states: DataFrame) -> DataFrame:
+    """Several tables of job states as one."""
+    every = reduce(DataFrame.unionByName, states)
+    return every.groupBy("job_id").agg(
+        F.max("last").alias("last"), F.min("created_at").alias("created_at"), F.max("started_at").alias("started_at"),
+        F.max("completed_at").alias("completed_at"), F.max("failure").alias("failure"),
     )
 
 
+def jobs_of(states: DataFrame) -> DataFrame:
+    """Jobs as the states tell them."""
+    return states.select(
+        "job_id", "last.search_term", "last.status", "created_at", "started_at", "completed_at",
+        F.col("failure.message").alias("error_message"),
+    )
+
+
+def latest_jobs(job_events: DataFrame, snapshot: DataFrame | None = None) -> DataFrame:
+    """State of every job, folded from its log of status changes.
+
+    Creation is the first entry; start and completion are the latest entries of that kind.
+    Among entries of one time the later stage decides, so the fold is deterministic. With a
+    ``snapshot`` (``job_states`` of an earlier part of the log, written out) only the entries
+    that have arrived since are read; any cut of the log gives the same jobs.
+    """
+    states = job_states(job_events)
+    return jobs_of(states if snapshot is None else merged_states(snapshot, states))
+
+
 def pending_jobs(jobs: DataFrame) -> DataFrame:
     return jobs.where(F.col("status") == "pending")
 

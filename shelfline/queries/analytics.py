@@ -4,10 +4,11 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from shelfline.operators import compare, jobs, outliers, quality, stats, trends
+from shelfline.operators import compare, jobs, outliers, quality, sketches, stats, trends
 from shelfline.operators.ranks import quantiles
 from shelfline.queries.registry import EV, JOBS, RAW_SHOP, SHOP, days, query, rounded
 from shelfline.queries.scans import events, shop
+from shelfline.session import materialise
 from shelfline.sources import adapters as A
 
 DAYS = [f"2024-01-{d:02d}" for d in range(1, 31)]
@@ -410,3 +411,45 @@ SELECT x.s AS search_term, count(*) AS shared_days, round(coalesce(corr(x.m, y.m
 FROM d x JOIN d y ON x.t = y.t AND x.s <> 'purchase' AND y.s = 'purchase' GROUP BY 1 HAVING count(*) > 1""")
 def w10_price_correlation(spark, folder):
     return rounded(trends.price_correlation_with(events(spark, folder), "purchase"))
+
+
+SPAN = ("2024-01-05", "2024-01-20")
+
+
+def _sketches(spark, folder):
+    return materialise(sketches.daily_sketches(events(spark, folder)), "sketches")
+
+
+@query(f"""WITH {EV}, s AS (SELECT search_term, count(*) AS n FROM ev WHERE price_numeric IS NOT NULL
+  AND scrape_date BETWEEN DATE '{SPAN[0]}' AND DATE '{SPAN[1]}' GROUP BY 1)
+SELECT search_term, n AS priced, percentile, true AS within_bound FROM s, (SELECT unnest(['p5', 'p25', 'p50', 'p75', 'p95']) AS percentile)""")
+def a9_percentiles_of_kept_sketches(spark, folder):
+    """Whether the exact ranks of percentiles merged from daily sketches keep to the bound, for a span of days."""
+    at = {"p5": 0.05, "p25": 0.25, "p50": 0.5, "p75": 0.75, "p95": 0.95}
+    kept = sketches.merged(_sketches(spark, folder), ["search_term"], *SPAN).where("priced > 0")
+    marks = sketches.percentiles_of_sketches(kept, at).select(
+        "search_term", "priced", F.inline(F.array(*[F.struct(F.lit(n).alias("percentile"), F.lit(p).alias("share"), F.col(n).alias("price")) for n, p in at.items()]))
+    )
+    rows = events(spark, folder).where(F.col("scrape_date").between(*[F.lit(d).cast("date") for d in SPAN]) & F.col("price_numeric").isNotNull())
+    joined = marks.join(rows.select("search_term", "price_numeric"), "search_term").groupBy("search_term", "priced", "percentile", "share")
+    # Equal prices share all ranks between those below and those up to them.
+    ranks = joined.agg(
+        (F.count_if(F.col("price_numeric") < F.col("price")) / F.count("*")).alias("low"),
+        (F.count_if(F.col("price_numeric") <= F.col("price")) / F.count("*")).alias("high"),
+    )
+    error = F.greatest(F.col("low") - F.col("share"), F.col("share") - F.col("high"), F.lit(0.0))
+    return ranks.select("search_term", "priced", "percentile", (error <= 0.02).alias("within_bound"))
+
+
+@query(f"WITH {EV} SELECT search_term, count(*) AS listings, true AS within_bound, true AS shared_within_bound FROM ev GROUP BY 1")
+def a16_distinct_names_of_kept_sketches(spark, folder):
+    """Whether distinct names, and those shared with the views, from daily sketches are near the exact counts."""
+    daily, rows = _sketches(spark, folder), events(spark, folder)
+    told = sketches.overlaps(daily, "search_term", "view").join(sketches.merged(daily, ["search_term"]).select("search_term", "listings"), "search_term")
+    names = rows.select("search_term", "name").distinct()
+    viewed = names.where("search_term = 'view'").select("name").withColumn("viewed", F.lit(1))
+    exact = names.join(viewed, "name", "left").groupBy("search_term").agg(F.count("*").alias("n"), F.count("viewed").alias("shared"))
+    near = lambda a, b: F.abs(F.col(a) - F.col(b)) <= F.greatest(F.col("n") * 0.06, F.lit(3.0))
+    return told.join(exact, "search_term").select(
+        "search_term", "listings", near("distinct_names", "n").alias("within_bound"), near("shared_names", "shared").alias("shared_within_bound")
+    )

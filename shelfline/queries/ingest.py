@@ -6,9 +6,9 @@ from pyspark.sql import functions as F
 
 from shelfline.operators import ingest, jobs, links
 from shelfline.queries.registry import JOB_LOG, JOBS, RAW_SHOP, query, rounded, stamps
-from shelfline.session import scratch_dir
+from shelfline.session import materialise, scratch_dir
 from shelfline.sources import adapters as A
-from shelfline.streaming import arrivals, seen
+from shelfline.streaming import arrivals, hours, seen
 
 ORDERS = """co AS (SELECT 'order of customer ' || o_custkey AS name, o_totalprice AS price,
   'http://shop.example.com/c/' || o_custkey AS link, strftime(o_orderdate, '%Y-%m-%dT%H:%M:%S') AS scrape_time,
@@ -113,6 +113,16 @@ def l1_latest_job_state(spark, folder):
     return stamps(rows, "created_at", "started_at", "completed_at")
 
 
+@query(f"WITH {JOB_LOG} {STAMP_JOB} FROM folded")
+def l8_snapshot_and_tail(spark, folder):
+    """A written snapshot of some entries, merged with the rest, early and late ones in both."""
+    log = A.job_events(spark, folder)
+    early = F.pmod(F.xxhash64("job_id", "status"), F.lit(3)) > 0
+    snapshot = materialise(jobs.job_states(log.where(early)), "job-states")
+    rows = jobs.latest_jobs(log.where(~early), snapshot).drop("error_message")
+    return stamps(rows, "created_at", "started_at", "completed_at")
+
+
 @query(f"WITH {JOB_LOG} SELECT job_id, search_term FROM folded WHERE status = 'pending'")
 def l2_pending_jobs(spark, folder):
     return jobs.pending_jobs(_folded(spark, folder)).select("job_id", "search_term")
@@ -305,3 +315,20 @@ def r5_first_links_in_time(spark, folder):
         stream = arrivals.arriving(spark, files, rows.schema)
         seen.first_links_in_time(stream, store, index, progress, ["scrape_time", "job_id"]).awaitTermination()
     return ingest.read_store(spark, store, rows.schema).select(rows.columns)
+
+
+@query("""WITH e AS (SELECT date_trunc('hour', ts) AS h, value, ts < TIMESTAMP '2024-01-20' AS second FROM events),
+t AS (SELECT max(ts) - INTERVAL 2 HOURS AS closed FROM events),
+r AS (SELECT h, value, second AND h + INTERVAL 1 HOUR <= closed AS late FROM e, t)
+SELECT strftime(h, '%Y-%m-%d %H:%M:%S') AS hour_start, count(*) FILTER (WHERE NOT late) AS listings,
+  round(avg(value) FILTER (WHERE NOT late), 6) AS mean_price, count(*) FILTER (WHERE late) AS late_rows FROM r GROUP BY 1""")
+def r6_hours_and_late_rows(spark, folder):
+    """Later events arrive first; of the earlier ones, each counts in its hour or among the late rows."""
+    events = A.table(spark, folder, "events").select(F.col("ts").cast("timestamp").alias("scrape_time"), F.col("value").alias("price_numeric"))
+    files, out, progress = (scratch_dir(spark, x) for x in ("arrivals", "hours", "progress"))
+    for part in ("scrape_time >= '2024-01-20'", "scrape_time < '2024-01-20'"):
+        events.where(part).write.mode("append").parquet(files)
+        hours.count_hours(arrivals.arriving(spark, files, events.schema), out, progress).awaitTermination()
+    late = hours.late_rows(spark, out, events).groupBy("hour_start").agg(F.count("*").alias("late_rows"))
+    whole = hours.hours(spark, out).select("hour_start", "listings", "mean_price").join(late, "hour_start", "full")
+    return rounded(stamps(whole.na.fill(0, ["listings", "late_rows"]), "hour_start"))
