@@ -18,7 +18,7 @@ DISTANCE = 3
 SEED = 42
 # Fingerprints that one task holds in its tree, about, and as many that it seeks there; and
 # those in a leaf of the tree.
-SHARD_ROWS = 65_536
+SHARD_ROWS = 131_072
 LEAF_ROWS = 128
 # Fingerprints, chosen by hash, on which the upper levels of the tree are laid out: so many a
 # shard, but never more than the driver can well hold.
