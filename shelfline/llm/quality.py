@@ -209,15 +209,17 @@ def accepted(docs: DataFrame, labels: DataFrame, training_rows: int = TRAINING_R
     """The documents that the classifier accepts, with all their columns.
 
     Null and empty texts are scored like any other; repeated rows are kept or dropped alike.
-    Without usable labels everything is accepted, an empty table stays empty.
+    Without usable labels everything is accepted, an empty table stays empty. Further columns
+    of any name stay as they are; the text is found by its name in any case.
     """
     model = fitted(docs, labels, training_rows)
 
     def make():
         def run(batch: pa.RecordBatch) -> pa.RecordBatch:
-            texts = batch.column(batch.schema.get_field_index("text")).to_pylist()
-            return batch.filter(pa.array(_scores(model, texts) >= 0.5))
+            return batch.filter(pa.array(_scores(model, batch.column(0).to_pylist()) >= 0.5))
 
         return run
 
-    return over_batches(docs, make, ", ".join(f"`{c}` {t}" for c, t in docs.dtypes))
+    # Rows are carried as one column beside the text, so that no name can clash.
+    rows = docs.select(F.col("text"), F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("row"))
+    return over_batches(rows, make, rows.schema).select("row.*")

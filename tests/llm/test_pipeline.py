@@ -78,3 +78,28 @@ def test_run_gives_what_the_stages_give(spark, stages):
     got = corpus_pipeline.run(spark, FOLDER)
     columns = ["doc_id", "text", "source", "shard", "slot"]
     assert Counter(map(tuple, got.select(columns).collect())) == Counter(map(tuple, stages[-1][2].select(columns).collect()))
+
+
+@pytest.mark.parametrize("which", ["odd", "none"])
+def test_stages_on_odd_rows(request, spark, which):
+    """Null, empty and very long texts, repeated rows and ids, clashing names, an empty table."""
+    docs = request.getfixturevalue(which).withColumnRenamed("text", "TEXT")
+    for _, stage in corpus_pipeline.STAGES[:4]:
+        after = stage(spark, docs, FOLDER)
+        assert after.columns == docs.columns and after.dtypes == docs.dtypes
+        kept, before = (Counter(str(r) for r in df.collect()) for df in (after, docs))
+        assert set(kept) <= set(before) and (which == "none") == (not before)
+        if stage is not corpus_pipeline.mix_sources:
+            assert all(n <= before[r] for r, n in kept.items())
+    shards = corpus_pipeline.deal_shards(spark, docs, FOLDER)
+    assert shards.count() == docs.count() and {"shard", "slot"} <= set(shards.columns)
+    assert all(0 <= r.shard < corpus_pipeline.SHARDS for r in shards.collect())
+
+
+def test_odd_documents_that_are_near_or_contaminated_go(spark, odd):
+    groups = brute.component_rows([(i, brute.fingerprint(t)) for i, t, _ in texts(odd)])
+    assert ids(corpus_pipeline.drop_near_duplicates(spark, odd, FOLDER)) == Counter({g: 1 for *_, g in groups})
+    # No odd text holds a passage of the benchmark.
+    assert ids(corpus_pipeline.drop_contaminated(spark, odd, FOLDER)) == ids(odd)
+    # Texts without words are not in the mixture.
+    assert not [t for _, t, _ in texts(corpus_pipeline.mix_sources(spark, odd, FOLDER)) if not brute.RUN.findall(t or "")]
