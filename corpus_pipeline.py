@@ -19,26 +19,50 @@ SHARDS = 16
 
 
 def accept_quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that the classifier accepts.
+
+    Null and empty texts are scored like any others, rows that repeat go or stay together,
+    other columns stay as they are, and an empty table stays empty.
+    """
     prepare(spark)
     return quality.accepted(docs, table(spark, sf_dir, "labels"))
 
 
 def drop_near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group, that of the smallest id; null ids come last.
+
+    Texts without words, null or empty, are one group; of equal rows one stays, and of rows
+    with one id in a group the one whose hash comes first. An empty table stays empty.
+    """
     prepare(spark)
     return simhash.without_near_duplicates(docs)
 
 
 def drop_contaminated(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents that hold no window of a test item.
+
+    Null and empty texts hold none and stay, rows that repeat go or stay together, other
+    columns stay as they are, and an empty table stays empty.
+    """
     prepare(spark)
     return decontaminate.decontaminated(docs, table(spark, sf_dir, "benchmark"))
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The documents of the mixture, each as often as it is taken.
+
+    Texts without words, null or empty, are in no mixture; a null source is a source, rows
+    that repeat are rows like any others, and an empty table stays empty.
+    """
     return mixing.mixed(docs)
 
 
 def deal_shards(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The documents of the mixture with their ``shard`` and their place in it, ``slot``."""
+    """The documents of the mixture with their ``shard`` and their place in it, ``slot``.
+
+    Every row is dealt, whatever its text; columns that have these names are replaced. An
+    empty table stays empty.
+    """
     return shards.interleave(docs, SHARDS)
 
 
