@@ -233,3 +233,22 @@ def hot_places(text):
             if not places & harmless:
                 out |= places
     return out
+
+
+def document_statistics(text):
+    """The classifier's statistics, byte after byte and word after word."""
+    data = (text or "").encode("utf-8", "replace")
+    kinds = [
+        lambda b: 65 <= b <= 90, lambda b: 97 <= b <= 122 or b >= 128, lambda b: 48 <= b <= 57, lambda b: b in b" \t\r\f\v",
+        lambda b: b == 10, lambda b: b in b".,;:'\"()", lambda b: b in b"!?", lambda b: b in b"|/\\-_=+<>[]{}", lambda b: b in b"#*%$&@^~`",
+    ]
+    shares = [sum(1 for b in data if kind(b)) / len(data) if data else 0.0 for kind in kinds]
+    words, lines = (text or "").split(), [x for x in (text or "").split("\n") if x != ""]
+    n, k = len(words) or 1, len(lines) or 1
+    longest = 0
+    for w in words:
+        longest = max(longest, len(w))
+    return [
+        *shares, math.log(1 + len(words)), len(text or "") / n, len(set(words)) / n, len(set(lines)) / k, len(words) / k,
+        math.log(1 + len(lines)), longest, len([x for x in lines if len(x) < 20]) / k, len([w for w in words if not w[-1].isalnum()]) / n,
+    ]

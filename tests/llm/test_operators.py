@@ -91,6 +91,13 @@ def test_quality_of_odd_rows(spark, odd, none):
     assert quality.accepted(odd, labels).columns == odd.columns
 
 
+def test_statistics_equal_plain_counts(rows):
+    texts = [t for (t,) in rows("documents", "text")] + [None, "", "\n\n", "a", "\U0001f600 \u00e9!\n|x|\u2028y", "A1 b2\tc3." * 5000]
+    for text in texts:
+        assert np.allclose(quality.statistics(text), brute.document_statistics(text), rtol=1e-12, atol=1e-12)
+    assert len(quality.statistics(None)) == quality.N_STATISTICS and not any(quality.statistics(None))
+
+
 def test_trees_walk_like_plain_recursion():
     rng = np.random.default_rng(1)
     x = rng.normal(size=(400, 5))
