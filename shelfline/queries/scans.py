@@ -89,10 +89,14 @@ def s4_item_array_scan(spark, folder):
 
 @query(PAGE_LINKS)
 def s4_split_item_arrays(spark, folder):
-    """The same items as one array for every hundred pages, its files read by several tasks each."""
+    """The same items as one array for every hundred pages, its files cut into several splits each.
+
+    Every array is one record and one file of a single folder, which is listed at once.
+    """
     path = scratch_dir(spark, "item-arrays")
     some = _page_items(spark, folder).groupBy(F.expr("page_id div 100").alias("part"))
-    some.agg(F.to_json(F.flatten(F.collect_list("items")), {"pretty": "true"}).alias("value")).write.partitionBy("part").text(path)
+    array = F.to_json(F.flatten(F.collect_list("items")), {"pretty": "true"}).alias("value")
+    some.agg(array).select("value").write.option("maxRecordsPerFile", 1).text(path)
     return arrays.read_array_items(spark, path, COLLECTED_ITEM, split_bytes=1 << 14)
 
 

@@ -9,6 +9,9 @@ from collections import Counter
 import pytest
 from pyspark.sql import types as T
 
+from shelfline.queries.scans import s4_split_item_arrays
+from shelfline.session import materialise
+from shelfline.sources import arrays
 from shelfline.sources.arrays import read_array_items
 from shelfline.sources.listings import read_items
 
@@ -75,3 +78,52 @@ def test_damaged_files(spark, tmp_path):
         (tmp_path / name).write_text(content)
         assert read_array_items(spark, str(tmp_path / name), SCHEMA).count() == 0
     assert read_array_items(spark, str(tmp_path / "missing"), SCHEMA).count() == 0
+
+
+@pytest.fixture
+def written(monkeypatch):
+    """The intermediate tables of a read, by label."""
+    tables = {}
+
+    def keep(df, label):
+        tables[label] = materialise(df, label)
+        return tables[label]
+
+    monkeypatch.setattr(arrays, "materialise", keep)
+    return tables
+
+
+def test_small_splits_share_tasks(spark, tmp_path, written, monkeypatch):
+    files = {f"{k}.json": _items(150, k) for k in range(6)}
+    for name, items in files.items():
+        (tmp_path / name).write_text(json.dumps(items))
+    tasks = spark.read.text(str(tmp_path)).rdd.getNumPartitions()
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    split_sizes = []
+    keep = arrays.materialise
+    monkeypatch.setattr(arrays, "materialise", lambda df, label: split_sizes.append(spark.conf.get("spark.sql.files.maxPartitionBytes")) or keep(df, label))
+    got = _rows(read_array_items(spark, str(tmp_path), SCHEMA, split_bytes=300))
+    assert got == sum(map(_told, files.values()), Counter())
+    assert spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    pieces = written["json-pieces"]
+    assert pieces.select("file", "split").distinct().count() > 200
+    assert len(pieces.inputFiles()) <= tasks
+    # Only the files are read in small splits, not the tables written from them.
+    assert split_sizes == ["300"] + [before] * (len(written) - 1)
+
+
+def test_query_writes_one_folder_of_arrays(spark, tmp_path, written):
+    ids = [*range(250), None, None, 7]
+    html = lambda i: None if i == 3 else f'<li><a href="/{i}">{i}</a></li><li><a href="/\\{{{i}">x</a></li>' * (i != 4)
+    spark.createDataFrame([(i, "u", html(i)) for i in ids], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    got = Counter((r["link"], r["price"]) for r in s4_split_item_arrays(spark, str(tmp_path)).collect())
+    told = Counter((link, i if i is None else float(i)) for i in ids if i not in (3, 4) for link in (f"/{i}", f"/\\{{{i}"))
+    assert got == told
+    files = [r["file"] for r in written["json-pieces"].select("file").distinct().collect()]
+    # Three hundreds, and the pages without an id.
+    assert len(files) == 4 and len({f.rpartition("/")[0] for f in files}) == 1
+
+
+def test_query_without_pages(spark, tmp_path):
+    spark.createDataFrame([], "page_id long, url string, html string").write.parquet(str(tmp_path / "pages.parquet"))
+    assert s4_split_item_arrays(spark, str(tmp_path)).count() == 0
